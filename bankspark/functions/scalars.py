@@ -68,7 +68,7 @@ def whole_months_between(later: Column, earlier: Column) -> Column:
 
 def parse_date(c: Column, fmt: str = "dd/MM/yyyy") -> Column:
     """Text date to DateType; unparsable text gives NULL."""
-    return F.try_to_date(c, F.lit(fmt)) if hasattr(F, "try_to_date") else F.to_date(c, fmt)
+    return F.try_to_date(c, fmt)
 
 
 def month_date(year: Column, month: Column) -> Column:

@@ -122,6 +122,8 @@ def with_views(names: list[str], body: str) -> str:
         add(n)
     ctes = ",\n".join(f"{n} as ({VIEWS[n].strip()})" for n in order)
     body = body.strip()
+    if body.lower().startswith("with recursive "):
+        return f"with recursive {ctes},\n{body[15:]}"
     if body.lower().startswith("with "):
         return f"with {ctes},\n{body[5:]}"
     return f"with {ctes}\n{body}"
@@ -131,4 +133,4 @@ def round_quot(num: str, den: str, digits: int = 2) -> str:
     """DuckDB text: round(num/den, digits) half away from zero, exact, for integral num/den; DOUBLE."""
     p = 10 ** digits
     return (f"(cast(sign({num}) * sign({den}) * ((2 * abs(cast({num} as hugeint)) * {p} + abs(cast({den} as hugeint)))"
-            f" // (2 * abs(cast({den} as hugeint)))) as double) / {p})")
+            f" // (2 * abs(nullif(cast({den} as hugeint), 0)))) as double) / {p})")
