@@ -1,22 +1,23 @@
-"""Join helpers with an explicit size check before broadcasting."""
+"""Join of rows to a per-group statistics table.
+
+The statistics side is an aggregate (one row per group), so its size is
+only known at run time.  Adaptive execution measures it when its shuffle
+stage completes and plans a broadcast hash join when it is under
+``spark.sql.adaptive.autoBroadcastJoinThreshold``; beyond that the join
+stays a shuffle join and AQE splits a hot group (skew join).  No extra job
+is spent counting the side first, which would recompute the whole upstream
+lineage.  Sides with a bound known in advance (dimension lists, one row per
+partition) are broadcast explicitly by their callers.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-# rows of a lookup side that may be broadcast (a few MB for the narrow stats tables used here)
-BROADCAST_MAX_ROWS = 2_000_000
 
+# runtime broadcast limit for statistics tables (set on the session by build_session)
+STATS_BROADCAST_BYTES = 64 * 1024 * 1024
 
-def attach_small(df: DataFrame, small: DataFrame, on, how: str = "inner",
-                 max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Join ``small`` to ``df``: broadcast when it is proven small, a shuffle join otherwise.
 
-    The row count is measured (one job over the small side, which callers
-    have already aggregated or checkpointed); beyond ``max_rows`` the join is
-    left to the planner, with AQE splitting skewed keys.
-    """
-    n = small.count()
-    side = F.broadcast(small) if n <= max_rows else small
-    return df.join(side, on, how)
+def attach_small(df: DataFrame, small: DataFrame, on, how: str = "inner") -> DataFrame:
+    """Join a per-group statistics table; AQE picks broadcast or shuffle from its measured size."""
+    return df.join(small, on, how)

@@ -229,7 +229,8 @@ def ewm_adjust_false(indexed: DataFrame, series: str, cols: list[str], alphas: l
     res = joined.groupBy("__s", BLK).applyInPandas(_replay(alphas, cols, outs, tags), schema)
     for o in outs:
         res = res.withColumn(o, F.when(~F.isnan(o), F.col(o)))
-    return res.drop("__s", BLK)
+    # the Python passes are the expensive part: materialise once for two-pass consumers
+    return checkpoint(res.drop("__s", BLK))
 
 
 def ema_span(indexed: DataFrame, series: str, col: str, span: int, out: str | None = None,
