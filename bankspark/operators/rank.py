@@ -23,14 +23,17 @@ from pyspark.sql import functions as F
 
 def global_rank(df: DataFrame, value: str, out: str, ascending: bool = True,
                 nulls_first: bool | None = None, partitions: int | None = None,
-                weight: str | None = None) -> DataFrame:
-    """Append ``out`` = SQL rank() of numeric column ``value`` over the whole frame.
+                weight: str | None = None, by: list[str] | None = None) -> DataFrame:
+    """Append ``out`` = SQL rank() of numeric column ``value``.
 
-    With ``weight``, each row stands for ``weight`` rows of the ranked population
-    (used to rank per-group values by the number of member rows).
+    ``by`` ranks within groups (``rank() over (partition by ...)``) in the same
+    single pass, so several metrics stacked in one column are ranked together.
+    With ``weight``, each row stands for ``weight`` rows of the ranked
+    population (used to rank per-group values by the number of member rows).
     """
     if nulls_first is None:
         nulls_first = ascending  # Spark's default: ASC NULLS FIRST, DESC NULLS LAST
+    by = list(by or [])
     spark = df.sparkSession
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     k, z = "__rk_key", "__rk_null"
@@ -41,18 +44,23 @@ def global_rank(df: DataFrame, value: str, out: str, ascending: bool = True,
     keyed = df.withColumn(k, key).withColumn(z, null_pos)
 
     n = F.sum(F.col(weight)) if weight else F.count(F.lit(1))
-    counts = keyed.groupBy(z, k).agg(n.alias("__n"))
-    ranged = counts.repartitionByRange(parts, z, k).withColumn("__pid", F.spark_partition_id())
-    w_local = Window.partitionBy("__pid").orderBy(z, k).rowsBetween(Window.unboundedPreceding, -1)
+    counts = keyed.groupBy(*by, z, k).agg(n.alias("__n"))
+    ranged = counts.repartitionByRange(parts, *by, z, k).withColumn("__pid", F.spark_partition_id())
+    w_local = Window.partitionBy("__pid", *by).orderBy(z, k).rowsBetween(Window.unboundedPreceding, -1)
     ranged = ranged.withColumn("__before", F.coalesce(F.sum("__n").over(w_local), F.lit(0)))
-    # one row per range partition: bounded by the partition count, so broadcast is safe
-    per_part = ranged.groupBy("__pid").agg(F.sum("__n").alias("__tot"))
-    w_parts = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_part.select("__pid", F.coalesce(F.sum("__tot").over(w_parts), F.lit(0))
+    # one row per (range partition, group present in it): at most partitions + groups - 1 rows
+    per_part = ranged.groupBy("__pid", *by).agg(F.sum("__n").alias("__tot"))
+    w_parts = Window.partitionBy(*by).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_part.select("__pid", *by, F.coalesce(F.sum("__tot").over(w_parts), F.lit(0))
                               .alias("__off"))
-    ranks = (ranged.join(F.broadcast(offsets), "__pid")
-             .select(F.col(z).alias("__rz"), F.col(k).alias("__rk"),
+    offsets = F.broadcast(offsets) if not by else offsets
+    ranks = (ranged.join(offsets, ["__pid", *by])
+             .select(*by, F.col(z).alias("__rz"), F.col(k).alias("__rk"),
                      (F.col("__off") + F.col("__before") + 1).cast("int").alias(out)))
-    joined = keyed.join(ranks, (keyed[z] == ranks["__rz"]) & keyed[k].eqNullSafe(ranks["__rk"]),
-                        "left")
+    cond = (keyed[z] == ranks["__rz"]) & keyed[k].eqNullSafe(ranks["__rk"])
+    for b in by:
+        cond = cond & keyed[b].eqNullSafe(ranks[b])
+    joined = keyed.join(ranks, cond, "left")
+    for b in by:
+        joined = joined.drop(ranks[b])
     return joined.drop(k, z, "__rz", "__rk")

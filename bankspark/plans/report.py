@@ -130,7 +130,7 @@ def _rollup(values: DataFrame, keys: list[str]) -> DataFrame:
     spark = values.sparkSession
     rmap = spark.createDataFrame(_closure(), "parent int, sort_id int")
     rounded = [p for p, _, _, r in cat.ROLLUPS if r]
-    summed = (values.join(F.broadcast(rmap), "sort_id")
+    summed = (values.join(F.broadcast(rmap.coalesce(1)), "sort_id")
               .groupBy(F.col("parent").alias("sort_id"), *keys)
               .agg(F.sum("value").alias("value")))
     return summed.withColumn(
@@ -161,16 +161,33 @@ def _total_over(df: DataFrame, col: str, by: list[str] | None = None) -> F.Colum
     return F.sum(col).over(w)
 
 
+def _bounded(df: DataFrame) -> DataFrame:
+    """Pin a frame whose size is bounded by (#report lines x #areas) to one partition.
+
+    Joins, windows and aggregates between single-partition children need no
+    exchange, so the allocation logic runs as one stage instead of dozens of
+    tiny ones; the scans that feed it stay distributed.
+    """
+    return df.coalesce(1)
+
+
+def _join(a: DataFrame, b: DataFrame, on, how: str = "inner") -> DataFrame:
+    # both sides are single-partition and tiny: a hash join in place, no broadcast job
+    return a.join(b.hint("shuffle_hash"), on, how)
+
+
 def area_measures(cube: DataFrame, npl: DataFrame, sales_kpi: DataFrame, area: DataFrame,
                   month_key: int) -> DataFrame:
     """fact_report_tong_hop_raw: (month, sort_id, area_name, value)."""
+    cube, npl, area = _bounded(cube), _bounded(npl), _bounded(area)
     own = cube.filter(F.col("area_code") != "0")
     head = cube.filter(F.col("area_code") == "0").select("sort_id", F.col("amount").alias("head"))
     tot = own.groupBy("sort_id").agg(F.sum("amount").alias("total"))
 
     # Own amount + (own / all areas' amount, rounded to 2) x head
     j9 = (own.filter(F.col("sort_id").isin(*cat.SHARE_OF_AMOUNT))
-          .join(tot, "sort_id").join(head, "sort_id").join(area, "area_code")
+          .transform(lambda d: _join(d, tot, "sort_id")).transform(lambda d: _join(d, head, "sort_id"))
+          .transform(lambda d: _join(d, area, "area_code"))
           .select("sort_id", "area_name",
                   F.round(F.col("amount") + div_round(F.col("amount"), F.col("total"), 2, 2, 2)
                           * F.col("head"), 2).alias("value")))
@@ -181,16 +198,16 @@ def area_measures(cube: DataFrame, npl: DataFrame, sales_kpi: DataFrame, area: D
                         _total_over(npl, "du_no_sum").alias("t_all"))
     shares = shares.withColumn(
         "sort_id", F.explode(F.array(*[F.lit(s) for s in cat.SHARE_OF_BALANCE])))
-    j10 = (shares.join(head, "sort_id").join(area, "area_code")
+    j10 = (_join(_join(shares, head, "sort_id"), area, "area_code")
            .select("sort_id", "area_name",
                    div_round(F.col("head") * F.col("t"), F.col("t_all"), 2, 4, 2).alias("value")))
 
     # Own amount + head x headcount share
-    cnt = headcount(sales_kpi)
-    cnt = cnt.select("area_name", "cnt_sale", _total_over(cnt, "cnt_sale").alias("cnt_all")) \
-        .join(area, "area_name")
+    cnt = _bounded(headcount(sales_kpi))   # one row per area name
+    cnt = _join(cnt.select("area_name", "cnt_sale", _total_over(cnt, "cnt_sale").alias("cnt_all")),
+                area, "area_name")
     j11 = (own.filter(F.col("sort_id").isin(*cat.SHARE_OF_HEADCOUNT))
-           .join(head, "sort_id").join(cnt, "area_code")
+           .transform(lambda d: _join(_join(d, head, "sort_id"), cnt, "area_code"))
            .select("sort_id", "area_name",
                    div_round(F.col("amount") * F.col("cnt_all") + F.col("head") * F.col("cnt_sale"),
                              F.col("cnt_all"), 2, 2, 0).alias("value")))
@@ -199,11 +216,13 @@ def area_measures(cube: DataFrame, npl: DataFrame, sales_kpi: DataFrame, area: D
     j14 = cnt.select(F.lit(cat.HEADCOUNT_LINE).alias("sort_id"), "area_name",
                      F.col("cnt_sale").cast(MONEY).alias("value"))
 
-    leaves = j9.unionByName(j10).unionByName(j11).select(
-        F.col("sort_id").cast("int"), "area_name", F.col("value").cast(MONEY))
+    # leaf lines feed the rollups and the ratios: materialise them once (a few hundred rows)
+    leaves = checkpoint(_bounded(j9.unionByName(j10).unionByName(j11).select(
+        F.col("sort_id").cast("int"), "area_name", F.col("value").cast(MONEY))))
     rolled = _rollup(leaves, ["area_name"])
-    base = leaves.unionByName(j14.select(F.col("sort_id").cast("int"), "area_name", "value")) \
-        .unionByName(rolled)
+    base = checkpoint(_bounded(
+        leaves.unionByName(j14.select(F.col("sort_id").cast("int"), "area_name", "value"))
+        .unionByName(rolled)))
     out = base.unionByName(_ratios(base))
     return out.select(F.lit(month_key).cast("int").alias("month"), "sort_id", "area_name", "value")
 
@@ -268,7 +287,7 @@ def monthly_report(spark: SparkSession, gl: DataFrame, loan_kpi: DataFrame, city
     npl = checkpoint(npl_by_area(loan_kpi, city, area, month, year))
     cube = checkpoint(gl_cube(gl, month, gl_year))
     head = head_values(cube)
-    measure = area_measures(cube, npl, sales_kpi, area, month_key)
+    measure = checkpoint(area_measures(cube, npl, sales_kpi, area, month_key))
     names = area_names or [r[1] for r in __import__("bankspark.sources.roles", fromlist=["AREAS"]).AREAS]
     wide = report_wide(measure, area, names)
     return {

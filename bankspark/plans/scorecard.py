@@ -29,10 +29,22 @@ AREA_RATIOS = ((10, "cir", "rank_cir", False), (11, "margin", "rank_margin", Tru
                (12, "hs_von", "rank_hs_von", True), (13, "hsbq_nhan_su", "rank_hsbq_nhan_su", True))
 
 
-def _kpi_rank(per_person: DataFrame, value: str, rank: str) -> DataFrame:
-    ranked = global_rank(per_person.select("email", "area_name", value), value, rank,
-                         ascending=False, nulls_first=True)
-    return ranked
+# fixed values: the person KPIs, their averaged column and rank column
+KPIS = (("loan_to_new", "ltn_avg", "rank_ltn_avg"), ("psdn", "psdn_avg", "rank_psdn_avg"),
+        ("app_rate", "approval_rate_avg", "rank_approval_rate_avg"))
+
+
+def _kpi_ranks(per_person: DataFrame) -> dict[str, DataFrame]:
+    """The three KPI averages ranked DESC NULLS FIRST over all persons, in one ranking pass."""
+    stacked = per_person.select(
+        "email", "area_name",
+        F.explode(F.array(*[F.struct(F.lit(avg).alias("metric"), F.col(avg).alias("v"))
+                            for _, avg, _ in KPIS])).alias("m")
+    ).select("email", "area_name", "m.metric", "m.v")
+    ranked = checkpoint(global_rank(stacked, "v", "r", ascending=False, nulls_first=True, by=["metric"]))
+    return {avg: ranked.filter(F.col("metric") == avg).select("email", "area_name", F.col("v").alias(avg),
+                                                              F.col("r").alias(rk))
+            for _, avg, rk in KPIS}
 
 
 def _rank_by_area(joined: DataFrame, value: str, out: str, ascending: bool,
@@ -57,9 +69,8 @@ def scorecard(sales_kpi: DataFrame, area: DataFrame, npl: DataFrame, measure: Da
         ratio(F.sum("loan_to_new"), F.count("loan_to_new")).alias("ltn_avg"),
         ratio(F.sum("psdn"), F.count("psdn")).alias("psdn_avg"),
         ratio(F.sum("app_rate"), F.count("app_rate")).alias("approval_rate_avg")))
-    b = _kpi_rank(per_person, "ltn_avg", "rank_ltn_avg")
-    c = _kpi_rank(per_person, "psdn_avg", "rank_psdn_avg")
-    d = _kpi_rank(per_person, "approval_rate_avg", "rank_approval_rate_avg")
+    kr = _kpi_ranks(per_person)
+    b, c, d = kr["ltn_avg"], kr["psdn_avg"], kr["approval_rate_avg"]
     keys = ["email", "area_name"]
     # npl and the ratio lines hold one row per area: broadcast sides of a proven bound
     joined = (persons.join(b, keys).join(c, keys).join(d, keys)
@@ -84,8 +95,15 @@ def scorecard(sales_kpi: DataFrame, area: DataFrame, npl: DataFrame, measure: Da
     joined = joined.withColumn("diem_fin", F.col("rank_cir") + F.col("rank_margin")
                                + F.col("rank_hs_von") + F.col("rank_hsbq_nhan_su"))
     joined = _rank_by_area(joined, "diem_fin", "rank_fin", ascending=True, nulls_first=False)
-    joined = checkpoint(global_rank(joined, "diem_quy_mo", "rank_ptkd", ascending=True,
-                                    nulls_first=False))
     joined = joined.withColumn("tong_diem", F.col("diem_quy_mo") + F.col("diem_fin"))
-    joined = global_rank(joined, "tong_diem", "rank_final", ascending=True, nulls_first=False)
+    # both person-level scores ranked in one pass, then attached by value
+    scores = joined.select(F.explode(F.array(
+        F.struct(F.lit("rank_ptkd").alias("metric"), F.col("diem_quy_mo").alias("v")),
+        F.struct(F.lit("rank_final").alias("metric"), F.col("tong_diem").alias("v")))).alias("m")
+    ).select("m.metric", "m.v").groupBy("metric", "v").agg(F.count(F.lit(1)).alias("__w"))
+    ranked = checkpoint(global_rank(scores, "v", "r", ascending=True, nulls_first=False,
+                                    weight="__w", by=["metric"]))
+    for metric, col in (("rank_ptkd", "diem_quy_mo"), ("rank_final", "tong_diem")):
+        rk = ranked.filter(F.col("metric") == metric).select(F.col("v").alias(col), F.col("r").alias(metric))
+        joined = joined.join(rk, col, "left")
     return joined.withColumn("month_key", F.lit(month_key).cast("int")).select(*SCORECARD_COLUMNS)
