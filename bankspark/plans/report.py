@@ -260,6 +260,19 @@ def _ratios(values: DataFrame) -> DataFrame:
 
 # ---- H1, J17 report layout ---------------------------------------------------
 
+def present_lines(measure: DataFrame) -> list[int]:
+    """Sorted distinct line ids of a measure table (D18); at most the catalogue's lines."""
+    row = measure.agg(F.sort_array(F.collect_set("sort_id")).alias("ids")).first()
+    return list(row["ids"] or [])
+
+
+def report_by_line(measure: DataFrame, lines: list[int] | None = None) -> DataFrame:
+    """One column per report line present, one row per (month, area) (H2)."""
+    lines = lines or present_lines(measure)
+    wide = measure.groupBy("month", "area_name").pivot("sort_id", lines).agg(F.first("value"))
+    return wide.select("month", "area_name", *[F.col(str(s)).alias(f"sort_id_{s}") for s in lines])
+
+
 def report_wide(measure: DataFrame, area: DataFrame, area_names: list[str]) -> DataFrame:
     """One column per area (fact_report_tong_hop), for the line ids present."""
     return (measure.groupBy("sort_id").pivot("area_name", area_names)
