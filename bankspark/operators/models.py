@@ -51,17 +51,25 @@ def total_variance(df: DataFrame, cols: list[str]) -> float:
     return float(df.agg(F.sum(expr)).first()[0] or 0.0)
 
 
-def elbow(df: DataFrame, cols: list[str], ks=range(1, 11), seed: int = 42) -> list[tuple[int, float]]:
-    """(k, inertia) for the elbow plot (K5, K6); Spark's k-means needs k >= 2, k = 1 is direct."""
-    out = []
+def elbow(df: DataFrame, cols: list[str], ks=range(1, 11), seed: int = 42,
+          parallelism: int = 4) -> list[tuple[int, float]]:
+    """(k, inertia) for the elbow plot (K5, K6); Spark's k-means needs k >= 2, k = 1 is direct.
+
+    The fits are independent, so they are submitted from ``parallelism``
+    driver threads (as CrossValidator does) and share the cluster.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
     n = df.count()
-    for k in ks:
+
+    def one(k):
         if k == 1:
-            out.append((1, total_variance(df, cols)))
-        elif k <= n:
-            _, _, cost = kmeans_canonical(df, cols, k, seed)
-            out.append((k, cost))
-    return out
+            return (1, total_variance(df, cols))
+        return (k, kmeans_canonical(df, cols, k, seed)[2])
+
+    wanted = [k for k in ks if k <= n]
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        return sorted(pool.map(one, wanted))
 
 
 def silhouette_sq_euclidean(labelled: DataFrame, label: str = "cluster") -> float:

@@ -8,10 +8,17 @@ from pyspark.sql import functions as F
 from bankspark.operators import models as MD
 from bankspark.operators import stats as ST
 from bankspark.plans.market import label_stages
+from bankspark.session import checkpoint
 
 MACRO_COLS = ["GDP", "Inflation", "Unemployment_rate"]
 
 
+def macro_zscores(macro: DataFrame, cols: list[str] | None = None) -> DataFrame:
+    """z-scores of the macro columns (K1), materialised: one row per year, read by every k-means
+    iteration and every elbow fit, so the scans behind it run once."""
+    return checkpoint(ST.zscore(macro, cols or MACRO_COLS))
+
+
 def economic_stages(macro: DataFrame, k: int = 4, seed: int = 42, before_year: int | None = None,
                     cols: list[str] | None = None):
     """z-score the macro columns over all years, keep years before ``before_year``, cluster, label.
@@ -20,7 +27,7 @@ def economic_stages(macro: DataFrame, k: int = 4, seed: int = 42, before_year: i
     has one row per calendar year.
     """
     cols = cols or MACRO_COLS
-    z = ST.zscore(macro, cols)
+    z = macro_zscores(macro, cols)
     if before_year is not None:
         z = z.filter(F.col("Year") < before_year)
     zcols = [f"{c}_z" for c in cols]

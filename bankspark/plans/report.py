@@ -203,7 +203,8 @@ def area_measures(cube: DataFrame, npl: DataFrame, sales_kpi: DataFrame, area: D
                    div_round(F.col("head") * F.col("t"), F.col("t_all"), 2, 4, 2).alias("value")))
 
     # Own amount + head x headcount share
-    cnt = _bounded(headcount(sales_kpi))   # one row per area name
+    # one row per area name; feeds J11 and J14, so the sales scan runs once
+    cnt = checkpoint(_bounded(headcount(sales_kpi)))
     cnt = _join(cnt.select("area_name", "cnt_sale", _total_over(cnt, "cnt_sale").alias("cnt_all")),
                 area, "area_name")
     j11 = (own.filter(F.col("sort_id").isin(*cat.SHARE_OF_HEADCOUNT))

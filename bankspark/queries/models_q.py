@@ -32,9 +32,8 @@ def q_macro_stages(spark, sf_dir):
 
 
 def q_macro_elbow(spark, sf_dir):
-    macro = CY.economic_stages(_macro(spark, sf_dir))[0]
     zc = ["GDP_z", "Inflation_z", "Unemployment_rate_z"]
-    pts = MD.elbow(macro.select(*zc), zc)
+    pts = MD.elbow(CY.macro_zscores(_macro(spark, sf_dir)).select(*zc), zc)
     return spark.createDataFrame(pts, "k int, inertia double")
 
 
