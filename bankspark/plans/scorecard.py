@@ -51,13 +51,19 @@ def _rank_by_area(joined: DataFrame, value: str, out: str, ascending: bool,
                   nulls_first: bool) -> DataFrame:
     """Rank rows by a value that is constant within each area.
 
-    Equal to rank() over all person rows, computed on one row per area with the
-    area's row count as weight; the result (one row per area) is broadcast back.
+    Equal to rank() over all person rows: one row per area carries the
+    area's row count as weight, rank = 1 + weight of the areas ordered
+    strictly before.  That table is bounded by the area dimension, so its
+    windows run on one partition and the result is broadcast back.
     """
-    per_area = joined.groupBy("area_name", value).agg(F.count(F.lit(1)).alias("__w"))
-    ranked = global_rank(per_area, value, out, ascending=ascending, nulls_first=nulls_first,
-                         weight="__w", partitions=1)
-    return joined.join(F.broadcast(ranked.select("area_name", out)), "area_name")
+    per_area = joined.groupBy("area_name", value).agg(F.count(F.lit(1)).alias("__w")).coalesce(1)
+    v = F.col(value)
+    order = (v.asc_nulls_first() if nulls_first else v.asc_nulls_last()) if ascending else \
+        (v.desc_nulls_first() if nulls_first else v.desc_nulls_last())
+    upto = F.sum("__w").over(Window.orderBy(order))            # RANGE frame: ties included
+    ties = F.sum("__w").over(Window.partitionBy(value))
+    ranked = per_area.select("area_name", (upto - ties + 1).cast("int").alias(out))
+    return joined.join(F.broadcast(ranked), "area_name")
 
 
 def scorecard(sales_kpi: DataFrame, area: DataFrame, npl: DataFrame, measure: DataFrame,
