@@ -60,7 +60,8 @@ def lag_forecast(indexed: DataFrame, series: str, close: str = "close", steps_ba
     windows, a linear model, and a recursive ``horizon``-step forecast per series (K2, K16, K21, K22)."""
     pos = S.with_position(indexed, series)
     pos = pos.withColumn("__train", F.col("__pos") < F.floor(F.col("__len") * train_share_num / train_share_den))
-    fitted = ST.minmax_fit(pos.filter("__train"), close, series)
+    # one row per series, used to scale and to invert: materialised once
+    fitted = checkpoint(ST.minmax_fit(pos.filter("__train"), close, series))
     scaled = ST.minmax_scale(pos, close, series, "__y", fitted=fitted)
     win = checkpoint(S.collect_lags(scaled, series, "__y", steps_back, block_rows, out="__x"))
     model = MD.fit_lag_model(win.filter("__train"), "__x", "__y")
