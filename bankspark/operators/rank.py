@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from bankspark.session import checkpoint
+
 
 def global_rank(df: DataFrame, value: str, out: str, ascending: bool = True,
                 nulls_first: bool | None = None, partitions: int | None = None,
@@ -47,7 +49,9 @@ def global_rank(df: DataFrame, value: str, out: str, ascending: bool = True,
     counts = keyed.groupBy(*by, z, k).agg(n.alias("__n"))
     ranged = counts.repartitionByRange(parts, *by, z, k).withColumn("__pid", F.spark_partition_id())
     w_local = Window.partitionBy("__pid", *by).orderBy(z, k).rowsBetween(Window.unboundedPreceding, -1)
-    ranged = ranged.withColumn("__before", F.coalesce(F.sum("__n").over(w_local), F.lit(0)))
+    # partition ids are physical: materialise the distinct values once so that the offsets
+    # and the running counts below are computed from the same placement
+    ranged = checkpoint(ranged.withColumn("__before", F.coalesce(F.sum("__n").over(w_local), F.lit(0))))
     # one row per (range partition, group present in it): at most partitions + groups - 1 rows
     per_part = ranged.groupBy("__pid", *by).agg(F.sum("__n").alias("__tot"))
     w_parts = Window.partitionBy(*by).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)

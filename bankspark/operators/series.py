@@ -46,15 +46,17 @@ def with_index(df: DataFrame, series: str, order: list[str], partitions: int | N
     s = s.withColumn("__pid", F.shiftright("__mid", 33)) \
          .withColumn("__loc", F.col("__mid").bitwiseAND(F.lit((1 << 33) - 1)))
     # the ids depend on the physical partitioning: materialise once so that the
-    # offsets and the rows below see the same ids (and recomputation cannot move them)
+    # counts below and the rows see the same ids (and recomputation cannot move them)
     s = checkpoint(s) if materialise else s
-    per_part = s.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
-    # one row per partition: bounded by the partition count, safe to collect to one task
-    w = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_part.select("__pid", F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__off"))
-    return (s.join(F.broadcast(offsets), "__pid")
-            .withColumn(G, F.col("__off") + F.col("__loc"))
-            .drop("__mid", "__pid", "__loc", "__off"))
+    # rows per partition, as zipWithIndex does: one number per partition reaches the driver
+    counts = dict(s.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n")).collect())
+    offsets, run = [], 0
+    for pid in range(int(max(counts)) + 1 if counts else 0):
+        offsets.append(run)
+        run += counts.get(pid, 0)
+    off = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), (F.col("__pid") + 1).cast("int")) \
+        if offsets else F.lit(0).cast("long")
+    return s.withColumn(G, off + F.col("__loc")).drop("__mid", "__pid", "__loc")
 
 
 def series_stats(indexed: DataFrame, series: str, value: str | None = None) -> DataFrame:
