@@ -85,3 +85,9 @@ def test_div_round_exact_ties(spark):
 
 def test_clean_header():
     assert clean_header("2004 [YR2004]") == "2004"
+
+
+def test_default_dates_with_fixed_clock():
+    from bankspark.functions.scalars import default_month, default_process_date
+    assert default_process_date(D(2024, 3, 1)) == D(2024, 2, 29)
+    assert default_month(D(2024, 3, 5)) == 3
