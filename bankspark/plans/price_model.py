@@ -59,7 +59,8 @@ def lag_forecast(indexed: DataFrame, series: str, close: str = "close", steps_ba
     """Chronological split, min-max scaling fitted on the train part of each series, 60-lag
     windows, a linear model, and a recursive ``horizon``-step forecast per series (K2, K16, K21, K22)."""
     pos = S.with_position(indexed, series)
-    pos = pos.withColumn("__train", F.col("__pos") < F.floor(F.col("__len") * train_share_num / train_share_den))
+    pos = checkpoint(pos.withColumn(
+        "__train", F.col("__pos") < F.floor(F.col("__len") * train_share_num / train_share_den)))
     # one row per series, used to scale and to invert: materialised once
     fitted = checkpoint(ST.minmax_fit(pos.filter("__train"), close, series))
     scaled = ST.minmax_scale(pos, close, series, "__y", fitted=fitted)

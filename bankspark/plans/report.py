@@ -276,8 +276,10 @@ def report_by_line(measure: DataFrame, lines: list[int] | None = None) -> DataFr
 
 def report_wide(measure: DataFrame, area: DataFrame, area_names: list[str]) -> DataFrame:
     """One column per area (fact_report_tong_hop), for the line ids present."""
-    return (measure.groupBy("sort_id").pivot("area_name", area_names)
-            .agg(F.first("value")))
+    # the original fills each cell with a scalar subquery, which fails on two rows
+    one = F.when(F.count(F.lit(1)) > 1, F.raise_error(F.lit("duplicate (sort_id, area_name) in measure"))
+                 .cast(MONEY)).otherwise(F.first("value"))
+    return measure.groupBy("sort_id").pivot("area_name", area_names).agg(one)
 
 
 def report_detail(wide: DataFrame, head: DataFrame, lines: DataFrame) -> DataFrame:

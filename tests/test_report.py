@@ -83,3 +83,15 @@ def test_npl_weights_equal_month_loop(spark):
     assert r.du_no == 389 / 2
     # bad (bucket > 2): m=1: 0 + (10+7) = 17; m=2: 200 + (10+7) = 217 -> 234
     assert abs(r.rate - 234 / 389) < 1e-15
+
+
+def test_monthly_report_driver_and_duplicate_guard(spark):
+    import pytest
+    r = Roles(spark, SF01)
+    out = rp.monthly_report(spark, r.gl(), r.loan_kpi(), r.city(), r.area(), r.sales_kpi(), month=2)
+    assert set(out) == {"npl", "debt_groups", "head", "measure", "report", "detail", "scorecard"}
+    assert out["report"].count() == out["measure"].select("sort_id").distinct().count()
+    assert out["detail"].count() == out["report"].count()
+    dup = out["measure"].unionByName(out["measure"].limit(1))
+    with pytest.raises(Exception):
+        rp.report_wide(dup, r.area(), ["AREA_B", "AREA_C", "AREA_D", "AREA_E", "AREA_F", "AREA_G", "AREA_H"]).collect()
