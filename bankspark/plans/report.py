@@ -17,6 +17,7 @@ The original runs 28 x n aggregate queries for the NPL staging, scans the GL
 
 from __future__ import annotations
 
+import datetime as _dt
 from itertools import chain
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -96,9 +97,13 @@ def gl_cube(gl: DataFrame, month: int, year: int | None = None) -> DataFrame:
     month only.  Area code '0' is head office.
     """
     spark = gl.sparkSession
-    cond = F.month("transaction_date") <= month
-    if year is not None:
-        cond = cond & (F.year("transaction_date") == year)
+    if year is None:
+        cond = F.month("transaction_date") <= month
+    else:
+        # a date range rather than year()/month(): it reaches the parquet scan as pushed filters
+        end = _dt.date(year + 1, 1, 1) if month == 12 else _dt.date(year, month + 1, 1)
+        cond = (F.col("transaction_date") >= F.lit(_dt.date(year, 1, 1))) & \
+               (F.col("transaction_date") < F.lit(end))
     code = F.col("account_code").cast("string")
     keys = [F.concat(F.lit("C:"), code)]
     keys += [F.concat(F.lit(f"P{n}:"), F.substring(code, 1, n)) for n in cat.prefix_lengths()]

@@ -95,3 +95,20 @@ def test_monthly_report_driver_and_duplicate_guard(spark):
     dup = out["measure"].unionByName(out["measure"].limit(1))
     with pytest.raises(Exception):
         rp.report_wide(dup, r.area(), ["AREA_B", "AREA_C", "AREA_D", "AREA_E", "AREA_F", "AREA_G", "AREA_H"]).collect()
+
+
+def test_year_filter_reaches_parquet_scan(spark, tmp_path):
+    gl = Roles(spark, SF01).gl()
+    path = str(tmp_path / "gl")
+    gl.write.parquet(path)
+    stored = spark.read.parquet(path)
+    cube = rp.gl_cube(stored, 3, year=1997)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    plan = cube._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "GreaterThanOrEqual(transaction_date" in plan and "LessThan(transaction_date" in plan
+    exp = (stored.filter((F.year("transaction_date") == 1997) & (F.month("transaction_date") <= 3))
+           .count())
+    assert exp > 0
+    got = rp.gl_cube(stored.filter(F.year("transaction_date") == 1997), 3)
+    assert sorted(cube.collect()) == sorted(got.collect())
