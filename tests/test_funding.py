@@ -74,3 +74,21 @@ def test_replace_day_is_idempotent_and_clears(spark):
     empty = a.filter("day_key = 99")
     replace_day(empty.union(a.filter("false")), path, 1)     # empty result clears the day
     assert sorted(tuple(r) for r in spark.read.parquet(path).select("day_key", "v").collect()) == [(2, 20)]
+
+
+def test_month_range_prunes_day_partitions(spark, tmp_path):
+    from bankspark.sources.roles import Roles
+    from tests.conftest import SF001
+    r = Roles(spark, SF001)
+    dep, ln = str(tmp_path / "dep"), str(tmp_path / "ln")
+    r.deposit().write.partitionBy("day_key").parquet(dep)
+    r.loan().write.partitionBy("day_key").parquet(ln)
+    out = funding_summary(spark.read.parquet(dep), spark.read.parquet(ln), DAY)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert plan.count("PartitionFilters: [isnotnull(day_key") == 2
+    assert "(day_key#" in plan and ">= 2023335" in plan and "<= 2023349" in plan
+    direct = {x.funding_id: x for x in funding_summary(r.deposit(), r.loan(), DAY).collect()}
+    stored = {x.funding_id: x for x in out.collect()}
+    assert direct == stored
