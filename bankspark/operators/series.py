@@ -149,7 +149,6 @@ def forward_fill(indexed: DataFrame, series: str, cols: list[str],
 
 def _fold(xs, alpha, beta, y):
     """Sequential y = alpha*x + beta*y (first non-null x starts y); NULL x keeps y."""
-    import math
     out = []
     for x in xs:
         if x == x:  # not NaN

@@ -119,6 +119,12 @@ def q_yearly_last_close(spark, sf_dir):
     return M.yearly_last(_prices(spark, sf_dir), "Close", "Date", "row_id")
 
 
+def q_yearly_close_pct(spark, sf_dir):
+    from bankspark.plans.cycle import yearly_pct_change
+    y = M.yearly_last(_prices(spark, sf_dir), "Close", "Date", "row_id")
+    return yearly_pct_change(y).select("Year", "Close", F.round("Close_pct", 9).alias("Close_pct"))
+
+
 def q_index_compare(spark, sf_dir):
     bar = Roles(spark, sf_dir).bar()
     a = bar.filter(F.col("series_id") == "click")
@@ -239,6 +245,7 @@ QUERIES = {
     "price_clean": q_price_clean,
     "price_null_counts": q_price_null_counts,
     "yearly_last_close": q_yearly_last_close,
+    "yearly_close_pct": q_yearly_close_pct,
     "index_compare": q_index_compare,
     "macro_wide": q_macro_wide,
     "macro_reshape": q_macro_reshape,
@@ -288,6 +295,13 @@ select cast(Year as integer) as Year, Close from (
   select year(Date) as Year, Close,
          row_number() over (partition by year(Date) order by Date desc, row_id desc) as k
   from ({_PRICE_CLEAN}) where Close is not null) where k = 1"""),
+    "yearly_close_pct": with_views(["v_price_text"], f"""
+select Year, Close, round((Close - lag(Close) over (order by Year)) / nullif(lag(Close) over (order by Year), 0) * 100, 9)
+       as Close_pct
+from (select cast(Year as integer) as Year, Close from (
+        select year(Date) as Year, Close,
+               row_number() over (partition by year(Date) order by Date desc, row_id desc) as k
+        from ({_PRICE_CLEAN}) where Close is not null) where k = 1)"""),
     "index_compare": with_views(["v_bar"], """
 select cast(coalesce(a.date, b.date) as varchar) as date, a.close as click_close, b.close as view_close
 from (select * from v_bar where series_id = 'click') a
