@@ -27,6 +27,7 @@ from bankspark.functions.exact import div_round
 from bankspark.functions.scalars import area_code_of, default_month
 from bankspark.plans import catalogue as cat
 from bankspark.session import checkpoint
+from bankspark.sources.roles import AREAS
 
 MONEY = "decimal(38,2)"
 DEFAULT_YEAR = 2023
@@ -309,7 +310,7 @@ def monthly_report(spark: SparkSession, gl: DataFrame, loan_kpi: DataFrame, city
     cube = checkpoint(gl_cube(gl, month, gl_year))
     head = head_values(cube)
     measure = checkpoint(area_measures(cube, npl, sales_kpi, area, month_key))
-    names = area_names or [r[1] for r in __import__("bankspark.sources.roles", fromlist=["AREAS"]).AREAS]
+    names = area_names or [name for _, name in AREAS]
     wide = report_wide(measure, area, names)
     return {
         "npl": npl.drop("du_no_sum", "n_months"),
