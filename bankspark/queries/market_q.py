@@ -158,6 +158,40 @@ def q_features_joined(spark, sf_dir):
     return portable(M.attach_macro_and_rate(prices, macro, rates))
 
 
+MACRO_VARS = ["Rate", "Inflation", "GDP", "Unemployment_rate"]
+FEATURE_LAG = 360
+OUT_DIGITS = {f"GDP_lag_{FEATURE_LAG}": 0}
+
+
+def _daily_indexed(spark, sf_dir):
+    """Daily prices with macro and rate attached, as one date-ordered series."""
+    prices = _prices(spark, sf_dir).select("row_id", "Date", "Close")
+    macro = M.macro_wide(Roles(spark, sf_dir).macro_long())
+    rates = M.monthly_rate_table(_rates(spark, sf_dir))
+    daily = M.attach_macro_and_rate(prices, macro, rates).withColumn("series", F.lit("index"))
+    return S.with_index(daily, "series", ["Date", "row_id"])
+
+
+def q_macro_lag_corr(spark, sf_dir):
+    """Correlation of the close with each macro variable lagged 90..600 rows."""
+    df = S.lags(_daily_indexed(spark, sf_dir), "series", MACRO_VARS, CORR_LAGS)
+    cells = [F.struct(F.lit(v).alias("variable"), F.lit(k).alias("lag"),
+                      F.corr("Close", f"{v}_lag_{k}").alias("r")) for v in MACRO_VARS for k in CORR_LAGS]
+    return (df.agg(F.array(*cells).alias("cells")).select(F.explode("cells").alias("c"))
+            .select(F.col("c.variable").alias("variable"), F.col("c.lag").cast("int").alias("lag"),
+                    F.round("c.r", 9).alias("r")))
+
+
+def q_macro_lag_features(spark, sf_dir):
+    """Lag-360 copies of every variable but the close, gaps filled by a regression on the close."""
+    from bankspark.operators.stats import regression_impute
+    df = S.lags(_daily_indexed(spark, sf_dir), "series", MACRO_VARS, [FEATURE_LAG])
+    cols = [f"{v}_lag_{FEATURE_LAG}" for v in MACRO_VARS]
+    df = regression_impute(df, cols, "Close")
+    # GDP is a sum of whole currency units: report its imputed lags in whole units
+    return df.select("row_id", "Close", *[F.round(c, OUT_DIGITS.get(c, 6)).alias(c) for c in cols])
+
+
 # ---------------------------------------------------------------- oracle text
 
 _W = "window w as (partition by series_id order by ts, event_id)"
@@ -250,8 +284,42 @@ QUERIES = {
     "macro_wide": q_macro_wide,
     "macro_reshape": q_macro_reshape,
     "features_joined": q_features_joined,
+    "macro_lag_corr": q_macro_lag_corr,
+    "macro_lag_features": q_macro_lag_features,
 }
 
+_DAILY = f"""
+select p.row_id, p.Date, p.Close, m.GDP, m.Inflation, m.Unemployment_rate, r.Rate
+from ({_PRICE_CLEAN}) p
+left join ({_MACRO_WIDE}) m on m.Year = year(p.Date)
+left join (select year(l_shipdate) as y, month(l_shipdate) as mo, cast(count(*) as double) / 1000 as Rate
+           from lineitem group by 1, 2) r on r.y = year(p.Date) and r.mo = month(p.Date)"""
+
+
+def _macro_lag_corr_sql() -> str:
+    lags = ", ".join(f"lag({v}, {k}) over w as {v}_lag_{k}" for v in MACRO_VARS for k in CORR_LAGS)
+    parts = [f"select '{v}' as variable, {k} as lag, round(corr(Close, {v}_lag_{k}), 9) as r from l"
+             for v in MACRO_VARS for k in CORR_LAGS]
+    return with_views(["v_price_text", "v_macro_long"], f"""
+with d as ({_DAILY}),
+l as (select Close, {lags} from d window w as (order by Date, row_id))
+select variable, cast(lag as integer) as lag, r from ({" union all ".join(parts)})""")
+
+
+def _macro_lag_features_sql() -> str:
+    lags = ", ".join(f"lag({v}, {FEATURE_LAG}) over w as {v}_lag_{FEATURE_LAG}" for v in MACRO_VARS)
+    fits = ", ".join(f"regr_slope({v}_lag_{FEATURE_LAG}, Close) as b_{v}, regr_intercept({v}_lag_{FEATURE_LAG}, Close) as a_{v}"
+                     for v in MACRO_VARS)
+    outs = ", ".join(f"round(coalesce({v}_lag_{FEATURE_LAG}, a_{v} + b_{v} * Close), "
+                     f"{OUT_DIGITS.get(f'{v}_lag_{FEATURE_LAG}', 6)}) as {v}_lag_{FEATURE_LAG}"
+                     for v in MACRO_VARS)
+    return with_views(["v_price_text", "v_macro_long"], f"""
+with d as ({_DAILY}),
+l as (select row_id, Close, {lags} from d window w as (order by Date, row_id)),
+f as (select {fits} from l)
+select row_id, Close, {outs} from l, f""")
+
+
 ORACLE = {
     "tick_lags": with_views(["v_tick"], f"""
 select series_id, event_id, close, {", ".join(f"lag(close, {k}) over w as close_lag_{k}" for k in LAGS)},
@@ -307,6 +375,8 @@ select cast(coalesce(a.date, b.date) as varchar) as date, a.close as click_close
 from (select * from v_bar where series_id = 'click') a
 full join (select * from v_bar where series_id = 'view') b on a.date = b.date"""),
     "macro_wide": with_views(["v_macro_long"], _MACRO_WIDE),
+    "macro_lag_corr": _macro_lag_corr_sql(),
+    "macro_lag_features": _macro_lag_features_sql(),
     "macro_reshape": with_views(["v_macro_long"], "select series_name, cast(year as integer) as year, value from v_macro_long"),
     "features_joined": with_views(["v_price_text", "v_macro_long"], f"""
 select p.row_id, cast(p.Date as varchar) as Date, p.Close, m.GDP, m.Inflation, m.Unemployment_rate, r.Rate,
