@@ -52,3 +52,19 @@ def stage_close(stages: DataFrame, yearly_close: DataFrame, exclude_years: list[
     per_stage = ST.mean_std_by(j, "Stage", ["Close", "Close_pct"])
     test = ST.anova_test(j, "Close", "Stage")
     return j, per_stage, test
+
+
+def stage_macro_stats(stages: DataFrame, cols: list[str] | None = None) -> DataFrame:
+    """Per stage mean and sample std of each macro column (D11), plus box figures (D16),
+    as one row per (Stage, variable)."""
+    cols = cols or MACRO_COLS
+    long = stages.select("Stage", F.explode(F.array(*[
+        F.struct(F.lit(c).alias("variable"), F.col(c).cast("double").alias("x")) for c in cols])).alias("m")
+    ).select("Stage", "m.variable", "m.x").withColumn("__grp", F.concat_ws("|", "Stage", "variable"))
+    ms = long.groupBy("Stage", "variable").agg(F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"),
+                                               F.count("x").alias("n"))
+    box = ST.box_summary(long, "x", "__grp")
+    box = box.withColumn("Stage", F.split("__grp", r"\|")[0]).withColumn("variable", F.split("__grp", r"\|")[1]) \
+        .drop("__grp")
+    return ms.join(box, ["Stage", "variable"], "left")
+

@@ -63,6 +63,11 @@ def q_stage_close(spark, sf_dir):
                             F.lit(test["reject_h0"]).alias("reject_h0"))
 
 
+def q_stage_macro_stats(spark, sf_dir):
+    stages, _, _ = CY.economic_stages(_macro(spark, sf_dir))
+    return CY.stage_macro_stats(stages)
+
+
 def q_priority_anova_test(spark, sf_dir):
     from bankspark.operators.stats import anova_test
     t = anova_test(Roles(spark, sf_dir).t("orders"), "o_totalprice", "o_orderpriority")
@@ -135,6 +140,7 @@ QUERIES = {
     "macro_cluster_quality": q_macro_cluster_quality,
     "embedding_clusters": q_embedding_clusters,
     "stage_close": q_stage_close,
+    "stage_macro_stats": q_stage_macro_stats,
     "priority_anova_test": q_priority_anova_test,
     "orders_hash_split": q_orders_hash_split,
     "rf_metrics": q_rf_metrics,
