@@ -157,7 +157,9 @@ def head_values(cube: DataFrame) -> DataFrame:
 # ---- J9-J14 area measures --------------------------------------------------
 
 def headcount(sales_kpi: DataFrame) -> DataFrame:
-    """Distinct sales staff per area name, all months (count_sale)."""
+    """Distinct sales staff per area name, all months (count_sale).
+
+    Accepts the sales KPI rows or the per-person table of ``scorecard.person_kpis``."""
     return sales_kpi.groupBy("area_name").agg(F.countDistinct("sale_name").alias("cnt_sale"))
 
 
@@ -301,7 +303,7 @@ def monthly_report(spark: SparkSession, gl: DataFrame, loan_kpi: DataFrame, city
                    year: int = DEFAULT_YEAR, gl_year: int | None = None,
                    area_names: list[str] | None = None) -> dict[str, DataFrame]:
     """All tables of ``report_monthly`` as lazy DataFrames."""
-    from bankspark.plans.scorecard import scorecard
+    from bankspark.plans.scorecard import person_kpis, scorecard
 
     month = month or default_month()
     month_key = year * 100 + month
@@ -309,7 +311,8 @@ def monthly_report(spark: SparkSession, gl: DataFrame, loan_kpi: DataFrame, city
     npl = checkpoint(npl_by_area(loan_kpi, city, area, month, year))
     cube = checkpoint(gl_cube(gl, month, gl_year))
     head = head_values(cube)
-    measure = checkpoint(area_measures(cube, npl, sales_kpi, area, month_key))
+    people = person_kpis(sales_kpi, month)     # the sales table is scanned once
+    measure = checkpoint(area_measures(cube, npl, people, area, month_key))
     names = area_names or [name for _, name in AREAS]
     wide = report_wide(measure, area, names)
     return {
@@ -319,5 +322,5 @@ def monthly_report(spark: SparkSession, gl: DataFrame, loan_kpi: DataFrame, city
         "measure": measure,
         "report": wide,
         "detail": report_detail(wide, head, cat.report_lines(spark)),
-        "scorecard": scorecard(sales_kpi, area, npl, measure, month, month_key),
+        "scorecard": scorecard(people, area, npl, measure, month, month_key),
     }

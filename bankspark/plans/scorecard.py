@@ -66,15 +66,25 @@ def _rank_by_area(joined: DataFrame, value: str, out: str, ascending: bool,
     return joined.join(F.broadcast(ranked), "area_name")
 
 
-def scorecard(sales_kpi: DataFrame, area: DataFrame, npl: DataFrame, measure: DataFrame,
+def person_kpis(sales_kpi: DataFrame, month: int) -> DataFrame:
+    """One scan of the sales KPI table: per (sale_name, email, area_name) the year-to-date sums and
+    counts of each KPI and the number of year-to-date rows.  Persons, their averages and the
+    headcount per area all derive from this table (one row per person), which is materialised."""
+    ytd = F.col("month") <= month
+    aggs = [F.count(F.when(ytd, F.lit(1))).alias("ytd_rows")]
+    for src, avg, _ in KPIS:
+        aggs += [F.sum(F.when(ytd, F.col(src))).alias(f"{avg}__s"), F.count(F.when(ytd, F.col(src))).alias(f"{avg}__n")]
+    return checkpoint(sales_kpi.groupBy("sale_name", "email", "area_name").agg(*aggs))
+
+
+def scorecard(people: DataFrame, area: DataFrame, npl: DataFrame, measure: DataFrame,
               month: int, month_key: int) -> DataFrame:
-    persons = (sales_kpi.select("email", "area_name").distinct()
-               .join(area, "area_name"))
-    ytd = sales_kpi.filter(F.col("month") <= month)
-    per_person = checkpoint(ytd.groupBy("sale_name", "email", "area_name").agg(
-        ratio(F.sum("loan_to_new"), F.count("loan_to_new")).alias("ltn_avg"),
-        ratio(F.sum("psdn"), F.count("psdn")).alias("psdn_avg"),
-        ratio(F.sum("app_rate"), F.count("app_rate")).alias("approval_rate_avg")))
+    """``people`` is ``person_kpis(sales_kpi, month)``."""
+    persons = people.select("email", "area_name").distinct().join(area, "area_name")
+    # the original groups the year-to-date rows only: persons without any have no KPI row
+    per_person = people.filter(F.col("ytd_rows") > 0).select(
+        "sale_name", "email", "area_name",
+        *[ratio(F.col(f"{avg}__s"), F.col(f"{avg}__n")).alias(avg) for _, avg, _ in KPIS])
     kr = _kpi_ranks(per_person)
     b, c, d = kr["ltn_avg"], kr["psdn_avg"], kr["approval_rate_avg"]
     keys = ["email", "area_name"]
