@@ -48,7 +48,8 @@ def npl_by_area(loan_kpi: DataFrame, city: DataFrame, area: DataFrame, month: in
     the n months, decimal), n_months.
     """
     first, last = year * 100 + 1, year * 100 + month
-    kpi = loan_kpi.join(city, loan_kpi.pos_city == city.tinh).select(
+    # the province dimension is bounded by the country's provinces: broadcast
+    kpi = loan_kpi.join(F.broadcast(city), loan_kpi.pos_city == city.tinh).select(
         F.col("area_code"), "kpi_month", "outstanding_principal", "write_off_month",
         "write_off_balance_principal", "max_bucket")
     in_kpi = F.col("kpi_month").between(first, last)
@@ -81,7 +82,7 @@ def debt_groups(loan_kpi: DataFrame, city: DataFrame, first_month_key: int,
     b = F.coalesce(F.col("max_bucket"), F.lit(1))
     op = F.col("outstanding_principal")
     kpi = loan_kpi.filter(F.col("kpi_month").between(first_month_key, last_month_key))
-    return (kpi.join(city, kpi.pos_city == city.tinh)
+    return (kpi.join(F.broadcast(city), kpi.pos_city == city.tinh)
             .groupBy(F.col("area_code").alias("area"), "kpi_month")
             .agg(F.sum(op).alias("du_no_ck"),
                  F.sum(F.when(b == 1, op).otherwise(0)).alias("du_no_nhom_1"),

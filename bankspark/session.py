@@ -30,6 +30,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.autoBroadcastJoinThreshold", str(64 * 1024 * 1024))
+        # checkpoint files are removed once the DataFrames that own them are unreachable
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("BANKSPARK_DRIVER_MEMORY", "16g"))
