@@ -122,6 +122,35 @@ def collect_lags(indexed: DataFrame, series: str, col: str, steps: int,
     return b if include_incomplete else b.filter(F.size(out) == steps)
 
 
+def supervised_dataset(positioned: DataFrame, series: str, col: str, steps: int,
+                       keep_last: bool = True, block_rows: int = DEFAULT_BLOCK_ROWS,
+                       out: str = "x") -> DataFrame:
+    """K21's two variants: every full window (``keep_last``), or without the series' final
+    target as ``create_dataset(data, steps)`` builds it.  Needs ``with_position``."""
+    w = collect_lags(positioned, series, col, steps, block_rows, out)
+    return w if keep_last else w.filter(F.col("__pos") < F.col("__len") - 1)
+
+
+def chrono_split(positioned: DataFrame, share_num: int = 4, share_den: int = 5,
+                 out: str = "is_train") -> DataFrame:
+    """``int(len * 0.8)`` first rows of each series are train (K16); needs ``with_position``."""
+    cut = F.floor(F.col("__len") * share_num / share_den)
+    return positioned.withColumn(out, F.col("__pos") < cut)
+
+
+def nested_chrono_split(positioned: DataFrame, share_num: int = 4, share_den: int = 5) -> DataFrame:
+    """Two sub-sequences (first 80 % / rest) of each series, each split 80/20 again.
+
+    Adds ``subseq`` (1 or 2) and ``is_train`` from positions and lengths only: no window.
+    """
+    cut = F.floor(F.col("__len") * share_num / share_den)
+    first = F.col("__pos") < cut
+    sub_pos = F.when(first, F.col("__pos")).otherwise(F.col("__pos") - cut)
+    sub_len = F.when(first, cut).otherwise(F.col("__len") - cut)
+    return (positioned.withColumn("subseq", F.when(first, 1).otherwise(2))
+            .withColumn("is_train", sub_pos < F.floor(sub_len * share_num / share_den)))
+
+
 def forward_fill(indexed: DataFrame, series: str, cols: list[str],
                  block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """pandas ``ffill`` in series order: last non-null value so far.

@@ -73,9 +73,15 @@ def sheet_to_long(sheet: DataFrame, keep_series: list[str]) -> DataFrame:
 
 def monthly_rate_table(rates: DataFrame, year: str = "Year", month: str = "Month",
                        rate: str = "Rate") -> DataFrame:
-    """(month_start date, Rate) from Year/Month columns (I8); one row per month is required."""
-    return rates.select(month_date(F.col(year), F.col(month)).alias("month_start"),
-                        F.col(rate).alias("Rate"))
+    """(month_start date, Rate) from Year/Month columns (I8).
+
+    The original looks each month up in an index; a month given twice would be
+    ambiguous, so duplicates fail the job instead of fanning out the join (C8).
+    """
+    one = F.when(F.count(F.lit(1)) > 1, F.raise_error(F.lit("duplicate month in rate table"))
+                 .cast("double")).otherwise(F.first(F.col(rate)).cast("double"))
+    return (rates.groupBy(month_date(F.col(year), F.col(month)).alias("month_start"))
+            .agg(one.alias("Rate")))
 
 
 def attach_macro_and_rate(daily: DataFrame, macro: DataFrame, rates: DataFrame,

@@ -73,11 +73,23 @@ def q_tick_latest(spark, sf_dir):
 
 
 def q_tick_split(spark, sf_dir):
-    df = S.with_position(_indexed(spark, sf_dir), "series_id")
     # int(len * 0.8) of the original, in exact integer arithmetic
-    cut = F.floor(F.col("__len") * 4 / 5)
-    return df.select("series_id", "event_id",
-                     F.when(F.col("__pos") < cut, 1).otherwise(0).cast("int").alias("is_train"))
+    df = S.chrono_split(S.with_position(_indexed(spark, sf_dir), "series_id"))
+    return df.select("series_id", "event_id", F.col("is_train").cast("int").alias("is_train"))
+
+
+def q_tick_nested_split(spark, sf_dir):
+    df = S.nested_chrono_split(S.with_position(_indexed(spark, sf_dir), "series_id"))
+    return df.select("series_id", "event_id", F.col("subseq").cast("int").alias("subseq"),
+                     F.col("is_train").cast("int").alias("is_train"))
+
+
+def q_tick_dataset(spark, sf_dir):
+    """create_dataset variant: 60 lags -> next value, the series' final target left out."""
+    pos = S.with_position(_indexed(spark, sf_dir), "series_id")
+    df = S.supervised_dataset(pos, "series_id", "close", TIME_STEP, keep_last=False)
+    return df.select("series_id", "event_id", F.col("close").alias("y"),
+                     F.col("x")[0].alias("x_first"), F.col("x")[TIME_STEP - 1].alias("x_last"))
 
 
 def q_bar_tail(spark, sf_dir):
@@ -274,6 +286,8 @@ QUERIES = {
     "tick_windows": q_tick_windows,
     "tick_latest": q_tick_latest,
     "tick_split": q_tick_split,
+    "tick_nested_split": q_tick_nested_split,
+    "tick_dataset": q_tick_dataset,
     "bar_tail": q_bar_tail,
     "lag_corr_scan": q_lag_corr_scan,
     "price_clean": q_price_clean,
@@ -349,6 +363,20 @@ select series_id, event_id,
        cast(case when row_number() over w - 1 < (count(*) over (partition by series_id) * 4) // 5
             then 1 else 0 end as integer) as is_train
 from v_tick window w as (partition by series_id order by ts, event_id)"""),
+    "tick_nested_split": with_views(["v_tick"], """
+with p as (select series_id, event_id, row_number() over (partition by series_id order by ts, event_id) - 1 as pos,
+                  count(*) over (partition by series_id) as len from v_tick),
+q as (select *, (len * 4) // 5 as cut from p)
+select series_id, event_id, cast(case when pos < cut then 1 else 2 end as integer) as subseq,
+       cast(case when pos < cut then (case when pos < (cut * 4) // 5 then 1 else 0 end)
+                 else (case when pos - cut < ((len - cut) * 4) // 5 then 1 else 0 end) end as integer) as is_train
+from q"""),
+    "tick_dataset": with_views(["v_tick"], f"""
+select series_id, event_id, y, x_first, x_last from (
+  select series_id, event_id, close as y, lag(close, {TIME_STEP}) over w as x_first, lag(close, 1) over w as x_last,
+         row_number() over w as rn, count(*) over (partition by series_id) as len
+  from v_tick window w as (partition by series_id order by ts, event_id))
+where rn > {TIME_STEP} and rn < len"""),
     "bar_tail": with_views(["v_bar"], """
 select series_id, cast(date as varchar) as date, open, high, low, close, volume from v_bar
 order by date desc, series_id desc limit 10"""),

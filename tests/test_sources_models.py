@@ -97,3 +97,13 @@ def test_grid_search_picks_from_grid(spark):
     assert best["numTrees"] in (5, 10) and best["maxDepth"] == 3
     pred = model.transform(df)
     assert MD.regression_scores(pred, "y")["r2"] > 0.5
+
+
+def test_rate_table_rejects_duplicate_months(spark):
+    import pytest
+    ok = spark.createDataFrame([(2024, 1, 5.0), (2024, 2, 6.0)], "Year int, Month int, Rate double")
+    assert {str(r.month_start): r.Rate for r in M.monthly_rate_table(ok).collect()} == \
+        {"2024-01-01": 5.0, "2024-02-01": 6.0}
+    dup = ok.unionByName(ok.limit(1))
+    with pytest.raises(Exception):
+        M.monthly_rate_table(dup).collect()
