@@ -29,7 +29,10 @@ def _group(df: DataFrame, group: str | None) -> tuple[DataFrame, str]:
 def exact_quantiles(df: DataFrame, value: str, qs: list[float], group: str | None = None) -> DataFrame:
     """(group, q, quantile): linear interpolation between order statistics (numpy / pandas default)."""
     d, g = _group(df, group)
-    idx = with_index(d.select(g, value).filter(F.col(value).isNotNull()), g, [value])
+    # the tiebreak spreads a value held by many rows over several range partitions;
+    # how ties are ordered does not change any order statistic
+    x = d.select(g, value).filter(F.col(value).isNotNull()).withColumn("__tb", F.monotonically_increasing_id())
+    idx = with_index(x, g, [value, "__tb"])
     stats = idx.groupBy(g).agg(F.min(G).alias("__g0"), F.count(F.lit(1)).alias("__n"))
     arr = F.array(*[F.lit(float(q)) for q in qs])
     pos = (stats.select(g, "__g0", "__n", F.explode(arr).alias("q"))

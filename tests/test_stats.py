@@ -79,3 +79,15 @@ def test_corr_pairwise_complete(spark):
     m = {(r.var_a, r.var_b): r.r for r in ST.corr_matrix(df, ["a", "b"]).collect()}
     exp = np.corrcoef([1.0, 2.0, 4.0], [2.0, 4.1, 8.3])[0, 1]
     assert math.isclose(m[("a", "b")], exp, rel_tol=1e-12) and math.isclose(m[("a", "a")], 1.0)
+
+
+def test_hot_value_spreads_over_partitions(spark):
+    from bankspark.operators.series import with_index
+    rows = [(7.0,)] * 600 + [(float(i),) for i in range(1200)]
+    df = spark.createDataFrame(rows, "v double").withColumn("g", F.lit("a")) \
+        .withColumn("__tb", F.monotonically_increasing_id())
+    idx = with_index(df, "g", ["v", "__tb"], partitions=6)
+    sizes = [r[1] for r in idx.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) < 0.5 * len(rows)
+    q = {r.q: r.quantile for r in ST.exact_quantiles(df.drop("__tb"), "v", [0.5]).collect()}
+    assert q[0.5] == float(np.percentile([r[0] for r in rows], 50))
