@@ -5,9 +5,9 @@ form, ``Window.partitionBy(series).orderBy(t)``, sends a whole series to one
 task -- fatal when one series holds a third of the data.  Instead:
 
 * ``with_index`` gives every row its global position ``g`` in (series, order)
-  with a range-partitioned sort and per-partition offsets (one row per
-  partition is collected), like RDD ``zipWithIndex``; the result is
-  checkpointed so positions are stable if an executor is lost.
+  with a range-partitioned sort and per-partition offsets (one count per
+  partition reaches the driver), like RDD ``zipWithIndex``; the sorted rows
+  are checkpointed so positions are stable if an executor is lost.
 * ``blocked`` cuts positions into blocks of ``block_rows`` and copies the
   last ``overlap`` rows of every block into the next one, so any window that
   looks back at most ``overlap`` rows is exact inside ``(series, block)``

@@ -9,9 +9,13 @@ The original runs 28 x n aggregate queries for the NPL staging, scans the GL
 * GL measures (J8): one scan; each row is matched to report lines through a
   broadcast join with the fixed measure catalogue (exact codes and code
   prefixes as keys), then one aggregation by (line, area).  Everything after
-  that works on a cube of (#lines x #areas) rows.
-* Allocation (J9-J11), rollups (J12), ratios (J13): small joins and a pivot
-  over that cube; AQE turns them into broadcast joins at run time.
+  that works on a cube of (#lines x #areas) rows, materialised once.
+* Allocation (J9-J11), rollups (J12), ratios (J13): joins and a pivot over
+  frames bounded by (#lines x #areas), pinned to one partition so they need
+  no exchanges; the leaf and base lines are materialised once because the
+  rollups and ratios read them several times.
+* The sales table is scanned once into one row per person (headcount and
+  scorecard); the loan KPI snapshot once for the NPL staging.
 * Quotients are rounded exactly (``div_round``), ratios use exact decimals.
 """
 
