@@ -112,3 +112,49 @@ def test_year_filter_reaches_parquet_scan(spark, tmp_path):
     assert exp > 0
     got = rp.gl_cube(stored.filter(F.year("transaction_date") == 1997), 3)
     assert sorted(cube.collect()) == sorted(got.collect())
+
+
+def test_scorecard_edge_rows(spark):
+    from bankspark.plans.scorecard import person_kpis, scorecard
+    area = spark.createDataFrame([("B", "AREA_B"), ("C", "AREA_C")], "area_code string, area_name string")
+    sales = spark.createDataFrame([
+        ("A", "a@x", "AREA_B", 1, Decimal("100"), Decimal("10"), Decimal("0.5")),
+        ("A2", "a@x", "AREA_B", 2, Decimal("50"), Decimal("20"), Decimal("0.4")),   # same email, 2nd name
+        ("C", "c@x", "AREA_C", 1, None, Decimal("5"), Decimal("0.3")),               # NULL measure
+        ("D", "d@x", "AREA_C", 3, Decimal("70"), Decimal("5"), Decimal("0.3")),      # after the cut-off
+    ], "sale_name string, email string, area_name string, month int, loan_to_new decimal(18,2), "
+       "psdn decimal(18,2), app_rate decimal(18,4)")
+    npl = spark.createDataFrame([("B", 0.2, 1.0), ("C", 0.1, 1.0)], "area_code string, rate double, du_no double")
+    measure = spark.createDataFrame(
+        [(202302, sid, a, Decimal(v)) for sid in (10, 11, 12, 13) for a, v in (("AREA_B", "1.00"), ("AREA_C", "2.00"))],
+        "month int, sort_id int, area_name string, value decimal(38,2)")
+    out = scorecard(person_kpis(sales, 2), area, npl, measure, 2, 202302).collect()
+    assert len(out) == 8 + 1                       # a@x fans out 2 x 2 x 2; d@x has no year-to-date row
+    c = [r for r in out if r.email == "c@x"][0]
+    assert c.ltn_avg is None and c.rank_ltn_avg == 1   # DESC puts NULL first
+    a_ranks = sorted({r.rank_ltn_avg for r in out if r.email == "a@x"})
+    assert a_ranks == [2, 3]
+    assert {r.rank_npl_truoc_wo_luy_ke for r in out if r.email == "a@x"} == {2}   # 8 rows after c@x's lower rate
+    assert c.rank_cir == 2 and c.rank_margin == 1  # CIR ascending, margin descending over the areas
+
+
+def test_gl_edge_rows(spark):
+    area = Roles(spark, SF01).area()
+    gl = _gl(spark, [
+        ("702000030002", None, D(2023, 1, 5), "000000000"),                 # NULL amount, head
+        ("702000030002", Decimal("8.00"), D(2023, 1, 6), "000000000"),      # head
+        ("702000030002", Decimal("10.00"), D(2023, 1, 5), "0000"),          # short code: area ''
+        ("702000030002", Decimal("30.00"), D(2023, 2, 5), "00000000B"),
+        ("702000030002", Decimal("5.00"), D(2022, 1, 5), "00000000B"),      # other year, same month
+    ])
+    c_all = {(r.sort_id, r.area_code): r.amount for r in rp.gl_cube(gl, 2).collect()}
+    assert c_all == {(14, "0"): Decimal("8.00"), (14, ""): Decimal("10.00"), (14, "B"): Decimal("35.00")}
+    c_2023 = {(r.sort_id, r.area_code): r.amount for r in rp.gl_cube(gl, 2, year=2023).collect()}
+    assert c_2023[(14, "B")] == Decimal("30.00")
+    npl = spark.createDataFrame([("B", 0.1, 1.0, Decimal("1.00"), 2)],
+                                "area_code string, rate double, du_no double, du_no_sum decimal(38,2), n_months int")
+    sales = spark.createDataFrame([("s1", "AREA_B", 1)], "sale_name string, area_name string, month int")
+    m = {(r.sort_id, r.area_name): r.value
+         for r in rp.area_measures(rp.gl_cube(gl, 2), npl, sales, area, 202302).collect()}
+    # share of B = round(35 / 45, 2) = 0.78; 35 + 0.78 * 8 = 41.24; the '' area gets no row
+    assert m[(14, "AREA_B")] == Decimal("41.24") and len([k for k in m if k[0] == 14]) == 1
