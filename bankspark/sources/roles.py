@@ -47,7 +47,7 @@ def _dec(c, divisor: int, typ: str) -> F.Column:
 
 
 def deposit(orders: DataFrame, customer: DataFrame) -> DataFrame:
-    """Deposit fact (final_lab DDL) with day_key and funding_id derived at read time."""
+    """Deposit fact with day_key and funding_id derived at read time."""
     o = orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderstatus")
     c = customer.select(F.col("c_custkey"), F.col("c_mktsegment"))
     k = F.col("o_orderkey")
@@ -102,7 +102,7 @@ def city(nation: DataFrame) -> DataFrame:
 
 
 def loan_kpi(orders: DataFrame, customer: DataFrame) -> DataFrame:
-    """Monthly loan KPI snapshot (lab_report fact_kpi_month_raw_data)."""
+    """Monthly loan KPI snapshot (outstanding, write-offs, max bucket per loan)."""
     o = orders.select("o_orderkey", "o_custkey", "o_totalprice")
     c = customer.select("c_custkey", "c_nationkey")
     k, ck = F.col("o_orderkey"), F.col("o_custkey")
@@ -136,7 +136,7 @@ def gl(lineitem: DataFrame) -> DataFrame:
 
 
 def sales_kpi(orders: DataFrame, customer: DataFrame) -> DataFrame:
-    """Sales KPI per person and month (lab_report fact_kpi_data_final)."""
+    """Sales KPI per person and month."""
     o = orders.select("o_orderkey", "o_custkey", "o_totalprice")
     c = customer.select("c_custkey", "c_name", "c_nationkey")
     k = F.col("o_orderkey")
