@@ -115,3 +115,18 @@ def test_rsi_matches_pandas_formula(spark):
             assert g is None
         else:
             assert math.isclose(g, e, rel_tol=1e-9, abs_tol=1e-9)
+
+
+def test_hot_series_is_cut_into_bounded_blocks(spark):
+    from pyspark.sql import functions as F
+    rows = [("hot", i, i, float(i % 13)) for i in range(900)] + [("cold", i, 10_000 + i, 1.0) for i in range(100)]
+    df = spark.createDataFrame(rows, "sid string, t long, eid long, x double")
+    idx = S.with_index(df, "sid", ["t", "eid"], partitions=4)
+    block, overlap = 100, 20
+    b = S.blocked(idx, overlap, block)
+    biggest = b.groupBy("sid", S.BLK).count().agg(F.max("count")).first()[0]
+    assert biggest <= block + overlap
+    got = S.lags(idx, "sid", ["x"], [20], block)
+    bad = got.filter((F.col("sid") == "hot") & (F.col("eid") >= 20)
+                     & (F.col("x_lag_20") != ((F.col("eid") - 20) % 13).cast("double"))).count()
+    assert bad == 0
