@@ -52,12 +52,14 @@ def npl_by_area(loan_kpi: DataFrame, city: DataFrame, area: DataFrame, month: in
     the n months, decimal), n_months.
     """
     first, last = year * 100 + 1, year * 100 + month
+    in_kpi = F.col("kpi_month").between(first, last)
+    in_wo = F.col("write_off_month").between(first, last)
+    # rows outside both windows add nothing: drop them before the join (pushed to the scan)
+    relevant = loan_kpi.filter(in_kpi | in_wo)
     # the province dimension is bounded by the country's provinces: broadcast
-    kpi = loan_kpi.join(F.broadcast(city), loan_kpi.pos_city == city.tinh).select(
+    kpi = relevant.join(F.broadcast(city), relevant.pos_city == city.tinh).select(
         F.col("area_code"), "kpi_month", "outstanding_principal", "write_off_month",
         "write_off_balance_principal", "max_bucket")
-    in_kpi = F.col("kpi_month").between(first, last)
-    in_wo = F.col("write_off_month").between(first, last)
     weight = (F.lit(last + 1) - F.col("write_off_month")).cast("decimal(10,0)")
     bad = F.col("max_bucket") > 2
     total = (F.when(in_kpi, F.col("outstanding_principal")).otherwise(0)
