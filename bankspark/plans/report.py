@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from bankspark.functions.exact import div_round
 from bankspark.functions.scalars import area_code_of, default_month
 from bankspark.plans import catalogue as cat
-from bankspark.session import checkpoint
+from bankspark.session import checkpoint, checkpoint_all
 from bankspark.sources.roles import AREAS
 
 MONEY = "decimal(38,2)"
@@ -314,9 +314,8 @@ def monthly_report(spark: SparkSession, gl: DataFrame, loan_kpi: DataFrame, city
 
     month = month or default_month()
     month_key = year * 100 + month
-    # each input table is scanned once: the two small results are materialised
-    npl = checkpoint(npl_by_area(loan_kpi, city, area, month, year))
-    cube = checkpoint(gl_cube(gl, month, gl_year))
+    # each input table is scanned once; the small results are materialised side by side
+    npl, cube = checkpoint_all(npl_by_area(loan_kpi, city, area, month, year), gl_cube(gl, month, gl_year))
     head = head_values(cube)
     people = person_kpis(sales_kpi, month)     # the sales table is scanned once
     measure = checkpoint(area_measures(cube, npl, people, area, month_key))
