@@ -12,8 +12,8 @@ The original runs 28 x n aggregate queries for the NPL staging, scans the GL
   that works on a cube of (#lines x #areas) rows, materialised once.
 * Allocation (J9-J11), rollups (J12), ratios (J13): joins and a pivot over
   frames bounded by (#lines x #areas), pinned to one partition so they need
-  no exchanges; the leaf and base lines are materialised once because the
-  rollups and ratios read them several times.
+  no exchanges; the base lines are materialised once because the ratios and
+  the final union read them again.
 * The sales table is scanned once into one row per person (headcount and
   scorecard); the loan KPI snapshot once for the NPL staging.
 * Quotients are rounded exactly (``div_round``), ratios use exact decimals.
@@ -232,9 +232,11 @@ def area_measures(cube: DataFrame, npl: DataFrame, sales_kpi: DataFrame, area: D
     j14 = cnt.select(F.lit(cat.HEADCOUNT_LINE).alias("sort_id"), "area_name",
                      F.col("cnt_sale").cast(MONEY).alias("value"))
 
-    # leaf lines feed the rollups and the ratios: materialise them once (a few hundred rows)
-    leaves = checkpoint(_bounded(j9.unionByName(j10).unionByName(j11).select(
-        F.col("sort_id").cast("int"), "area_name", F.col("value").cast(MONEY))))
+    # leaf lines feed the rollups; leaves + headcount + rollups feed the ratios.  The leaves
+    # derive from materialised, bounded inputs, so the base lines are materialised once
+    # (a few hundred rows) and the leaves are simply evaluated twice inside that job.
+    leaves = _bounded(j9.unionByName(j10).unionByName(j11).select(
+        F.col("sort_id").cast("int"), "area_name", F.col("value").cast(MONEY)))
     rolled = _rollup(leaves, ["area_name"])
     base = checkpoint(_bounded(
         leaves.unionByName(j14.select(F.col("sort_id").cast("int"), "area_name", "value"))
