@@ -80,6 +80,41 @@ def npl_by_area(loan_kpi: DataFrame, city: DataFrame, area: DataFrame, month: in
         F.lit(month).alias("n_months"))
 
 
+def monthly_running_total(df: DataFrame, keys: list[str], month_key: str, values: list[str],
+                          first_key: int, last_key: int, keys_from: DataFrame | None = None) -> DataFrame:
+    """Cumulative sums over a dense yyyyMM grid (E6, C9): every key gets every month, months
+    without rows count 0 (the original's COALESCE), running sum from the first month.
+
+    Rows are aggregated to (keys, month) before the window, so a key holding a third of the
+    data still has one row per month in its window partition.
+    """
+    y0, m0 = divmod(first_key, 100)
+    y1, m1 = divmod(last_key, 100)
+    n = (y1 - y0) * 12 + (m1 - m0) + 1
+    key_rows = (keys_from if keys_from is not None else df).select(*keys).distinct()
+    grid = key_rows.select(*keys, F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("__i")).select(
+        *keys, ((F.lit(y0) + F.floor((F.lit(m0 - 1) + F.col("__i")) / 12)) * 100
+                + (F.lit(m0 - 1) + F.col("__i")) % 12 + 1).cast("int").alias(month_key))
+    monthly = (df.filter(F.col(month_key).between(first_key, last_key))
+               .groupBy(*keys, month_key).agg(*[F.sum(v).alias(v) for v in values]))
+    w = Window.partitionBy(*keys).orderBy(month_key).rowsBetween(Window.unboundedPreceding, 0)
+    dense = grid.join(monthly, [*keys, month_key], "left")
+    return dense.select(*keys, month_key, *[F.sum(F.coalesce(F.col(v), F.lit(0))).over(w).alias(f"{v}_cum")
+                                            for v in values])
+
+
+def cumulative_write_offs(loan_kpi: DataFrame, city: DataFrame, area: DataFrame, month: int,
+                          year: int = DEFAULT_YEAR) -> DataFrame:
+    """Per area and month m = 1..n: write-offs booked in months 1..m, all loans and bucket > 2
+    (the ``vwo_balance`` / ``vwo_balance_xau`` of each loop step of J6)."""
+    wo = loan_kpi.join(F.broadcast(city), loan_kpi.pos_city == city.tinh).select(
+        "area_code", F.col("write_off_month").alias("month_key"),
+        F.col("write_off_balance_principal").alias("wo"),
+        F.when(F.col("max_bucket") > 2, F.col("write_off_balance_principal")).alias("wo_bad"))
+    return monthly_running_total(wo, ["area_code"], "month_key", ["wo", "wo_bad"],
+                                 year * 100 + 1, year * 100 + month, keys_from=area)
+
+
 # ---- J7 debt groups --------------------------------------------------------
 
 def debt_groups(loan_kpi: DataFrame, city: DataFrame, first_month_key: int,

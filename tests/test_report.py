@@ -158,3 +158,12 @@ def test_gl_edge_rows(spark):
          for r in rp.area_measures(rp.gl_cube(gl, 2), npl, sales, area, 202302).collect()}
     # share of B = round(35 / 45, 2) = 0.78; 35 + 0.78 * 8 = 41.24; the '' area gets no row
     assert m[(14, "AREA_B")] == Decimal("41.24") and len([k for k in m if k[0] == 14]) == 1
+
+
+def test_monthly_running_total_dense_grid(spark):
+    df = spark.createDataFrame([("k", 202311, Decimal("1.00")), ("k", 202401, Decimal("2.00")),
+                                ("k", 202401, Decimal("3.00")), ("j", 202402, Decimal("4.00"))],
+                               "key string, mk int, v decimal(18,2)")
+    got = {(r.key, r.mk): r.v_cum for r in rp.monthly_running_total(df, ["key"], "mk", ["v"], 202311, 202402).collect()}
+    assert got == {("k", 202311): 1, ("k", 202312): 1, ("k", 202401): 6, ("k", 202402): 6,
+                   ("j", 202311): 0, ("j", 202312): 0, ("j", 202401): 0, ("j", 202402): 4}
