@@ -66,9 +66,11 @@ def sheet_to_long(sheet: DataFrame, keep_series: list[str]) -> DataFrame:
     renamed = sheet.withColumnsRenamed({c: clean_header(c) for c in sheet.columns[1:]})
     year_cols = [c for c in renamed.columns[1:]]
     kept = renamed.filter(F.col("Series Name").isin(keep_series))
+    kept = kept.select("Series Name", *[F.col(f"`{c}`").cast("string").alias(c) for c in year_cols])
     long = kept.unpivot(["Series Name"], year_cols, "Year", "Value")
-    return long.withColumn("Year", F.col("Year").cast("int")) \
-               .withColumn("Value", F.col("Value").cast("double"))
+    # sheets mark missing cells with text such as '..': those become NULL
+    return long.withColumn("Year", F.col("Year").try_cast("int")) \
+               .withColumn("Value", F.col("Value").try_cast("double"))
 
 
 def monthly_rate_table(rates: DataFrame, year: str = "Year", month: str = "Month",

@@ -107,3 +107,22 @@ def test_rate_table_rejects_duplicate_months(spark):
     dup = ok.unionByName(ok.limit(1))
     with pytest.raises(Exception):
         M.monthly_rate_table(dup).collect()
+
+
+def test_workbook_sheet_to_macro_table(spark, tmp_path):
+    from bankspark.sources.text import read_sheet
+    lines = ['"Series Name","Series Code","Country Name","Country Code","2004 [YR2004]","2005 [YR2005]"',
+             '"GDP","G.1","X","XX","7.5","7.6"',
+             '"Inflation","I.1","X","XX","7.8",".."',
+             '"Unemployment_rate","U.1","X","XX","2.1","2.0"',
+             '"","","","","",""',
+             '"Data from database: example","","","","",""']
+    path = str(tmp_path / "sheet.csv")
+    with open(path, "w", encoding="utf-8") as f:
+        f.write("\n".join(lines) + "\n")
+    sheet = read_sheet(spark, path).drop("Series Code", "Country Name", "Country Code")
+    long = M.sheet_to_long(sheet, ["GDP", "Inflation", "Unemployment_rate"])
+    wide = {r.Year: r for r in M.macro_wide(long, year="Year", series="Series Name", value="Value").collect()}
+    assert set(wide) == {2004, 2005}
+    assert (wide[2004].GDP, wide[2004].Inflation, wide[2005].Inflation, wide[2005].Unemployment_rate) == \
+        (7.5, 7.8, None, 2.0)
