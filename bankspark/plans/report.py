@@ -227,20 +227,26 @@ def _join(a: DataFrame, b: DataFrame, on, how: str = "inner") -> DataFrame:
 
 
 def area_measures(cube: DataFrame, npl: DataFrame, sales_kpi: DataFrame, area: DataFrame,
-                  month_key: int) -> DataFrame:
-    """fact_report_tong_hop_raw: (month, sort_id, area_name, value)."""
+                  month_key: int, keep_without_head: bool = False) -> DataFrame:
+    """fact_report_tong_hop_raw: (month, sort_id, area_name, value).
+
+    ``keep_without_head=False`` is the original: a share-of-amount line with no
+    head-office rows yields no area rows at all (its inner join on 1=1 meets an
+    empty side).  ``True`` keeps each area's own amount for such lines.
+    """
     cube, npl, area = _bounded(cube), _bounded(npl), _bounded(area)
     own = cube.filter(F.col("area_code") != "0")
     head = cube.filter(F.col("area_code") == "0").select("sort_id", F.col("amount").alias("head"))
     tot = own.groupBy("sort_id").agg(F.sum("amount").alias("total"))
 
     # Own amount + (own / all areas' amount, rounded to 2) x head
+    how = "left" if keep_without_head else "inner"
     j9 = (own.filter(F.col("sort_id").isin(*cat.SHARE_OF_AMOUNT))
-          .transform(lambda d: _join(d, tot, "sort_id")).transform(lambda d: _join(d, head, "sort_id"))
+          .transform(lambda d: _join(d, tot, "sort_id")).transform(lambda d: _join(d, head, "sort_id", how))
           .transform(lambda d: _join(d, area, "area_code"))
           .select("sort_id", "area_name",
                   F.round(F.col("amount") + div_round(F.col("amount"), F.col("total"), 2, 2, 2)
-                          * F.col("head"), 2).alias("value")))
+                          * F.coalesce(F.col("head"), F.lit(0)), 2).alias("value")))
 
     # Head x area NPL balance share (unrounded share)
     # one row per (balance-share line, area): an equi-join to the head, no cross join

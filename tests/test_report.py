@@ -33,6 +33,9 @@ def test_line_without_head_has_no_area_rows(spark):
     sales = spark.createDataFrame([("s1", "AREA_B", 1)], "sale_name string, area_name string, month int")
     m = {(r.sort_id, r.area_name): r.value for r in rp.area_measures(cube, npl, sales, area, 202302).collect()}
     assert (14, "AREA_B") not in m                       # no head rows for line 14
+    kept = {(r.sort_id, r.area_name): r.value
+            for r in rp.area_measures(cube, npl, sales, area, 202302, keep_without_head=True).collect()}
+    assert kept[(14, "AREA_B")] == Decimal("100.00") and kept[(16, "AREA_C")] == Decimal("56.30")
     # line 16: share 50/80 = 0.625 -> 0.63; 50 + 0.63 * 10 = 56.30
     assert m[(16, "AREA_C")] == Decimal("56.30")
     head = {r.sort_id: r.value for r in rp.head_values(cube).collect()}
