@@ -227,12 +227,13 @@ def _join(a: DataFrame, b: DataFrame, on, how: str = "inner") -> DataFrame:
 
 
 def area_measures(cube: DataFrame, npl: DataFrame, sales_kpi: DataFrame, area: DataFrame,
-                  month_key: int, keep_without_head: bool = False) -> DataFrame:
+                  month_key: int, keep_without_head: bool = False, share_digits: int = 2) -> DataFrame:
     """fact_report_tong_hop_raw: (month, sort_id, area_name, value).
 
     ``keep_without_head=False`` is the original: a share-of-amount line with no
     head-office rows yields no area rows at all (its inner join on 1=1 meets an
     empty side).  ``True`` keeps each area's own amount for such lines.
+    ``share_digits``: the original rounds each area's share to 2 places before use.
     """
     cube, npl, area = _bounded(cube), _bounded(npl), _bounded(area)
     own = cube.filter(F.col("area_code") != "0")
@@ -245,7 +246,7 @@ def area_measures(cube: DataFrame, npl: DataFrame, sales_kpi: DataFrame, area: D
           .transform(lambda d: _join(d, tot, "sort_id")).transform(lambda d: _join(d, head, "sort_id", how))
           .transform(lambda d: _join(d, area, "area_code"))
           .select("sort_id", "area_name",
-                  F.round(F.col("amount") + div_round(F.col("amount"), F.col("total"), 2, 2, 2)
+                  F.round(F.col("amount") + div_round(F.col("amount"), F.col("total"), share_digits, 2, 2)
                           * F.coalesce(F.col("head"), F.lit(0)), 2).alias("value")))
 
     # Head x area NPL balance share (unrounded share)

@@ -36,6 +36,9 @@ def test_line_without_head_has_no_area_rows(spark):
     kept = {(r.sort_id, r.area_name): r.value
             for r in rp.area_measures(cube, npl, sales, area, 202302, keep_without_head=True).collect()}
     assert kept[(14, "AREA_B")] == Decimal("100.00") and kept[(16, "AREA_C")] == Decimal("56.30")
+    fine = {(r.sort_id, r.area_name): r.value
+            for r in rp.area_measures(cube, npl, sales, area, 202302, share_digits=4).collect()}
+    assert fine[(16, "AREA_C")] == Decimal("56.25")      # 50 + 0.625 * 10
     # line 16: share 50/80 = 0.625 -> 0.63; 50 + 0.63 * 10 = 56.30
     assert m[(16, "AREA_C")] == Decimal("56.30")
     head = {r.sort_id: r.value for r in rp.head_values(cube).collect()}
