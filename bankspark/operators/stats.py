@@ -131,13 +131,18 @@ def mean_std_by(df: DataFrame, group: str, cols: list[str]) -> DataFrame:
     return df.groupBy(group).agg(*aggs)
 
 
-def zscore(df: DataFrame, cols: list[str], group: str | None = None, suffix: str = "_z") -> DataFrame:
-    """(x - mean) / population std, like ``StandardScaler`` (K1)."""
+def zscore(df: DataFrame, cols: list[str], group: str | None = None, suffix: str = "_z",
+           fit: DataFrame | None = None) -> DataFrame:
+    """(x - mean) / population std, like ``StandardScaler`` (K1).
+
+    ``fit``: rows to take mean and std from (e.g. the training split); default ``df``.
+    """
     d, g = _group(df, group)
+    f = _group(fit, group)[0] if fit is not None else d
     aggs = []
     for c in cols:
         aggs += [F.avg(c).alias(f"__mu_{c}"), F.stddev_pop(c).alias(f"__sd_{c}")]
-    stats = d.groupBy(g).agg(*aggs)
+    stats = f.groupBy(g).agg(*aggs)
     out = attach_small(d, stats, g)
     for c in cols:
         out = out.withColumn(f"{c}{suffix}", F.try_divide(F.col(c) - F.col(f"__mu_{c}"), F.col(f"__sd_{c}")))

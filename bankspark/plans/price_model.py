@@ -17,7 +17,8 @@ SMA = [200, 100, 50]
 def feature_table(indexed: DataFrame, series: str, close: str = "close",
                   lag_vars: list[str] | None = None, block_rows: int = S.DEFAULT_BLOCK_ROWS) -> DataFrame:
     """Lag-360 features imputed by regression on close (K12, K13), SMAs and RSI imputed by their
-    mean (K14), EMA 50, all z-scored (K1).  ``indexed`` comes from ``series.with_index``."""
+    mean (K14), EMA 50.  ``indexed`` comes from ``series.with_index``.  Returns the table and the
+    feature columns; scaling happens after the split (``forest_scores``)."""
     lag_vars = lag_vars or [close]
     df = S.lags(indexed, series, lag_vars, [LAG], block_rows, name="{col}_lag_{k}")
     lag_cols = [f"{v}_lag_{LAG}" for v in lag_vars]
@@ -27,16 +28,18 @@ def feature_table(indexed: DataFrame, series: str, close: str = "close",
     df = S.rsi(df, series, close, 14, "RSI_14", block_rows)
     df = ST.mean_impute(df, [f"SMA_{n}" for n in SMA] + ["RSI_14"], series)
     feats = lag_cols + [f"SMA_{n}" for n in SMA] + ["EMA_50", "RSI_14"]
-    df = ST.zscore(df, feats)
-    return checkpoint(df), [f"{c}_z" for c in feats]
+    return checkpoint(df), feats
 
 
 def forest_scores(features: DataFrame, feature_cols: list[str], label: str, key: str,
                   num_trees: int, max_depth: int, min_leaf: int, seed: int = 42):
     """Fit on the hash-split train rows, score train and test."""
     split = MD.hash_split(features, key)
+    # z-scores (K1) with mean and std of the training rows only, so the test rows do not leak in
+    split = ST.zscore(split, feature_cols, fit=split.filter("is_train"))
+    zcols = [f"{c}_z" for c in feature_cols]
     train, test = split.filter("is_train"), split.filter(~F.col("is_train"))
-    model = MD.forest_pipeline(feature_cols, label, num_trees, max_depth, min_leaf, seed).fit(train)
+    model = MD.forest_pipeline(zcols, label, num_trees, max_depth, min_leaf, seed).fit(train)
     rows = []
     for name, part in (("train", train), ("test", test)):
         s = MD.regression_scores(model.transform(part), label)

@@ -91,3 +91,9 @@ def test_hot_value_spreads_over_partitions(spark):
     assert max(sizes) < 0.5 * len(rows)
     q = {r.q: r.quantile for r in ST.exact_quantiles(df.drop("__tb"), "v", [0.5]).collect()}
     assert q[0.5] == float(np.percentile([r[0] for r in rows], 50))
+
+
+def test_zscore_fitted_on_other_rows(spark):
+    df = spark.createDataFrame([(2.0, True), (4.0, True), (10.0, False)], "x double, tr boolean")
+    got = {r.x: r.x_z for r in ST.zscore(df, ["x"], fit=df.filter("tr")).collect()}
+    assert got == {2.0: -1.0, 4.0: 1.0, 10.0: 7.0}
