@@ -92,3 +92,14 @@ def test_month_range_prunes_day_partitions(spark, tmp_path):
     direct = {x.funding_id: x for x in funding_summary(r.deposit(), r.loan(), DAY).collect()}
     stored = {x.funding_id: x for x in out.collect()}
     assert direct == stored
+
+
+def test_append_and_overwrite(spark, tmp_path):
+    from bankspark.sources.sinks import append, overwrite
+    path = str(tmp_path / "t")
+    a = spark.createDataFrame([(1, 10)], "day_key int, v int")
+    append(a, path, ["day_key"])
+    append(a, path, ["day_key"])
+    assert spark.read.parquet(path).count() == 2
+    overwrite(a, path)
+    assert spark.read.parquet(path).count() == 1
