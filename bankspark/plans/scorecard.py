@@ -66,6 +66,26 @@ def _rank_by_area(joined: DataFrame, value: str, out: str, ascending: bool,
     return joined.join(F.broadcast(ranked), "area_name")
 
 
+def _area_ratio_ranks(measure: DataFrame) -> DataFrame:
+    """Ranks of the ratio lines 10-13 over the areas, one row per area (bounded by the area list).
+
+    One window partitioned by line: the order key is the value (ascending line) or its negation
+    (descending lines), with NULLs placed last resp. first as PostgreSQL does.
+    """
+    desc = [sid for sid, _, _, d in AREA_RATIOS if d]
+    sid, v = F.col("sort_id"), F.col("value")
+    is_desc = sid.isin(desc)
+    key = F.when(is_desc, -v).otherwise(v)
+    null_pos = F.when(v.isNull(), F.when(is_desc, 0).otherwise(1)).otherwise(F.when(is_desc, 1).otherwise(0))
+    w = Window.partitionBy("sort_id").orderBy(null_pos, key)
+    ranked = (measure.filter(sid.isin([s for s, _, _, _ in AREA_RATIOS]))
+              .select("sort_id", "area_name", v.cast("double").alias("v"), F.rank().over(w).alias("r")))
+    wide = ranked.groupBy("area_name").pivot("sort_id", [s for s, _, _, _ in AREA_RATIOS]) \
+        .agg(F.first("v").alias("v"), F.first("r").alias("r"))
+    return wide.select("area_name", *[c for s, val, rk, _ in AREA_RATIOS
+                                      for c in (F.col(f"{s}_v").alias(val), F.col(f"{s}_r").alias(rk))])
+
+
 def person_kpis(sales_kpi: DataFrame, month: int) -> DataFrame:
     """One scan of the sales KPI table: per (sale_name, email, area_name) the year-to-date sums and
     counts of each KPI and the number of year-to-date rows.  Persons, their averages and the
@@ -92,12 +112,7 @@ def scorecard(people: DataFrame, area: DataFrame, npl: DataFrame, measure: DataF
     joined = (persons.join(b, keys).join(c, keys).join(d, keys)
               .join(F.broadcast(npl.select("area_code", F.col("rate").alias("npl_truoc_wo_luy_ke"))),
                     "area_code"))
-    for sid, val, rk, desc in AREA_RATIOS:
-        w = Window.orderBy(F.col("value").desc_nulls_first() if desc else F.col("value").asc_nulls_last())
-        lines = (measure.filter(F.col("sort_id") == sid)
-                 .select("area_name", F.col("value").cast("double").alias(val),
-                         F.rank().over(w).alias(rk)))
-        joined = joined.join(F.broadcast(lines), "area_name", "left")
+    joined = joined.join(F.broadcast(_area_ratio_ranks(measure)), "area_name", "left")
     joined = checkpoint(joined)
     # the NPL rank runs over the person rows before the ratio lines are joined
     joined = _rank_by_area(joined, "npl_truoc_wo_luy_ke", "rank_npl_truoc_wo_luy_ke",
