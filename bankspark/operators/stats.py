@@ -109,6 +109,18 @@ def normal_fit(df: DataFrame, value: str, group: str | None = None) -> DataFrame
     return out.drop(_ONE) if not group else out
 
 
+def normal_curve(df: DataFrame, value: str, points: int = 100, group: str | None = None) -> DataFrame:
+    """The fitted normal density at ``points`` evenly spaced values from min to max (D17):
+    one row per (group, point), built from one aggregate per group."""
+    d, g = _group(df, group)
+    st = d.groupBy(g).agg(F.min(value).alias("__lo"), F.max(value).alias("__hi"),
+                          F.avg(value).alias("__mu"), F.stddev_pop(value).alias("__sd"))
+    x = F.col("__lo") + F.col("i") * ((F.col("__hi") - F.col("__lo")) / (points - 1))
+    out = (st.select(g, "__lo", "__hi", "__mu", "__sd", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("i"))
+           .select(g, "i", x.alias("x"), normal_pdf(x, F.col("__mu"), F.col("__sd")).alias("pdf")))
+    return out.drop(_ONE) if not group else out
+
+
 def normal_pdf(x, mu, sigma):
     """Column expression of the normal density."""
     z = (x - mu) / sigma

@@ -46,6 +46,11 @@ def q_tick_normal_fit(spark, sf_dir):
     return df.select("series_id", _r("mu"), _r("sigma"), _r("pdf_at_mu", 9))
 
 
+def q_tick_normal_curve(spark, sf_dir):
+    df = ST.normal_curve(Roles(spark, sf_dir).tick(), "close", 100, "series_id")
+    return df.select("series_id", F.col("i").cast("int").alias("i"), _r("x", 9), _r("pdf", 12))
+
+
 def q_bar_corr(spark, sf_dir):
     df = ST.corr_matrix(Roles(spark, sf_dir).bar(), ["open", "high", "low", "close", "volume"])
     return df.select("var_a", "var_b", _r("r", 9))
@@ -149,6 +154,7 @@ QUERIES = {
     "tick_box": q_tick_box,
     "tick_histogram": q_tick_histogram,
     "tick_normal_fit": q_tick_normal_fit,
+    "tick_normal_curve": q_tick_normal_curve,
     "bar_corr": q_bar_corr,
     "priority_mean_std": q_priority_mean_std,
     "tick_zscore": q_tick_zscore,
@@ -178,6 +184,14 @@ from orders group by o_orderpriority""",
 select series_id, round(avg(close), 6) as mu, round(stddev_pop(close), 6) as sigma,
        round(1.0 / (stddev_pop(close) * sqrt(2 * pi())), 9) as pdf_at_mu
 from v_tick group by series_id"""),
+    "tick_normal_curve": with_views(["v_tick"], """
+with st as (select series_id, min(close) as lo, max(close) as hi, avg(close) as mu, stddev_pop(close) as sd
+            from v_tick group by series_id),
+g as (select st.*, cast(unnest(range(0, 100)) as integer) as i from st),
+p as (select series_id, i, lo + i * ((hi - lo) / 99) as x, mu, sd from g)
+select series_id, i, round(x, 9) as x,
+       round(exp(-0.5 * ((x - mu) / sd) * ((x - mu) / sd)) / (sd * sqrt(2 * pi())), 12) as pdf
+from p"""),
     "bar_corr": with_views(["v_bar"], " union all ".join(
         f"select '{a}' as var_a, '{b}' as var_b, round(corr(cast({a} as double), cast({b} as double)), 9) as r from v_bar"
         for a in ("open", "high", "low", "close", "volume") for b in ("open", "high", "low", "close", "volume"))),
