@@ -92,6 +92,16 @@ def q_tick_dataset(spark, sf_dir):
                      F.col("x")[0].alias("x_first"), F.col("x")[TIME_STEP - 1].alias("x_last"))
 
 
+def q_tick_smooth(spark, sf_dir):
+    """K20 on a deterministic prediction (the 20-row SMA of the close): EMA(10) and SMA(20) of it
+    in time order, shown 20 days earlier."""
+    from bankspark.plans.price_model import smooth_predictions
+    df = S.rolling_mean(_indexed(spark, sf_dir), "series_id", "close", [20], name="prediction").drop(S.G)
+    out = smooth_predictions(df.select("series_id", "ts", "event_id", "prediction"), "series_id", ORDER, "ts")
+    return portable(out.select("series_id", "event_id", "shown_at", F.round("pred_ema_10", 6).alias("pred_ema_10"),
+                               F.round("pred_sma_20", 6).alias("pred_sma_20")))
+
+
 def q_bar_tail(spark, sf_dir):
     return portable(Roles(spark, sf_dir).bar()
                     .orderBy(F.col("date").desc(), F.col("series_id").desc()).limit(10))
@@ -226,6 +236,28 @@ r as (select series_id, rn, event_id, {cols0} from t where rn = 1
 select series_id, event_id, {outs} from r""")
 
 
+def _smooth_sql() -> str:
+    a, b = repr(2.0 / 11), repr(1.0 - 2.0 / 11)
+    return with_views(["v_tick"], f"""
+with recursive t as (
+  select series_id, event_id, ts, rn,
+         case when count(close) over (partition by series_id order by rn rows between 19 preceding and current row) = 20
+              then avg(close) over (partition by series_id order by rn rows between 19 preceding and current row) end as p
+  from (select *, row_number() over (partition by series_id order by ts, event_id) as rn from v_tick)),
+r as (select series_id, rn, event_id, ts, p, p as e from t where rn = 1
+      union all
+      select t.series_id, t.rn, t.event_id, t.ts, t.p,
+             case when t.p is null then r.e when r.e is null then t.p
+                  else cast('{a}' as double) * t.p + cast('{b}' as double) * r.e end
+      from r join t on t.series_id = r.series_id and t.rn = r.rn + 1)
+select series_id, event_id, strftime(ts - interval 20 day, '%Y-%m-%d %H:%M:%S.%f') as shown_at,
+       round(e, 6) as pred_ema_10,
+       round(case when count(p) over (partition by series_id order by rn rows between 19 preceding and current row) = 20
+                  then avg(p) over (partition by series_id order by rn rows between 19 preceding and current row) end, 6)
+         as pred_sma_20
+from r""")
+
+
 def _rsi_sql() -> str:
     a, b = repr(1.0 / RSI_WINDOW), repr(1.0 - 1.0 / RSI_WINDOW)
     return with_views(["v_tick"], f"""
@@ -288,6 +320,7 @@ QUERIES = {
     "tick_split": q_tick_split,
     "tick_nested_split": q_tick_nested_split,
     "tick_dataset": q_tick_dataset,
+    "tick_smooth": q_tick_smooth,
     "bar_tail": q_bar_tail,
     "lag_corr_scan": q_lag_corr_scan,
     "price_clean": q_price_clean,
@@ -345,6 +378,7 @@ from v_tick {_W}"""),
         f"between {n - 1} preceding and current row), 6) end as SMA_{n}" for n in SMA_WINDOWS) + " from v_tick"),
     "tick_ema": _ema_sql(),
     "tick_rsi": _rsi_sql(),
+    "tick_smooth": _smooth_sql(),
     "tick_ffill": with_views(["v_tick"], """
 select series_id, event_id,
        last_value(c ignore nulls) over (partition by series_id order by ts, event_id
