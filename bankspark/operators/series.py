@@ -27,14 +27,13 @@ from bankspark.operators.joins import attach_small
 from bankspark.session import checkpoint
 
 DEFAULT_BLOCK_ROWS = 1_000_000
-G = "__g"          # global position in (series, order)
+G = "__bankspark_pos"   # global position in (series, order)
 BLK = "__blk"      # block number
 COPY = "__copy"    # True on overlap copies
 
 
-def with_index(df: DataFrame, series: str, order: list[str], partitions: int | None = None,
-               materialise: bool = True) -> DataFrame:
-    """Append ``__g``: 0-based global position of the row in (series, *order).
+def with_index(df: DataFrame, series: str, order: list[str], partitions: int | None = None) -> DataFrame:
+    """Append ``G``: 0-based global position of the row in (series, *order).
 
     ``order`` must make the order total (add a unique tiebreak column).
     """
@@ -47,7 +46,7 @@ def with_index(df: DataFrame, series: str, order: list[str], partitions: int | N
          .withColumn("__loc", F.col("__mid").bitwiseAND(F.lit((1 << 33) - 1)))
     # the ids depend on the physical partitioning: materialise once so that the
     # counts below and the rows see the same ids (and recomputation cannot move them)
-    s = checkpoint(s) if materialise else s
+    s = checkpoint(s)
     # rows per partition, as zipWithIndex does: one number per partition reaches the driver
     counts = dict(s.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n")).collect())
     offsets, run = [], 0
