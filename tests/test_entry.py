@@ -40,3 +40,14 @@ def test_oracle_agrees_on_flagship_and_report(spark):
                     assert abs(x - y) <= 1e-9 * max(1.0, abs(x))
                 else:
                     assert x == y
+
+
+def test_portable_types(spark):
+    import datetime as dt
+    from decimal import Decimal
+    from bankspark.queries.common import portable
+    df = spark.createDataFrame([(Decimal("12"), Decimal("1.25"), dt.date(2023, 12, 15), 3, 1.5)],
+                               "a decimal(38,0), b decimal(18,2), d date, i int, x float")
+    out = portable(df)
+    assert [f.dataType.simpleString() for f in out.schema.fields] == ["bigint", "double", "string", "int", "double"]
+    assert tuple(out.first()) == (12, 1.25, "2023-12-15", 3, 1.5)
