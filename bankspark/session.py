@@ -1,15 +1,16 @@
 """Session construction and lineage cutting.
 
 On a cluster the session comes from the platform; ``build_session`` is for
-local runs and tests.  ``checkpoint`` always writes to the shared folder
-named by ``spark.checkpoint.dir`` and only falls back to a fresh scratch
-folder when that setting is absent (local tests).
+local runs and tests.  ``checkpoint`` and ``written`` always write to the shared
+folder named by ``spark.checkpoint.dir``; a fresh scratch folder is used only
+when that setting is absent on a ``local[...]`` master (tests), else they raise.
 """
 
 from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,10 +44,12 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's shared checkpoint folder; invent one only when unset (tests)."""
+    """The cluster's shared checkpoint folder; a scratch folder is invented only for ``local[...]`` masters."""
     sc = spark.sparkContext
     path = spark.conf.get(_CKPT_KEY, None) or sc.getConf().get(_CKPT_KEY, None)
     if not path:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError(f"{_CKPT_KEY} must name a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="bankspark-ckpt-")
         spark.conf.set(_CKPT_KEY, path)
     if sc.getCheckpointDir() is None:
@@ -54,6 +57,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def written(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
+    """Write ``df`` as Parquet below the shared folder and read it back: cuts the lineage, survives
+    lost executors, and keeps column pruning and filter pushdown for the readers."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/bankspark-{name}-{uuid.uuid4().hex}"
+    df.write.option("compression", codec).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: materialise to the shared folder and cut lineage."""
     ensure_checkpoint_dir(df.sparkSession)
