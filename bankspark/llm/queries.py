@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bankspark.llm import exact_dedup
+from bankspark.llm import exact_dedup, url_filter
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -28,5 +28,14 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
 FROM d WINDOW w AS (PARTITION BY t)
 """
 
-QUERIES = {"op9_exact_dedup": op9_exact_dedup}
+# Fixed values of the url filter's contract.
+URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"),
+             ("block", "net/es/"), ("block", "net/fr/")]
+
+
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.url_filter(_read(spark, sf_dir, "pages"), URL_RULES)
+
+
+QUERIES = {"op9_exact_dedup": op9_exact_dedup, "op10_url_filter": op10_url_filter}
 ORACLE = {"op9_exact_dedup": OP9_SQL}
