@@ -6,16 +6,43 @@ and derives the digest columns from the operator's rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bankspark.llm import exact_dedup, url_filter
+from bankspark.llm import exact_dedup, language_id, quality, url_filter
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def _remainder(id_col: str, n: int) -> Column:
+    """crc32 of the id's decimal text modulo n."""
+    return F.crc32(F.col(id_col).cast("string").cast("binary")) % n
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    held_out = F.coalesce(_remainder("doc_id", 4) == 2, F.lit(False))
+    model = language_id.train(docs.filter(~held_out).select(F.col("doc_id").alias("id"), F.col("lang").alias("label"),
+                                                            "text"))
+    return language_id.identify(docs, model, {"doc_id": F.col("doc_id"), "held_out": held_out})
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    held_out = F.coalesce(_remainder("doc_id", 5) == 0, F.lit(False))
+    return quality.score(docs, quality_model(docs, _read(spark, sf_dir, "labels")),
+                         {"doc_id": F.col("doc_id"), "held_out": held_out})
+
+
+def quality_model(docs: DataFrame, labels: DataFrame) -> quality.Model:
+    """Learnt from the labels of documents that are not held out."""
+    known = (labels.filter(_remainder("doc_id", 5) != 0)
+             .select(F.col("doc_id").alias("id"), F.col("quality").alias("label")))
+    return quality.train(known, docs.select(F.col("doc_id").alias("id"), "text"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_read(spark, sf_dir, "documents"))
 
@@ -37,5 +64,5 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_filter(_read(spark, sf_dir, "pages"), URL_RULES)
 
 
-QUERIES = {"op9_exact_dedup": op9_exact_dedup, "op10_url_filter": op10_url_filter}
+QUERIES = {"op6_language_id": op6_language_id, "op8_quality": op8_quality, "op9_exact_dedup": op9_exact_dedup, "op10_url_filter": op10_url_filter}
 ORACLE = {"op9_exact_dedup": OP9_SQL}
