@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bankspark.llm import exact_dedup, language_id, quality, url_filter
+from bankspark.llm import bpe, exact_dedup, language_id, quality, token_files, url_filter
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -21,6 +21,25 @@ def _remainder(id_col: str, n: int) -> Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % n
 
 
+def vocabulary_path() -> str:
+    """The public vocabulary file of the tokenizers library; installed on every executor."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_decode(_read(spark, sf_dir, "documents"), vocabulary_path(), {"doc_id": F.col("doc_id")})
+
+
+END_ID = 1
+
+
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    segments = token_files.write_tokens(_read(spark, sf_dir, "documents"), vocabulary_path(), END_ID)
+    return token_files.read_tokens(spark, segments)
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents")
     held_out = F.coalesce(_remainder("doc_id", 4) == 2, F.lit(False))
@@ -64,5 +83,5 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_filter(_read(spark, sf_dir, "pages"), URL_RULES)
 
 
-QUERIES = {"op6_language_id": op6_language_id, "op8_quality": op8_quality, "op9_exact_dedup": op9_exact_dedup, "op10_url_filter": op10_url_filter}
+QUERIES = {"op2_bpe": op2_bpe, "op6_language_id": op6_language_id, "op7_token_files": op7_token_files, "op8_quality": op8_quality, "op9_exact_dedup": op9_exact_dedup, "op10_url_filter": op10_url_filter}
 ORACLE = {"op9_exact_dedup": OP9_SQL}
