@@ -40,7 +40,7 @@ def slices(offsets: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int,
         i = min(j, n)
 
 
-def column(batch: pa.RecordBatch, name: str) -> pa.Array:
+def column(batch: pa.RecordBatch | pa.Table, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
 
 

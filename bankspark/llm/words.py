@@ -42,7 +42,7 @@ def _classes() -> np.ndarray:
 _CLASS = _classes()
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
+def mix(x: np.ndarray) -> np.ndarray:
     """Scrambled 64-bit value of each code point."""
     x = (x.astype(np.uint64) + np.uint64(1)) * np.uint64(0xBF58476D1CE4E5B9)
     x ^= x >> np.uint64(29)
@@ -70,14 +70,19 @@ def code_points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
-def word_hashes(cps: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    _POWERS.upto(len(cps) + 1)
-    sums = np.empty(len(cps) + 1, np.uint64)
+def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Polynomial hash of each span of 64-bit values, independent of the span's place."""
+    _POWERS.upto(len(values) + 1)
+    sums = np.empty(len(values) + 1, np.uint64)
     sums[0] = 0
-    np.cumsum(_mix(cps) * _POWERS.up[:len(cps)], out=sums[1:])
+    np.cumsum(values * _POWERS.up[:len(values)], out=sums[1:])
     return (sums[ends] - sums[starts]) * _POWERS.down[starts]
 
 
+def word_hashes(cps: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    return span_hashes(mix(cps), starts, ends)
+
+
 def simple_words(lowered: str, cps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the words of a lower-case text without code points from U+0300 on."""
     if not len(cps):
