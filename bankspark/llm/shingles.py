@@ -21,12 +21,12 @@ _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _PLACES = mix(np.arange(1000, 1064)) | np.uint64(1)
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_spans(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(starts, ends, words before each document and in all) of the words; no word crosses documents."""
     n = len(data)
     if not n:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
-    word = ~_SPACE[data]
+    word = ~separator[data]
     edge = np.zeros(n + 1, bool)
     edge[offsets] = True
     starts = word.copy()
@@ -37,15 +37,16 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, np.flatnonzero(ends) + 1, np.searchsorted(starts, offsets)
 
 
-def word_hashes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes_of(column: pa.Array, separator: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
     """(hash of each word of all texts, words before each text and in all)."""
     data, offsets = text_bytes(column)
     data = data[offsets[0]:offsets[-1]]
-    starts, ends, first = word_spans(data, offsets - offsets[0])
+    starts, ends, first = word_spans(data, offsets - offsets[0], separator)
     return mix(span_hashes(_VALUES[data], starts, ends)), first
 
 
-def _sequence_hash(words: np.ndarray, first: np.ndarray, n: int) -> np.ndarray:
+def sequence_hash(words: np.ndarray, first: np.ndarray, n: int) -> np.ndarray:
+    """Hash of the n words from each place on."""
     out = np.full(len(first), np.uint64(n))
     for k in range(n):
         out += words[first + k] * _PLACES[k % 64]
@@ -58,13 +59,13 @@ def shingle_sets(column: pa.Array, n: int) -> list[np.ndarray]:
     words, first = word_hashes_of(column)
     counts = np.diff(first)
     if len(words) >= n:
-        grams = _sequence_hash(words, np.arange(len(words) - n + 1), n)
+        grams = sequence_hash(words, np.arange(len(words) - n + 1), n)
     out = []
     for at, m in zip(first[:-1].tolist(), counts.tolist()):
         if m >= n:
             out.append(np.unique(grams[at:at + m - n + 1]))
         elif m:
-            out.append(_sequence_hash(words, np.array([at]), m))
+            out.append(sequence_hash(words, np.array([at]), m))
         else:
             out.append(np.zeros(0, np.uint64))
     return out
