@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bankspark.llm import bpe, decontaminate, exact_dedup, language_id, minhash, quality, token_files, url_filter
+from bankspark.llm import bpe, decontaminate, exact_dedup, language_id, line_dedup, minhash, quality, token_files, url_filter
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -36,6 +36,12 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(_read(spark, sf_dir, "documents"), vocabulary_path(), {"doc_id": F.col("doc_id")})
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.line_duplicates(_read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"),
+                        F.array_join(F.col("removed").cast("array<string>"), " ").alias("removed_lines"))
+
+
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_read(spark, sf_dir, "documents"), words=3, percent=85)
 
@@ -91,5 +97,5 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_filter(_read(spark, sf_dir, "pages"), URL_RULES)
 
 
-QUERIES = {"op1_decontaminate": op1_decontaminate, "op2_bpe": op2_bpe, "op4_minhash": op4_minhash, "op6_language_id": op6_language_id, "op7_token_files": op7_token_files, "op8_quality": op8_quality, "op9_exact_dedup": op9_exact_dedup, "op10_url_filter": op10_url_filter}
+QUERIES = {"op1_decontaminate": op1_decontaminate, "op2_bpe": op2_bpe, "op3_line_dedup": op3_line_dedup, "op4_minhash": op4_minhash, "op6_language_id": op6_language_id, "op7_token_files": op7_token_files, "op8_quality": op8_quality, "op9_exact_dedup": op9_exact_dedup, "op10_url_filter": op10_url_filter}
 ORACLE = {"op9_exact_dedup": OP9_SQL}

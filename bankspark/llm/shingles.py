@@ -21,6 +21,11 @@ _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _PLACES = mix(np.arange(1000, 1064)) | np.uint64(1)
 
 
+def byte_values(data: np.ndarray) -> np.ndarray:
+    """Scrambled value of each byte, upper and lower case alike."""
+    return _VALUES[data]
+
+
 def word_spans(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(starts, ends, words before each document and in all) of the words; no word crosses documents."""
     n = len(data)
