@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bankspark.llm import bpe, decontaminate, exact_dedup, language_id, line_dedup, minhash, quality, token_files, url_filter
+from bankspark.llm import bpe, decontaminate, exact_dedup, language_id, line_dedup, minhash, quality, suffix_dedup, token_files, url_filter
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -46,6 +46,12 @@ def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_read(spark, sf_dir, "documents"), words=3, percent=85)
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix_dedup.cut_text(_read(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
+                      F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 END_ID = 1
 
 
@@ -97,5 +103,5 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_filter(_read(spark, sf_dir, "pages"), URL_RULES)
 
 
-QUERIES = {"op1_decontaminate": op1_decontaminate, "op2_bpe": op2_bpe, "op3_line_dedup": op3_line_dedup, "op4_minhash": op4_minhash, "op6_language_id": op6_language_id, "op7_token_files": op7_token_files, "op8_quality": op8_quality, "op9_exact_dedup": op9_exact_dedup, "op10_url_filter": op10_url_filter}
+QUERIES = {"op1_decontaminate": op1_decontaminate, "op2_bpe": op2_bpe, "op3_line_dedup": op3_line_dedup, "op4_minhash": op4_minhash, "op5_suffix_dedup": op5_suffix_dedup, "op6_language_id": op6_language_id, "op7_token_files": op7_token_files, "op8_quality": op8_quality, "op9_exact_dedup": op9_exact_dedup, "op10_url_filter": op10_url_filter}
 ORACLE = {"op9_exact_dedup": OP9_SQL}
