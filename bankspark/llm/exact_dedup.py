@@ -94,7 +94,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     .alias("kept"), "text_sha256"))
 
 
-def keep_first_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_one_copy(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents without exact duplicates, all columns; a repeated row stays once."""
     groups = duplicate_groups(docs, id_col, text_col)
     losers = written(groups.filter("keep_id <> doc_id").select(F.col("doc_id").alias("member"))

@@ -102,19 +102,21 @@ def train(labels: DataFrame, texts: DataFrame, per_class: int = DICT_ROWS, fit_r
 
 
 def score(docs: DataFrame, model: Model, keep: dict[str, Column], text_col: str = "text",
-          threshold: float = THRESHOLD) -> DataFrame:
-    """``keep`` columns, score, predicted (1 if score >= threshold)."""
-    rows = docs.select(*[c.alias(n) for n, c in keep.items()], F.col(text_col).alias("__text"))
+          threshold: float = THRESHOLD, text_name: str | None = None) -> DataFrame:
+    """``keep`` columns, score, predicted (1 if score >= threshold); ``text_name`` names the kept column that is the text."""
     names = list(keep)
+    extra = [F.col(text_col).alias("__text")] if text_name is None else []
+    rows = docs.select(*[c.alias(n) for n, c in keep.items()], *extra)
+    text = text_name or "__text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bad, good = (Coder(model.dictionaries.get(k, b""), BLOCK_BYTES) for k in (0, 1))
         for b in batches:
             scores = [model.score(difference(t.as_py(), bad, good) if model.dictionaries else 0.0)
-                      for t in column(b, "__text")]
+                      for t in column(b, text)]
             yield pa.RecordBatch.from_arrays(
                 [column(b, n) for n in names] + [pa.array(scores, pa.float64()),
                                                  pa.array([int(s >= threshold) for s in scores], pa.int32())],
                 [*names, "score", "predicted"])
 
-    return rows.mapInArrow(run, rows.drop("__text").schema.add("score", "double").add("predicted", "integer"))
+    return rows.mapInArrow(run, rows.select(*names).schema.add("score", "double").add("predicted", "integer"))
