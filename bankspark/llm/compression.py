@@ -8,13 +8,16 @@ it is taken by hash, so it does not depend on the order or partitioning of the r
 
 from __future__ import annotations
 
+from collections import Counter
+
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DICT_BYTES = 128 << 10  # of a class's dictionary
 DICT_ROWS = 1024        # at most, sampled for a dictionary
-PIECE_CHARS = 300       # of a sampled row
+PIECE_CHARS = 300       # of a sampled row, at least
+LEAST_BYTES = 8 << 10   # of a dictionary, if the samples have them
 BLOCK_BYTES = 1024      # coded at once
 
 
@@ -46,18 +49,19 @@ def sampled_ids(rows: DataFrame, per_class: int, seed: int) -> DataFrame:
             .agg(F.min(F.struct(h.alias("h"), "id")).alias("first")).select("label", "first.*"))
 
 
-def sampled_texts(ids: DataFrame, texts: DataFrame, piece: int | None) -> list[tuple]:
-    """[(label, text)] in hash order of collected ids; ``piece`` characters from a place given by the hash, or all.
-    The ids are a bounded sample, so they are broadcast."""
+def sampled_texts(ids: DataFrame, texts: DataFrame, piece: int) -> list[tuple]:
+    """[(label, text)] in hash order of collected ids; ``piece`` characters from a place given by the hash (more where
+    a class has few ids, so that its pieces still fill a dictionary).  The ids are a bounded sample, so they are broadcast."""
     known = ids.collect()
     spark = texts.sparkSession
     kind = texts.schema["id"].dataType.simpleString()
     label = ids.schema["label"].dataType.simpleString()
-    small = spark.createDataFrame([(r["id"], r["label"], r["h"]) for r in known], f"id {kind}, label {label}, h long")
+    few = Counter(r["label"] for r in known)
+    small = spark.createDataFrame([(r["id"], r["label"], r["h"], max(piece, DICT_BYTES // few[r["label"]])) for r in known],
+                                  f"id {kind}, label {label}, h long, piece int")
     text = F.coalesce(F.col("text"), F.lit(""))
-    if piece is not None:
-        room = F.greatest(F.length(text) - piece, F.lit(0)) + 1
-        text = F.substr(text, (F.pmod(F.col("h"), room) + 1).cast("int"), F.lit(piece))
+    room = F.greatest(F.length(text) - F.col("piece"), F.lit(0)) + 1
+    text = F.substr(text, (F.pmod(F.col("h"), room) + 1).cast("int"), F.col("piece"))
     found = texts.join(F.broadcast(small), "id").select("label", "h", "id", text.alias("text"))
     return [(r["label"], r["text"]) for r in sorted(found.collect(), key=lambda r: (r["h"], r["id"]))]
 
@@ -69,6 +73,7 @@ def dictionaries(samples: list[tuple], limit: int = DICT_BYTES) -> dict:
         data = out.setdefault(label, bytearray())
         if len(data) < limit:
             data += text.encode() + b"\n"
-    return {k: bytes(v[:limit]) for k, v in out.items()}
+    least = max(LEAST_BYTES, min(map(len, out.values()), default=0))  # no class gains by a larger dictionary
+    return {k: bytes(v[:min(limit, least)]) for k, v in out.items()}
 
 

@@ -111,11 +111,12 @@ def segmented_labels(labels: DataFrame, counts: DataFrame) -> DataFrame:
 
 
 def _slots(words: Column, path: Column) -> Column:
-    """Hash slots of the host words and of the path tokens (digit runs count as one token)."""
+    """Distinct hash slots of the host words and of the path tokens (digit runs count as one token), so that one
+    very long url does not outweigh the rest."""
     path_tokens = F.filter(F.split(F.regexp_replace(F.lower(path), r"\d+", "#"), r"[^\p{L}#]+"), lambda x: x != "")
     tokens = F.concat(F.transform(words, lambda w: F.concat(F.lit("h "), w)),
                       F.transform(path_tokens, lambda w: F.concat(F.lit("p "), w)))
-    return F.transform(tokens, lambda t: F.pmod(F.xxhash64(t), F.lit(BUCKETS)).cast("int"))
+    return F.array_distinct(F.transform(tokens, lambda t: F.pmod(F.xxhash64(t), F.lit(BUCKETS)).cast("int")))
 
 
 def bayes_weights(rows: DataFrame) -> tuple[float, np.ndarray]:
