@@ -8,8 +8,8 @@
 4. Candidates are verified on the full sets, recomputed from the texts: 100 * intersection >= percent * union.
 5. Components of the verified links come from alternating large-star and small-star (``components``).
 6. A member that is not linked to its centre may still be linked to another member.  Buckets whose members
-   lie in different components are compared exactly: the members in blocks of about ``BLOCK`` shingles,
-   each pair of blocks one group of bounded size, which counts all intersections by matrix products.
+   lie in different components are compared exactly: the members in blocks of about ``BLOCK`` shingles
+   or ``BLOCK_ROWS`` members, each pair of blocks one group of bounded size, which counts all intersections by matrix products.
    Only links that join two components leave a group.  Then the components are computed again with them.
    So two documents that share a bucket are either in one component or compared on their full sets.
 
@@ -36,7 +36,7 @@ from bankspark.llm.words import mix
 from bankspark.session import written
 
 BANDS, ROWS = 32, 4
-BLOCK = 1 << 17  # shingles
+BLOCK, BLOCK_ROWS = 1 << 17, 1024  # shingles and members of a block
 _CHUNK = 4096
 
 
@@ -159,7 +159,7 @@ def _rest(members: DataFrame, buckets: DataFrame, found: DataFrame, texts: DataF
         F.min("part").alias("p"), F.max("part").alias("q"), F.count(F.lit(1)).alias("m"), F.sum("n").alias("size"),
         F.expr("bit_xor(xxhash64(doc_id))").alias("x"), F.sum(F.xxhash64("doc_id").cast("decimal(20,0)")).alias("y"))
         .filter("p <> q").groupBy("x", "y", "m", "size").agg(F.min("bucket").alias("of"))  # equal buckets once
-        .select("of", F.ceil(F.col("size") / BLOCK).cast("int").alias("k")), "mixed")
+        .select("of", F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("m") / BLOCK_ROWS)).cast("int").alias("k")), "mixed")
     rows = written(parts.join(mixed, parts["bucket"] == mixed["of"])
                    .select("of", "k", "doc_id", "part", F.pmod(F.xxhash64("doc_id", F.lit(1)), "k").cast("int").alias("blk")),
                    "mixed")
@@ -203,8 +203,23 @@ def intersections(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray
     if not left or not right:
         return out
     shared = np.intersect1d(np.unique(np.concatenate(left)), np.unique(np.concatenate(right)), assume_unique=True)
-    for at in range(0, len(shared), _CHUNK):
-        some = shared[at:at + _CHUNK]
-        x, y = (np.stack([np.isin(some, s, assume_unique=True) for s in sets]).astype(np.float32) for sets in (left, right))
-        out += (x @ y.T).astype(np.int64)
+
+    def cells(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """(column, row) of each shared item of each set, by column."""
+        items = np.concatenate(sets)
+        at = np.minimum(np.searchsorted(shared, items), max(0, len(shared) - 1))
+        inside = np.flatnonzero(shared[at] == items) if len(shared) else np.zeros(0, np.int64)
+        order = inside[np.argsort(at[inside], kind="stable")]
+        return at[order], np.repeat(np.arange(len(sets)), [len(x) for x in sets])[order]
+
+    sides = [(len(sets), *cells(sets)) for sets in (left, right)]
+    for start in range(0, len(shared), _CHUNK):
+        width = min(_CHUNK, len(shared) - start)
+        dense = []
+        for rows, at, owner in sides:
+            i, j = np.searchsorted(at, (start, start + width))
+            matrix = np.zeros((rows, width), np.float32)
+            matrix[owner[i:j], at[i:j] - start] = 1
+            dense.append(matrix)
+        out += (dense[0] @ dense[1].T).astype(np.int64)
     return out
