@@ -88,19 +88,16 @@ def lenient_number(c: Column, strip: str = ",") -> Column:
     return _nan_to_null(cleaned.try_cast("double"))
 
 
-# fixed values: magnitude suffixes and their factors, tested in this order
-MAGNITUDE_SUFFIXES = (("M", 1_000_000.0), ("K", 1_000.0), ("B", 1_000_000_000.0))
+# fixed values: magnitude suffixes and their factors
+MAGNITUDES = {"": 1.0, "K": 1_000.0, "M": 1_000_000.0, "B": 1_000_000_000.0}
+_MAGNITUDE = r"^\s*([+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?)\s*([KMB]?)\s*$"
 
 
 def magnitude_number(c: Column) -> Column:
     """'3.4M' / '1.5K' / '2B' / '1,234' -> double; junk (with or without suffix) -> NULL."""
-    v = F.replace(c, F.lit(","), F.lit(""))
-    out = None
-    for suffix, factor in MAGNITUDE_SUFFIXES:
-        val = F.replace(v, F.lit(suffix), F.lit("")).try_cast("double") * F.lit(factor)
-        cond = F.contains(v, F.lit(suffix))
-        out = F.when(cond, val) if out is None else out.when(cond, val)
-    return _nan_to_null(out.otherwise(v.try_cast("double")))
+    text = F.replace(c, F.lit(","), F.lit(""))
+    number = F.regexp_extract(text, _MAGNITUDE, 1).try_cast("double")
+    return number * map_codes(F.regexp_extract(text, _MAGNITUDE, 2), MAGNITUDES)
 
 
 def clean_header(name: str) -> str:

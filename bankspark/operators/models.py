@@ -19,18 +19,23 @@ from pyspark.sql import functions as F
 
 
 def assemble(df: DataFrame, cols: list[str], out: str = "features") -> DataFrame:
-    return VectorAssembler(inputCols=cols, outputCol=out, handleInvalid="skip").transform(df)
+    """Feature vector of ``cols``; a NULL or NaN feature is an error, not a dropped row."""
+    return VectorAssembler(inputCols=cols, outputCol=out, handleInvalid="error").transform(df)
 
 
-def kmeans_canonical(df: DataFrame, cols: list[str], k: int = 4, seed: int = 42,
-                     out: str = "cluster", max_iter: int = 20):
+def kmeans_canonical(df: DataFrame, cols: list[str] | None, k: int = 4, seed: int = 42,
+                     out: str = "cluster", max_iter: int = 300):
     """k-means with cluster ids renumbered by the lexicographic order of the centres (K4).
 
+    ``cols=None``: ``df`` already has its vector in ``features``.  Raises if ``max_iter`` iterations
+    (the usual default of 300) do not converge.
     Returns (labelled DataFrame, centres in canonical order, training cost).
     """
-    x = assemble(df, cols)
+    x = df if cols is None else assemble(df, cols)
     model = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features",
                    predictionCol="__raw").fit(x)
+    if model.summary.numIter >= max_iter:
+        raise RuntimeError(f"k-means with k={k} has not converged after {max_iter} iterations")
     centres = [list(map(float, c)) for c in model.clusterCenters()]
     order = sorted(range(len(centres)), key=lambda i: centres[i])
     remap = {raw: new for new, raw in enumerate(order)}
@@ -60,16 +65,13 @@ def elbow(df: DataFrame, cols: list[str], ks=range(1, 11), seed: int = 42,
     """
     from concurrent.futures import ThreadPoolExecutor
 
-    n = df.count()
-
     def one(k):
         if k == 1:
             return (1, total_variance(df, cols))
         return (k, kmeans_canonical(df, cols, k, seed)[2])
 
-    wanted = [k for k in ks if k <= n]
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        return sorted(pool.map(one, wanted))
+        return sorted(pool.map(one, ks))
 
 
 def silhouette_sq_euclidean(labelled: DataFrame, label: str = "cluster") -> float:
@@ -106,12 +108,20 @@ def davies_bouldin(labelled: DataFrame, cols: list[str], label: str = "cluster")
     return total / k
 
 
+def davies_bouldin_arrays(labelled: DataFrame, vector: str, label: str) -> float:
+    """Davies-Bouldin index of points given as arrays (K8)."""
+    dims = labelled.agg(F.max(F.size(vector))).first()[0]   # the model's width
+    wide = labelled.select(label, *[F.col(vector)[i].alias(f"d{i}") for i in range(dims)])
+    return davies_bouldin(wide, [f"d{i}" for i in range(dims)], label)
+
+
 # ---- splits (K15) ------------------------------------------------------------
 
 
 def hash_split(df: DataFrame, key: str, train_pct: int = 80, out: str = "is_train") -> DataFrame:
-    """Stable 80/20 split by a hash of the key, independent of partitioning."""
-    return df.withColumn(out, F.pmod(F.xxhash64(F.col(key)), F.lit(100)) < train_pct)
+    """Stable 80/20 split by the MD5 of the key's text, independent of partitioning and engine."""
+    digest = F.conv(F.substring(F.md5(F.col(key).cast("string").cast("binary")), 1, 8), 16, 10).cast("bigint")
+    return df.withColumn(out, digest % 100 < train_pct)
 
 
 # ---- regression (K3, K17-K19, K22) ----------------------------------------------
@@ -123,7 +133,7 @@ def forest_pipeline(feature_cols: list[str], label: str, num_trees: int = 150, m
 
     ``max_depth`` 30 is Spark's limit and stands in for "no limit".
     """
-    stages = [VectorAssembler(inputCols=feature_cols, outputCol="__x", handleInvalid="skip")]
+    stages = [VectorAssembler(inputCols=feature_cols, outputCol="__x", handleInvalid="error")]
     feats = "__x"
     if poly_degree > 1:
         stages.append(PolynomialExpansion(degree=poly_degree, inputCol="__x", outputCol="__poly"))
@@ -140,10 +150,9 @@ def forest_pipeline(feature_cols: list[str], label: str, num_trees: int = 150, m
 def regression_scores(pred: DataFrame, label: str, prediction: str = "prediction") -> dict:
     """MSE, RMSE, MAE, R^2 in one aggregate."""
     err = F.col(label) - F.col(prediction)
-    mean_y = pred.agg(F.avg(label)).first()[0]
     r = pred.agg(F.avg(err * err).alias("mse"), F.avg(F.abs(err)).alias("mae"),
                  F.sum(err * err).alias("sse"),
-                 F.sum((F.col(label) - F.lit(mean_y)) ** 2).alias("sst"),
+                 (F.var_pop(label) * F.count(label)).alias("sst"),
                  F.count(F.lit(1)).alias("n")).first()
     mse = r["mse"]
     return {"n": r["n"], "mse": mse, "rmse": mse ** 0.5 if mse is not None else None, "mae": r["mae"],

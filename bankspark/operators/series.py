@@ -5,26 +5,29 @@ form, ``Window.partitionBy(series).orderBy(t)``, sends a whole series to one
 task -- fatal when one series holds a third of the data.  Instead:
 
 * ``with_index`` gives every row its global position ``g`` in (series, order)
-  with a range-partitioned sort and per-partition offsets (one count per
-  partition reaches the driver), like RDD ``zipWithIndex``; the sorted rows
-  are checkpointed so positions are stable if an executor is lost.
+  with a range-partitioned sort and per-partition offsets (one row per
+  partition, broadcast), like RDD ``zipWithIndex``; the sorted rows are
+  written as Parquet, so positions are stable if an executor is lost and
+  later reads take only the columns they need.
 * ``blocked`` cuts positions into blocks of ``block_rows`` and copies the
   last ``overlap`` rows of every block into the next one, so any window that
   looks back at most ``overlap`` rows is exact inside ``(series, block)``
   partitions of bounded size.
 * recursive smoothers (EMA, RSI) fold each block in an Arrow-batched pandas
-  function, carry the block-end state across blocks with a short fold over
-  one row per block, and replay each block from its carried start.
+  function over (position, value), carry the block-end state across blocks
+  with one fold over one row per block, and replay each block from its
+  carried start.
 """
 
 from __future__ import annotations
 
+from itertools import accumulate
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from bankspark.operators.joins import attach_small
-from bankspark.session import checkpoint
+from bankspark.session import written
 
 DEFAULT_BLOCK_ROWS = 1_000_000
 G = "__bankspark_pos"   # global position in (series, order)
@@ -46,16 +49,13 @@ def with_index(df: DataFrame, series: str, order: list[str], partitions: int | N
          .withColumn("__loc", F.col("__mid").bitwiseAND(F.lit((1 << 33) - 1)))
     # the ids depend on the physical partitioning: materialise once so that the
     # counts below and the rows see the same ids (and recomputation cannot move them)
-    s = checkpoint(s)
-    # rows per partition, as zipWithIndex does: one number per partition reaches the driver
-    counts = dict(s.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n")).collect())
-    offsets, run = [], 0
-    for pid in range(int(max(counts)) + 1 if counts else 0):
-        offsets.append(run)
-        run += counts.get(pid, 0)
-    off = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), (F.col("__pid") + 1).cast("int")) \
-        if offsets else F.lit(0).cast("long")
-    return s.withColumn(G, off + F.col("__loc")).drop("__mid", "__pid", "__loc")
+    s = written(s, "series")
+    # rows before each partition, as zipWithIndex counts them: one row per partition
+    counts = sorted(s.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n")).collect())
+    before = accumulate([r["__n"] for r in counts], initial=0)
+    offsets = spark.createDataFrame([(r["__pid"], o) for r, o in zip(counts, before)], "__of long, __off long")
+    s = s.join(F.broadcast(offsets), F.col("__pid") == F.col("__of"))
+    return s.withColumn(G, F.col("__off") + F.col("__loc")).drop("__mid", "__pid", "__loc", "__of", "__off")
 
 
 def series_stats(indexed: DataFrame, series: str, value: str | None = None) -> DataFrame:
@@ -78,12 +78,12 @@ def blocked(indexed: DataFrame, overlap: int, block_rows: int = DEFAULT_BLOCK_RO
     """Rows tagged with their block, plus copies of each block's last ``overlap`` rows in the next."""
     if overlap >= block_rows:
         raise ValueError("block_rows must exceed the look-back")
-    own = indexed.withColumn(BLK, F.floor(F.col(G) / block_rows)).withColumn(COPY, F.lit(False))
+    block = F.floor(F.col(G) / block_rows)
     if overlap == 0:
-        return own
-    tail = (own.filter(F.col(G) % block_rows >= block_rows - overlap)
-            .withColumn(BLK, F.col(BLK) + 1).withColumn(COPY, F.lit(True)))
-    return own.unionByName(tail)
+        return indexed.withColumn(BLK, block).withColumn(COPY, F.lit(False))
+    in_tail = F.col(G) % block_rows >= block_rows - overlap
+    blocks = F.when(in_tail, F.array(block, block + 1)).otherwise(F.array(block))
+    return indexed.select("*", F.explode(blocks).alias(BLK)).withColumn(COPY, F.col(BLK) != block)
 
 
 def block_window(series: str) -> Window:
@@ -150,6 +150,13 @@ def nested_chrono_split(positioned: DataFrame, share_num: int = 4, share_den: in
             .withColumn("is_train", sub_pos < F.floor(sub_len * share_num / share_den)))
 
 
+def latest(df: DataFrame, series: str, order: list[str], n: int, out: str = "back") -> DataFrame:
+    """The last ``n`` rows of each series (F4), numbered from 1 for the last.  Spark keeps only the first n
+    rows per series and task below the shuffle."""
+    w = Window.partitionBy(series).orderBy(*[F.col(c).desc() for c in order])
+    return df.withColumn(out, F.row_number().over(w)).filter(F.col(out) <= n)
+
+
 def forward_fill(indexed: DataFrame, series: str, cols: list[str],
                  block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """pandas ``ffill`` in series order: last non-null value so far.
@@ -175,91 +182,120 @@ def forward_fill(indexed: DataFrame, series: str, cols: list[str],
 
 # ---- recursive smoothers -----------------------------------------------------
 
-def _fold(xs, alpha, beta, y):
-    """Sequential y = alpha*x + beta*y (first non-null x starts y); NULL x keeps y."""
+def _step(y, gap, x, alpha, ignore_na):
+    """pandas' ewm step: state y, NULLs since the last value, next value."""
+    beta = 1.0 - alpha
+    if gap == 0 or ignore_na:
+        return alpha * x + beta * y
+    weight = beta ** (gap + 1)
+    return (weight * y + alpha * x) / (weight + alpha)
+
+
+def _fold(xs, alpha, ignore_na, y, gap):
+    """(states after each x, last state, NULLs after the last value); an undefined y (NaN) starts at the first value."""
     out = []
     for x in xs:
         if x == x:  # not NaN
-            y = x if y != y else alpha * x + beta * y
+            y = x if y != y else _step(y, gap, x, alpha, ignore_na)
+            gap = 0
+        else:
+            gap += 1
         out.append(y)
-    return out, y
+    return out, y, gap
+
 
+def _block_states(alphas: list[float], tags: list[str], ignore_na: bool):
+    """pandas function: per block and column, what its end state needs of the entering state.
 
-def _block_maps(alphas: list[float], cols: list[str], tags: list[str]):
-    """pandas function: per block and column, (l, d): y_end = d*y_start + l for a defined
-    entering state, and f: the block's own fold from an undefined state."""
+    ``n`` rows; ``lead`` NULLs before the first value ``x``; from the state y after that value the block
+    ends at ``d * y + l``, followed by ``trail`` NULLs.  Without any value x is NULL.
+    """
     import numpy as np
     import pandas as pd
 
     def fn(key, pdf):
         pdf = pdf.sort_values(G)
         row = {"__s": key[0], BLK: key[1]}
-        for c, a, t in zip(cols, alphas, tags):
-            b = 1.0 - a
-            xs = pdf[c].to_numpy(dtype="float64", na_value=np.nan)
-            l, d = 0.0, 1.0
-            for x in xs:
+        for a, t in zip(alphas, tags):
+            xs = pdf[f"__x_{t}"].to_numpy(dtype="float64", na_value=np.nan)
+            at = np.flatnonzero(xs == xs)
+            row[f"__n_{t}"], row[f"__lead_{t}"] = len(xs), int(at[0]) if len(at) else len(xs)
+            row[f"__v_{t}"] = float(xs[at[0]]) if len(at) else None
+            l, d, gap = 0.0, 1.0, 0
+            for x in xs[at[0] + 1:].tolist() if len(at) else ():
                 if x == x:
-                    l = a * x + b * l
-                    d = b * d
-            _, f = _fold(xs, a, b, float("nan"))
-            row[f"__l_{t}"], row[f"__d_{t}"] = l, d
-            row[f"__f_{t}"] = None if f != f else f
+                    l, d = _step(l, gap, x, a, ignore_na), _step(d, gap, 0.0, a, ignore_na)
+                    gap = 0
+                else:
+                    gap += 1
+            row[f"__l_{t}"], row[f"__d_{t}"], row[f"__trail_{t}"] = l, d, gap
         return pd.DataFrame([row])
     return fn
 
 
-def _replay(alphas: list[float], cols: list[str], outs: list[str], tags: list[str]):
-    """pandas function: replay each block from its carried entering state."""
+def _carry(alphas: list[float], tags: list[str], ignore_na: bool):
+    """pandas function: entering state and NULL count of each block of one series, in one pass over its blocks."""
+    def fn(pdf):
+        pdf = pdf.sort_values(BLK)
+        out = pdf[["__s", BLK]].copy()
+        for a, t in zip(alphas, tags):
+            y, gap, ys, gaps = float("nan"), 0, [], []
+            rows = zip(*(pdf[f"__{c}_{t}"].tolist() for c in ("n", "lead", "v", "l", "d", "trail")))
+            for n, lead, v, l, d, trail in rows:
+                ys.append(y)
+                gaps.append(gap)
+                if v is None or v != v:
+                    gap += n
+                    continue
+                y = v if y != y else _step(y, gap + lead, v, a, ignore_na)
+                y, gap = d * y + l, trail
+            out[f"__y0_{t}"], out[f"__g0_{t}"] = ys, gaps
+        return out
+    return fn
+
+
+def _replay(alphas: list[float], tags: list[str], ignore_na: bool):
+    """pandas function: the states of a block from its entering state."""
     import numpy as np
 
     def fn(pdf):
         pdf = pdf.sort_values(G)
-        for c, a, o, t in zip(cols, alphas, outs, tags):
+        out = pdf[[G]].copy()
+        for a, t in zip(alphas, tags):
             y0 = pdf[f"__y0_{t}"].iloc[0]
             y0 = float("nan") if y0 is None or y0 != y0 else float(y0)
-            ys, _ = _fold(pdf[c].to_numpy(dtype="float64", na_value=np.nan), a, 1.0 - a, y0)
-            pdf[o] = ys
-        return pdf.drop(columns=[f"__y0_{t}" for t in tags])
+            xs = pdf[f"__x_{t}"].to_numpy(dtype="float64", na_value=np.nan).tolist()
+            out[f"__o_{t}"] = _fold(xs, a, ignore_na, y0, int(pdf[f"__g0_{t}"].iloc[0]))[0]
+        return out
     return fn
 
 
 def ewm_adjust_false(indexed: DataFrame, series: str, cols: list[str], alphas: list[float],
-                     outs: list[str], block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
-    """pandas ``ewm(alpha=a, adjust=False).mean()`` per series for each column.
+                     outs: list[str], block_rows: int = DEFAULT_BLOCK_ROWS, ignore_na: bool = False) -> DataFrame:
+    """pandas ``ewm(alpha=a, adjust=False, ignore_na=...).mean()`` per series for each column.
 
-    y_0 = first non-null x, then y = a*x + (1-a)*y_prev; a NULL x keeps y;
-    rows before the first non-null value are NULL.  Blocks of ``block_rows``
-    rows are folded in parallel; their entering states come from folding one
-    affine map per block.
+    y_0 = first non-null x, then y = a*x + (1-a)*y_prev; a NULL x keeps y, and with ``ignore_na=False``
+    (the pandas default) the weight of y decays through the gap; rows before the first non-null value are
+    NULL.  Blocks of ``block_rows`` rows are folded in parallel over (position, value) only; their entering
+    states come from one pass over one row per block.
     """
     tags = [f"e{i}" for i in range(len(cols))]
-    df = indexed.withColumn("__s", F.col(series)).withColumn(BLK, F.floor(F.col(G) / block_rows))
-    map_fields = ["__s string", f"{BLK} long"]
-    for t in tags:
-        map_fields += [f"__l_{t} double", f"__d_{t} double", f"__f_{t} double"]
-    maps = (df.select("__s", BLK, G, *sorted(set(cols))).groupBy("__s", BLK)
-            .applyInPandas(_block_maps(alphas, cols, tags), ", ".join(map_fields)))
-    # entering state of each block: fold the maps of the earlier blocks of the series
-    # (one row per block: rows / block_rows entries)
-    w = Window.partitionBy("__s").orderBy(BLK).rowsBetween(Window.unboundedPreceding, -1)
-    carry_cols = []
+    keyed = indexed.select(F.col(series).alias("__s"), F.floor(F.col(G) / block_rows).alias(BLK), G,
+                           *[F.col(c).cast("double").alias(f"__x_{t}") for c, t in zip(cols, tags)])
+    fields = ["__s string", f"{BLK} long"]
     for t in tags:
-        prev = F.collect_list(F.struct(F.col(BLK).alias("b"), F.col(f"__l_{t}").alias("l"),
-                                       F.col(f"__d_{t}").alias("d"), F.col(f"__f_{t}").alias("f"))).over(w)
-        ordered = F.array_sort(prev)
-        start = F.aggregate(ordered, F.lit(None).cast("double"),
-                            lambda acc, m: F.when(acc.isNull(), m["f"]).otherwise(m["d"] * acc + m["l"]))
-        carry_cols.append(start.alias(f"__y0_{t}"))
-    carry = maps.select("__s", BLK, *carry_cols)
-    joined = df.join(carry, ["__s", BLK])
-    fields = [f for f in joined.schema.fields if not f.name.startswith("__y0_")]
-    schema = T.StructType(fields + [T.StructField(o, T.DoubleType()) for o in outs])
-    res = joined.groupBy("__s", BLK).applyInPandas(_replay(alphas, cols, outs, tags), schema)
-    for o in outs:
-        res = res.withColumn(o, F.when(~F.isnan(o), F.col(o)))
-    # the Python passes are the expensive part: materialise once for two-pass consumers
-    return checkpoint(res.drop("__s", BLK))
+        fields += [f"__n_{t} long", f"__lead_{t} long", f"__v_{t} double", f"__l_{t} double", f"__d_{t} double",
+                   f"__trail_{t} long"]
+    kind = keyed.schema["__s"].dataType.simpleString()
+    fields[0] = f"__s {kind}"
+    states = keyed.groupBy("__s", BLK).applyInPandas(_block_states(alphas, tags, ignore_na), ", ".join(fields))
+    carry_fields = [f"__s {kind}", f"{BLK} long"] + [f"__y0_{t} double, __g0_{t} long" for t in tags]
+    # one row per block of a series: rows / block_rows of them
+    carry = states.groupBy("__s").applyInPandas(_carry(alphas, tags, ignore_na), ", ".join(carry_fields))
+    replayed = written(keyed.join(carry, ["__s", BLK]).groupBy("__s", BLK).applyInPandas(
+        _replay(alphas, tags, ignore_na), ", ".join([f"{G} long"] + [f"__o_{t} double" for t in tags])), "ewm")
+    values = [F.when(~F.isnan(f"__o_{t}"), F.col(f"__o_{t}")).alias(o) for t, o in zip(tags, outs)]
+    return indexed.join(replayed.select(F.col(G), *values), G)
 
 
 def ema_span(indexed: DataFrame, series: str, col: str, span: int, out: str | None = None,

@@ -1,8 +1,8 @@
 """Descriptive statistics, scaling, imputation and tests.
 
 Everything is a grouped aggregate (partial aggregation before the shuffle) or
-a join of the rows to a per-group statistics table, attached through a size
-check (``attach_small``).  Exact quantiles avoid ``percentile``, which holds
+a join of the rows to a per-group statistics table, which is broadcast when it
+is small (``attach_small`` counts it first).  Exact quantiles avoid ``percentile``, which holds
 a group's values in one task: the values are range-sorted once, given their
 global position, and only the rows at the needed positions are read back.
 """
@@ -14,7 +14,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bankspark.operators.joins import attach_small
+from bankspark.operators.joins import attach_one, attach_small
 from bankspark.operators.series import G, with_index
 
 _ONE = "__one"
@@ -87,8 +87,11 @@ def histogram(df: DataFrame, value: str, bins: int = 30, group: str | None = Non
                            F.count(F.lit(1)).alias("__N"))
     xb = attach_small(x, rng, g)
     span = F.col("__hi") - F.col("__lo")
-    b = F.when(span == 0, F.lit(1)).otherwise(
-        F.least(F.floor((F.col(value) - F.col("__lo")) / span * bins) + 1, F.lit(bins))).cast("int")
+    edge = lambda i: F.col("__lo") + i * (span / bins)
+    guess = F.least(F.floor((F.col(value) - F.col("__lo")) / span * bins) + 1, F.lit(bins)).cast("int")
+    # the quotient may round across an edge: the edges themselves decide, as in numpy
+    b = F.when(span == 0, F.lit(1)).when(F.col(value) < edge(guess - 1), guess - 1).when(
+        (F.col(value) >= edge(guess)) & (guess < bins), guess + 1).otherwise(guess)
     counts = xb.groupBy(g, b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
     grid = rng.select(g, "__lo", "__hi", "__N", F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin"))
     width = (F.col("__hi") - F.col("__lo")) / bins
@@ -189,14 +192,12 @@ def minmax_inverse(df: DataFrame, col: str, fitted: DataFrame, group: str | None
 
 
 def anova_oneway(df: DataFrame, value: str, group: str) -> DataFrame:
-    """One-way ANOVA: F, df_between, df_within from per-group sums (two passes, centred)."""
+    """One-way ANOVA: F, df_between, df_within from one aggregate per group."""
     x = df.select(group, value).filter(F.col(value).isNotNull())
-    gm = x.groupBy(group).agg(F.count(F.lit(1)).alias("__n"), F.avg(value).alias("__m"))
-    per = attach_small(x, gm, group).groupBy(group, "__n", "__m").agg(
-        F.sum((F.col(value) - F.col("__m")) * (F.col(value) - F.col("__m"))).alias("__ssw"))
-    per = per.withColumn("__k", F.lit(1))
-    grand = per.groupBy("__k").agg((F.sum(F.col("__n") * F.col("__m")) / F.sum("__n")).alias("__grand"))
-    per = attach_small(per, grand, "__k")
+    per = x.groupBy(group).agg(F.count(F.lit(1)).alias("__n"), F.avg(value).alias("__m"),
+                               (F.var_pop(value) * F.count(F.lit(1))).alias("__ssw"))
+    grand = per.agg((F.sum(F.col("__n") * F.col("__m")) / F.sum("__n")).alias("__grand"))
+    per = attach_one(per, grand)
     dev = F.col("__m") - F.col("__grand")
     tot = per.agg(F.sum("__n").alias("N"), F.count(F.lit(1)).alias("k"),
                   F.sum(F.col("__n") * dev * dev).alias("ssb"), F.sum("__ssw").alias("ssw"))
@@ -287,12 +288,9 @@ def regression_metrics(df: DataFrame, y: str, yhat: str, group: str | None = Non
     """MSE, RMSE, MAE and R^2 = 1 - SSE/SST over rows with both values."""
     d, g = _group(df, group)
     x = d.filter(F.col(y).isNotNull() & F.col(yhat).isNotNull())
-    mean_y = x.groupBy(g).agg(F.avg(y).alias("__ybar"))
-    x = attach_small(x, mean_y, g)
     err = F.col(y) - F.col(yhat)
-    dev = F.col(y) - F.col("__ybar")
     m = x.groupBy(g).agg(F.avg(err * err).alias("mse"), F.avg(F.abs(err)).alias("mae"),
-                         F.sum(err * err).alias("__sse"), F.sum(dev * dev).alias("__sst"),
+                         F.sum(err * err).alias("__sse"), (F.var_pop(y) * F.count(y)).alias("__sst"),
                          F.count(F.lit(1)).alias("n"))
     m = m.select(g, "n", "mse", F.sqrt("mse").alias("rmse"), "mae",
                  (F.lit(1.0) - F.try_divide(F.col("__sse"), F.col("__sst"))).alias("r2"))

@@ -2,11 +2,10 @@
 
 Plan: each fact is scanned once for the month to date (the ``day_key``
 range filter reaches the parquet scan, and prunes partitions when the fact
-is partitioned by ``day_key``).  Every row is tagged with the three ids it
-feeds (tenor, segment, side total) and exploded before one aggregation by
-``(day_key, funding_id)`` whose map-side partial aggregate shrinks the data
-to (#days x #ids) rows before the shuffle.  A second, tiny aggregation by
-``funding_id`` yields the day's figures and the month average of daily
+is partitioned by ``day_key``).  Rows are summed by (day, tenor, segment),
+with partial sums before the shuffle; only those few sums are repeated for
+the three ids they feed (tenor, segment, side total) and summed by
+``(day_key, funding_id)``.  A last, tiny aggregation by ``funding_id`` yields the day's figures and the month average of daily
 sums.  Twelve fact scans and six unions of the original become one scan per
 side and one shuffle of a few hundred rows.
 """
@@ -30,18 +29,22 @@ OUTPUT_COLUMNS = ("day_key", "process_dt", "funding_id", "interest_rate", "vof_r
 
 def _side(fact: DataFrame, first_key: int, day: int, side_rate: str, segment_col: str,
           segment_ids: tuple[int, int], total_id: int) -> DataFrame:
-    zero = F.lit(None).cast(RATE)
-    rate = F.col(side_rate).cast(RATE)
-    return (fact.filter(F.col("day_key").between(first_key, day))
-            .select(
-                F.col("day_key"),
-                F.explode(F.array(F.col("funding_id").cast("int"),
-                                  segment_id(F.col(segment_col), segment_ids),
-                                  F.lit(total_id))).alias("funding_id"),
-                F.col("interest_rate").cast(RATE).alias("interest_rate"),
-                (rate if side_rate == "vof_rate" else zero).alias("vof_rate"),
-                (rate if side_rate == "cof_rate" else zero).alias("cof_rate"),
-                F.col("balance").cast("decimal(20,0)").alias("balance")))
+    """Sums per (day, id) of one side: rows are summed by (day, tenor, segment) first, and only those
+    few sums are repeated for the tenor, the segment and the side's total."""
+    on_day = F.col("day_key") == day
+
+    def rate(name: str, out: str):
+        c = F.when(on_day, F.col(name).cast(RATE)) if name in fact.columns and name in ("interest_rate", side_rate) \
+            else F.lit(None).cast(RATE)
+        return [F.sum(c).alias(f"{out}_s"), F.count(c).alias(f"{out}_n")]
+
+    sums = (fact.filter(F.col("day_key").between(first_key, day))
+            .groupBy("day_key", F.col("funding_id").cast("int").alias("tenor"),
+                     segment_id(F.col(segment_col), segment_ids).alias("segment"))
+            .agg(F.sum(F.col("balance").cast("decimal(20,0)")).alias("bal"),
+                 *rate("interest_rate", "ir"), *rate("vof_rate", "vof"), *rate("cof_rate", "cof")))
+    return sums.select("day_key", F.explode(F.array("tenor", "segment", F.lit(total_id))).alias("funding_id"),
+                       "bal", "ir_s", "ir_n", "vof_s", "vof_n", "cof_s", "cof_n")
 
 
 def funding_summary(deposit: DataFrame, loan: DataFrame, process_dt: _dt.date | None = None,
@@ -70,14 +73,7 @@ def funding_summary(deposit: DataFrame, loan: DataFrame, process_dt: _dt.date |
 
     on_day = F.col("day_key") == day
     per_day = rows.groupBy("day_key", "funding_id").agg(
-        F.sum("balance").alias("bal"),
-        F.sum(F.when(on_day, F.col("interest_rate"))).alias("ir_s"),
-        F.count(F.when(on_day, F.col("interest_rate"))).alias("ir_n"),
-        F.sum(F.when(on_day, F.col("vof_rate"))).alias("vof_s"),
-        F.count(F.when(on_day, F.col("vof_rate"))).alias("vof_n"),
-        F.sum(F.when(on_day, F.col("cof_rate"))).alias("cof_s"),
-        F.count(F.when(on_day, F.col("cof_rate"))).alias("cof_n"),
-    )
+        *[F.sum(c).alias(c) for c in ("bal", "ir_s", "ir_n", "vof_s", "vof_n", "cof_s", "cof_n")])
     per_id = per_day.groupBy("funding_id").agg(
         F.max(on_day).alias("present"),
         F.sum(F.when(on_day, F.col("bal"))).alias("balance"),

@@ -6,9 +6,9 @@ The original runs 28 x n aggregate queries for the NPL staging, scans the GL
 * NPL (J6): one conditional aggregation per area over the KPI snapshot.  The
   running write-off sum over months 1..n is folded into a weight: a write-off
   booked in month w is counted (n - w + 1) times.
-* GL measures (J8): one scan; each row is matched to report lines through a
-  broadcast join with the fixed measure catalogue (exact codes and code
-  prefixes as keys), then one aggregation by (line, area).  Everything after
+* GL measures (J8): one scan of the wanted accounts, summed by (account, area);
+  those sums are matched to report lines through a broadcast join with the
+  fixed measure catalogue (exact codes and code prefixes as keys).  Everything after
   that works on a cube of (#lines x #areas) rows, materialised once.
 * Allocation (J9-J11), rollups (J12), ratios (J13): joins and a pivot over
   frames bounded by (#lines x #areas), pinned to one partition so they need
@@ -31,7 +31,6 @@ from bankspark.functions.exact import div_round
 from bankspark.functions.scalars import area_code_of, default_month
 from bankspark.plans import catalogue as cat
 from bankspark.session import checkpoint, checkpoint_all
-from bankspark.sources.roles import AREAS
 
 MONEY = "decimal(38,2)"
 DEFAULT_YEAR = 2023
@@ -62,11 +61,16 @@ def npl_by_area(loan_kpi: DataFrame, city: DataFrame, area: DataFrame, month: in
         "write_off_balance_principal", "max_bucket")
     weight = (F.lit(last + 1) - F.col("write_off_month")).cast("decimal(10,0)")
     bad = F.col("max_bucket") > 2
-    total = (F.when(in_kpi, F.col("outstanding_principal")).otherwise(0)
-             + F.when(in_wo, F.col("write_off_balance_principal") * weight).otherwise(0))
-    agg = kpi.groupBy("area_code").agg(
-        F.sum(total).cast(MONEY).alias("t"),
-        F.sum(F.when(bad, total)).cast(MONEY).alias("x"))
+    held = F.when(in_kpi, F.col("outstanding_principal"))
+    written_off = F.when(in_wo, F.col("write_off_balance_principal") * weight)
+
+    def total(which):
+        # each term is summed apart: a NULL amount of one does not take the other with it
+        parts = [F.coalesce(F.sum(which(v)), F.lit(0)).cast(MONEY) for v in (held, written_off)]
+        return (parts[0] + parts[1]).cast(MONEY)
+
+    agg = kpi.groupBy("area_code").agg(total(lambda v: v).alias("t"),
+                                       total(lambda v: F.when(bad, v)).alias("x"))
     # every report area gets a row, as the original loops over the area list
     out = area.select("area_code").join(agg, "area_code", "left").select(
         "area_code",
@@ -148,14 +152,19 @@ def gl_cube(gl: DataFrame, month: int, year: int | None = None) -> DataFrame:
         cond = (F.col("transaction_date") >= F.lit(_dt.date(year, 1, 1))) & \
                (F.col("transaction_date") < F.lit(end))
     code = F.col("account_code").cast("string")
-    keys = [F.concat(F.lit("C:"), code)]
-    keys += [F.concat(F.lit(f"P{n}:"), F.substring(code, 1, n)) for n in cat.prefix_lengths()]
-    rows = gl.filter(cond).select(F.explode(F.array(*keys)).alias("match_key"),
-                                  area_code_of(F.col("analysis_code")).alias("area_code"),
-                                  F.col("amount"))
+    codes = sorted({c for cs in cat.LINE_CODES.values() for c in cs})
+    wanted = code.isin(codes)
+    for prefix in sorted({p for ps in cat.LINE_PREFIXES.values() for p in ps}):
+        wanted = wanted | code.startswith(prefix)
+    # sums per (account, area) first: only they are matched to report lines
+    sums = (gl.filter(cond & wanted)
+            .groupBy(code.alias("code"), area_code_of(F.col("analysis_code")).alias("area_code"))
+            .agg(F.sum("amount").cast(MONEY).alias("amount")).filter(F.col("area_code").isNotNull()))
+    keys = [F.concat(F.lit("C:"), F.col("code"))]
+    keys += [F.concat(F.lit(f"P{n}:"), F.substring("code", 1, n)) for n in cat.prefix_lengths()]
     # the catalogue is a fixed list of ~70 codes: a proven-small broadcast side
-    hit = rows.join(F.broadcast(cat.measure_map(spark)), "match_key")
-    return (hit.filter(F.col("area_code").isNotNull())
+    return (sums.select(F.explode(F.array(*keys)).alias("match_key"), "area_code", "amount")
+            .join(F.broadcast(cat.measure_map(spark)), "match_key")
             .groupBy("sort_id", "area_code").agg(F.sum("amount").cast(MONEY).alias("amount")))
 
 
@@ -349,22 +358,26 @@ def report_detail(wide: DataFrame, head: DataFrame, lines: DataFrame) -> DataFra
 
 # ---- J16 driver -------------------------------------------------------------
 
+def area_names_of(area: DataFrame) -> list[str]:
+    """The area dimension's names in code order: the report has one column per name."""
+    return [r["area_name"] for r in area.select("area_code", "area_name").distinct().orderBy("area_code").collect()]
+
+
 def monthly_report(spark: SparkSession, gl: DataFrame, loan_kpi: DataFrame, city: DataFrame,
                    area: DataFrame, sales_kpi: DataFrame, month: int | None = None,
-                   year: int = DEFAULT_YEAR, gl_year: int | None = None,
+                   year: int | None = None, gl_year: int | None = None,
                    area_names: list[str] | None = None) -> dict[str, DataFrame]:
-    """All tables of ``report_monthly`` as lazy DataFrames."""
+    """All tables of ``report_monthly`` as lazy DataFrames; month and year default to today's."""
     from bankspark.plans.scorecard import person_kpis, scorecard
 
-    month = month or default_month()
+    month, year = month or default_month(), year or _dt.date.today().year
     month_key = year * 100 + month
     # each input table is scanned once; the small results are materialised side by side
     npl, cube = checkpoint_all(npl_by_area(loan_kpi, city, area, month, year), gl_cube(gl, month, gl_year))
     head = head_values(cube)
     people = person_kpis(sales_kpi, month)     # the sales table is scanned once
     measure = checkpoint(area_measures(cube, npl, people, area, month_key))
-    names = area_names or [name for _, name in AREAS]
-    wide = report_wide(measure, area, names)
+    wide = report_wide(measure, area, area_names or area_names_of(area))
     return {
         "npl": npl.drop("du_no_sum", "n_months"),
         "debt_groups": debt_groups(loan_kpi, city, year * 100 + 1, month_key),

@@ -67,9 +67,8 @@ def q_tick_windows(spark, sf_dir):
 
 
 def q_tick_latest(spark, sf_dir):
-    df = S.with_position(_indexed(spark, sf_dir), "series_id")
-    return df.filter(F.col("__pos") >= F.col("__len") - LATEST_N).select(
-        "series_id", "event_id", "close", (F.col("__len") - F.col("__pos")).cast("int").alias("back"))
+    return S.latest(Roles(spark, sf_dir).tick(), "series_id", ORDER, LATEST_N, "back").select(
+        "series_id", "event_id", "close", "back")
 
 
 def q_tick_split(spark, sf_dir):
@@ -187,11 +186,11 @@ OUT_DIGITS = {f"GDP_lag_{FEATURE_LAG}": 0}
 
 def _daily_indexed(spark, sf_dir):
     """Daily prices with macro and rate attached, as one date-ordered series."""
-    prices = _prices(spark, sf_dir).select("row_id", "Date", "Close")
+    prices = _prices(spark, sf_dir).select("row_id", "Date", "Close", F.lit("index").alias("series"))
     macro = M.macro_wide(Roles(spark, sf_dir).macro_long())
     rates = M.monthly_rate_table(_rates(spark, sf_dir))
-    daily = M.attach_macro_and_rate(prices, macro, rates).withColumn("series", F.lit("index"))
-    return S.with_index(daily, "series", ["Date", "row_id"])
+    # indexed first: the sort then carries three columns and reads one table
+    return M.attach_macro_and_rate(S.with_index(prices, "series", ["Date", "row_id"]), macro, rates)
 
 
 def q_macro_lag_corr(spark, sf_dir):

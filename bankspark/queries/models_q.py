@@ -3,6 +3,7 @@ models are checked by row counts here and by bounds and determinism in tests."""
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from bankspark.operators import models as MD
@@ -47,10 +48,8 @@ def q_macro_cluster_quality(spark, sf_dir):
 
 def q_embedding_clusters(spark, sf_dir):
     emb = Roles(spark, sf_dir).t("embeddings")
-    dims = 64
-    flat = emb.select("vec_id", "label", *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(dims)])
-    cols = [f"e{i}" for i in range(dims)]
-    lab, _, cost = MD.kmeans_canonical(flat, cols, EMB_K, 42)
+    points = emb.select("vec_id", "label", array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
+    lab, _, cost = MD.kmeans_canonical(points, None, EMB_K, 42)
     return (lab.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"),
                                        F.countDistinct("label").alias("n_labels"))
             .withColumn("inertia", F.lit(cost)))
@@ -68,33 +67,7 @@ def q_stage_macro_stats(spark, sf_dir):
     return CY.stage_macro_stats(stages)
 
 
-def q_priority_anova_test(spark, sf_dir):
-    from bankspark.operators.stats import anova_test
-    t = anova_test(Roles(spark, sf_dir).t("orders"), "o_totalprice", "o_orderpriority")
-    return spark.createDataFrame([(t["f_stat"], t["df_between"], t["df_within"], t["p_value"], t["reject_h0"])],
-                                 "f_stat double, df_between int, df_within int, p_value double, reject_h0 boolean")
-
-
-def q_orders_hash_split(spark, sf_dir):
-    o = Roles(spark, sf_dir).t("orders").select("o_orderkey")
-    return MD.hash_split(o, "o_orderkey")
-
-
-_MEMO: dict = {}
-
-
-def _memo(key, build):
-    """Per-session reuse of checkpointed features and fitted models across queries."""
-    if key not in _MEMO:
-        _MEMO[key] = build()
-    return _MEMO[key]
-
-
 def _features(spark, sf_dir):
-    return _memo(("features", id(spark), sf_dir), lambda: _build_features(spark, sf_dir))
-
-
-def _build_features(spark, sf_dir):
     ev = Roles(spark, sf_dir).t("events").select(
         F.col("event_type").alias("series_id"), "ts", "event_id", F.col("value").alias("close"),
         F.col("user_id").cast("double").alias("user_id"))
@@ -103,10 +76,8 @@ def _build_features(spark, sf_dir):
 
 
 def _fit(spark, sf_dir, trees, depth, leaf):
-    def build():
-        feats, cols = _features(spark, sf_dir)
-        return PM.forest_scores(feats, cols, "close", "event_id", trees, depth, leaf)
-    return _memo(("forest", id(spark), sf_dir, trees, depth, leaf), build)
+    feats, cols = _features(spark, sf_dir)
+    return PM.forest_scores(feats, cols, "close", "event_id", trees, depth, leaf)
 
 
 def _forest(spark, sf_dir, trees, depth, leaf):
@@ -141,8 +112,6 @@ QUERIES = {
     "embedding_clusters": q_embedding_clusters,
     "stage_close": q_stage_close,
     "stage_macro_stats": q_stage_macro_stats,
-    "priority_anova_test": q_priority_anova_test,
-    "orders_hash_split": q_orders_hash_split,
     "rf_metrics": q_rf_metrics,
     "rf_refit_metrics": q_rf_refit_metrics,
     "rf_smoothed": q_rf_smoothed,

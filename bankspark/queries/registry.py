@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from bankspark.queries import funding_q, market_q, models_q, report_q, stats_q
+from bankspark.queries import funding_q, io_q, market_q, models_q, report_q, stats_q
 
-_MODULES = [funding_q, report_q, market_q, stats_q, models_q]
+_MODULES = [funding_q, report_q, market_q, stats_q, models_q, io_q]
 
 
 def queries():

@@ -134,10 +134,10 @@ from x group by series_id, q1, median, q3, iqr"""
 
 _HIST = f"""
 with r as (select series_id, min(close) as lo, max(close) as hi, count(*) as n from v_tick group by series_id),
-b as (select t.series_id,
-             case when r.hi = r.lo then 1
-                  else cast(least(floor((t.close - r.lo) / (r.hi - r.lo) * {BINS}) + 1, {BINS}) as integer) end as bin
-      from v_tick t join r using (series_id)),
+e as (select r.series_id, unnest(range(1, {BINS})) as i, r.lo, (r.hi - r.lo) / {BINS} as width from r where r.hi > r.lo),
+b as (select t.series_id, 1 + cast((select count(*) from e where e.series_id = t.series_id
+                                    and t.close >= e.lo + e.i * e.width) as integer) as bin
+      from v_tick t where t.close is not null),
 c as (select series_id, bin, count(*) as cnt from b group by series_id, bin),
 g as (select r.*, cast(unnest(range(1, {BINS} + 1)) as integer) as bin from r)
 select g.series_id, g.bin, round(g.lo + (g.bin - 1) * ((g.hi - g.lo) / {BINS}), 6) as bin_low,

@@ -1,16 +1,16 @@
 """Sinks: append, replace one day, truncate-and-load.
 
 ``replace_day`` makes a daily job idempotent on a table partitioned by
-``day_key``: dynamic partition overwrite replaces only the touched day.  An
-empty result would leave the old rows in place under dynamic overwrite, so
-the day's directory is removed explicitly first (the original deletes the
-day before inserting).
+``day_key``: the day is computed first, then its folder is overwritten, also
+when the result is empty (the original deletes the day before inserting).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from bankspark.session import written
+
 
 def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     w = df.write.mode("append")
@@ -27,17 +27,12 @@ def overwrite(df: DataFrame, path: str, partition_by: list[str] | None = None) -
     w.parquet(path)
 
 
-def _delete_partition(spark, path: str, column: str, value) -> None:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{column}={value}")
-    fs = p.getFileSystem(conf)
-    if fs.exists(p):
-        fs.delete(p, True)
-
-
 def replace_day(df: DataFrame, path: str, day_key: int, column: str = "day_key") -> None:
-    """Delete day ``day_key`` then write ``df``'s rows for it."""
-    spark = df.sparkSession
-    _delete_partition(spark, path, column, day_key)
-    (df.filter(df[column] == day_key).write.mode("append").partitionBy(column).parquet(path))
+    """Replace the rows of day ``day_key`` by ``df``'s rows for it.
+
+    The new rows are written to the shared folder first, so a failed job or a frame that reads the
+    same table leaves the old day in place; then only the day's own folder is overwritten (with an
+    empty file if there are no rows).
+    """
+    rows = written(df.filter(df[column] == day_key).drop(column), "day")
+    rows.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{column}={day_key}")

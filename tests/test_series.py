@@ -86,11 +86,41 @@ def test_ema_block_fold_equals_pandas(spark, data):
             assert math.isclose(got[(s, e)], y, rel_tol=1e-12)
 
 
-def test_ema_null_keeps_previous(spark):
-    df = spark.createDataFrame([("s", i, v) for i, v in enumerate([None, 2.0, None, 4.0])], "sid string, t long, x double")
-    idx = S.with_index(df, "sid", ["t"], partitions=1)
-    got = [r.e for r in S.ewm_adjust_false(idx, "sid", ["x"], [0.5], ["e"], 2).orderBy("t").collect()]
-    assert got == [None, 2.0, 2.0, 3.0]
+def test_ema_across_gaps_equals_pandas(spark):
+    rng = random.Random(8)
+    values = [None, None] + [None if rng.random() < 0.4 else rng.uniform(-5, 5) for _ in range(60)]
+    df = spark.createDataFrame(list(enumerate(values)), "t long, x double").withColumn("sid", F.lit("s"))
+    idx = S.with_index(df, "sid", ["t"], partitions=3)
+    for ignore in (False, True):
+        want = pd.Series(values, dtype="float64").ewm(alpha=0.3, adjust=False, ignore_na=ignore).mean().tolist()
+        for block in (2, 7, 1000):
+            got = [r.e for r in S.ewm_adjust_false(idx, "sid", ["x"], [0.3], ["e"], block, ignore).orderBy("t").collect()]
+            assert all((g is None and w != w) or math.isclose(g, w, rel_tol=1e-12) for g, w in zip(got, want))
+    four = spark.createDataFrame(list(enumerate([1.0, 2.0, None, 4.0])), "t long, x double").withColumn("sid", F.lit("s"))
+    last = S.ewm_adjust_false(S.with_index(four, "sid", ["t"]), "sid", ["x"], [0.5], ["e"], 2).orderBy("t").collect()[-1]
+    assert math.isclose(last.e, 19 / 6)
+
+
+def test_many_blocks_carry_in_one_pass(spark):
+    df = spark.range(20_000).select(F.lit("s").alias("sid"), F.col("id").alias("t"), (F.col("id") % 17).cast("double").alias("x"))
+    idx = S.with_index(df, "sid", ["t"], partitions=4)
+    got = S.ewm_adjust_false(idx, "sid", ["x"], [0.1], ["e"], 200).orderBy("t").toPandas()["e"]
+    want = pd.Series([float(i % 17) for i in range(20_000)]).ewm(alpha=0.1, adjust=False).mean()
+    assert (got - want).abs().max() < 1e-9
+
+
+def test_stacked_operators_read_the_index_once_each(spark):
+    df = spark.range(100).select(F.lit("s").alias("sid"), F.col("id").alias("t"), F.col("id").cast("double").alias("x"))
+    idx = S.with_index(df, "sid", ["t"], partitions=2)
+    out = S.rolling_mean(S.lags(idx, "sid", ["x"], [1], 10), "sid", "x", [3], 10)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1
+
+
+def test_latest_rows(spark):
+    df = spark.createDataFrame([("a", i) for i in range(9)] + [("b", 3)], "sid string, t long")
+    got = sorted((r.sid, r.t, r.back) for r in S.latest(df, "sid", ["t"], 2).collect())
+    assert got == [("a", 7, 2), ("a", 8, 1), ("b", 3, 1)]
 
 
 def _rsi_reference(close, window=14):
