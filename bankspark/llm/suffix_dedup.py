@@ -18,7 +18,7 @@ Full suffix arrays of the corpus would take several times its size, so the array
    array: the starts of its 100-byte windows, in the order of a 64-bit fingerprint of those bytes.  It is
    merge-scanned against the existing levels, and windows that a level holds (a second 64-bit fingerprint must agree
    as well) are matches.  The windows that are new become a level; levels of equal size merge, so there are
-   logarithmically many.
+   logarithmically many.  A shard with very many windows takes them in turns by fingerprint.
 5. Runs of matching windows are byte ranges; a document's ranges meet its text and are cut out.
 
 The order within an array is that of the fingerprints, not of the bytes: only whole 100-byte matches are asked
@@ -51,7 +51,9 @@ MAX_SLOT_BITS = 28
 RANGE_BITS = 18          # slots counted by one task at a time
 HOT = 100_000            # entries of a 32-gram from which its windows travel one by one
 SHARD_ENTRIES = 150_000  # entries (before the filter) to a shard
-REMEMBERED = 400_000     # spans that a task or shard remembers
+REMEMBERED = 200_000     # spans that a task or shard remembers
+BATCH_ENTRIES = 4096     # of a new batch
+PASS_WINDOWS = 1_500_000  # windows whose fingerprints a shard holds at a time
 _BYTES = mix(np.arange(256) + 77)
 _BYTES_2 = mix(np.arange(256) + 7777)
 _LOW = np.uint64((1 << 20) - 1)
@@ -268,14 +270,15 @@ class Family:
 def _matches(travelling: DataFrame, shards: int) -> DataFrame:
     """(doc_id, lo, hi): byte ranges [lo, hi) to cut."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        family, seen = Family(), {}
+        held: list[tuple] = []  # (gram, doc_id, lo, hi, bytes, offsets) of the shard's entries, in order
+        seen: dict[int, int] = {}
         last = (-1, -1, -1)
 
         def ranges(doc, lo, hi) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(x) for x in _join_ranges(doc, lo, hi)], ["doc_id", "lo", "hi"])
 
         for b in batches:
-            doc, lo, hi = (column(b, x).to_numpy(zero_copy_only=False) for x in ("doc_id", "lo", "hi"))
+            gram, doc, lo, hi = (column(b, x).to_numpy(zero_copy_only=False) for x in ("shard", "doc_id", "lo", "hi"))
             spans = column(b, "span")
             done = spans.is_null().to_numpy(zero_copy_only=False)
             yield ranges(doc[done], lo[done], hi[done])
@@ -286,30 +289,45 @@ def _matches(travelling: DataFrame, shards: int) -> DataFrame:
                 again[0] = (doc[0], lo[0], hi[0]) == last
                 last = (doc[-1], lo[-1], hi[-1])
             rows = np.flatnonzero(~done & ~again)
-            for i in range(0, len(rows), 4096):
-                part = rows[i:i + 4096]
-                start, stop = offsets[part], offsets[part + 1]
-                base = start[0] if len(part) else 0
-                held = data[base:stop[-1]]
-                one = span_hashes(_BYTES[held], start - base, stop - base) + (stop - start).astype(np.uint64) * np.uint64(31)
-                two = span_hashes(_BYTES_2[held], start - base, stop - base)
-                if len(seen) > REMEMBERED:
-                    seen.clear()
-                whole = np.zeros(len(part), bool)  # the same bytes as an earlier entry
-                for k, (x, y) in enumerate(zip(one.tolist(), two.tolist())):
-                    whole[k] = seen.setdefault(x, y) == y if x in seen else bool(seen.update({x: y}))
-                yield ranges(doc[part[whole]], lo[part[whole]], hi[part[whole]] + WINDOW)
-                part, start = part[~whole], start[~whole] - base
-                if not len(part):
-                    continue
-                count = hi[part] - lo[part] + 1
-                window = _spread(start, count)
-                match = family.add(mix(span_hashes(_BYTES[held], window, window + WINDOW)),
-                                   span_hashes(_BYTES_2[held], window, window + WINDOW))
-                at = np.flatnonzero(match)
-                owner = np.repeat(np.arange(len(part)), count)[at]
-                s = lo[part[owner]] + window[at] - start[owner]
-                yield ranges(doc[part[owner]], s, s + WINDOW)
+            start, stop = offsets[rows], offsets[rows + 1]
+            one = span_hashes(_BYTES[data], start, stop) + (stop - start).astype(np.uint64) * np.uint64(31)
+            two = span_hashes(_BYTES_2[data], start, stop)
+            if len(seen) > REMEMBERED:
+                seen.clear()
+            whole = np.zeros(len(rows), bool)  # the same bytes as an earlier entry
+            for k, (x, y) in enumerate(zip(one.tolist(), two.tolist())):
+                whole[k] = seen.setdefault(x, y) == y if x in seen else bool(seen.update({x: y}))
+            gone = rows[whole]
+            yield ranges(doc[gone], lo[gone], hi[gone] + WINDOW)
+            rows, start, size = rows[~whole], start[~whole], (stop - start)[~whole]
+            held.append((gram[rows], doc[rows], lo[rows], hi[rows], data[_spread(start, size)], size))
+        seen.clear()
+        if not held:
+            return
+        gram, doc, lo, hi, data, size = (np.concatenate(x) for x in zip(*held))
+        held.clear()
+        # an entry whose 32-gram no other entry of the shard has matches nothing
+        _, back, count = np.unique(gram, return_inverse=True, return_counts=True)
+        keep = np.flatnonzero(count[back] > 1)
+        data = data[_spread((np.cumsum(size) - size)[keep], size[keep])]
+        doc, lo, hi, size = doc[keep], lo[keep], hi[keep], size[keep]
+        start = np.cumsum(size) - size
+        passes = np.uint64(-(-int((hi - lo + 1).sum()) // PASS_WINDOWS) or 1)
+        for turn in range(int(passes)):  # each turn takes a share of the fingerprints, so the levels stay small
+            family = Family()
+            for i in range(0, len(doc), BATCH_ENTRIES):
+                part = slice(i, i + BATCH_ENTRIES)
+                base = start[i]
+                text = data[base:(start[part] + size[part])[-1]]
+                first, number = start[part] - base, hi[part] - lo[part] + 1
+                window = _spread(first, number)
+                keys = mix(span_hashes(_BYTES[text], window, window + WINDOW))
+                own = np.flatnonzero(keys % passes == turn)
+                window, owner = window[own], np.repeat(np.arange(len(first)), number)[own]
+                match = family.add(keys[own], span_hashes(_BYTES_2[text], window, window + WINDOW))
+                window, owner = window[match], owner[match]
+                at = lo[part][owner] + window - first[owner]
+                yield ranges(doc[part][owner], at, at + WINDOW)
 
     return (travelling.repartition(shards, "shard").sortWithinPartitions("doc_id", "lo", "hi")
             .mapInArrow(run, "doc_id long, lo long, hi long"))

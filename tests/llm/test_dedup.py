@@ -136,7 +136,8 @@ def test_passages_query_matches_brute_force(spark):
 
 def test_passages_small_chunks_and_hot_grams(spark, monkeypatch):
     """Stretches of long texts, periodic text, and 32-grams that count as hot at once."""
-    for name, value in (("CHUNK", 700), ("HOT", 3), ("SHARD_ENTRIES", 40), ("REMEMBERED", 5)):
+    for name, value in (("CHUNK", 700), ("HOT", 3), ("SHARD_ENTRIES", 40), ("REMEMBERED", 5),
+                        ("BATCH_ENTRIES", 7), ("PASS_WINDOWS", 300)):
         monkeypatch.setattr(suffix_dedup, name, value)
     rng = random.Random(9)
     passage = "".join(rng.choice("abcd e\u00e9") for _ in range(260))
