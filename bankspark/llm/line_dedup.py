@@ -12,8 +12,9 @@ or more; lines are judged on the input, not on what is left.
 3. Within a word's group, pairs must pass the length filter, the positional filter (the words from the
    shared one on must suffice) and the bitmap filter (bits that differ are words that differ).  None of
    the filters drops a pair that is similar enough.
-4. The words of the remaining sets are read again and the Jaccard similarity of each pair is verified.
-5. A set's lines go if they come after the first line of the set or of any similar set.
+4. The texts of the lines in question are read again and Jaccard similarities verified: first of each line with its
+   earliest candidate in each group, then, for the lines not settled by that, with all their other candidates.
+5. A line goes if it is a later copy of a set, or the first line of a set with an earlier similar line.
 
 Defined cases: a line without words is never removed; null text is one empty line; repeated rows of a
 document share line numbers and do not remove each other; rows without doc_id come last; an empty table
@@ -29,13 +30,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bankspark.llm.arrow_text import column, list_array, slices, text_bytes
+from bankspark.llm.arrow_text import binary_array, column, list_array, slices, text_bytes
 from bankspark.llm.shingles import byte_values, word_spans
 from bankspark.llm.words import mix, span_hashes
 from bankspark.session import written
 
 PERCENT = 80
-SLOTS = 1 << 18        # of word counts
+SLOTS = 1 << 20        # of word counts
+RANGE = 1 << 14        # slots that travel together
 SPLIT = 20_000         # sets that a word's group may hold before it is split
 SEEN = 500_000         # sets that a task remembers, to deal out each once
 FILTER = 1 << 20       # slots of the filters that save reading lines again
@@ -80,79 +82,101 @@ def set_keys(words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return sums[first[1:]] - sums[first[:-1]], bits[first[1:]] ^ bits[first[:-1]], size
 
 
-def _new_sets(keys: np.ndarray, size: np.ndarray, seen: set[int]) -> np.ndarray:
-    """Places of the sets that a task has not met yet."""
-    if len(seen) > SEEN:
-        seen.clear()
-    out = []
-    for i, (k, n) in enumerate(zip(keys.tolist(), size.tolist())):
-        if n and k not in seen:
-            seen.add(k)
-            out.append(i)
-    return np.array(out, np.int64)
-
-
 def _spread(first: np.ndarray, count: np.ndarray) -> np.ndarray:
     """first[0] .. first[0] + count[0] - 1, first[1] ..., in one array."""
     return np.repeat(first - (np.cumsum(count) - count), count) + np.arange(count.sum())
 
 
+class _Seen:
+    """The sets that a task has met, each with its earliest line so far."""
+
+    def __init__(self) -> None:
+        self._known: dict[int, tuple[int, int]] = {}
+
+    def new(self, keys: np.ndarray, size: np.ndarray, doc: np.ndarray, line: np.ndarray) -> np.ndarray:
+        """Places of the sets that are new to the task, or whose line comes before the one known."""
+        known, out = self._known, []
+        if len(known) > SEEN:
+            known.clear()
+        for i, (k, n, at) in enumerate(zip(keys.tolist(), size.tolist(), zip(doc.tolist(), line.tolist()))):
+            if n and (k not in known or at < known[k]):
+                known[k] = at
+                out.append(i)
+        return np.array(out, np.int64)
+
+
+def _lines_of(batch: pa.RecordBatch, i: int, j: int, rarity: np.ndarray | None = None):
+    """(words, first, doc_id, line, lines before each text) of the texts i to j of a batch."""
+    words, first, lines = line_words(column(batch, "text").slice(i, j - i), rarity)
+    count = np.diff(lines)
+    doc = np.repeat(column(batch, "doc_id").slice(i, j - i).to_numpy(zero_copy_only=False), count)
+    return words, first, doc, np.arange(lines[-1]) - np.repeat(lines[:-1], count), lines
+
+
 def _sets(source: DataFrame) -> DataFrame:
-    """A row per document (doc_id, h, b, n: arrays over its lines) and a row per task (slots, counts)."""
+    """A row per document (doc_id, h, b, n: arrays over its lines); and, per task, word counts by ranges of slots."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, seen = np.zeros(SLOTS, np.int64), set()
-        names = ["doc_id", "h", "b", "n", "slots", "counts"]
+        counts, seen = np.zeros(SLOTS, np.int64), _Seen()
+        names = ["doc_id", "h", "b", "n", "range", "counts"]
         for batch in batches:
-            texts = column(batch, "text")
-            for i, j in slices(text_bytes(texts)[1]):
-                words, first, lines = line_words(texts.slice(i, j - i))
+            for i, j in slices(text_bytes(column(batch, "text"))[1]):
+                words, first, doc, line, lines = _lines_of(batch, i, j)
                 h, b, n = set_keys(words, first)
-                new = _new_sets(h ^ b, n, seen)
+                new = seen.new(h ^ b, n, doc, line)
                 if len(new):
                     slot = (words[_spread(first[new], n[new])] % np.uint64(SLOTS)).astype(np.int64)
-                    counts += np.bincount(slot, minlength=SLOTS)
-                none = pa.nulls(j - i, pa.list_(pa.int64()))
+                    np.add.at(counts, slot, 1)
                 yield pa.RecordBatch.from_arrays(
                     [column(batch, "doc_id").slice(i, j - i)]
-                    + [list_array(pa.array(v.view(np.int64)), lines) for v in (h, b, n.astype(np.int64))] + [none, none], names)
-        slots = np.flatnonzero(counts)
-        one = np.array([0, len(slots)])
-        none = pa.nulls(1, pa.list_(pa.int64()))
-        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), none, none, none, list_array(pa.array(slots), one),
-                                          list_array(pa.array(counts[slots]), one)], names)
-
-    return written(source.mapInArrow(run, "doc_id long, h array<long>, b array<long>, n array<long>, slots array<long>, "
-                                          "counts array<long>"), "line-sets")
+                    + [list_array(pa.array(v.view(np.int64)), lines) for v in (h, b, n.astype(np.int64))]
+                    + [pa.nulls(j - i, pa.int32()), pa.nulls(j - i, pa.binary())], names)
+        blocks = np.minimum(counts, 1 << 31).astype("<u4").reshape(-1, RANGE)
+        rows, none = len(blocks), pa.nulls(len(blocks), pa.list_(pa.int64()))
+        yield pa.RecordBatch.from_arrays([pa.nulls(rows, pa.int64()), none, none, none, pa.array(np.arange(rows, dtype=np.int32)),
+                                          pa.array([x.tobytes() for x in blocks], pa.binary())], names)
 
+    return written(source.mapInArrow(run, "doc_id long, h array<long>, b array<long>, n array<long>, range int, "
+                                          "counts binary"), "line-sets")
 
-def _rarity(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """(rarity class, word count) of each slot; at most SLOTS rows come to the driver."""
-    pairs = (sets.filter("slots is not null").select(F.explode(F.arrays_zip("slots", "counts")).alias("p"))
-             .groupBy("p.slots").agg(F.sum("p.counts").alias("c")).toPandas())
-    counts = np.zeros(SLOTS, np.int64)
-    counts[pairs["slots"].to_numpy(np.int64)] = pairs["c"].to_numpy(np.int64)
-    return np.minimum(8 * np.log2(counts + 1), 255).astype(np.uint8), counts
 
-
-def _postings(source: DataFrame, rarity: np.ndarray, counts: np.ndarray, percent: int) -> DataFrame:
-    """(word, h, b, n, place) of the prefix words of each set, once a task; a split word once per pair of its blocks."""
-    blocks = np.maximum(1, -(-counts // SPLIT))
+def _word_counts(sets: DataFrame) -> np.ndarray:
+    """Word count of each slot, over all documents; SLOTS numbers come to the driver."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for b in batches:
+            for at, data in zip(column(b, "range").to_pylist(), column(b, "counts").to_pylist()):
+                total[at] = total.get(at, 0) + np.frombuffer(data, "<u4").astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([x.tobytes() for x in total.values()],
+                                                                                      pa.binary())], ["range", "counts"])
+
+    rows = sets.filter("range is not null").select("range", "counts").repartition("range") \
+        .mapInArrow(run, "range int, counts binary").toArrow()
+    counts = np.zeros((SLOTS // RANGE, RANGE), np.int64)
+    for at, data in zip(rows["range"].to_pylist(), rows["counts"].to_pylist()):
+        counts[at] = np.frombuffer(data, np.int64)
+    return counts.reshape(-1)
+
+
+def _postings(source: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
+    """(word, doc_id, line, b, n, place) of the prefix words of each set, by its earliest line in the task; a split word
+    once per pair of its blocks."""
+    rarity = np.minimum(8 * np.log2(counts + 1), 255).astype(np.uint8)
+    blocks = np.minimum(np.maximum(1, -(-counts // SPLIT)), 1 << 15).astype(np.uint16)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
+        seen = _Seen()
         for batch in batches:
-            texts = column(batch, "text")
-            for i, j in slices(text_bytes(texts)[1]):
-                words, first, _ = line_words(texts.slice(i, j - i), rarity)
+            for i, j in slices(text_bytes(column(batch, "text"))[1]):
+                words, first, doc, line, _ = _lines_of(batch, i, j, rarity)
                 h, b, n = set_keys(words, first)
-                new = _new_sets(h ^ b, n, seen)
+                new = seen.new(h ^ b, n, doc, line)
                 if not len(new):
                     continue
                 reach = n[new] - -(-percent * n[new] // 100) + 1
                 at = _spread(first[new], reach)
                 owner = np.repeat(new, reach)
                 word, place = words[at], at - first[owner]
-                k = blocks[(word % np.uint64(SLOTS)).astype(np.int64)]
+                k = blocks[(word % np.uint64(SLOTS)).astype(np.int64)].astype(np.int64)
                 many = np.repeat(np.arange(len(at)), k)
                 other = (np.arange(len(many)) - np.repeat(np.cumsum(k) - k, k)).astype(np.uint64)
                 word, place, owner, k = word[many], place[many], owner[many], k[many].astype(np.uint64)
@@ -160,46 +184,53 @@ def _postings(source: DataFrame, rarity: np.ndarray, counts: np.ndarray, percent
                 low, high = np.minimum(block, other), np.maximum(block, other)
                 word = np.where(k > 1, mix(word + mix(low * np.uint64(1 << 32) + high)), word)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(word.view(np.int64)), pa.array(h[owner].view(np.int64)), pa.array(b[owner].view(np.int64)),
-                     pa.array(n[owner].astype(np.int32)), pa.array(place.astype(np.int32))], ["word", "h", "b", "n", "place"])
+                    [pa.array(word.view(np.int64)), pa.array(doc[owner]), pa.array(line[owner].astype(np.int32)),
+                     pa.array(b[owner].view(np.int64)), pa.array(n[owner].astype(np.int32)),
+                     pa.array(place.astype(np.int32))], ["word", "doc_id", "line", "b", "n", "place"])
 
-    return source.mapInArrow(run, "word long, h long, b long, n int, place int")
+    return source.mapInArrow(run, "word long, doc_id long, line int, b long, n int, place int")
 
 
-def candidate_pairs(word: np.ndarray, h: np.ndarray, b: np.ndarray, n: np.ndarray, place: np.ndarray,
+def candidate_pairs(word: np.ndarray, b: np.ndarray, n: np.ndarray, place: np.ndarray,
                     percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Rows (i, j) of one word that may be similar, from rows sorted by word; runs of a word are walked by distance."""
+    """Rows (i, j) of one word that may be similar, from rows sorted by (word, n); runs of a word are walked by distance."""
     left, right = [], []
     distance, i = 1, np.arange(len(word) - 1)
     while len(i):
         i = i[i + distance < len(word)]
         j = i + distance
-        same = word[i] == word[j]
-        i, j = i[same], j[same]
-        both = n[i].astype(np.int64) + n[j]
+        # length filter: the sets of a word come in the order of their size
+        near = (word[i] == word[j]) & (100 * n[i] >= percent * n[j])
+        i, j = i[near], j[near]
+        both = n[i] + n[j]
         need = -(-percent * both // (100 + percent))
-        good = 100 * np.minimum(n[i], n[j]).astype(np.int64) >= percent * np.maximum(n[i], n[j]).astype(np.int64)
-        good &= np.minimum(n[i] - place[i], n[j] - place[j]) >= need
-        good &= np.bitwise_count(b[i] ^ b[j]) <= both - 2 * need
-        good &= (h[i] != h[j]) | (b[i] != b[j])
-        left.append(i[good])
-        right.append(j[good])
+        good = np.minimum(n[i] - place[i], n[j] - place[j]) >= need
+        x, y = i[good], j[good]
+        good = np.bitwise_count(b[x] ^ b[y]) <= both[good] - 2 * need[good]
+        left.append(x[good])
+        right.append(y[good])
         distance += 1
     return np.concatenate([np.zeros(0, np.int64), *left]), np.concatenate([np.zeros(0, np.int64), *right])
 
 
 def _pairs(postings: DataFrame, percent: int) -> DataFrame:
-    """Distinct candidate pairs (h1, b1, h2, b2)."""
-    names = ["word", "h", "b", "n", "place"]
+    """Candidate pairs (doc_id, line, doc_2, line_2): a line and an earlier one; ``first`` marks the earliest of a group."""
+    names = ["word", "doc_id", "line", "b", "n", "place"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def found(table: list[np.ndarray]) -> pa.RecordBatch:
-            word, h, b, n, place = table
-            i, j = candidate_pairs(word, h, b.view(np.uint64), n, place, percent)
-            swap = (h[i] > h[j]) | ((h[i] == h[j]) & (b[i] > b[j]))
-            i, j = np.where(swap, j, i), np.where(swap, i, j)
-            rows = np.unique(np.stack([h[i], b[i], h[j], b[j]], axis=1), axis=0) if len(i) else np.zeros((0, 4), np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in rows.T], ["h1", "b1", "h2", "b2"])
+            word, doc, line, b, n, place = table
+            i, j = candidate_pairs(word, b.view(np.uint64), n.astype(np.int64), place.astype(np.int64), percent)
+            later = (doc[i] > doc[j]) | ((doc[i] == doc[j]) & (line[i] > line[j]))
+            i, j = np.where(later, i, j), np.where(later, j, i)
+            apart = (doc[i] != doc[j]) | (line[i] != line[j])
+            i, j = i[apart], j[apart]
+            order = np.lexsort((line[j], doc[j], i))
+            i, j = i[order], j[order]
+            first = np.ones(len(i), bool)
+            first[1:] = i[1:] != i[:-1]
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in (doc[i], line[i], doc[j], line[j], first)],
+                                              ["doc_id", "line", "doc_2", "line_2", "first"])
 
         held = None
         for batch in batches:
@@ -212,8 +243,8 @@ def _pairs(postings: DataFrame, percent: int) -> DataFrame:
         if held is not None and len(held[0]):
             yield found(held)
 
-    return (postings.repartition("word").sortWithinPartitions("word")
-            .mapInArrow(run, "h1 long, b1 long, h2 long, b2 long").distinct())
+    return (postings.repartition("word").sortWithinPartitions("word", "n")
+            .mapInArrow(run, "doc_id long, line int, doc_2 long, line_2 int, first boolean"))
 
 
 def _marks(rows: DataFrame, slot) -> np.ndarray:
@@ -223,8 +254,8 @@ def _marks(rows: DataFrame, slot) -> np.ndarray:
     return out
 
 
-def _words_again(source: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(doc_id, line, words) of at least the wanted lines (doc_id, line)."""
+def _line_texts(source: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(of_doc, of_line, body): the bytes of at least the wanted lines (doc_id, line)."""
     of_doc = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER))
     docs = _marks(wanted, of_doc)
     lines = _marks(wanted, F.pmod(of_doc * 31 + F.col("line") * 7919, F.lit(FILTER)))
@@ -232,59 +263,87 @@ def _words_again(source: DataFrame, wanted: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             batch = batch.filter(pa.array(docs[column(batch, "slot").to_numpy()]))
-            texts = column(batch, "text")
-            for i, j in slices(text_bytes(texts)[1]):
-                words, first, of_text = line_words(texts.slice(i, j - i))
-                text = np.repeat(np.arange(i, j), np.diff(of_text))
-                line = np.arange(len(text)) - of_text[text - i]
-                hit = np.flatnonzero(lines[(column(batch, "slot").to_numpy()[text] * 31 + line * 7919) % FILTER])
-                size = first[hit + 1] - first[hit]
+            slots, names = column(batch, "slot").to_numpy(), column(batch, "doc_id").to_numpy()
+            data, offsets = text_bytes(column(batch, "text"))
+            for i, j in slices(offsets):
+                part, cuts = data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]
+                breaks = np.flatnonzero(part == 10)
+                start = np.sort(np.concatenate([cuts[:-1], breaks + 1]), kind="stable")
+                before = np.searchsorted(breaks, cuts[:-1]) + np.arange(j - i)
+                text = np.repeat(np.arange(j - i), np.diff(np.append(before, len(start))))
+                line = np.arange(len(start)) - before[text]
+                stop = np.append(start[1:], len(part))
+                last = np.append(text[1:] != text[:-1], True)
+                stop = np.where(last, cuts[text + 1], stop - 1)
+                hit = np.flatnonzero(lines[(slots[i:j][text] * 31 + line * 7919) % FILTER])
+                size = stop[hit] - start[hit]
                 yield pa.RecordBatch.from_arrays(
-                    [column(batch, "doc_id").take(pa.array(text[hit])), pa.array(line[hit]),
-                     list_array(pa.array(words[_spread(first[hit], size)].view(np.int64)),
-                                np.concatenate([[0], np.cumsum(size)]))], ["doc_id", "line", "words"])
+                    [pa.array(names[i:j][text[hit]]), pa.array(line[hit].astype(np.int32)),
+                     binary_array(part[_spread(start[hit], size)], np.concatenate([[0], np.cumsum(size)]))],
+                    ["of_doc", "of_line", "body"])
+
+    return (source.select("doc_id", "text", of_doc.alias("slot"))
+            .mapInArrow(run, "of_doc long, of_line int, body binary").dropDuplicates(["of_doc", "of_line"]))
 
-    return source.select("doc_id", "text", of_doc.alias("slot")).mapInArrow(run, "doc_id long, line long, words array<long>")
+
+def _similar(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """(doc_id, line) of the pairs' later lines whose words are similar enough to the earlier line's."""
+    one = texts.select(F.col("of_doc").alias("doc_id"), F.col("of_line").alias("line"), F.col("body").alias("body_1"))
+    two = texts.select(F.col("of_doc").alias("doc_2"), F.col("of_line").alias("line_2"), F.col("body").alias("body_2"))
+    rows = pairs.join(one, ["doc_id", "line"]).join(two, ["doc_2", "line_2"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keep = np.zeros(b.num_rows, bool)
+            sides = []
+            for name in ("body_1", "body_2"):
+                words, first, _ = line_words(column(b, name))
+                sides.append((words, first.tolist()))
+            (w, x), (v, y) = sides
+            for k in range(b.num_rows):
+                p, q = w[x[k]:x[k + 1]], v[y[k]:y[k + 1]]
+                both = len(np.intersect1d(p, q, assume_unique=True))
+                keep[k] = 100 * both >= percent * (len(p) + len(q) - both)
+            mask = pa.array(keep)
+            yield pa.RecordBatch.from_arrays([column(b, n).filter(mask) for n in ("doc_id", "line")], ["doc_id", "line"])
+
+    return rows.select("doc_id", "line", "body_1", "body_2").mapInArrow(run, "doc_id long, line int")
 
 
 def line_duplicates(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_lines, removed (line numbers from 0, ascending)."""
     source = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)).alias("doc_id"), F.col(text_col).alias("text"))
     sets = _sets(source)
-    rarity, counts = _rarity(sets)
+    pairs = written(_pairs(_postings(source, _word_counts(sets), percent), percent), "pairs")
+    # the earliest candidate of each group settles most lines; only the others look at all their candidates
+    once = written(pairs.filter("first").drop("first").distinct(), "pairs")
+    near = [_settled(source, once, percent)]
+    settled = near[0].withColumnsRenamed({"doc_id": "d", "line": "k"})
+    rest = written(pairs.filter("not first").drop("first")
+                   .join(settled, (pairs["doc_id"] == settled["d"]) & (pairs["line"] == settled["k"]), "left_anti").distinct(),
+                   "pairs")
+    near.append(_settled(source, rest, percent))
+
     lines = (sets.filter("h is not null").select("doc_id", F.posexplode(F.arrays_zip("h", "b", "n")).alias("line", "s"))
-             .select("doc_id", F.col("line").cast("long").alias("line"), "s.h", "s.b", "s.n"))
-    firsts = written(lines.filter("n > 0").groupBy("h", "b").agg(
-        F.min(F.struct("doc_id", "line")).alias("first"), F.max(F.struct("doc_id", "line")).alias("last")), "firsts")
-    pairs = written(_pairs(_postings(source, rarity, counts, percent), percent), "pairs")
-
-    ends = pairs.select(F.col("h1").alias("x"), F.col("b1").alias("y")).unionByName(
-        pairs.select(F.col("h2").alias("x"), F.col("b2").alias("y"))).distinct()
-    wanted = written(firsts.join(ends, (firsts["h"] == ends["x"]) & (firsts["b"] == ends["y"]))
-                     .select("h", "b", F.col("first.doc_id").alias("doc_id"), F.col("first.line").alias("line")), "wanted")
-    again = _words_again(source, wanted).dropDuplicates(["doc_id", "line"])
-    held = written(wanted.join(again, ["doc_id", "line"]).select("h", "b", F.struct("doc_id", "line").alias("first"), "words"),
-                   "wanted")
-    x = held.select(F.col("h").alias("h1"), F.col("b").alias("b1"), F.col("first").alias("f1"), F.col("words").alias("w1"))
-    y = held.select(F.col("h").alias("h2"), F.col("b").alias("b2"), F.col("first").alias("f2"), F.col("words").alias("w2"))
-    both = F.size(F.array_intersect("w1", "w2"))
-    links = written(pairs.join(x, ["h1", "b1"]).join(y, ["h2", "b2"])
-                    .filter(100 * both >= percent * (F.size("w1") + F.size("w2") - both))
-                    .select(F.when(F.col("f1") < F.col("f2"), F.col("h2")).otherwise(F.col("h1")).alias("h"),
-                            F.when(F.col("f1") < F.col("f2"), F.col("b2")).otherwise(F.col("b1")).alias("b"),
-                            F.least("f1", "f2").alias("first")), "links")
-    # the earliest line of a set or of a similar one; sets with a single line and no earlier match need none
-    best = written(firsts.filter("first < last").select("h", "b", "first").unionByName(links)
-                   .groupBy("h", "b").agg(F.min("first").alias("best")).select(F.col("h").alias("x"), F.col("b").alias("y"), "best"),
-                   "best")
-    late = (lines.join(best, (lines["h"] == best["x"]) & (lines["b"] == best["y"]))
-            .filter((lines["n"] > 0) & (F.struct("doc_id", "line") > F.col("best"))).select("doc_id", "line"))
-    late = written(late, "late").distinct().groupBy("doc_id").agg(F.sort_array(F.collect_list("line")).alias("removed"))
+             .filter("s.n > 0").select("doc_id", "line", "s.h", "s.b"))
+    firsts = written(lines.groupBy("h", "b").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count(F.lit(1)).alias("m"))
+                     .filter("m > 1").select(F.col("h").alias("x"), F.col("b").alias("y"), "first"), "firsts")
+    copies = (lines.join(firsts, (lines["h"] == firsts["x"]) & (lines["b"] == firsts["y"]))
+              .filter(F.struct("doc_id", "line") > F.col("first")).select("doc_id", "line"))
+    late = (copies.unionByName(near[0]).unionByName(near[1]).distinct()
+            .groupBy("doc_id").agg(F.sort_array(F.collect_list(F.col("line").cast("bigint"))).alias("removed")))
     out = sets.filter("h is not null").select("doc_id", F.size("h").cast("long").alias("n_lines")).join(late, "doc_id", "left")
     return out.select(F.when(F.col("doc_id") != _LAST, F.col("doc_id")).alias("doc_id"), "n_lines",
                       F.coalesce("removed", F.array().cast("array<bigint>")).alias("removed"))
 
 
+def _settled(source: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """(doc_id, line) of the later lines of similar pairs."""
+    wanted = pairs.select("doc_id", "line").unionByName(
+        pairs.select(F.col("doc_2").alias("doc_id"), F.col("line_2").alias("line"))).distinct()
+    return written(_similar(pairs, _line_texts(source, written(wanted, "wanted")), percent).distinct(), "settled")
+
+
 def drop_lines(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents, all columns, without the removed lines; a document that loses no line is unchanged."""
     gone = line_duplicates(docs, percent, id_col, text_col).filter("size(removed) > 0 and doc_id is not null")
