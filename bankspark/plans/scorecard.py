@@ -34,17 +34,21 @@ KPIS = (("loan_to_new", "ltn_avg", "rank_ltn_avg"), ("psdn", "psdn_avg", "rank_p
         ("app_rate", "approval_rate_avg", "rank_approval_rate_avg"))
 
 
-def _kpi_ranks(per_person: DataFrame) -> dict[str, DataFrame]:
-    """The three KPI averages ranked DESC NULLS FIRST over all persons, in one ranking pass."""
+def _kpi_ranks(per_person: DataFrame) -> DataFrame:
+    """The three KPI averages ranked DESC NULLS FIRST over all persons, in one ranking pass, and brought back to
+    (email, area) in one aggregate; persons that share email and area give every combination of their values,
+    as the original's joins do."""
     stacked = per_person.select(
         "email", "area_name",
         F.explode(F.array(*[F.struct(F.lit(avg).alias("metric"), F.col(avg).alias("v"))
                             for _, avg, _ in KPIS])).alias("m")
     ).select("email", "area_name", "m.metric", "m.v")
-    ranked = checkpoint(global_rank(stacked, "v", "r", ascending=False, nulls_first=True, by=["metric"]))
-    return {avg: ranked.filter(F.col("metric") == avg).select("email", "area_name", F.col("v").alias(avg),
-                                                              F.col("r").alias(rk))
-            for _, avg, rk in KPIS}
+    ranked = global_rank(stacked, "v", "r", ascending=False, nulls_first=True, by=["metric"])
+    out = ranked.groupBy("email", "area_name").agg(*[
+        F.collect_list(F.when(F.col("metric") == avg, F.struct("v", "r"))).alias(avg) for _, avg, _ in KPIS])
+    for _, avg, rk in KPIS:
+        out = out.withColumn(avg, F.explode(avg)).withColumn(rk, F.col(avg)["r"]).withColumn(avg, F.col(avg)["v"])
+    return out
 
 
 def _rank_by_area(joined: DataFrame, value: str, out: str, ascending: bool,
@@ -105,11 +109,9 @@ def scorecard(people: DataFrame, area: DataFrame, npl: DataFrame, measure: DataF
     per_person = people.filter(F.col("ytd_rows") > 0).select(
         "sale_name", "email", "area_name",
         *[ratio(F.col(f"{avg}__s"), F.col(f"{avg}__n")).alias(avg) for _, avg, _ in KPIS])
-    kr = _kpi_ranks(per_person)
-    b, c, d = kr["ltn_avg"], kr["psdn_avg"], kr["approval_rate_avg"]
     keys = ["email", "area_name"]
     # npl and the ratio lines hold one row per area: broadcast sides of a proven bound
-    joined = (persons.join(b, keys).join(c, keys).join(d, keys)
+    joined = (persons.join(_kpi_ranks(per_person), keys)
               .join(F.broadcast(npl.select("area_code", F.col("rate").alias("npl_truoc_wo_luy_ke"))),
                     "area_code"))
     joined = joined.join(F.broadcast(_area_ratio_ranks(measure)), "area_name", "left")
