@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from bankspark.functions.exact import div_round
 from bankspark.functions.scalars import area_code_of, default_month
+from bankspark.operators.joins import attach_small
 from bankspark.plans import catalogue as cat
 from bankspark.session import checkpoint, checkpoint_all
 
@@ -40,6 +41,11 @@ def _leaf_lines() -> list[int]:
     return sorted(set(cat.LINE_CODES) | set(cat.LINE_PREFIXES))
 
 
+def _in_area(loan_kpi: DataFrame, city: DataFrame, column: str) -> DataFrame:
+    """Loans of known provinces with a column of the province dimension (broadcast while it is small)."""
+    return attach_small(loan_kpi, city.select(F.col("tinh").alias("pos_city"), column), "pos_city")
+
+
 # ---- J6 NPL ratio by area --------------------------------------------------
 
 def npl_by_area(loan_kpi: DataFrame, city: DataFrame, area: DataFrame, month: int,
@@ -55,8 +61,7 @@ def npl_by_area(loan_kpi: DataFrame, city: DataFrame, area: DataFrame, month: in
     in_wo = F.col("write_off_month").between(first, last)
     # rows outside both windows add nothing: drop them before the join (pushed to the scan)
     relevant = loan_kpi.filter(in_kpi | in_wo)
-    # the province dimension is bounded by the country's provinces: broadcast
-    kpi = relevant.join(F.broadcast(city), relevant.pos_city == city.tinh).select(
+    kpi = _in_area(relevant, city, "area_code").select(
         F.col("area_code"), "kpi_month", "outstanding_principal", "write_off_month",
         "write_off_balance_principal", "max_bucket")
     weight = (F.lit(last + 1) - F.col("write_off_month")).cast("decimal(10,0)")
@@ -111,7 +116,7 @@ def cumulative_write_offs(loan_kpi: DataFrame, city: DataFrame, area: DataFrame,
                           year: int = DEFAULT_YEAR) -> DataFrame:
     """Per area and month m = 1..n: write-offs booked in months 1..m, all loans and bucket > 2
     (the ``vwo_balance`` / ``vwo_balance_xau`` of each loop step of J6)."""
-    wo = loan_kpi.join(F.broadcast(city), loan_kpi.pos_city == city.tinh).select(
+    wo = _in_area(loan_kpi, city, "area_code").select(
         "area_code", F.col("write_off_month").alias("month_key"),
         F.col("write_off_balance_principal").alias("wo"),
         F.when(F.col("max_bucket") > 2, F.col("write_off_balance_principal")).alias("wo_bad"))
@@ -122,13 +127,15 @@ def cumulative_write_offs(loan_kpi: DataFrame, city: DataFrame, area: DataFrame,
 # ---- J7 debt groups --------------------------------------------------------
 
 def debt_groups(loan_kpi: DataFrame, city: DataFrame, first_month_key: int,
-                last_month_key: int) -> DataFrame:
-    """du_no_sau_wo: outstanding by area and month, split by bucket group 1, 2, 3-5."""
+                last_month_key: int, region_col: str = "area_code") -> DataFrame:
+    """du_no_sau_wo: outstanding by area and month, split by bucket group 1, 2, 3-5.
+
+    ``region_col``: the column of the province dimension to group by, where it has a region beside the area."""
     b = F.coalesce(F.col("max_bucket"), F.lit(1))
     op = F.col("outstanding_principal")
     kpi = loan_kpi.filter(F.col("kpi_month").between(first_month_key, last_month_key))
-    return (kpi.join(F.broadcast(city), kpi.pos_city == city.tinh)
-            .groupBy(F.col("area_code").alias("area"), "kpi_month")
+    return (_in_area(kpi, city, region_col)
+            .groupBy(F.col(region_col).alias("area"), "kpi_month")
             .agg(F.sum(op).alias("du_no_ck"),
                  F.sum(F.when(b == 1, op).otherwise(0)).alias("du_no_nhom_1"),
                  F.sum(F.when(b == 2, op).otherwise(0)).alias("du_no_nhom_2"),
@@ -366,7 +373,7 @@ def area_names_of(area: DataFrame) -> list[str]:
 def monthly_report(spark: SparkSession, gl: DataFrame, loan_kpi: DataFrame, city: DataFrame,
                    area: DataFrame, sales_kpi: DataFrame, month: int | None = None,
                    year: int | None = None, gl_year: int | None = None,
-                   area_names: list[str] | None = None) -> dict[str, DataFrame]:
+                   area_names: list[str] | None = None, region_col: str = "area_code") -> dict[str, DataFrame]:
     """All tables of ``report_monthly`` as lazy DataFrames; month and year default to today's."""
     from bankspark.plans.scorecard import person_kpis, scorecard
 
@@ -380,7 +387,7 @@ def monthly_report(spark: SparkSession, gl: DataFrame, loan_kpi: DataFrame, city
     wide = report_wide(measure, area, area_names or area_names_of(area))
     return {
         "npl": npl.drop("du_no_sum", "n_months"),
-        "debt_groups": debt_groups(loan_kpi, city, year * 100 + 1, month_key),
+        "debt_groups": debt_groups(loan_kpi, city, year * 100 + 1, month_key, region_col),
         "head": head,
         "measure": measure,
         "report": wide,

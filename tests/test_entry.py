@@ -8,7 +8,7 @@ from tests.conftest import SF001
 def test_entry_smoke(spark):
     df = entry.entry(spark)
     rows = df.collect()
-    assert len(rows) >= 0
+    assert len(rows) == 25 and len({r.funding_id for r in rows}) == 25
     assert df.columns == ["day_key", "process_dt", "funding_id", "interest_rate", "vof_rate", "cof_rate",
                           "balance", "avg_balance_month"]
 

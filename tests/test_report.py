@@ -182,3 +182,27 @@ def test_monthly_running_total_dense_grid(spark):
     got = {(r.key, r.mk): r.v_cum for r in rp.monthly_running_total(df, ["key"], "mk", ["v"], 202311, 202402).collect()}
     assert got == {("k", 202311): 1, ("k", 202312): 1, ("k", 202401): 6, ("k", 202402): 6,
                    ("j", 202311): 0, ("j", 202312): 0, ("j", 202401): 0, ("j", 202402): 4}
+
+
+def test_report_columns_follow_the_area_dimension(spark):
+    """A dimension with names of its own fills its own columns."""
+    r = Roles(spark, SF01)
+    area = r.area().withColumn("area_name", F.concat(F.lit("Region "), F.col("area_code")))
+    sales = r.sales_kpi().withColumn("area_name", F.concat(F.lit("Region "), F.substring("area_name", -1, 1)))
+    city = r.city().withColumn("region_code", F.lit("R"))
+    tables = rp.monthly_report(spark, r.gl(), r.loan_kpi(), city, area, sales, 2, 2023, region_col="region_code")
+    names = [f"Region {c}" for c in "BCDEFGH"]
+    wide = tables["report"].collect()
+    assert tables["report"].columns == ["sort_id", *names]
+    assert all(any(row[n] is not None for row in wide) for n in names)
+    assert {x.area for x in tables["debt_groups"].collect()} == {"R"}
+
+
+def test_npl_keeps_write_offs_of_loans_without_outstanding(spark):
+    kpi = spark.createDataFrame([(202301, "P", None, 202301, Decimal("100.00"), 3), (202301, "P", Decimal("50.00"), None, None, 1)],
+                                "kpi_month int, pos_city string, outstanding_principal decimal(18,2), write_off_month int, "
+                                "write_off_balance_principal decimal(18,2), max_bucket int")
+    city = spark.createDataFrame([("P", "B")], "tinh string, area_code string")
+    area = spark.createDataFrame([("B", "x"), ("C", "y")], "area_code string, area_name string")
+    got = {x.area_code: (x.rate, float(x.du_no_sum)) for x in rp.npl_by_area(kpi, city, area, 2, 2023).collect()}
+    assert got == {"B": (0.8, 250.0), "C": (None, 0.0)}

@@ -97,3 +97,37 @@ def test_zscore_fitted_on_other_rows(spark):
     df = spark.createDataFrame([(2.0, True), (4.0, True), (10.0, False)], "x double, tr boolean")
     got = {r.x: r.x_z for r in ST.zscore(df, ["x"], fit=df.filter("tr")).collect()}
     assert got == {2.0: -1.0, 4.0: 1.0, 10.0: 7.0}
+
+
+def test_histogram_equals_numpy_on_edges(spark):
+    vals = [i / 10 for i in range(31)]
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    got = [r["count"] for r in ST.histogram(df, "v", 30).orderBy("bin").collect()]
+    assert got == np.histogram(vals, bins=30)[0].tolist()
+
+
+def test_statistics_joins_do_not_shuffle_rows(spark, monkeypatch):
+    """Whatever the planner's own broadcast limit, a counted statistics table is broadcast; a larger one is not."""
+    from bankspark.operators import joins
+    df = spark.range(2000).select((F.col("id") % 3).alias("g"), F.col("id").cast("double").alias("x"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1000")
+    try:
+        for group in ("g", None):
+            plan = ST.zscore(df, ["x"], group)._jdf.queryExecution().executedPlan().toString()
+            assert "CartesianProduct" not in plan and "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
+        few = ST.zscore(df, ["x"], "g")
+        monkeypatch.setattr(joins, "BROADCAST_ROWS", 2)
+        stats = df.groupBy("g").agg(F.avg("x").alias("m"))
+        many = joins.attach_small(df, stats, "g", rows=2)
+        assert many.count() == few.count() == 2000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_quantiles_of_large_groups_use_brackets(spark, monkeypatch):
+    monkeypatch.setattr(ST, "ACCURACY", 50)
+    rnd = random.Random(6)
+    vals = [round(rnd.expovariate(1), 2) for _ in range(3000)]
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    for r in ST.exact_quantiles(df, "v", [0.0, 0.1, 0.5, 0.99, 1.0]).collect():
+        assert math.isclose(r.quantile, float(np.percentile(vals, r.q * 100)), rel_tol=1e-12, abs_tol=1e-12)
