@@ -17,6 +17,7 @@ from bankspark.functions.exact import ratio
 from bankspark.operators.rank import global_rank
 from bankspark.session import checkpoint
 
+# fixed values: the scorecard table's columns
 SCORECARD_COLUMNS = (
     "month_key", "area_code", "area_name", "email", "tong_diem", "rank_final",
     "ltn_avg", "rank_ltn_avg", "psdn_avg", "rank_psdn_avg", "approval_rate_avg",

@@ -36,49 +36,30 @@ def q_loan_tenor_mix(spark, sf_dir):
             .agg(F.count("*").alias("n_accounts"), F.sum("balance").alias("balance")))
 
 
-def _branch(fact: str, id_expr: str, side: str) -> str:
-    """One branch of the original union: day figures left-joined to the month average."""
-    vof = "x.vof_rate" if side == "dp" else "0.0"
-    cof = "0.0" if side == "dp" else "x.cof_rate"
-    own = "vof_rate" if side == "dp" else "cof_rate"
-    grp = f"group by {id_expr}" if id_expr != "1" and id_expr != "2" else ""
-    gd = f"group by day_key, {id_expr}" if grp else "group by day_key"
-    on = "x.funding_id = y.funding_id"
-    return f"""
-select {DAY_KEY} as day_key, cast(date '2023-12-15' as varchar) as process_dt, x.funding_id,
-       x.interest_rate, {vof} as vof_rate, {cof} as cof_rate, x.balance, y.avg_balance_month
-from (select cast({id_expr} as integer) as funding_id,
-             {round_quot("sum(interest_rate) * 1000000", "count(interest_rate) * 1000000")} as interest_rate,
-             {round_quot(f"sum({own}) * 1000000", f"count({own}) * 1000000")} as {own},
-             cast(sum(balance) as bigint) as balance
-      from {fact} where day_key = {DAY_KEY} {grp}) x
-left join (select cast(funding_id as integer) as funding_id,
-                  {round_quot("sum(bal)", "count(bal)")} as avg_balance_month
-           from (select {id_expr} as funding_id, day_key, sum(balance) as bal
-                 from {fact} where day_key between {MONTH_START_KEY} and {DAY_KEY} {gd})
-           group by funding_id) y on {on}"""
-
-
 def _funding_sql() -> str:
-    seg_dp = "case when account_type = 'Business' then 17 else 18 end"
-    seg_ln = "case when customer_type = 'Business' then 32 else 33 end"
-    base = " union all ".join([
-        _branch("v_deposit", "funding_id", "dp"),
-        _branch("v_deposit", seg_dp, "dp"),
-        _branch("v_loan", "funding_id", "ln"),
-        _branch("v_loan", seg_ln, "ln"),
-        _branch("v_deposit", "1", "dp"),
-        _branch("v_loan", "2", "ln"),
-    ])
-    body = f"""
-with base as ({base})
-select * from base
-union all select day_key, process_dt, 3, interest_rate, vof_rate, cof_rate, balance, avg_balance_month from base where funding_id = 1
-union all select day_key, process_dt, 4, interest_rate, vof_rate, cof_rate, balance, avg_balance_month from base where funding_id = 1
-union all select day_key, process_dt, 5, interest_rate, vof_rate, cof_rate, balance, avg_balance_month from base where funding_id = 2
-union all select day_key, process_dt, 6, interest_rate, vof_rate, cof_rate, balance, avg_balance_month from base where funding_id = 2
-"""
-    return with_views(["v_deposit", "v_loan"], body)
+    """All ids by grouping sets over one table of both sides, then the day's row of each id beside its month."""
+    return with_views(["v_deposit", "v_loan"], f"""
+with accounts as (
+  select 0 as is_loan, day_key, funding_id as tenor, if(account_type = 'Business', 17, 18) as segment,
+         interest_rate as ir, vof_rate as own, balance from v_deposit where day_key between {MONTH_START_KEY} and {DAY_KEY}
+  union all
+  select 1, day_key, funding_id, if(customer_type = 'Business', 32, 33), interest_rate, cof_rate, balance
+  from v_loan where day_key between {MONTH_START_KEY} and {DAY_KEY}),
+daily as (
+  select is_loan, day_key, cast(case when grouping(tenor) = 0 then tenor when grouping(segment) = 0 then segment
+                                     else 1 + is_loan end as integer) as id,
+         sum(ir) as ir_sum, count(ir) as ir_n, sum(own) as own_sum, count(own) as own_n, sum(balance) as bal
+  from accounts group by grouping sets ((is_loan, day_key, tenor), (is_loan, day_key, segment), (is_loan, day_key))),
+monthly as (select id, {round_quot("sum(bal)", "count(bal)")} as avg_balance_month from daily group by id),
+rates as (
+  select id, is_loan, cast(bal as bigint) as balance, avg_balance_month,
+         {round_quot("ir_sum * 1000000", "ir_n * 1000000")} as interest_rate,
+         {round_quot("own_sum * 1000000", "own_n * 1000000")} as own
+  from daily join monthly using (id) where day_key = {DAY_KEY}),
+shown as (select id, id as funding_id from rates union all select * from (values (1, 3), (1, 4), (2, 5), (2, 6)))
+select {DAY_KEY} as day_key, cast(date '2023-12-15' as varchar) as process_dt, funding_id, interest_rate,
+       if(is_loan = 0, own, 0.0) as vof_rate, if(is_loan = 1, own, 0.0) as cof_rate, balance, avg_balance_month
+from rates join shown using (id)""")
 
 
 QUERIES = {
