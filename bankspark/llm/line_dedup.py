@@ -13,7 +13,8 @@ or more; lines are judged on the input, not on what is left.
    shared one on must suffice) and the bitmap filter (bits that differ are words that differ).  None of
    the filters drops a pair that is similar enough.
 4. The texts of the lines in question are read again and Jaccard similarities verified: first of each line with its
-   earliest candidate in each group, then, for the lines not settled by that, with all their other candidates.
+   earliest candidate in each group, then with the next few, and for lines still open, if there are any, with all
+   their other candidates.  So a group of similar lines gives rows in proportion to its size, not its square.
 5. A line goes if it is a later copy of a set, or the first line of a set with an earlier similar line.
 
 Defined cases: a line without words is never removed; null text is one empty line; repeated rows of a
@@ -41,6 +42,7 @@ RANGE = 1 << 14        # slots that travel together
 SPLIT = 20_000         # sets that a word's group may hold before it is split
 SEEN = 500_000         # sets that a task remembers, to deal out each once
 FILTER = 1 << 20       # slots of the filters that save reading lines again
+NEAREST = 3            # candidates of a line and group that are looked at before all of them
 _LAST = (1 << 63) - 1  # stands for a missing doc_id in the order of lines
 
 
@@ -157,9 +159,13 @@ def _word_counts(sets: DataFrame) -> np.ndarray:
     return counts.reshape(-1)
 
 
-def _postings(source: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
+def line_slots(doc: np.ndarray, line: np.ndarray) -> np.ndarray:
+    return (mix(mix(doc) + line.astype(np.uint64)) % np.uint64(FILTER)).astype(np.int64)
+
+
+def _postings(source: DataFrame, counts: np.ndarray, percent: int, slots: np.ndarray | None = None) -> DataFrame:
     """(word, doc_id, line, b, n, place) of the prefix words of each set, by its earliest line in the task; a split word
-    once per pair of its blocks."""
+    once per pair of its blocks.  Only words whose slots are marked, if given."""
     rarity = np.minimum(8 * np.log2(counts + 1), 255).astype(np.uint8)
     blocks = np.minimum(np.maximum(1, -(-counts // SPLIT)), 1 << 15).astype(np.uint16)
 
@@ -175,6 +181,9 @@ def _postings(source: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
                 reach = n[new] - -(-percent * n[new] // 100) + 1
                 at = _spread(first[new], reach)
                 owner = np.repeat(new, reach)
+                if slots is not None:
+                    hit = slots[(words[at] % np.uint64(SLOTS)).astype(np.int64)]
+                    at, owner = at[hit], owner[hit]
                 word, place = words[at], at - first[owner]
                 k = blocks[(word % np.uint64(SLOTS)).astype(np.int64)].astype(np.int64)
                 many = np.repeat(np.arange(len(at)), k)
@@ -191,6 +200,25 @@ def _postings(source: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
     return source.mapInArrow(run, "word long, doc_id long, line int, b long, n int, place int")
 
 
+def _prefix_slots(source: DataFrame, counts: np.ndarray, percent: int, lines: np.ndarray) -> np.ndarray:
+    """Filter of SLOTS slots with those of the marked lines' prefix words set."""
+    rarity = np.minimum(8 * np.log2(counts + 1), 255).astype(np.uint8)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, j in slices(text_bytes(column(batch, "text"))[1]):
+                words, first, doc, line, _ = _lines_of(batch, i, j, rarity)
+                n = np.diff(first)
+                some = np.flatnonzero((n > 0) & lines[line_slots(doc, line)])
+                at = _spread(first[some], n[some] - -(-percent * n[some] // 100) + 1)
+                slot = np.unique((words[at] % np.uint64(SLOTS)).astype(np.int64))
+                yield pa.RecordBatch.from_arrays([pa.array(slot)], ["slot"])
+
+    out = np.zeros(SLOTS, bool)
+    out[source.mapInArrow(run, "slot long").distinct().toPandas()["slot"].to_numpy(np.int64)] = True
+    return out
+
+
 def candidate_pairs(word: np.ndarray, b: np.ndarray, n: np.ndarray, place: np.ndarray,
                     percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Rows (i, j) of one word that may be similar, from rows sorted by (word, n); runs of a word are walked by distance."""
@@ -213,8 +241,9 @@ def candidate_pairs(word: np.ndarray, b: np.ndarray, n: np.ndarray, place: np.nd
     return np.concatenate([np.zeros(0, np.int64), *left]), np.concatenate([np.zeros(0, np.int64), *right])
 
 
-def _pairs(postings: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs (doc_id, line, doc_2, line_2): a line and an earlier one; ``first`` marks the earliest of a group."""
+def _pairs(postings: DataFrame, percent: int, lines: np.ndarray | None = None) -> DataFrame:
+    """Candidate pairs (doc_id, line, doc_2, line_2): a line and an earlier one, up to ``NEAREST`` of a group, the earliest
+    of it marked as ``first``; ``more`` if the group has further ones.  With ``lines``, all candidates of the marked lines."""
     names = ["word", "doc_id", "line", "b", "n", "place"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -227,10 +256,13 @@ def _pairs(postings: DataFrame, percent: int) -> DataFrame:
             i, j = i[apart], j[apart]
             order = np.lexsort((line[j], doc[j], i))
             i, j = i[order], j[order]
-            first = np.ones(len(i), bool)
-            first[1:] = i[1:] != i[:-1]
-            return pa.RecordBatch.from_arrays([pa.array(x) for x in (doc[i], line[i], doc[j], line[j], first)],
-                                              ["doc_id", "line", "doc_2", "line_2", "first"])
+            _, begin, count = np.unique(i, return_index=True, return_counts=True)
+            rank, more = np.arange(len(i)) - np.repeat(begin, count), np.repeat(count > NEAREST, count)
+            hit = rank < NEAREST if lines is None else lines[line_slots(doc[i], line[i])]
+            i, j = i[hit], j[hit]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(x) for x in (doc[i], line[i], doc[j], line[j], rank[hit] == 0, more[hit])],
+                ["doc_id", "line", "doc_2", "line_2", "first", "more"])
 
         held = None
         for batch in batches:
@@ -244,7 +276,7 @@ def _pairs(postings: DataFrame, percent: int) -> DataFrame:
             yield found(held)
 
     return (postings.repartition("word").sortWithinPartitions("word", "n")
-            .mapInArrow(run, "doc_id long, line int, doc_2 long, line_2 int, first boolean"))
+            .mapInArrow(run, "doc_id long, line int, doc_2 long, line_2 int, first boolean, more boolean"))
 
 
 def _marks(rows: DataFrame, slot) -> np.ndarray:
@@ -314,29 +346,53 @@ def line_duplicates(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_
     """One row per document: doc_id, n_lines, removed (line numbers from 0, ascending)."""
     source = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)).alias("doc_id"), F.col(text_col).alias("text"))
     sets = _sets(source)
-    pairs = written(_pairs(_postings(source, _word_counts(sets), percent), percent), "pairs")
-    # the earliest candidate of each group settles most lines; only the others look at all their candidates
-    once = written(pairs.filter("first").drop("first").distinct(), "pairs")
-    near = [_settled(source, once, percent)]
-    settled = near[0].withColumnsRenamed({"doc_id": "d", "line": "k"})
-    rest = written(pairs.filter("not first").drop("first")
-                   .join(settled, (pairs["doc_id"] == settled["d"]) & (pairs["line"] == settled["k"]), "left_anti").distinct(),
-                   "pairs")
-    near.append(_settled(source, rest, percent))
+    counts = _word_counts(sets)
+    pairs = written(_pairs(_postings(source, counts, percent), percent), "pairs")
+    # the earliest candidate of each group settles most lines, the next few nearly all others; lines that are still open
+    # and have further candidates are dealt out again, by themselves, and look at all of them
+    ends = ["doc_id", "line", "doc_2", "line_2"]
+    near = _settled(source, written(pairs.filter("first").select(*ends).distinct(), "pairs"), percent)
+    rest = written(_open(pairs.filter("not first").select(*ends), near).distinct(), "pairs")
+    near = near.unionByName(_settled(source, rest, percent))
+    left = written(_open(pairs.filter("more").select("doc_id", "line").distinct(), near), "open")
+    if not left.isEmpty():
+        lines = _line_marks(left)
+        slots = _prefix_slots(source, counts, percent, lines)
+        last = written(_pairs(_postings(source, counts, percent, slots=slots), percent, lines).select(*ends).distinct(), "pairs")
+        near = near.unionByName(_settled(source, last, percent))
 
     lines = (sets.filter("h is not null").select("doc_id", F.posexplode(F.arrays_zip("h", "b", "n")).alias("line", "s"))
              .filter("s.n > 0").select("doc_id", "line", "s.h", "s.b"))
     firsts = written(lines.groupBy("h", "b").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count(F.lit(1)).alias("m"))
                      .filter("m > 1").select(F.col("h").alias("x"), F.col("b").alias("y"), "first"), "firsts")
+    lines = lines.withColumn("line", F.col("line").cast("int"))
     copies = (lines.join(firsts, (lines["h"] == firsts["x"]) & (lines["b"] == firsts["y"]))
               .filter(F.struct("doc_id", "line") > F.col("first")).select("doc_id", "line"))
-    late = (copies.unionByName(near[0]).unionByName(near[1]).distinct()
+    late = (copies.unionByName(near).distinct()
             .groupBy("doc_id").agg(F.sort_array(F.collect_list(F.col("line").cast("bigint"))).alias("removed")))
     out = sets.filter("h is not null").select("doc_id", F.size("h").cast("long").alias("n_lines")).join(late, "doc_id", "left")
     return out.select(F.when(F.col("doc_id") != _LAST, F.col("doc_id")).alias("doc_id"), "n_lines",
                       F.coalesce("removed", F.array().cast("array<bigint>")).alias("removed"))
 
 
+def _open(rows: DataFrame, settled: DataFrame) -> DataFrame:
+    """Rows (doc_id, line, ...) of lines that are not settled."""
+    done = settled.select(F.col("doc_id").alias("d"), F.col("line").alias("k"))
+    return rows.join(done, (rows["doc_id"] == done["d"]) & (rows["line"] == done["k"]), "left_anti")
+
+
+def _line_marks(lines: DataFrame) -> np.ndarray:
+    """Filter of FILTER slots with the lines' slots set."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            doc, line = (column(b, n).to_numpy(zero_copy_only=False) for n in ("doc_id", "line"))
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(line_slots(doc, line)))], ["slot"])
+
+    out = np.zeros(FILTER, bool)
+    out[lines.mapInArrow(run, "slot long").distinct().toPandas()["slot"].to_numpy(np.int64)] = True
+    return out
+
+
 def _settled(source: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """(doc_id, line) of the later lines of similar pairs."""
     wanted = pairs.select("doc_id", "line").unionByName(

@@ -106,6 +106,7 @@ def test_lines_query_matches_brute_force(spark):
 
 def test_lines_of_few_words_with_split_groups(spark, monkeypatch):
     monkeypatch.setattr(line_dedup, "SPLIT", 3)
+    monkeypatch.setattr(line_dedup, "NEAREST", 1)
     rng = random.Random(4)
     docs = [(i, "\n".join(" ".join(rng.choice("abcdefghijkl") for _ in range(rng.randint(0, 14))) for _ in range(12)))
             for i in range(30)]
