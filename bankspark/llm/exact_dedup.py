@@ -25,6 +25,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from bankspark.llm.narrow import of_documents
 from bankspark.session import written
 
 FIRST_BYTES = 64
@@ -50,7 +51,7 @@ def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     at, width = first, first * growth
     if going.isEmpty():
         return _result(ended)
-    texts = written(source.join(going.select("doc_id").distinct(), "doc_id", "left_semi")
+    texts = written(of_documents(source, going)
                     .select("doc_id", F.encode(ascii_lower(F.col("text")), "UTF-8").alias("body")).distinct(), "radix")
     while not going.isEmpty():
         rows = going.select(F.col("doc_id").alias("row_id"), "grp", "n")
