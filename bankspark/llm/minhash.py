@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from bankspark.llm.arrow_text import column, list_array, slices, text_bytes
 from bankspark.llm.components import connected_components
+from bankspark.llm.narrow import of_documents
 from bankspark.llm.shingles import shingle_sets
 from bankspark.llm.words import mix
 from bankspark.session import written
@@ -126,15 +127,15 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: i
     buckets = written(members.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min(rank).alias("c"))
                       .filter("m > 1").select(F.col("key").alias("bucket"), "m", F.col("c.doc_id").alias("centre"),
                                               F.col("c.n").alias("centre_n")), "buckets")
+    hits = written(members.join(buckets, members["key"] == buckets["bucket"]).filter(F.col("doc_id") != F.col("centre"))
+                   .select("bucket", "m", "doc_id", "n", "centre", "centre_n"), "hits")
     fits = F.lit(100) * F.least("n", "centre_n") >= F.lit(percent) * F.greatest("n", "centre_n")
-    pairs = written(members.join(buckets, members["key"] == buckets["bucket"])
-                    .filter((F.col("doc_id") != F.col("centre")) & fits)
-                    .select(F.col("centre").alias("a"), F.col("doc_id").alias("b")).distinct(), "pairs")
-    involved = written(members.join(buckets, members["key"] == buckets["bucket"]).select("doc_id").distinct(), "involved")
-    texts = written(source.join(involved, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
+    pairs = written(hits.filter(fits).select(F.col("centre").alias("a"), F.col("doc_id").alias("b")).distinct(), "pairs")
+    involved = written(hits.select("doc_id").unionByName(hits.select(F.col("centre").alias("doc_id"))).distinct(), "involved")
+    texts = written(of_documents(source, involved).dropDuplicates(["doc_id"]), "texts")
     links = written(verified(pairs, texts, words, percent), "links")
     found = written(connected_components(links), "components")
-    more = written(_rest(members, buckets, found, texts, words, percent), "links")
+    more = written(_rest(hits.filter("m > 2"), found, texts, words, percent), "links")
     if not more.isEmpty():
         found = written(connected_components(links.unionByName(more)), "components")
 
@@ -148,13 +149,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: i
                       F.coalesce(F.coalesce("component", "doc_id") == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
-def _rest(members: DataFrame, buckets: DataFrame, found: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """Links (a, b) between members of one bucket that lie in different components so far."""
-    parts = (members.join(found, members["doc_id"] == found["node"], "left")
-             .select("key", "doc_id", "n", F.coalesce("component", "doc_id").alias("part")))
-    centres = buckets.filter("m > 2").select("bucket", "centre")  # a centre has met all members
-    parts = written(parts.join(centres, parts["key"] == centres["bucket"]).filter("doc_id <> centre")
-                    .select("bucket", "doc_id", "n", "part"), "parts")
+def _rest(hits: DataFrame, found: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links (a, b) between members of one bucket, its centre apart (it has met them all), that lie in different
+    components so far."""
+    parts = written(hits.join(found, hits["doc_id"] == found["node"], "left")
+                    .select("bucket", "doc_id", "n", F.coalesce("component", "doc_id").alias("part")), "parts")
     mixed = written(parts.groupBy("bucket").agg(
         F.min("part").alias("p"), F.max("part").alias("q"), F.count(F.lit(1)).alias("m"), F.sum("n").alias("size"),
         F.expr("bit_xor(xxhash64(doc_id))").alias("x"), F.sum(F.xxhash64("doc_id").cast("decimal(20,0)")).alias("y"))
