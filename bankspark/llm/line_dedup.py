@@ -14,7 +14,8 @@ or more; lines are judged on the input, not on what is left.
    the filters drops a pair that is similar enough.
 4. The texts of the lines in question are read again and Jaccard similarities verified: first of each line with its
    earliest candidate in each group, then with the next few, and for lines still open, if there are any, with all
-   their other candidates.  So a group of similar lines gives rows in proportion to its size, not its square.
+   their other candidates.  So a group of similar lines gives rows in proportion to its size, not its square; its pairs
+   are all walked, but a task holds about ``PAIRS`` of them at once.
 5. A line goes if it is a later copy of a set, or the first line of a set with an earlier similar line.
 
 Defined cases: a line without words is never removed; null text is one empty line; repeated rows of a
@@ -43,6 +44,7 @@ SPLIT = 20_000         # sets that a word's group may hold before it is split
 SEEN = 500_000         # sets that a task remembers, to deal out each once
 FILTER = 1 << 20       # slots of the filters that save reading lines again
 NEAREST = 3            # candidates of a line and group that are looked at before all of them
+PAIRS = 1 << 20        # pairs of a word's group that a task holds at once
 _LAST = (1 << 63) - 1  # stands for a missing doc_id in the order of lines
 
 
@@ -220,9 +222,10 @@ def _prefix_slots(source: DataFrame, counts: np.ndarray, percent: int, lines: np
 
 
 def candidate_pairs(word: np.ndarray, b: np.ndarray, n: np.ndarray, place: np.ndarray,
-                    percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Rows (i, j) of one word that may be similar, from rows sorted by (word, n); runs of a word are walked by distance."""
-    left, right = [], []
+                    percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows (i, j) of one word that may be similar, from rows sorted by (word, n); runs of a word are walked by distance.
+    They come in slices of less than ``PAIRS`` pairs and one for each row."""
+    left, right, held = [], [], 0
     distance, i = 1, np.arange(len(word) - 1)
     while len(i):
         i = i[i + distance < len(word)]
@@ -237,8 +240,64 @@ def candidate_pairs(word: np.ndarray, b: np.ndarray, n: np.ndarray, place: np.nd
         good = np.bitwise_count(b[x] ^ b[y]) <= both[good] - 2 * need[good]
         left.append(x[good])
         right.append(y[good])
+        held += len(left[-1])
+        if held >= PAIRS:
+            yield np.concatenate(left), np.concatenate(right)
+            left, right, held = [], [], 0
         distance += 1
-    return np.concatenate([np.zeros(0, np.int64), *left]), np.concatenate([np.zeros(0, np.int64), *right])
+    if held:
+        yield np.concatenate(left), np.concatenate(right)
+
+
+class _Nearest:
+    """The ``NEAREST`` earliest candidates of each row, and their number, from slices of pairs."""
+
+    def __init__(self, rows: int) -> None:
+        self.best = np.full((rows, NEAREST), rows)  # ranks of candidates; ``rows`` stands for none
+        self.count = np.zeros(rows, np.int64)
+
+    def add(self, i: np.ndarray, rank: np.ndarray) -> None:
+        """Takes a slice of pairs: rows and the ranks of their candidates."""
+        none = len(self.best)
+        self.count += np.bincount(i, minlength=none)
+        early = rank < self.best[i, -1]
+        i, rank = np.divmod(np.sort(i[early] * none + rank[early]), none)
+        rows, begin, count = np.unique(i, return_index=True, return_counts=True)
+        at = np.arange(len(i)) - np.repeat(begin, count)
+        hit = at < NEAREST
+        new = np.full((len(rows), NEAREST), none)
+        new[np.repeat(np.arange(len(rows)), count)[hit], at[hit]] = rank[hit]
+        self.best[rows] = np.sort(np.concatenate([self.best[rows], new], axis=1), axis=1)[:, :NEAREST]
+
+
+def group_candidates(table: list[np.ndarray], percent: int, lines: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+    """Batches of ``_pairs`` from whole groups (word, doc_id, line, b, n, place), sorted by (word, n)."""
+    names = ["doc_id", "line", "doc_2", "line_2", "first", "more"]
+    word, doc, line, b, n, place = table
+    order = np.lexsort((line, doc))
+    new = np.ones(len(order), bool)
+    new[1:] = (doc[order][1:] != doc[order][:-1]) | (line[order][1:] != line[order][:-1])
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.cumsum(new) - 1  # rows of one line share a rank
+    row = order[new]                  # a row of each rank
+    nearest = _Nearest(len(word))
+    for i, j in candidate_pairs(word, b.view(np.uint64), n.astype(np.int64), place.astype(np.int64), percent):
+        apart = rank[i] != rank[j]
+        i, j = i[apart], j[apart]
+        later = rank[i] > rank[j]
+        i, j = np.where(later, i, j), np.where(later, j, i)
+        if lines is None:
+            nearest.add(i, rank[j])
+            continue
+        hit = lines[line_slots(doc[i], line[i])]
+        i, j = i[hit], j[hit]
+        no = np.zeros(len(i), bool)
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (doc[i], line[i], doc[j], line[j], no, no)], names)
+    if lines is None:
+        i, at = np.nonzero(nearest.best < len(word))
+        j = row[nearest.best[i, at]]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(x) for x in (doc[i], line[i], doc[j], line[j], at == 0, nearest.count[i] > NEAREST)], names)
 
 
 def _pairs(postings: DataFrame, percent: int, lines: np.ndarray | None = None) -> DataFrame:
@@ -247,33 +306,16 @@ def _pairs(postings: DataFrame, percent: int, lines: np.ndarray | None = None) -
     names = ["word", "doc_id", "line", "b", "n", "place"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def found(table: list[np.ndarray]) -> pa.RecordBatch:
-            word, doc, line, b, n, place = table
-            i, j = candidate_pairs(word, b.view(np.uint64), n.astype(np.int64), place.astype(np.int64), percent)
-            later = (doc[i] > doc[j]) | ((doc[i] == doc[j]) & (line[i] > line[j]))
-            i, j = np.where(later, i, j), np.where(later, j, i)
-            apart = (doc[i] != doc[j]) | (line[i] != line[j])
-            i, j = i[apart], j[apart]
-            order = np.lexsort((line[j], doc[j], i))
-            i, j = i[order], j[order]
-            _, begin, count = np.unique(i, return_index=True, return_counts=True)
-            rank, more = np.arange(len(i)) - np.repeat(begin, count), np.repeat(count > NEAREST, count)
-            hit = rank < NEAREST if lines is None else lines[line_slots(doc[i], line[i])]
-            i, j = i[hit], j[hit]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(x) for x in (doc[i], line[i], doc[j], line[j], rank[hit] == 0, more[hit])],
-                ["doc_id", "line", "doc_2", "line_2", "first", "more"])
-
         held = None
         for batch in batches:
             now = [column(batch, x).to_numpy(zero_copy_only=False) for x in names]
             held = now if held is None else [np.concatenate(x) for x in zip(held, now)]
             cut = int(np.searchsorted(held[0], held[0][-1])) if len(held[0]) else 0  # the last word may go on
             if cut:
-                yield found([x[:cut] for x in held])
+                yield from group_candidates([x[:cut] for x in held], percent, lines)
                 held = [x[cut:] for x in held]
         if held is not None and len(held[0]):
-            yield found(held)
+            yield from group_candidates(held, percent, lines)
 
     return (postings.repartition("word").sortWithinPartitions("word", "n")
             .mapInArrow(run, "doc_id long, line int, doc_2 long, line_2 int, first boolean, more boolean"))

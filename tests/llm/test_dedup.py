@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from bankspark.llm import exact_dedup, line_dedup, minhash, queries, suffix_dedup
@@ -115,6 +116,37 @@ def test_lines_of_few_words_with_split_groups(spark, monkeypatch):
     assert got == brute.removed_lines(docs)
 
 
+def _template_group(size):
+    """Rows of the group of a word that ``size`` lines of ten words share, which differ in one word: all pairs pass."""
+    rng = np.random.default_rng(3)
+    one = np.ones(size, np.int64)
+    return [one, rng.permutation(size), np.zeros(size, np.int32), np.left_shift(1, rng.integers(0, 62, size)),
+            10 * one, one]
+
+
+def test_line_group_of_one_template_is_walked_in_slices(monkeypatch):
+    monkeypatch.setattr(line_dedup, "PAIRS", 10_000, raising=False)
+    word, doc, line, b, n, place = table = _template_group(2000)
+    sizes = [len(i) for i, _ in line_dedup.candidate_pairs(word, b.view(np.uint64), n, place, 80)]
+    assert sum(sizes) == 2000 * 1999 // 2 and max(sizes) < 12_000
+    got = pa.Table.from_batches(line_dedup.group_candidates(table, 80)).to_pylist()
+    assert {(r["doc_id"], r["doc_2"], r["first"], r["more"]) for r in got} == \
+        {(d, k, k == 0, d > line_dedup.NEAREST) for d in range(2000) for k in range(min(d, line_dedup.NEAREST))}
+    marked = np.zeros(line_dedup.FILTER, bool)
+    marked[line_dedup.line_slots(np.array([1500]), np.array([0], np.int32))] = True
+    open_lines = [b for b in line_dedup.group_candidates(table, 80, marked)]
+    assert max(b.num_rows for b in open_lines) < 12_000
+    assert {r["doc_2"] for b in open_lines for r in b.to_pylist() if r["doc_id"] == 1500} == set(range(1500))
+
+
+def test_lines_of_one_template(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "PAIRS", 100, raising=False)
+    docs = [(i, f"one two three four v{i * 7919} five six seven eight nine\nx{i} y{i} z{i}") for i in range(300)]
+    got = {r.doc_id: (r.n_lines, r.removed) for r in
+           line_dedup.line_duplicates(spark.createDataFrame(docs, "doc_id long, text string").repartition(3)).collect()}
+    assert got == brute.removed_lines(docs)
+
+
 def test_lines_odd_rows(odd, none):
     rows = line_dedup.line_duplicates(odd).collect()
     assert len(rows) == len(ODD)
