@@ -12,8 +12,10 @@ block-max WAND, which returns every item from the threshold on.  Each hit is
 verified on the words: the last quarter of an item is its answer, the rest its question, and the passage
 must hold at least ``QUESTION_OVERLAP`` and ``ANSWER_OVERLAP`` of their five-word shingles.
 
-The items are indexed in shards of at most ``SHARD_BYTES`` of text, so what a task holds is bounded whatever
-the size of the benchmark; each shard is one pass over the documents.  Documents are never shuffled.
+The items are indexed in shards of about ``SHARD_BYTES`` of text.  Number of items, word counts, mean length and longest
+item are those of the whole benchmark, so results do not depend on how it is cut.  If there are several shards,
+Spark counts the words, and each shard is one pass over the documents, whose result is written before the next shard
+is read; so the driver and a task hold one shard at a time.  Documents are never shuffled.
 
 Words are runs of letters, digits and non-ASCII characters after lower-casing.
 
@@ -29,6 +31,7 @@ import math
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +39,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bankspark.llm.arrow_text import column, slices, text_bytes
+from bankspark.llm.arrow_text import column, list_array, slices, text_bytes
 from bankspark.llm.shingles import sequence_hash, word_hashes_of
+from bankspark.session import written
 
 K1, B = 1.2, 0.75
 THRESHOLD = 0.6    # of an item's score against itself
@@ -56,25 +60,38 @@ def words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return word_hashes_of(pc.utf8_lower(texts), _SEPARATOR)
 
 
+class Corpus(NamedTuple):
+    """What a shard needs to know of the whole benchmark; items without words do not count."""
+    items: int
+    words: int             # of all items
+    longest: int           # words of an item
+    terms: np.ndarray      # words of the shard
+    counts: np.ndarray     # items of the benchmark that hold each
+
+
 class Index:
-    """Inverted index of one shard of items [(item_id, word hashes)]."""
+    """Inverted index of one shard of items [(item_id, word hashes)], which are the whole benchmark if there is no corpus."""
 
-    def __init__(self, items: list[tuple[int, np.ndarray]], threshold: float = THRESHOLD):
+    def __init__(self, items: list[tuple[int, np.ndarray]], threshold: float = THRESHOLD, corpus: Corpus | None = None):
         items = [(i, w) for i, w in items if len(w)]
         self.ids = [i for i, _ in items]
         self.floor = threshold - 1e-9
-        self.stride = max((len(w) for _, w in items), default=1)
         cuts = [len(w) - max(1, int(len(w) * ANSWER_SHARE)) for _, w in items]
         self.parts = [(_shingles(w[:c] if c else w), _shingles(w[c:])) for c, (_, w) in zip(cuts, items)]
         counts = [Counter(w.tolist()) for _, w in items]
-        df = Counter(t for c in counts for t in c)
-        mean = sum(len(w) for _, w in items) / max(1, len(items))
+        if corpus is None:
+            df = Counter(t for c in counts for t in c)
+            total, mean = len(items), sum(len(w) for _, w in items) / max(1, len(items))
+            self.stride = max((len(w) for _, w in items), default=1)
+        else:
+            df = dict(zip(corpus.terms.tolist(), corpus.counts.tolist()))
+            total, mean, self.stride = corpus.items, corpus.words / max(1, corpus.items), max(1, corpus.longest)
         postings: dict[int, list[tuple[int, float]]] = {}
         major: dict[int, list[tuple[int, float]]] = {}
         self.needed: list[float] = []  # of an item's major impacts
         for n, (c, (_, w)) in enumerate(zip(counts, items)):
             norm = K1 * (1 - B + B * len(w) / mean)
-            scores = {t: math.log1p((len(items) - df[t] + 0.5) / (df[t] + 0.5)) * tf * (K1 + 1) / (tf + norm)
+            scores = {t: math.log1p((total - df[t] + 0.5) / (df[t] + 0.5)) * tf * (K1 + 1) / (tf + norm)
                       for t, tf in c.items()}
             own = sum(scores.values())
             low = 0.0
@@ -209,21 +226,53 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, s
                                                            F.coalesce("text", F.lit("")).alias("text"))
     size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     shards = max(1, -(-size // shard_bytes))
+    if shards == 1:
+        return _search_shard(source, sorted((r["item_id"], r["text"]) for r in items.distinct().collect()), threshold)
+    shard = F.pmod(F.xxhash64("item_id"), F.lit(shards)).cast("int")
+    items = written(items.distinct().withColumn("shard", shard), "benchmark-items")
+    words = written(_item_words(items), "benchmark-words")
+    total = words.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
+    held = words.select("shard", F.explode("words").alias("word")).groupBy("word", "shard").agg(F.count(F.lit(1)).alias("n"))
+    held = written(held, "benchmark-shard-words")
+    counts = held.groupBy("word").agg(F.sum("n").alias("df"))
+    held = written(held.select("word", "shard").join(counts, "word").sortWithinPartitions("shard"), "benchmark-counts")
     out = None
-    for shard in range(shards):
-        rows = items.filter(F.pmod(F.xxhash64("item_id"), F.lit(shards)) == shard).distinct().collect()
-        part = _search_shard(source, sorted((r["item_id"], r["text"]) for r in rows), threshold)
+    for k in range(shards):
+        rows = items.filter(F.col("shard") == k).select("item_id", "text").collect()
+        df = held.filter(F.col("shard") == k).select("word", "df").toArrow()
+        terms, n = (df[c].to_numpy() for c in ("word", "df"))
+        corpus = Corpus(*total, terms.view(np.uint64), n)
+        part = _search_shard(source, sorted((r["item_id"], r["text"]) for r in rows), threshold, corpus)
+        part = written(part, "leaks")
         out = part if out is None else out.unionByName(part)
     return out
 
 
-def _search_shard(source: DataFrame, items: list[tuple[int, str]], threshold: float) -> DataFrame:
+def _item_words(items: DataFrame) -> DataFrame:
+    """(shard, n, words) of each item with words: number of words, and the distinct ones."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts, shard = column(b, "text"), column(b, "shard").to_numpy()
+            for i, j in slices(text_bytes(texts)[1]):
+                words, first = words_of(texts.slice(i, j - i))
+                n = np.diff(first)
+                parts = [np.unique(words[x:y]) for x, y in zip(first[:-1], first[1:]) if y > x]
+                offsets = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64)
+                values = np.concatenate([np.zeros(0, np.uint64), *parts]).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(shard[i:j][n > 0]), pa.array(n[n > 0].astype(np.int64)),
+                                                  list_array(pa.array(values), offsets)], ["shard", "n", "words"])
+
+    return items.mapInArrow(run, "shard int, n long, words array<long>")
+
+
+def _search_shard(source: DataFrame, items: list[tuple[int, str]], threshold: float,
+                  corpus: Corpus | None = None) -> DataFrame:
     fields = {"doc_id": pa.int64(), "item_id": pa.int64(), "score": pa.float64(), "question_overlap": pa.float64(),
               "answer_overlap": pa.float64(), "at_word": pa.int64()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, first = words_of(pa.array([t for _, t in items], pa.string()))
-        index = Index([(i, words[a:b]) for (i, _), a, b in zip(items, first[:-1], first[1:])], threshold)
+        index = Index([(i, words[a:b]) for (i, _), a, b in zip(items, first[:-1], first[1:])], threshold, corpus)
         for b in batches:
             texts, ids = column(b, "text"), column(b, "doc_id").to_pylist()
             if not len(index.ids):

@@ -1,3 +1,4 @@
+import random
 import re
 import zlib
 from collections import Counter
@@ -127,6 +128,24 @@ def test_leaks_need_question_and_answer(spark, shard_bytes):
     assert pairs == {(1, 1), (3, 2), (3, 5), (5, 4), (None, 1)}
 
 
+def test_leaks_do_not_depend_on_shards(spark):
+    rng = random.Random(11)
+    common = [f"word{k}" for k in range(60)]
+    items, docs = [(100, None), (101, " .. ")], []
+    for i in range(40):
+        words = [rng.choice(common[:10 + 50 * (k % 2)]) for k in range(rng.randint(12, 60))]
+        for _ in range(len(words) // 5):
+            words[rng.randrange(len(words))] = f"name{rng.randrange(50)}"
+        items.append((i, " ".join(words)))
+        for changed in range(1, 7):  # an altered copy keeps whole runs of words
+            at = rng.randrange(len(words) - changed)
+            copy = words[:at] + [f"other{k}" for k in range(changed)] + words[at + changed:]
+            docs.append((len(docs), " ".join(rng.choices(common, k=90) + copy + rng.choices(common, k=90))))
+    docs, items = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    whole, cut = (sorted(map(tuple, decontaminate.leaks(docs, items, shard_bytes=n).collect())) for n in (1 << 20, 1000))
+    assert len(whole) > 40 and cut == whole
+
+
 def test_leaks_odd_rows(spark, odd, none):
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     assert decontaminate.leaks(odd, items).count() == 0
