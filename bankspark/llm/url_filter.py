@@ -4,7 +4,7 @@
 2. ``apply_rules`` finds the longest rule that fits the host or a parent domain and the start of the path.
 3. Host labels such as ``freebets`` are split into words by unigram Viterbi.  The word counts come from a
    whole text column; only words that occur inside some label are kept, found by joining all substrings
-   (up to ``MAX_WORD`` letters) of the distinct labels with the counts.
+   (up to ``HEAD`` letters) of the distinct labels with the counts, longer words by their first ``HEAD`` letters.
 4. Multinomial naive Bayes scores every row's segmented host words and path tokens.  It is trained on all
    rows, labelled by seed words: a row whose segmented host holds a seed word is an example of block, any
    other row one of allow, so words that go along with seed words count against a host as well.  Tokens are
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from bankspark.llm.arrow_text import column
 from bankspark.session import written
 
-MAX_WORD = 20
+HEAD = 20  # letters by which words meet the labels
 BUCKETS = 1 << 16
 SMOOTHING = 1.0
 SEED_COUNT = 1000  # occurrences that a seed word has in the unigram model beside those in the text
@@ -68,19 +68,25 @@ def word_counts(texts: DataFrame, text_col: str) -> DataFrame:
     """(word, n): lower-case letter runs of the whole column, markup removed."""
     plain = F.lower(F.regexp_replace(F.coalesce(F.col(text_col), F.lit("")), r"<[^>]*>", " "))
     return (texts.select(F.explode(F.split(plain, r"[^\p{L}]+")).alias("word"))
-            .filter((F.col("word") != "") & (F.length("word") <= MAX_WORD))
+            .filter(F.col("word") != "")
             .groupBy("word").agg(F.count(F.lit(1)).alias("n")))
 
 
 def segment(label: str, counts: dict[str, int], total: int) -> list[str]:
     """Most likely split of ``label`` under word probabilities n / total; unknown words pay by length."""
     best: list[tuple[float, int]] = [(0.0, 0)]
+    sizes = sorted({len(w) for w in counts})
+    new = 0  # where the best unknown word begins
     for end in range(1, len(label) + 1):
-        options = []
-        for start in range(max(0, end - MAX_WORD), end):
-            n = counts.get(label[start:end])
-            cost = math.log(n / total) if n else math.log(1 / total) - 2.5 * (end - start)
-            options.append((best[start][0] + cost, -(end - start), start))
+        if best[end - 1][0] + 2.5 * (end - 1) >= best[new][0] + 2.5 * new:
+            new = end - 1
+        options = [(best[new][0] + math.log(1 / total) - 2.5 * (end - new), new - end, new)]
+        for size in sizes:
+            if size > end:
+                break
+            n = counts.get(label[end - size:end])
+            if n:
+                options.append((best[end - size][0] + math.log(n / total), -size, end - size))
         score, _, start = max(options)
         best.append((score, start))
     words, end = [], len(label)
@@ -95,10 +101,14 @@ def segmented_labels(labels: DataFrame, counts: DataFrame) -> DataFrame:
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] + 1
     starts = F.sequence(F.lit(1), F.length("label"))
     parts = labels.select("label", F.explode(F.flatten(F.transform(starts, lambda i: F.transform(
-        F.sequence(F.lit(1), F.least(F.lit(MAX_WORD), F.length("label") - i + 1)),
+        F.sequence(F.lit(1), F.least(F.lit(HEAD), F.length("label") - i + 1)),
         lambda n: F.substring(F.col("label"), i, n))))).alias("word"))
-    known = (parts.distinct().join(counts, "word").groupBy("label")
-             .agg(F.collect_list(F.struct("word", "n")).alias("known")))  # at most MAX_WORD words per letter
+    parts = parts.distinct()
+    heads = parts.filter(F.length("word") == HEAD).withColumnRenamed("word", "head")
+    longer = counts.filter(F.length("word") > HEAD).withColumn("head", F.substring("word", 1, HEAD))
+    longer = heads.join(longer, "head").filter(F.col("label").contains(F.col("word"))).select("label", "word", "n")
+    known = (parts.join(counts, "word").select("label", "word", "n").unionByName(longer).groupBy("label")
+             .agg(F.collect_list(F.struct("word", "n")).alias("known")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

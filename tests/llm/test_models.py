@@ -199,6 +199,15 @@ def test_url_odd_rows(spark):
     assert url_filter.url_filter(pages.limit(0), queries.URL_RULES).count() == 0
 
 
+def test_long_words_split_labels(spark):
+    long, longer = "versicherungsgesellschaften", "versicherungsgesellschaftenrecht"
+    texts = spark.createDataFrame([(f"meine {long} {long} {longer} online online",)], "text string")
+    labels = spark.createDataFrame([("meine" + long + "online",), (long,), (longer,), ("online" + "q" * 45,)], "label string")
+    got = {r.label: r.words for r in url_filter.segmented_labels(labels, url_filter.word_counts(texts, "text")).collect()}
+    assert got == {"meine" + long + "online": ["meine", long, "online"], long: [long], longer: [longer],
+                   "online" + "q" * 45: ["online", "q" * 45]}
+
+
 def test_segmentation_is_the_most_likely_split():
     counts = Counter({"free": 50, "bets": 40, "be": 60, "ts": 1, "freebe": 1})
     assert url_filter.segment("freebets", counts, 200) == ["free", "bets"]
