@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bankspark.llm import bpe, decontaminate, exact_dedup, language_id, line_dedup, minhash, quality, suffix_dedup, token_files, url_filter
+from bankspark.llm import bpe, decontaminate, exact_dedup, language_id, line_dedup, merkle, minhash, quality, suffix_dedup, token_files, url_filter
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -103,5 +103,63 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_filter(_read(spark, sf_dir, "pages"), URL_RULES)
 
 
-QUERIES = {"op1_decontaminate": op1_decontaminate, "op2_bpe": op2_bpe, "op3_line_dedup": op3_line_dedup, "op4_minhash": op4_minhash, "op5_suffix_dedup": op5_suffix_dedup, "op6_language_id": op6_language_id, "op7_token_files": op7_token_files, "op8_quality": op8_quality, "op9_exact_dedup": op9_exact_dedup, "op10_url_filter": op10_url_filter}
-ORACLE = {"op9_exact_dedup": OP9_SQL}
+
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest of all documents, against copies of which every second has lost its line ends."""
+    claimed = {"text": F.when(_remainder("doc_id", 2) == 0, F.replace("text", F.lit("\n"), F.lit("")))
+               .otherwise(F.col("text"))}
+    return merkle.manifest(_read(spark, sf_dir, "documents"), claimed=claimed).drop("source")
+
+
+#: crc32 of a decimal number, bit by bit, and the digest input of a column.
+_CRC32 = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''),
+ lambda c: ascii(c)::BIGINT)), lambda a, x: list_reduce([xor(a, x), 0, 0, 0, 0, 0, 0, 0, 0],
+ lambda c, z: xor(c >> 1, (c & 1) * 3988292384))), 4294967295)"""
+
+
+def _sql_leaf(text: str) -> str:
+    parts = [f"coalesce(octet_length(encode({c}::VARCHAR)) || ':' || {c}, '-')" for c in ("doc_id", "source", "lang", "n_chars", text)]
+    return f"sha256({' || '.join(parts)})"
+
+
+OP11_SQL = f"""
+WITH RECURSIVE d AS (
+ SELECT doc_id, source, {_sql_leaf('text')} AS leaf,
+  {_sql_leaf("CASE WHEN " + _CRC32 + " % 2 = 0 THEN replace(text, chr(10), '') ELSE text END")} AS claimed FROM documents),
+l AS (SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS grp,
+  row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM d),
+low AS (
+ SELECT 0 AS lev, grp, pos, leaf AS h, count(*) OVER (PARTITION BY grp) AS n FROM l
+ UNION ALL
+ SELECT any_value(lev) + 1, grp, pos // 3, sha256(string_agg(h, '' ORDER BY pos)), (any_value(n) + 2) // 3
+ FROM low WHERE n > 1 GROUP BY grp, pos // 3),
+high AS (
+ SELECT 0 AS lev, 0 AS grp, grp AS pos, h, count(*) OVER () AS n FROM low WHERE n = 1
+ UNION ALL
+ SELECT any_value(lev) + 1, 0, pos // 3, sha256(string_agg(h, '' ORDER BY pos)), (any_value(n) + 2) // 3
+ FROM high WHERE n > 1 GROUP BY pos // 3),
+nodes AS (SELECT false AS up, * FROM low UNION ALL SELECT true, * FROM high),
+way AS (
+ SELECT grp AS g0, pos AS p0, false AS up, 0 AS lev, grp, pos, claimed AS h, '' AS proof,
+  EXISTS (SELECT 1 FROM low WHERE low.lev = 0 AND low.grp = l.grp AND low.n = 1) AS done FROM l
+ UNION ALL
+ SELECT g0, p0, CASE WHEN done THEN true ELSE w.up END, CASE WHEN done THEN 0 ELSE w.lev + 1 END,
+  CASE WHEN done THEN 0 ELSE w.grp END, CASE WHEN done THEN w.grp ELSE w.pos // 3 END,
+  CASE WHEN done THEN w.h ELSE sha256(coalesce(CASE WHEN w.pos % 3 = 0 THEN w.h ELSE a.h END, '') ||
+   coalesce(CASE WHEN w.pos % 3 = 1 THEN w.h ELSE b.h END, '') || coalesce(CASE WHEN w.pos % 3 = 2 THEN w.h ELSE c.h END, '')) END,
+  CASE WHEN done THEN proof ELSE proof || coalesce(CASE WHEN w.pos % 3 <> 0 THEN a.h END, '') ||
+   coalesce(CASE WHEN w.pos % 3 <> 1 THEN b.h END, '') || coalesce(CASE WHEN w.pos % 3 <> 2 THEN c.h END, '') END,
+  CASE WHEN done THEN (SELECT max(n) FROM high) = 1 ELSE a.n <= 3 END
+ FROM way w
+ LEFT JOIN nodes a ON a.up = w.up AND a.lev = w.lev AND a.grp = w.grp AND a.pos = w.pos // 3 * 3
+ LEFT JOIN nodes b ON b.up = w.up AND b.lev = w.lev AND b.grp = w.grp AND b.pos = w.pos // 3 * 3 + 1
+ LEFT JOIN nodes c ON c.up = w.up AND c.lev = w.lev AND c.grp = w.grp AND c.pos = w.pos // 3 * 3 + 2
+ WHERE NOT (w.up AND w.done))
+SELECT l.doc_id, l.leaf, s.h AS subroot, r.h AS root, sha256(w.proof) AS proof_sha256, w.h AS folded_root, w.h = r.h AS verified
+FROM l JOIN way w ON w.g0 = l.grp AND w.p0 = l.pos AND w.up AND w.done
+JOIN low s ON s.grp = l.grp AND s.n = 1 CROSS JOIN (SELECT h FROM high WHERE n = 1) r
+"""
+
+QUERIES = {"op1_decontaminate": op1_decontaminate, "op2_bpe": op2_bpe, "op3_line_dedup": op3_line_dedup, "op4_minhash": op4_minhash, "op5_suffix_dedup": op5_suffix_dedup, "op6_language_id": op6_language_id, "op7_token_files": op7_token_files, "op8_quality": op8_quality, "op9_exact_dedup": op9_exact_dedup, "op10_url_filter": op10_url_filter,
+           "op11_merkle": op11_merkle}
+ORACLE = {"op9_exact_dedup": OP9_SQL, "op11_merkle": OP11_SQL}
