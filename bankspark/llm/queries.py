@@ -6,10 +6,13 @@ and derives the digest columns from the operator's rows.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bankspark.llm import bpe, decontaminate, exact_dedup, language_id, line_dedup, merkle, minhash, quality, suffix_dedup, token_files, url_filter
+from bankspark.llm import bpe, decontaminate, exact_dedup, language_id, lexical, line_dedup, merkle, minhash, quality, suffix_dedup, token_counts, token_files, url_filter
+from bankspark.session import ensure_checkpoint_dir
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -160,6 +163,41 @@ FROM l JOIN way w ON w.g0 = l.grp AND w.p0 = l.pos AND w.up AND w.done
 JOIN low s ON s.grp = l.grp AND s.n = 1 CROSS JOIN (SELECT h FROM high WHERE n = 1) r
 """
 
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts through a cache of its own, so every distinct text is encoded once in each run."""
+    import public_tokenizers
+
+    cache = f"{ensure_checkpoint_dir(spark)}/bankspark-token-cache-{uuid.uuid4().hex}"
+    return token_counts.token_counts(_read(spark, sf_dir, "documents"), cache, public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
+def _sql_terms(table: str, columns: str) -> str:
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return (f"SELECT {columns}, unnest(regexp_extract_all({lower}, "
+            f"'[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM {table}")
+
+
+OP13_SQL = f"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, text FROM documents),
+words AS ({_sql_terms('d', 'r')}),
+tf AS MATERIALIZED (SELECT r, term, count(*) AS tf FROM words GROUP BY ALL),
+len AS (SELECT r, sum(tf)::BIGINT AS n FROM tf GROUP BY r),
+tot AS (SELECT count(*) AS nn, sum(n)::BIGINT AS ll FROM len),
+item AS (SELECT DISTINCT item_id, term FROM ({_sql_terms('benchmark', 'item_id')})),
+w AS (SELECT term, floor(1000 * ln((2 * any_value(nn) + 2) / (2 * count(*) + 1)))::BIGINT AS w
+      FROM tf, tot WHERE term IN (SELECT term FROM item) GROUP BY term),
+s AS (SELECT item_id, r, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * nn) // ll))))::BIGINT AS score
+      FROM item JOIN w USING (term) JOIN tf USING (term) JOIN len USING (r), tot GROUP BY item_id, r),
+b AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS FIRST)::INTEGER AS rank, doc_id, score
+      FROM s JOIN d USING (r) WHERE score > 0)
+SELECT * FROM b WHERE rank <= 50
+"""
+
 QUERIES = {"op1_decontaminate": op1_decontaminate, "op2_bpe": op2_bpe, "op3_line_dedup": op3_line_dedup, "op4_minhash": op4_minhash, "op5_suffix_dedup": op5_suffix_dedup, "op6_language_id": op6_language_id, "op7_token_files": op7_token_files, "op8_quality": op8_quality, "op9_exact_dedup": op9_exact_dedup, "op10_url_filter": op10_url_filter,
-           "op11_merkle": op11_merkle}
-ORACLE = {"op9_exact_dedup": OP9_SQL, "op11_merkle": OP11_SQL}
+           "op11_merkle": op11_merkle, "op12_token_counts": op12_token_counts, "op13_lexical": op13_lexical}
+ORACLE = {"op9_exact_dedup": OP9_SQL, "op11_merkle": OP11_SQL, "op13_lexical": OP13_SQL}

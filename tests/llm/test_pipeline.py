@@ -68,4 +68,4 @@ def test_stages_keep_odd_rows_and_clashing_columns(spark, odd, none, small):
 
 
 def test_registered(spark):
-    assert sum(name.startswith("op") and name[2].isdigit() for name in queries.QUERIES) == len(queries.QUERIES)
+    assert sum(name.startswith("op") and name[2].isdigit() for name in queries.QUERIES) == 13
