@@ -1,4 +1,4 @@
-"""Clustering, splits and regression models on Spark ML.
+"""Clustering, splits and regression models on Spark ML.
 
 The driver holds fitted models and their few parameters (centres,
 coefficients); every pass over data runs on the executors.
@@ -8,11 +8,10 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator, RegressionEvaluator
+from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PolynomialExpansion, VectorAssembler
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # ---- clustering (K4-K9) ------------------------------------------------------
@@ -120,8 +119,12 @@ def davies_bouldin_arrays(labelled: DataFrame, vector: str, label: str) -> float
 
 def hash_split(df: DataFrame, key: str, train_pct: int = 80, out: str = "is_train") -> DataFrame:
     """Stable 80/20 split by the MD5 of the key's text, independent of partitioning and engine."""
-    digest = F.conv(F.substring(F.md5(F.col(key).cast("string").cast("binary")), 1, 8), 16, 10).cast("bigint")
-    return df.withColumn(out, digest % 100 < train_pct)
+    return df.withColumn(out, md5_number(key) % 100 < train_pct)
+
+
+def md5_number(key: str) -> Column:
+    """The first four bytes of the MD5 of the key's text."""
+    return F.conv(F.substring(F.md5(F.col(key).cast("string").cast("binary")), 1, 8), 16, 10).cast("bigint")
 
 
 # ---- regression (K3, K17-K19, K22) ----------------------------------------------
@@ -159,28 +162,6 @@ def regression_scores(pred: DataFrame, label: str, prediction: str = "prediction
             "r2": (1.0 - r["sse"] / r["sst"]) if r["sst"] else None}
 
 
-# fixed values: the grid of the reference's search (min_samples_split has no Spark twin)
-FOREST_GRID = {"numTrees": [100, 150, 200], "maxDepth": [10, 20, 30], "minInstancesPerNode": [1, 2, 4]}
-
-
-def grid_search_forest(train: DataFrame, feature_cols: list[str], label: str, grid: dict | None = None,
-                       folds: int = 5, seed: int = 42, parallelism: int = 4):
-    """5-fold cross-validated grid search on MSE (K18); returns (best pipeline model, best params)."""
-    grid = grid or FOREST_GRID
-    pipe = forest_pipeline(feature_cols, label, seed=seed)
-    rf = pipe.getStages()[-1]
-    builder = ParamGridBuilder()
-    for name, values in grid.items():
-        builder = builder.addGrid(rf.getParam(name), values)
-    maps = builder.build()
-    cv = CrossValidator(estimator=pipe, estimatorParamMaps=maps,
-                        evaluator=RegressionEvaluator(labelCol=label, metricName="mse"),
-                        numFolds=folds, seed=seed, parallelism=parallelism)
-    model = cv.fit(train)
-    best = maps[min(range(len(maps)), key=lambda i: model.avgMetrics[i])]
-    return model.bestModel, {p.name: v for p, v in best.items()}
-
-
 def fit_lag_model(train: DataFrame, lags_col: str, label: str):
     """Linear model of the next value on the previous lags."""
     from pyspark.ml.functions import array_to_vector

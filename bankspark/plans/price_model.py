@@ -31,6 +31,44 @@ def feature_table(indexed: DataFrame, series: str, close: str = "close",
     return checkpoint(df), feats
 
 
+def daily_close(prices: DataFrame, date: str = "Date", close: str = "Close", row: str = "row_id") -> DataFrame:
+    """One row per date: the last known close of the day."""
+    return (prices.filter(F.col(close).isNotNull() & F.col(date).isNotNull()).groupBy(date)
+            .agg(F.max_by(close, row).alias(close)))
+
+
+def index_features(prices: DataFrame, macro: DataFrame, rates: DataFrame,
+                   block_rows: int = S.DEFAULT_BLOCK_ROWS) -> tuple[DataFrame, list[str]]:
+    """The original's nine model features of a daily index (K12-K14, K23): macro series and the rate lagged by ``LAG`` rows
+    with gaps filled by a regression on the close, three SMAs and the RSI with gaps filled by their mean, and EMA 50.
+
+    Returns (Date, Close, features) and the feature names; one row a calendar day, whatever the number of prices.
+    """
+    from bankspark.plans.market import attach_macro_and_rate
+
+    variables = ["Rate", "GDP", "Inflation", "Unemployment_rate"]
+    daily = daily_close(prices).withColumn("series", F.lit("index"))
+    df = attach_macro_and_rate(S.with_index(daily, "series", ["Date"]), macro, rates)
+    df = S.lags(df, "series", variables, [LAG], block_rows)
+    lagged = [f"{v}_lag_{LAG}" for v in variables]
+    df = ST.regression_impute(df, lagged, "Close")
+    df = S.rolling_mean(df, "series", "Close", SMA, block_rows)
+    df = S.ema_span(df, "series", "Close", 50, "EMA_50", block_rows)
+    df = S.rsi(df, "series", "Close", 14, "RSI_14", block_rows)
+    df = ST.mean_impute(df, [f"SMA_{n}" for n in SMA] + ["RSI_14"])
+    features = lagged + [f"SMA_{n}" for n in SMA] + ["EMA_50", "RSI_14"]
+    return written(df.select("Date", "Close", *features), "index-features"), features
+
+
+def forest_vectors(train: DataFrame, features: list[str], label: str, key: str, degree: int = 2) -> DataFrame:
+    """(key, label, features): z-scores of the rows given and their polynomial terms (K1, K3) as one vector."""
+    from pyspark.ml.feature import PolynomialExpansion
+
+    z = ST.zscore(train, features)
+    x = MD.assemble(z, [f"{c}_z" for c in features], "__x")
+    return PolynomialExpansion(degree=degree, inputCol="__x", outputCol="features").transform(x).select(key, label, "features")
+
+
 def forest_scores(features: DataFrame, feature_cols: list[str], label: str, key: str,
                   num_trees: int, max_depth: int, min_leaf: int, seed: int = 42):
     """Fit on the hash-split train rows, score train and test."""

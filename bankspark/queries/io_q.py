@@ -8,6 +8,7 @@ import uuid
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
+from bankspark.operators import forest_grid as FG
 from bankspark.operators import models as MD
 from bankspark.operators import series as S
 from bankspark.operators import stats as ST
@@ -136,13 +137,11 @@ def q_macro_before(spark, sf_dir):
 
 
 def q_rf_grid(spark, sf_dir):
-    """K18 on a grid of four small forests and two folds."""
-    bar = Roles(spark, sf_dir).bar().select("open", "high", "low", "close")
-    model, best = MD.grid_search_forest(bar, ["open", "high", "low"], "close",
-                                        {"numTrees": [5, 10], "maxDepth": [3, 5], "minInstancesPerNode": [1]}, folds=2)
-    scores = MD.regression_scores(model.transform(bar), "close")
-    return spark.createDataFrame([(best["numTrees"], best["maxDepth"], scores["n"], scores["mse"], scores["r2"])],
-                                 "num_trees int, max_depth int, n long, mse double, r2 double")
+    """The reference's whole grid, 108 combinations over 5 folds, on the features of the daily index."""
+    macro, rates = M.macro_wide(Roles(spark, sf_dir).macro_long()), M.monthly_rate_table(market_q._rates(spark, sf_dir))
+    table, features = PM.index_features(market_q._prices(spark, sf_dir).select("row_id", "Date", "Close"), macro, rates)
+    train = MD.hash_split(table, "Date").filter("is_train")
+    return FG.grid_scores(PM.forest_vectors(train, features, "Close", "Date"), "features", "Close", "Date")
 
 
 _YEARLY = market_q.ORACLE["yearly_last_close"]

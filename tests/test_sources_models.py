@@ -89,16 +89,6 @@ def test_yearly_last_skips_nulls(spark):
     assert got == {2020: 5.0, 2021: 7.0}
 
 
-def test_grid_search_picks_from_grid(spark):
-    rows = [(float(i % 7), float(i % 5), float((i % 7) * 2 + (i % 5))) for i in range(120)]
-    df = spark.createDataFrame(rows, "a double, b double, y double")
-    model, best = MD.grid_search_forest(df, ["a", "b"], "y", grid={"numTrees": [5, 10], "maxDepth": [3]},
-                                        folds=2, parallelism=2)
-    assert best["numTrees"] in (5, 10) and best["maxDepth"] == 3
-    pred = model.transform(df)
-    assert MD.regression_scores(pred, "y")["r2"] > 0.5
-
-
 def test_rate_table_rejects_duplicate_months(spark):
     import pytest
     ok = spark.createDataFrame([(2024, 1, 5.0), (2024, 2, 6.0)], "Year int, Month int, Rate double")
