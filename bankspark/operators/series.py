@@ -13,10 +13,10 @@ task -- fatal when one series holds a third of the data.  Instead:
   last ``overlap`` rows of every block into the next one, so any window that
   looks back at most ``overlap`` rows is exact inside ``(series, block)``
   partitions of bounded size.
-* recursive smoothers (EMA, RSI) fold each block in an Arrow-batched pandas
-  function over (position, value), carry the block-end state across blocks
-  with one fold over one row per block, and replay each block from its
-  carried start.
+* recursive smoothers (EMA, RSI) compose each stretch of rows where it is
+  stored, carry the states to the block starts with one fold over those
+  summaries, and move the rows once, to blocks whose states are a vectorised
+  prefix composition.
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ from itertools import accumulate
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from bankspark.operators.joins import attach_small
 from bankspark.session import written
@@ -181,93 +182,236 @@ def forward_fill(indexed: DataFrame, series: str, cols: list[str],
 
 
 # ---- recursive smoothers -----------------------------------------------------
+#
+# A smoother's step is affine in its state, y' = d * y + l, and so is every run of steps.  One scan of the index
+# reads the rows where they lie and gives each stretch (consecutive rows of one series and block) its composed step; one
+# pass over the stretches of a series carries the state to the start of each block; then the rows move once,
+# to their block, whose states are a prefix composition from the carried one.
 
-def _step(y, gap, x, alpha, ignore_na):
-    """pandas' ewm step: state y, NULLs since the last value, next value."""
-    beta = 1.0 - alpha
-    if gap == 0 or ignore_na:
-        return alpha * x + beta * y
-    weight = beta ** (gap + 1)
-    return (weight * y + alpha * x) / (weight + alpha)
-
-
-def _fold(xs, alpha, ignore_na, y, gap):
-    """(states after each x, last state, NULLs after the last value); an undefined y (NaN) starts at the first value."""
-    out = []
-    for x in xs:
-        if x == x:  # not NaN
-            y = x if y != y else _step(y, gap, x, alpha, ignore_na)
-            gap = 0
-        else:
-            gap += 1
-        out.append(y)
-    return out, y, gap
-
-
-def _block_states(alphas: list[float], tags: list[str], ignore_na: bool):
-    """pandas function: per block and column, what its end state needs of the entering state.
-
-    ``n`` rows; ``lead`` NULLs before the first value ``x``; from the state y after that value the block
-    ends at ``d * y + l``, followed by ``trail`` NULLs.  Without any value x is NULL.
-    """
+
+def affine_states(d, l):
+    """(D, L) with the state after step i of y' = d[i] * y + l[i] equal to D[i] * y + L[i], by doubling steps."""
     import numpy as np
-    import pandas as pd
 
-    def fn(key, pdf):
-        pdf = pdf.sort_values(G)
-        row = {"__s": key[0], BLK: key[1]}
-        for a, t in zip(alphas, tags):
-            xs = pdf[f"__x_{t}"].to_numpy(dtype="float64", na_value=np.nan)
-            at = np.flatnonzero(xs == xs)
-            row[f"__n_{t}"], row[f"__lead_{t}"] = len(xs), int(at[0]) if len(at) else len(xs)
-            row[f"__v_{t}"] = float(xs[at[0]]) if len(at) else None
-            l, d, gap = 0.0, 1.0, 0
-            for x in xs[at[0] + 1:].tolist() if len(at) else ():
-                if x == x:
-                    l, d = _step(l, gap, x, a, ignore_na), _step(d, gap, 0.0, a, ignore_na)
-                    gap = 0
-                else:
-                    gap += 1
-            row[f"__l_{t}"], row[f"__d_{t}"], row[f"__trail_{t}"] = l, d, gap
-        return pd.DataFrame([row])
-    return fn
-
-
-def _carry(alphas: list[float], tags: list[str], ignore_na: bool):
-    """pandas function: entering state and NULL count of each block of one series, in one pass over its blocks."""
-    def fn(pdf):
-        pdf = pdf.sort_values(BLK)
-        out = pdf[["__s", BLK]].copy()
-        for a, t in zip(alphas, tags):
-            y, gap, ys, gaps = float("nan"), 0, [], []
-            rows = zip(*(pdf[f"__{c}_{t}"].tolist() for c in ("n", "lead", "v", "l", "d", "trail")))
-            for n, lead, v, l, d, trail in rows:
-                ys.append(y)
-                gaps.append(gap)
-                if v is None or v != v:
-                    gap += n
-                    continue
-                y = v if y != y else _step(y, gap + lead, v, a, ignore_na)
-                y, gap = d * y + l, trail
-            out[f"__y0_{t}"], out[f"__g0_{t}"] = ys, gaps
-        return out
-    return fn
+    d, l, step = np.array(d, dtype="float64"), np.array(l, dtype="float64"), 1
+    while step < len(d) and d[step:].any():  # stops early once the start is forgotten
+        l[step:] = d[step:] * l[:-step] + l[step:]
+        d[step:] = d[step:] * d[:-step]
+        step *= 2
+    return d, l
 
 
-def _replay(alphas: list[float], tags: list[str], ignore_na: bool):
-    """pandas function: the states of a block from its entering state."""
+def _value_steps(xs, alpha, ignore_na, gap):
+    """pandas' ewm steps of the non-null values: (their places, d, l, NULLs after the last); ``gap`` NULLs come before."""
     import numpy as np
 
-    def fn(pdf):
-        pdf = pdf.sort_values(G)
-        out = pdf[[G]].copy()
-        for a, t in zip(alphas, tags):
-            y0 = pdf[f"__y0_{t}"].iloc[0]
-            y0 = float("nan") if y0 is None or y0 != y0 else float(y0)
-            xs = pdf[f"__x_{t}"].to_numpy(dtype="float64", na_value=np.nan).tolist()
-            out[f"__o_{t}"] = _fold(xs, a, ignore_na, y0, int(pdf[f"__g0_{t}"].iloc[0]))[0]
+    at = np.flatnonzero(xs == xs)
+    if not len(at):
+        return at, at * 0.0, at * 0.0, gap + len(xs)
+    beta, gaps = 1.0 - alpha, np.diff(at, prepend=-1 - gap) - 1
+    if ignore_na:
+        d, share = np.full(len(at), beta), np.full(len(at), alpha)
+    else:  # the weight of the old state decays through the NULLs
+        weight = beta ** (gaps + 1.0)
+        d, share = np.where(gaps == 0, beta, weight / (weight + alpha)), np.where(gaps == 0, alpha, alpha / (weight + alpha))
+    return at, d, share * xs[at], len(xs) - 1 - int(at[-1])
+
+
+def _composed(d, l):
+    """One step that equals the given ones in turn."""
+    import numpy as np
+
+    if not len(d):
+        return 1.0, 0.0
+    rest = np.cumprod(d[::-1])[::-1]
+    return float(rest[0]), float((l * np.append(rest[1:], 1.0)).sum())
+
+
+def _column(table, name):
+    import numpy as np
+
+    return table.column(name).to_numpy().astype("float64") if table.column(name).null_count == 0 else \
+        np.array(table.column(name).to_pandas(), dtype="float64")
+
+
+class _Ewm:
+    """State of one ewm column: its value (NaN before the first) and the NULLs since."""
+
+    def __init__(self, col, alpha, ignore_na):
+        self.col, self.alpha, self.ignore_na, self.start = col, alpha, ignore_na, (float("nan"), 0.0)
+        self.reads, self.width = [col], 6
+
+    def summary(self, xs):
+        """Of a stretch: rows, leading NULLs, first value, then the composed step of the others and the NULLs after."""
+        (x,) = xs
+        at, d, l, trail = _value_steps(x, self.alpha, self.ignore_na, 0)
+        if not len(at):
+            return [float(len(x)), float(len(x)), float("nan"), 1.0, 0.0, 0.0]
+        return [float(len(x)), float(at[0]), float(x[at[0]]), *_composed(d[1:], l[1:]), float(trail)]
+
+    def joined(self, one, two):
+        """The summary of two stretches in turn."""
+        n, lead, v, d, l, trail = one
+        n2, lead2, v2, d2, l2, trail2 = two
+        if v != v:
+            return [n + n2, n + lead2, v2, d2, l2, trail2]
+        if v2 != v2:
+            return [n + n2, lead, v, d, l, trail + n2]
+        _, (d0,), (l0,), _ = _value_steps(_array([v2]), self.alpha, self.ignore_na, int(trail + lead2))
+        return [n + n2, lead, v, d2 * d0 * d, d2 * (d0 * l + l0) + l2, trail2]
+
+    def after(self, state, summary, first):
+        y, gap = state
+        n, lead, v, d, l, trail = summary
+        if v != v:
+            return y, gap + n
+        if y == y:
+            _, (d0,), (l0,), _ = _value_steps(_array([v]), self.alpha, self.ignore_na, int(gap + lead))
+            v = d0 * y + l0
+        return d * v + l, trail
+
+    def states(self, xs, state, first):
+        import numpy as np
+
+        (x,), (y, gap) = xs, state
+        at, d, l, _ = _value_steps(x, self.alpha, self.ignore_na, int(gap))
+        out = np.full(len(x), y)
+        if len(at):
+            if y != y:  # the first value starts the state
+                d[0], l[0], y = 0.0, x[at[0]], 0.0
+            big, small = affine_states(d, l)
+            y = big * y + small
+            out[at[0]:] = np.repeat(y, np.diff(at, append=len(x)))
+        return [out]
+
+
+class _Wilder:
+    """State of Wilder's averages of rises and falls: both averages and the last value."""
+
+    def __init__(self, col, alpha):
+        self.col, self.alpha, self.start = col, alpha, (0.0, 0.0, float("nan"))
+        self.reads, self.width = [col], 6
+
+    def _moves(self, x, last):
+        import numpy as np
+
+        diff = np.diff(x, prepend=last)  # NaN next to a NULL: neither a rise nor a fall
+        return np.where(diff > 0, diff, 0.0), np.where(diff < 0, -diff, 0.0)
+
+    def summary(self, xs):
+        (x,) = xs
+        up, down = self._moves(x, float("nan"))
+        beta = _array([1.0 - self.alpha]).repeat(len(x) - 1)
+        d, rise = _composed(beta, self.alpha * up[1:])
+        return [float(len(x)), float(x[0]), float(x[-1]), d, rise, _composed(beta, self.alpha * down[1:])[1]]
+
+    def joined(self, one, two):
+        n, head, tail, d, rise, fall = one
+        n2, head2, tail2, d2, rise2, fall2 = two
+        (u,), (f,) = self._moves(_array([head2]), tail)
+        beta = 1.0 - self.alpha
+        return [n + n2, head, tail2, d2 * beta * d, d2 * (beta * rise + self.alpha * u) + rise2,
+                d2 * (beta * fall + self.alpha * f) + fall2]
+
+    def after(self, state, summary, first):
+        up, down, last = state
+        _, head, tail, d, rise, fall = summary
+        (u,), (f,) = self._moves(_array([head]), last)
+        beta = 1.0 - self.alpha
+        up, down = (u, f) if first else (self.alpha * u + beta * up, self.alpha * f + beta * down)
+        return d * up + rise, d * down + fall, tail
+
+    def states(self, xs, state, first):
+        (x,), (y_up, y_down, last) = xs, state
+        out = []
+        for y, move in zip((y_up, y_down), self._moves(x, last)):
+            d, l = _array([1.0 - self.alpha]).repeat(len(x)), self.alpha * move
+            if first:
+                d[0], l[0] = 0.0, move[0]
+            big, small = affine_states(d, l)
+            out.append(big * y + small)
         return out
-    return fn
+
+
+def _array(values):
+    import numpy as np
+
+    return np.array(values, dtype="float64")
+
+
+def _smoothed(indexed: DataFrame, series: str, smoothers: list, outs: list[str], block_rows: int, finish=None) -> DataFrame:
+    """Append the smoothers' states (one column each, or what ``finish`` makes of them and the row's place in its series)."""
+    import numpy as np
+    import pandas as pd
+    import pyarrow as pa
+
+    block = F.floor(F.col(G) / block_rows)
+    reads = sorted({c for s in smoothers for c in s.reads})
+    kind = indexed.schema[series].dataType.simpleString()
+    keyed = indexed.select(F.col(series).alias("__s"), G, *[F.col(c).cast("double").alias(f"__x_{c}") for c in reads])
+
+    def summaries(batches):
+        """Each stretch of consecutive rows of a series and block in a batch."""
+        for b in batches:
+            if not b.num_rows:
+                continue
+            g = b.column(G).to_numpy()
+            if (np.diff(g) < 0).any():
+                b = b.sort_by(G)
+                g = b.column(G).to_numpy()
+            xs = {c: _column(b, f"__x_{c}") for c in reads}
+            code = b.column("__s").dictionary_encode().indices.fill_null(-1).to_numpy()
+            cut = np.flatnonzero((np.diff(g) != 1) | (np.diff(code) != 0) | (np.diff(g // block_rows) != 0)) + 1
+            starts, stops = np.append(0, cut), np.append(cut, len(g))
+            values = [[v for s in smoothers for v in s.summary([xs[c][i:j] for c in s.reads])] for i, j in zip(starts, stops)]
+            yield pa.RecordBatch.from_arrays([b.column("__s").take(pa.array(starts)), pa.array(g[starts]), pa.array(values, pa.list_(pa.float64()))],
+                                             ["__s", "__from", "__sum"])
+
+    stretches = keyed.mapInArrow(summaries, f"__s {kind}, __from long, __sum array<double>")
+
+    parts = np.cumsum([0, *[s.width for s in smoothers]])
+    known = lambda values: [float("nan") if v is None else v for v in values]  # noqa: E731  NaN may come back as NULL
+
+    def of_block(key, pdf):
+        """The stretches of a block as one."""
+        pdf = pdf.sort_values("__from")
+        total = None
+        for sums in map(known, pdf["__sum"]):
+            total = sums if total is None else [v for s, a in zip(smoothers, parts) for v in
+                                                s.joined(total[a:a + s.width], sums[a:a + s.width])]
+        return pd.DataFrame({"__s": [pdf["__s"].iloc[0]], "__from": [int(pdf["__from"].iloc[0])], "__sum": [total]})
+
+    def carry(pdf):
+        """State at the start of each block of one series, in one pass over its blocks."""
+        pdf = pdf.sort_values("__from")
+        states, rows, begin = [s.start for s in smoothers], [], int(pdf["__from"].iloc[0])
+        for name, start, sums in zip(pdf["__s"], pdf["__from"].tolist(), map(known, pdf["__sum"])):
+            rows.append((name, start // block_rows, [float(v) for state in states for v in state], begin))
+            states = [s.after(state, sums[a:a + s.width], start == begin) for s, state, a in zip(smoothers, states, parts)]
+        return pd.DataFrame(rows, columns=["__s", BLK, "__state", "__g0"])
+
+    # a stretch ends with its block or Arrow batch; a series has rows / block_rows blocks
+    blocks = stretches.groupBy("__s", F.floor(F.col("__from") / block_rows)).applyInPandas(of_block, stretches.schema)
+    starts = written(blocks.groupBy("__s").applyInPandas(carry, f"__s {kind}, {BLK} long, __state array<double>, __g0 long"), "carry")
+    on = (F.col(series).eqNullSafe(F.col("__s"))) & (block == F.col(BLK))
+    rows = attach_small(indexed, starts, on)
+    fields = indexed.columns
+
+    def replay(table):
+        table = table.sort_by(G)
+        state, g0 = known(table.column("__state")[0].as_py()), table.column("__g0")[0].as_py()
+        g, made, at = table.column(G).to_numpy(), [], 0
+        for s in smoothers:
+            own = len(s.start)
+            made += s.states([_column(table, f"__x_{c}") for c in s.reads], state[at:at + own], int(g[0]) == g0)
+            at += own
+        if finish:
+            made = finish(made, g - g0)
+        return pa.Table.from_arrays([*[table.column(c) for c in fields], *[pa.array(v, mask=v != v) for v in made]], [*fields, *outs])
+
+    schema = StructType([*indexed.schema.fields, *[StructField(o, DoubleType()) for o in outs]])
+    casts = [F.col(c).cast("double").alias(f"__x_{c}") for c in reads]
+    return rows.select(*rows.columns, *casts).groupBy("__s", BLK).applyInArrow(replay, schema)
 
 
 def ewm_adjust_false(indexed: DataFrame, series: str, cols: list[str], alphas: list[float],
@@ -276,26 +420,9 @@ def ewm_adjust_false(indexed: DataFrame, series: str, cols: list[str], alphas: l
 
     y_0 = first non-null x, then y = a*x + (1-a)*y_prev; a NULL x keeps y, and with ``ignore_na=False``
     (the pandas default) the weight of y decays through the gap; rows before the first non-null value are
-    NULL.  Blocks of ``block_rows`` rows are folded in parallel over (position, value) only; their entering
-    states come from one pass over one row per block.
+    NULL.  The rows are shuffled once, to blocks of ``block_rows`` rows.
     """
-    tags = [f"e{i}" for i in range(len(cols))]
-    keyed = indexed.select(F.col(series).alias("__s"), F.floor(F.col(G) / block_rows).alias(BLK), G,
-                           *[F.col(c).cast("double").alias(f"__x_{t}") for c, t in zip(cols, tags)])
-    fields = ["__s string", f"{BLK} long"]
-    for t in tags:
-        fields += [f"__n_{t} long", f"__lead_{t} long", f"__v_{t} double", f"__l_{t} double", f"__d_{t} double",
-                   f"__trail_{t} long"]
-    kind = keyed.schema["__s"].dataType.simpleString()
-    fields[0] = f"__s {kind}"
-    states = keyed.groupBy("__s", BLK).applyInPandas(_block_states(alphas, tags, ignore_na), ", ".join(fields))
-    carry_fields = [f"__s {kind}", f"{BLK} long"] + [f"__y0_{t} double, __g0_{t} long" for t in tags]
-    # one row per block of a series: rows / block_rows of them
-    carry = states.groupBy("__s").applyInPandas(_carry(alphas, tags, ignore_na), ", ".join(carry_fields))
-    replayed = written(keyed.join(carry, ["__s", BLK]).groupBy("__s", BLK).applyInPandas(
-        _replay(alphas, tags, ignore_na), ", ".join([f"{G} long"] + [f"__o_{t} double" for t in tags])), "ewm")
-    values = [F.when(~F.isnan(f"__o_{t}"), F.col(f"__o_{t}")).alias(o) for t, o in zip(tags, outs)]
-    return indexed.join(replayed.select(F.col(G), *values), G)
+    return _smoothed(indexed, series, [_Ewm(c, a, ignore_na) for c, a in zip(cols, alphas)], outs, block_rows)
 
 
 def ema_span(indexed: DataFrame, series: str, col: str, span: int, out: str | None = None,
@@ -312,17 +439,14 @@ def rsi(indexed: DataFrame, series: str, col: str, window: int = 14, out: str |
     diff = x - x_prev; up = diff where > 0 else 0; down = -diff where < 0 else
     0 (the first row counts as 0); both smoothed by ewm(alpha=1/window,
     adjust=False); NULL for the first window-1 rows; 100 where down is 0.
+    The rows are shuffled once, to blocks of ``block_rows`` rows.
     """
-    out = out or f"RSI_{window}"
-    x = lags(indexed, series, [col], [1], block_rows, name="__prev")
-    diff = F.col(col) - F.col("__prev")
-    x = x.withColumn("__up", F.when(diff > 0, diff).otherwise(F.lit(0.0))) \
-         .withColumn("__dn", F.when(diff < 0, -diff).otherwise(F.lit(0.0)))
-    a = 1.0 / window
-    sm = ewm_adjust_false(x, series, ["__up", "__dn"], [a, a], ["__eu", "__ed"], block_rows)
-    sm = with_position(sm, series)
-    val = (F.when(F.col("__pos") < window - 1, F.lit(None).cast("double"))
-           .when(F.col("__ed") == 0, F.lit(100.0))
-           .otherwise(F.lit(100.0) - F.lit(100.0) / (F.lit(1.0) + F.col("__eu") / F.col("__ed"))))
-    return sm.withColumn(out, val).drop("__prev", "__up", "__dn", "__eu", "__ed", "__pos",
-                                        "__len", "__g0")
+    def index(states, place):
+        import numpy as np
+
+        up, down = states
+        with np.errstate(divide="ignore", invalid="ignore"):
+            value = np.where(down == 0, 100.0, 100.0 - 100.0 / (1.0 + up / down))
+        return [np.where(place < window - 1, np.nan, value)]
+
+    return _smoothed(indexed, series, [_Wilder(col, 1.0 / window)], [out or f"RSI_{window}"], block_rows, index)

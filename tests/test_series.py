@@ -160,3 +160,70 @@ def test_hot_series_is_cut_into_bounded_blocks(spark):
     bad = got.filter((F.col("sid") == "hot") & (F.col("eid") >= 20)
                      & (F.col("x_lag_20") != ((F.col("eid") - 20) % 13).cast("double"))).count()
     assert bad == 0
+
+
+def test_affine_states_equal_a_loop():
+    import numpy as np
+    rng = np.random.default_rng(0)
+    for n in (1, 2, 3, 64, 1000):
+        d, l = rng.uniform(0, 1, n), rng.normal(size=n)
+        big, small = S.affine_states(d, l)
+        y = 3.0
+        for i in range(n):
+            y = d[i] * y + l[i]
+            assert math.isclose(big[i] * 3.0 + small[i], y, rel_tol=1e-10, abs_tol=1e-12)
+        assert np.allclose(S._composed(d, l), (big[-1], small[-1]))
+
+
+def test_million_rows_of_one_series(spark):
+    n = 1_000_000
+    df = spark.range(n).select(F.lit("s").alias("sid"), F.col("id").alias("t"),
+                               F.when(F.col("id") % 11 != 3, (F.col("id") * 7919 % 1009).cast("double")).alias("x"))
+    idx = S.with_index(df, "sid", ["t"], partitions=4)
+    got = S.ewm_adjust_false(idx, "sid", ["x"], [0.01], ["e"], 150_000).select("t", "e").toPandas().sort_values("t")["e"].to_numpy()
+    i = pd.Series(range(n))
+    x = (i * 7919 % 1009).astype(float).where(i % 11 != 3)
+    assert abs(got - x.ewm(alpha=0.01, adjust=False).mean().to_numpy()).max() < 1e-8
+
+
+def test_smoothers_of_scattered_rows(spark, data):
+    """Rows that no longer lie in their order: a row is a stretch, and the stretches of a block are joined first."""
+    df, rows = data
+    idx = S.with_index(df, "sid", ["t", "eid"], partitions=3)
+    key = lambda r: (r.sid, r.eid)
+    for scattered in (idx.repartition(5), idx.orderBy(F.col("eid").desc())):
+        for f in (lambda x: S.ewm_adjust_false(x, "sid", ["x", "x"], [0.2, 0.9], ["e", "f"], BLOCK), lambda x: S.rsi(x, "sid", "x", 3, "e", BLOCK)):
+            a, b = ({key(r): r.e for r in f(x).collect()} for x in (idx, scattered))
+            assert a.keys() == b.keys() and all(a[k] == b[k] or math.isclose(a[k], b[k], rel_tol=1e-9) for k in a)
+
+
+def test_rsi_against_plain_loop_with_nulls_and_types(spark):
+    """Rows next to a NULL neither rise nor fall; other columns pass as they are; null series are a series."""
+    import datetime as dt
+    from decimal import Decimal
+    rng = random.Random(6)
+    rows = [(s, i, None if rng.random() < 0.2 else rng.randint(1, 30), Decimal("1.25"), dt.datetime(2024, 1, 1, 5), None)
+            for s in (None, "a") for i in range(40)]
+    df = spark.createDataFrame(rows, "sid string, t long, x int, d decimal(10,2), at timestamp, n long")
+    idx = S.with_index(df, "sid", ["t"], partitions=2)
+    out = S.rsi(idx, "sid", "x", 4, "r", BLOCK)
+    assert out.columns == [*idx.columns, "r"]
+    got = {(r.sid, r.t): r for r in out.collect()}
+    for s in (None, "a"):
+        xs = [x for sid, _, x, *_ in rows if sid == s]
+        up = down = None
+        for i, x in enumerate(xs):
+            diff = x - xs[i - 1] if i and x is not None and xs[i - 1] is not None else 0
+            u, v = max(diff, 0), max(-diff, 0)
+            up, down = (u, v) if i == 0 else (up + (u - up) / 4, down + (v - down) / 4)
+            r = got[s, i]
+            assert (r.x, r.d, r["at"], r.n) == (x, Decimal("1.25"), dt.datetime(2024, 1, 1, 5), None)
+            want = None if i < 3 else 100.0 if down == 0 else 100 - 100 / (1 + up / down)
+            assert r.r is None if want is None else math.isclose(r.r, want, rel_tol=1e-9, abs_tol=1e-9)
+
+
+def test_rows_move_once_to_rsi(spark, data):
+    df, _ = data
+    plan = S.rsi(S.with_index(df, "sid", ["t", "eid"], partitions=3), "sid", "x", 14, "r", BLOCK)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Exchange rangepartitioning") == 0
+    assert plan.count("ArrowEvalPython") == 0 and "SortMergeJoin" not in plan
