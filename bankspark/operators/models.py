@@ -10,7 +10,7 @@ from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PolynomialExpansion, VectorAssembler
-from pyspark.ml.regression import LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -162,28 +162,17 @@ def regression_scores(pred: DataFrame, label: str, prediction: str = "prediction
             "r2": (1.0 - r["sse"] / r["sst"]) if r["sst"] else None}
 
 
-def fit_lag_model(train: DataFrame, lags_col: str, label: str):
-    """Linear model of the next value on the previous lags."""
-    from pyspark.ml.functions import array_to_vector
-    x = train.withColumn("__v", array_to_vector(F.col(lags_col)))
-    return LinearRegression(featuresCol="__v", labelCol=label, regParam=0.0).fit(x)
-
-
 def recursive_forecast(last_windows: DataFrame, window_col: str, coefficients: list[float],
                        intercept: float, steps: int = 10, out: str = "forecast") -> DataFrame:
     """Predict, append, drop the oldest value, ``steps`` times, per row.
 
-    A SQL ``aggregate`` fold over the window array: no driver loop, no UDF.
+    Every step is linear in the window: its weights come from powers of the recursion's companion matrix, so a forecast is one dot
+    product a step.
     """
-    coef = F.array(*[F.lit(float(c)) for c in coefficients])
-    init = F.struct(F.col(window_col).cast("array<double>").alias("w"),
-                    F.array().cast("array<double>").alias("p"))
-
-    def step(acc, _i):
-        dot = F.aggregate(F.zip_with(acc["w"], coef, lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
-        pred = dot + F.lit(float(intercept))
-        return F.struct(F.concat(F.slice(acc["w"], 2, len(coefficients) - 1), F.array(pred)).alias("w"),
-                        F.concat(acc["p"], F.array(pred)).alias("p"))
-
-    folded = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step)
-    return last_windows.withColumn(out, folded["p"])
+    from bankspark.operators.lagged import forecast_weights
+
+    window = F.col(window_col).cast("array<double>")
+    ahead = [F.aggregate(F.zip_with(window, F.array(*[F.lit(float(w)) for w in row[:-1]]), lambda a, b: a * b),
+                         F.lit(0.0), lambda s, v: s + v) + F.lit(float(row[-1]))
+             for row in forecast_weights(coefficients, intercept, steps)]
+    return last_windows.withColumn(out, F.array(*ahead))

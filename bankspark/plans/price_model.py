@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from bankspark.operators import lagged as LG
 from bankspark.operators import models as MD
 from bankspark.operators import series as S
 from bankspark.operators import stats as ST
@@ -96,25 +97,24 @@ def smooth_predictions(pred: DataFrame, series: str, order: list[str], ts: str,
 
 def lag_forecast(indexed: DataFrame, series: str, close: str = "close", steps_back: int = 60,
                  horizon: int = 10, train_share_num: int = 4, train_share_den: int = 5,
-                 block_rows: int = S.DEFAULT_BLOCK_ROWS, scale_on_all: bool = False) -> DataFrame:
+                 scale_on_all: bool = False) -> DataFrame:
     """Chronological split, min-max scaling fitted on the train part of each series (the whole series with
     ``scale_on_all``, as the original does), 60-lag windows, a linear model, and a recursive
     ``horizon``-step forecast per series (K2, K16, K21, K22).
 
-    Windows are built where they are used and never stored; the last window of a series comes from its
-    last rows alone."""
+    The model's normal equations are sums of lagged products, so no windows are built for training; the last window of a
+    series comes from its last rows alone."""
     pos = S.with_position(indexed, series)
     pos = pos.withColumn(
         "__train", F.col("__pos") < F.floor(F.col("__len") * train_share_num / train_share_den))
     # one row per series, used to scale and to invert: materialised once
     fitted = written(ST.minmax_fit(pos if scale_on_all else pos.filter("__train"), close, series), "minmax")
     scaled = ST.minmax_scale(pos, close, series, "__y", fitted=fitted)
-    train = S.collect_lags(scaled.filter("__train"), series, "__y", steps_back, block_rows, out="__x")
-    model = MD.fit_lag_model(train.select("__x", "__y"), "__x", "__y")
+    coefficients, intercept = LG.lag_least_squares(scaled.filter("__train"), series, "__y", steps_back)
     ends = scaled.filter((F.col("__pos") >= F.col("__len") - 1 - steps_back) & (F.col("__pos") < F.col("__len") - 1))
     last = ends.groupBy(series).agg(F.sort_array(F.collect_list(F.struct("__pos", "__y"))).alias("__w")).select(
         series, F.col("__w")["__y"].alias("__x")).filter(F.size("__x") == steps_back)
-    fc = MD.recursive_forecast(last, "__x", list(model.coefficients), model.intercept, horizon, "__p")
+    fc = MD.recursive_forecast(last, "__x", coefficients, intercept, horizon, "__p")
     fc = fc.select(series, F.posexplode("__p").alias("step", "__yhat"))
     inv = ST.minmax_inverse(fc, "__yhat", fitted, series, "forecast")
     return inv.select(series, (F.col("step") + 1).alias("step"), "forecast")

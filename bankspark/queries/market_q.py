@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from bankspark.operators import lagged as LG
 from bankspark.operators import series as S
 from bankspark.plans import market as M
 from bankspark.queries.common import portable
@@ -13,7 +14,7 @@ from bankspark.sources.roles import Roles
 
 # fixed values: parameters of the reference notebook
 LAGS = [1, 90, 180, 360]
-CORR_LAGS = [90, 180, 270, 360, 480, 600]
+CORR_LAGS = 600
 SMA_WINDOWS = [20, 50, 100, 200]
 EMA_SPANS = [50, 10]
 RSI_WINDOW = 14
@@ -107,19 +108,12 @@ def q_bar_tail(spark, sf_dir):
 
 
 def q_lag_corr_scan(spark, sf_dir):
+    """Correlation of the close with the close and the user number 1..600 rows before, per series."""
     ev = Roles(spark, sf_dir).t("events").select(
         F.col("event_type").alias("series_id"), "ts", "event_id", F.col("value").alias("close"),
         F.col("user_id").cast("double").alias("user_id"))
     idx = S.with_index(ev, "series_id", ORDER)
-    variables = ["close", "user_id"]
-    df = S.lags(idx, "series_id", variables, CORR_LAGS)
-    cells = [F.struct(F.lit(v).alias("variable"), F.lit(k).alias("lag"),
-                      F.corr("close", f"{v}_lag_{k}").alias("r"))
-             for v in variables for k in CORR_LAGS]
-    return (df.groupBy("series_id").agg(F.array(*cells).alias("cells"))
-            .select("series_id", F.explode("cells").alias("c"))
-            .select("series_id", F.col("c.variable").alias("variable"), F.col("c.lag").cast("int").alias("lag"),
-                    F.round("c.r", 9).alias("r")))
+    return LG.lag_correlations(idx, "series_id", "close", ["close", "user_id"], CORR_LAGS).withColumn("r", F.round("r", 7))
 
 
 def _prices(spark, sf_dir):
@@ -194,13 +188,9 @@ def _daily_indexed(spark, sf_dir):
 
 
 def q_macro_lag_corr(spark, sf_dir):
-    """Correlation of the close with each macro variable lagged 90..600 rows."""
-    df = S.lags(_daily_indexed(spark, sf_dir), "series", MACRO_VARS, CORR_LAGS)
-    cells = [F.struct(F.lit(v).alias("variable"), F.lit(k).alias("lag"),
-                      F.corr("Close", f"{v}_lag_{k}").alias("r")) for v in MACRO_VARS for k in CORR_LAGS]
-    return (df.agg(F.array(*cells).alias("cells")).select(F.explode("cells").alias("c"))
-            .select(F.col("c.variable").alias("variable"), F.col("c.lag").cast("int").alias("lag"),
-                    F.round("c.r", 9).alias("r")))
+    """Correlation of the close with each macro variable 1..600 rows before."""
+    return (LG.lag_correlations(_daily_indexed(spark, sf_dir), "series", "Close", MACRO_VARS, CORR_LAGS)
+            .select("variable", "lag", F.round("r", 7).alias("r")))
 
 
 def q_macro_lag_features(spark, sf_dir):
@@ -279,16 +269,23 @@ select series_id, event_id,
 from r""")
 
 
+def _lag_pairs_sql(variables, value: str, rows: str, by: str) -> str:
+    """Correlations over all pairs of rows of ``rows`` (by, rn, columns) that lie 1..CORR_LAGS apart."""
+    cells = ", ".join(f"corr(a.{value}, b.{v}) as r{i}" for i, v in enumerate(variables))
+    parts = " union all ".join(f"select {by}, '{v}' as variable, lag, r{i} as r from c" for i, v in enumerate(variables))
+    return f"""
+c as (select a.{by}, k.lag, {cells}
+      from {rows} a join (select cast(unnest(range(1, {CORR_LAGS + 1})) as integer) as lag) k on true
+      left join {rows} b on b.{by} = a.{by} and b.rn = a.rn - k.lag group by a.{by}, k.lag),
+u as ({parts})"""
+
+
 def _corr_sql() -> str:
-    lags = ", ".join(f"lag(close, {k}) over w as close_lag_{k}, lag(user_id, {k}) over w as user_id_lag_{k}"
-                     for k in CORR_LAGS)
-    parts = [f"select series_id, '{v}' as variable, {k} as lag, round(corr(close, {v}_lag_{k}), 9) as r "
-             f"from l group by series_id" for v in ("close", "user_id") for k in CORR_LAGS]
     return f"""
-with l as (select event_type as series_id, value as close, cast(user_id as double) as user_id, {lags}
-           from events window w as (partition by event_type order by ts, event_id))
-select series_id, variable, cast(lag as integer) as lag, r from (
-{" union all ".join(parts)})"""
+with l as materialized (select event_type as series_id, value as close, cast(user_id as double) as user_id,
+           row_number() over (partition by event_type order by ts, event_id) as rn from events),
+{_lag_pairs_sql(("close", "user_id"), "close", "l", "series_id")}
+select series_id, variable, lag, round(r, 7) as r from u"""
 
 
 _PRICE_CLEAN = """
@@ -343,13 +340,11 @@ left join (select year(l_shipdate) as y, month(l_shipdate) as mo, cast(count(*)
 
 
 def _macro_lag_corr_sql() -> str:
-    lags = ", ".join(f"lag({v}, {k}) over w as {v}_lag_{k}" for v in MACRO_VARS for k in CORR_LAGS)
-    parts = [f"select '{v}' as variable, {k} as lag, round(corr(Close, {v}_lag_{k}), 9) as r from l"
-             for v in MACRO_VARS for k in CORR_LAGS]
     return with_views(["v_price_text", "v_macro_long"], f"""
 with d as ({_DAILY}),
-l as (select Close, {lags} from d window w as (order by Date, row_id))
-select variable, cast(lag as integer) as lag, r from ({" union all ".join(parts)})""")
+l as materialized (select *, 0 as one, row_number() over (order by Date, row_id) as rn from d),
+{_lag_pairs_sql(MACRO_VARS, "Close", "l", "one")}
+select variable, lag, round(r, 7) as r from u""")
 
 
 def _macro_lag_features_sql() -> str:

@@ -12,6 +12,7 @@ from bankspark.plans import cycle as CY
 from bankspark.plans import market as M
 from bankspark.plans import price_model as PM
 from bankspark.queries.common import portable
+from bankspark.queries.oracle_views import with_views
 from bankspark.sources.roles import Roles
 
 ORDER = ["ts", "event_id"]
@@ -102,7 +103,8 @@ def q_rf_smoothed(spark, sf_dir):
 
 def q_lag_forecast(spark, sf_dir):
     idx = S.with_index(Roles(spark, sf_dir).tick(), "series_id", ORDER)
-    return PM.lag_forecast(idx, "series_id", "close")
+    return PM.lag_forecast(idx, "series_id", "close").select(
+        "series_id", F.col("step").cast("int").alias("step"), F.round("forecast", 6).alias("forecast"))
 
 
 QUERIES = {
@@ -118,4 +120,37 @@ QUERIES = {
     "lag_forecast": q_lag_forecast,
 }
 
-ORACLE: dict[str, str] = {}
+STEPS, HORIZON = 60, 10  # fixed values: window and horizon of the reference's forecast
+
+#: The normal equations of all windows, solved by Gauss-Jordan steps on lists, then the recursion step by step.
+_LAG_FORECAST = f"""
+with recursive p as materialized (
+  select series_id, close, row_number() over w - 1 as pos, count(*) over (partition by series_id) as len
+  from v_tick window w as (partition by series_id order by ts, event_id)),
+f as (select series_id, min(close) as lo, max(close) as hi from p where pos < (len * 4) // 5 group by series_id),
+y as materialized (select series_id, pos, len, (close - lo) / (hi - lo) as y from p join f using (series_id)),
+x as materialized (
+  select a.series_id, a.pos as t, k.i, b.y as v
+  from y a, (select unnest(range(0, {STEPS + 1})) as i) k, y b
+  where a.pos >= {STEPS} and a.pos < (a.len * 4) // 5 and b.series_id = a.series_id and b.pos = a.pos - k.i
+  union all
+  select series_id, pos, {STEPS + 1}, 1.0 from y where pos >= {STEPS} and pos < (len * 4) // 5),
+g as (select a.i as i, b.i as j, sum(a.v * b.v) as s from x a join x b on a.series_id = b.series_id and a.t = b.t
+      where a.i > 0 group by a.i, b.i),
+solve as (
+  select 1 as k, list(r order by i) as m from (select i, list(s order by j = 0, j) as r from g group by i)
+  union all
+  select k + 1, list_transform(m, lambda r, i: case
+    when i = k then list_transform(r, lambda v: v / m[k][k])
+    else list_transform(r, lambda v, j: v - r[k] / m[k][k] * m[k][j]) end)
+  from solve where k <= {STEPS + 1}),
+c as materialized (select list_reverse(list_transform(m[1:{STEPS}], lambda r: r[{STEPS + 2}])) as b, m[{STEPS + 1}][{STEPS + 2}] as a
+      from solve where k = {STEPS + 2}),
+r as (
+  select series_id, 1 as step, list(y order by pos) as w from y where pos >= len - 1 - {STEPS} and pos < len - 1 group by series_id
+  union all
+  select series_id, step + 1, list_append(w[2:], a + list_dot_product(w, b)) from r, c where step <= {HORIZON})
+select series_id, cast(step - 1 as integer) as step, round(w[{STEPS}] * (hi - lo) + lo, 6) as forecast
+from r join f using (series_id) where step > 1"""
+
+ORACLE: dict[str, str] = {"lag_forecast": with_views(["v_tick"], _LAG_FORECAST)}
