@@ -6,6 +6,9 @@ coefficients); every pass over data runs on the executors.
 
 from __future__ import annotations
 
+from functools import reduce
+from typing import NamedTuple
+
 from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
@@ -24,7 +27,7 @@ def assemble(df: DataFrame, cols: list[str], out: str = "features") -> DataFrame
 
 def kmeans_canonical(df: DataFrame, cols: list[str] | None, k: int = 4, seed: int = 42,
                      out: str = "cluster", max_iter: int = 300):
-    """k-means with cluster ids renumbered by the lexicographic order of the centres (K4).
+    """Spark ML's k-means, for vectors, with cluster ids renumbered by the lexicographic order of the centres (K4).
 
     ``cols=None``: ``df`` already has its vector in ``features``.  Raises if ``max_iter`` iterations
     (the usual default of 300) do not converge.
@@ -45,32 +48,82 @@ def kmeans_canonical(df: DataFrame, cols: list[str] | None, k: int = 4, seed: in
     return labelled.drop("__raw"), [centres[i] for i in order], float(model.summary.trainingCost)
 
 
-def total_variance(df: DataFrame, cols: list[str]) -> float:
-    """Inertia of a single cluster: sum of squared distances to the mean (k = 1)."""
-    means = df.agg(*[F.avg(c).alias(c) for c in cols]).first()
-    expr = None
-    for c in cols:
-        term = (F.col(c) - F.lit(means[c])) ** 2
-        expr = term if expr is None else expr + term
-    return float(df.agg(F.sum(expr)).first()[0] or 0.0)
+def _squared_distance(cols: list[str], centre: list[float]) -> Column:
+    terms = [(F.col(c) - F.lit(float(m))) * (F.col(c) - F.lit(float(m))) for c, m in zip(cols, centre)]
+    return reduce(lambda a, b: a + b, terms)
 
 
-def elbow(df: DataFrame, cols: list[str], ks=range(1, 11), seed: int = 42,
-          parallelism: int = 4) -> list[tuple[int, float]]:
-    """(k, inertia) for the elbow plot (K5, K6); Spark's k-means needs k >= 2, k = 1 is direct.
+def farthest_first(df: DataFrame, cols: list[str], key: str, k: int) -> list[list[float]]:
+    """Up to ``k`` seeds: the point farthest from the mean, then each time the one farthest from all seeds; ties go to the smallest key.
 
-    The fits are independent, so they are submitted from ``parallelism``
-    driver threads (as CrossValidator does) and share the cluster.
+    One pass a seed, of which each task sends one row.  Ends early when every point is a seed.
     """
-    from concurrent.futures import ThreadPoolExecutor
-
-    def one(k):
-        if k == 1:
-            return (1, total_variance(df, cols))
-        return (k, kmeans_canonical(df, cols, k, seed)[2])
-
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        return sorted(pool.map(one, ks))
+    mean = df.agg(*[F.avg(c) for c in cols]).first()
+    if mean[0] is None:
+        raise ValueError("no points")
+    seeds: list[list[float]] = []
+    while len(seeds) < k:
+        distances = [_squared_distance(cols, c) for c in (seeds or [list(mean)])]
+        far = F.least(*distances) if len(distances) > 1 else distances[0]
+        top = df.select(*cols, key, far.alias("__far")).orderBy(F.col("__far").desc(), key).limit(1).first()
+        if seeds and not top["__far"] > 0:
+            break
+        seeds.append([float(top[c]) for c in cols])
+    return seeds
+
+
+class Clustering(NamedTuple):
+    """A k-means result: centres in lexicographic order, within-cluster sum of squares, rounds until they stood still."""
+    centres: list[list[float]]
+    inertia: float
+    rounds: int
+
+
+def kmeans_all(df: DataFrame, cols: list[str], ks: list[int], key: str, max_iter: int = 300, tol: float = 1e-12) -> dict[int, Clustering]:
+    """k-means for every k at once, from the same farthest-first seeds (K4, K5).
+
+    A round is one aggregate over the points for all k that still move: each point adds itself to its nearest centre (the
+    first of equals) of each k, and one row a centre is shuffled.  A centre without points stays.  The result
+    depends on the points and keys alone, not on partitioning; ``tol`` bounds the squared move of a centre that stands still.
+    With fewer distinct points than k, every point is a centre.  A NULL or NaN coordinate raises.
+    """
+    bad = reduce(lambda a, b: a | b, [F.col(c).isNull() | F.isnan(c) for c in cols])
+    if not df.filter(bad).limit(1).isEmpty():
+        raise ValueError(f"NULL or NaN among {cols}")
+    seeds = farthest_first(df, cols, key, max(ks))
+    centres, out, moving, rounds = {k: seeds[:k] for k in ks}, {}, sorted(ks), 0
+    while moving:
+        rounds += 1
+        if rounds > max_iter:
+            raise RuntimeError(f"k-means with k in {moving} has not converged after {max_iter} rounds")
+        nearest = [F.struct(F.lit(k).alias("k"), F.array_min(F.array(*[
+            F.struct(_squared_distance(cols, c).alias("d"), F.lit(j).alias("j")) for j, c in enumerate(centres[k])])).alias("near"))
+            for k in moving]
+        sums = (df.select(*cols, F.explode(F.array(*nearest)).alias("__near")).groupBy("__near.k", "__near.near.j")
+                .agg(F.sum("__near.near.d").alias("d"), *[F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)]).collect())
+        inertia = dict.fromkeys(moving, 0.0)
+        moved = {k: list(centres[k]) for k in moving}
+        for r in sums:  # one row a centre
+            inertia[r["k"]] += r["d"]
+            moved[r["k"]][r["j"]] = [float(r[f"m{i}"]) for i in range(len(cols))]
+        for k in list(moving):
+            step = max(sum((a - b) ** 2 for a, b in zip(x, y)) for x, y in zip(centres[k], moved[k]))
+            centres[k] = moved[k]
+            if step <= tol:
+                out[k] = Clustering(sorted(moved[k]), inertia[k], rounds)
+                moving.remove(k)
+    return out
+
+
+def assign_clusters(df: DataFrame, cols: list[str], centres: list[list[float]], out: str = "cluster") -> DataFrame:
+    """The number of each row's nearest centre, the first of equals."""
+    near = F.array_min(F.array(*[F.struct(_squared_distance(cols, c).alias("d"), F.lit(j).alias("j")) for j, c in enumerate(centres)]))
+    return df.withColumn(out, near["j"].cast("int"))
+
+
+def elbow(df: DataFrame, cols: list[str], key: str, ks=range(1, 11)) -> list[tuple[int, float]]:
+    """(k, inertia) for the elbow plot (K5, K6)."""
+    return [(k, c.inertia) for k, c in sorted(kmeans_all(df, cols, list(ks), key).items())]
 
 
 def silhouette_sq_euclidean(labelled: DataFrame, label: str = "cluster") -> float:

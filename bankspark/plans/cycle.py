@@ -13,27 +13,25 @@ from bankspark.session import checkpoint
 MACRO_COLS = ["GDP", "Inflation", "Unemployment_rate"]
 
 
-def macro_zscores(macro: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """z-scores of the macro columns (K1), materialised: one row per year, read by every k-means
-    iteration and every elbow fit, so the scans behind it run once."""
-    return checkpoint(ST.zscore(macro, cols or MACRO_COLS))
+def macro_zscores(macro: DataFrame, cols: list[str] | None = None, before_year: int | None = None) -> DataFrame:
+    """z-scores of the macro columns over all years (K1), of which the years before ``before_year`` are kept.
 
+    Materialised: one row per year, read by every k-means round, so the scans behind it run once."""
+    z = checkpoint(ST.zscore(macro, cols or MACRO_COLS))
+    return z if before_year is None else z.filter(F.col("Year") < before_year)
 
-def economic_stages(macro: DataFrame, k: int = 4, seed: int = 42, before_year: int | None = None,
-                    cols: list[str] | None = None):
+
+def economic_stages(macro: DataFrame, k: int = 4, before_year: int | None = None, cols: list[str] | None = None):
     """z-score the macro columns over all years, keep years before ``before_year``, cluster, label.
 
     Returns (Year, cols, z cols, cluster, Stage), inertia, centres.  The table
     has one row per calendar year.
     """
     cols = cols or MACRO_COLS
-    z = macro_zscores(macro, cols)
-    if before_year is not None:
-        z = z.filter(F.col("Year") < before_year)
+    z = macro_zscores(macro, cols, before_year)
     zcols = [f"{c}_z" for c in cols]
-    labelled, centres, inertia = MD.kmeans_canonical(z, zcols, k, seed)
-    out = label_stages(labelled, "cluster").drop("features")
-    return out, inertia, centres
+    found = MD.kmeans_all(z, zcols, [k], "Year")[k]
+    return label_stages(MD.assign_clusters(z, zcols, found.centres), "cluster"), found.inertia, found.centres
 
 
 def yearly_pct_change(yearly: DataFrame, value: str = "Close", year: str = "Year") -> DataFrame:

@@ -131,8 +131,7 @@ def q_stage_close_fixed(spark, sf_dir):
 
 def q_macro_before(spark, sf_dir):
     """Z-scores over all years, only the years before a given one kept."""
-    z = CY.macro_zscores(M.macro_wide(Roles(spark, sf_dir).macro_long()))
-    z = z.filter(F.col("Year") < BEFORE_YEAR)
+    z = CY.macro_zscores(M.macro_wide(Roles(spark, sf_dir).macro_long()), before_year=BEFORE_YEAR)
     return z.select("Year", *[F.round(f"{c}_z", 9).alias(f"{c}_z") for c in CY.MACRO_COLS])
 
 

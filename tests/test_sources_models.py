@@ -53,9 +53,52 @@ def test_kmeans_canonical_is_deterministic(spark):
     assert MD.silhouette_sq_euclidean(lab) > 0.9
 
 
+def _plain_kmeans(points, k):
+    """points: (key, coordinates); farthest-first seeds and Lloyd's rounds, point by point."""
+    points = [p for _, p in sorted(points)]
+    gap = lambda a, b: sum((x - y) ** 2 for x, y in zip(a, b))
+    mean = [sum(p[d] for p in points) / len(points) for d in range(len(points[0]))]
+    centres = [max(points, key=lambda p: gap(p, mean))]
+    while len(centres) < k and max(min(gap(p, c) for c in centres) for p in points) > 0:
+        centres.append(max(points, key=lambda p: min(gap(p, c) for c in centres)))
+    for _ in range(200):
+        of = [min(range(len(centres)), key=lambda j: gap(p, centres[j])) for p in points]
+        groups = [[p for p, o in zip(points, of) if o == j] for j in range(len(centres))]
+        centres = [[sum(x) / len(g) for x in zip(*g)] if g else c for g, c in zip(groups, centres)]
+    return sorted(centres), sum(min(gap(p, c) for c in centres) for p in points)
+
+
+def test_kmeans_of_every_k_equals_a_plain_version(spark):
+    import random
+    rng = random.Random(1)
+    points = [(i, [rng.gauss(4 * (i % 5), 1), rng.gauss(3 * (i % 3), 1)]) for i in range(120)] + [(200, [0.0, 0.0]), (201, [0.0, 0.0])]
+    df = spark.createDataFrame([(i, *p) for i, p in points], "id long, a double, b double").repartition(6)
+    got = MD.kmeans_all(df, ["a", "b"], list(range(1, 8)), "id")
+    for k, c in got.items():
+        centres, inertia = _plain_kmeans(points, k)
+        assert math.isclose(c.inertia, inertia, rel_tol=1e-9) and len(c.centres) == k
+        assert all(math.isclose(x, y, abs_tol=1e-9) for p, q in zip(c.centres, centres) for x, y in zip(p, q))
+    again = MD.kmeans_all(df.repartition(2), ["a", "b"], [4], "id")[4]
+    assert math.isclose(again.inertia, got[4].inertia, rel_tol=1e-12)
+    labelled = MD.assign_clusters(df, ["a", "b"], got[4].centres).groupBy("cluster").count().collect()
+    assert {r.cluster for r in labelled} == {0, 1, 2, 3} and sum(r["count"] for r in labelled) == 122
+
+
+def test_kmeans_ties_repeats_and_gaps(spark):
+    import pytest
+    df = spark.createDataFrame([(1, 0.0), (2, 10.0), (3, 10.0), (4, 0.0)], "id long, a double")
+    assert MD.farthest_first(df, ["a"], "id", 5) == [[0.0], [10.0]]  # both ends are as far: the smaller key
+    found = MD.kmeans_all(df, ["a"], [1, 2, 3], "id")
+    assert found[1].inertia == 100.0 and found[2].inertia == 0.0 and found[3].centres == [[0.0], [10.0]]
+    with pytest.raises(ValueError):
+        MD.kmeans_all(df.union(spark.createDataFrame([(5, None)], "id long, a double")), ["a"], [2], "id")
+    with pytest.raises(ValueError):
+        MD.kmeans_all(df.limit(0), ["a"], [2], "id")
+
+
 def test_elbow_k1_is_total_variance(spark):
     df = spark.createDataFrame([(1.0,), (3.0,), (5.0,)], "a double")
-    pts = dict(MD.elbow(df, ["a"], ks=[1, 2]))
+    pts = dict(MD.elbow(df, ["a"], "a", ks=[1, 2]))
     assert pts[1] == 8.0 and pts[2] <= pts[1]
 
 
