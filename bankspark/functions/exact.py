@@ -52,13 +52,6 @@ def div_round(num: Column, den: Column, digits: int = 2, num_scale: int = 0,
     return F.when(d != 0, val.cast(f"decimal(38,{max(digits, 0)})"))
 
 
-def round_decimal(c: Column, digits: int = 2, scale: int | None = None) -> Column:
-    """round() of a decimal column (Spark rounds decimals half up, like PostgreSQL numeric)."""
-    if scale is not None:
-        c = c.cast(f"decimal(38,{scale})")
-    return F.round(c, digits)
-
-
 def ratio(num: Column, den: Column) -> Column:
     """num / den as double from exact decimal aggregates; NULL when den is 0.
 

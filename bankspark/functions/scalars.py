@@ -118,8 +118,3 @@ def map_codes(c: Column, mapping: dict) -> Column:
     for k, v in mapping.items():
         pairs += [F.lit(k), F.lit(v)]
     return F.element_at(F.create_map(*pairs), c)
-
-
-def safe_div(a: Column, b: Column) -> Column:
-    """Division that yields NULL on a zero divisor (PostgreSQL would raise) (I16)."""
-    return F.try_divide(a, b)

@@ -36,8 +36,6 @@ def global_rank(df: DataFrame, value: str, out: str, ascending: bool = True,
     if nulls_first is None:
         nulls_first = ascending  # Spark's default: ASC NULLS FIRST, DESC NULLS LAST
     by = list(by or [])
-    spark = df.sparkSession
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     k, z = "__rk_key", "__rk_null"
     key = F.col(value) if ascending else -F.col(value)
     # NULLs are one more distinct key, placed before or after every value
@@ -47,7 +45,7 @@ def global_rank(df: DataFrame, value: str, out: str, ascending: bool = True,
 
     n = F.sum(F.col(weight)) if weight else F.count(F.lit(1))
     counts = keyed.groupBy(*by, z, k).agg(n.alias("__n"))
-    ranged = counts.repartitionByRange(parts, *by, z, k).withColumn("__pid", F.spark_partition_id())
+    ranged = counts.repartitionByRange(*([partitions] if partitions else []), *by, z, k).withColumn("__pid", F.spark_partition_id())
     w_local = Window.partitionBy("__pid", *by).orderBy(z, k).rowsBetween(Window.unboundedPreceding, -1)
     # partition ids are physical: materialise the distinct values once so that the offsets
     # and the running counts below are computed from the same placement

@@ -42,9 +42,9 @@ def with_index(df: DataFrame, series: str, order: list[str], partitions: int | N
     ``order`` must make the order total (add a unique tiebreak column).
     """
     spark = df.sparkSession
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [series, *order]
-    s = (df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
+    # without a number, adaptive execution merges the session's partitions by their size
+    s = (df.repartitionByRange(*([partitions] if partitions else []), *keys).sortWithinPartitions(*keys)
          .withColumn("__mid", F.monotonically_increasing_id()))
     s = s.withColumn("__pid", F.shiftright("__mid", 33)) \
          .withColumn("__loc", F.col("__mid").bitwiseAND(F.lit((1 << 33) - 1)))

@@ -28,6 +28,8 @@ def _group(df: DataFrame, group: str | None) -> tuple[DataFrame, str]:
 
 
 ACCURACY = 10_000  # of the approximate pass: its rank error is at most 1 / ACCURACY of the rows
+MAX_INSIDE = 1_000_000  # rows of a bracket that are put in order by one task; a larger bracket is split first
+CUTS = 1_000  # parts of a bracket that is split
 
 
 def exact_quantiles(df: DataFrame, value: str, qs: list[float], group: str | None = None) -> DataFrame:
@@ -35,6 +37,7 @@ def exact_quantiles(df: DataFrame, value: str, qs: list[float], group: str | Non
 
     The bracket of a quantile holds about 4 / ACCURACY of the group's rows, or the whole of a group below
     2 * ACCURACY rows, summed by value first; equal values are one row, so a hot value adds nothing.
+    A bracket of over MAX_INSIDE rows is split at the quantiles of its own values, again until it holds no more.
     """
     d, g = _group(df, group)
     x = d.select(g, F.col(value).alias("__v")).filter(F.col(value).isNotNull())
@@ -52,6 +55,9 @@ def exact_quantiles(df: DataFrame, value: str, qs: list[float], group: str | Non
                      F.when(small | F.lit(q >= 1 - slack), F.col("__max")).otherwise(F.col("__high")[i]).alias("hi"))
             for i, q in enumerate(qs)]
     brackets = written(brackets.select(g, "__n", F.array(*ends).alias("__b")), "brackets")
+    largest = brackets.agg(F.max("__n")).first()[0] or 0
+    if largest * 5 > MAX_INSIDE * ACCURACY:
+        brackets = _split_brackets(x, brackets, g)
     rows = attach_small(x, brackets, g)
     # one row per (group, quantile, value inside the bracket), and one for all rows below it
     inside = rows.select(g, "__n", "__v", F.explode("__b").alias("b")).filter(F.col("__v") <= F.col("b.hi"))
@@ -66,6 +72,36 @@ def exact_quantiles(df: DataFrame, value: str, qs: list[float], group: str | Non
     return picked.select(g, "q", (F.col("__vlo") + (F.col("__vhi") - F.col("__vlo")) * (place - F.floor(place))).alias("quantile"))
 
 
+def _split_brackets(x: DataFrame, brackets: DataFrame, g: str) -> DataFrame:
+    """Brackets of at most MAX_INSIDE rows: a pass counts the rows below and inside each and cuts it into CUTS parts of
+    about equal rows; the parts around the wanted place, with one more on either side, are the next bracket.
+
+    A bracket that this does not narrow holds a value of more rows than a part, which is one row once summed by value.
+    """
+    grid = F.array(*[F.lit(i / CUTS) for i in range(CUTS + 1)])
+    while True:
+        rows = attach_small(x, brackets, g)
+        b = rows.select(g, "__n", "__v", F.explode("__b").alias("b")).filter(F.col("__v") <= F.col("b.hi"))
+        inside = F.col("__v") >= F.col("b.lo")
+        cut = b.groupBy(g, "__n", "b").agg(
+            F.count_if(~inside).alias("below"), F.count_if(inside).alias("inside"),
+            F.percentile_approx(F.when(inside, F.col("__v")), grid, ACCURACY).alias("cuts"))
+        # of the two order statistics around the place, as a share of the rows inside; the cuts' own rank error is below a part
+        share = lambda place: (place - F.col("below")) / F.col("inside") * CUTS
+        place = F.col("b.q") * (F.col("__n") - 1)
+        lo = F.greatest(F.floor(share(F.floor(place))) - 1, F.lit(0)).cast("int")
+        hi = F.least(F.ceil(share(F.ceil(place) + 1)) + 1, F.lit(CUTS)).cast("int")
+        # the ends of the old bracket stay as they are
+        new_lo = F.when(lo <= 0, F.col("b.lo")).otherwise(F.get("cuts", lo))
+        new_hi = F.when(hi >= CUTS, F.col("b.hi")).otherwise(F.get("cuts", hi))
+        narrows = (F.col("inside") > MAX_INSIDE) & ((new_lo > F.col("b.lo")) | (new_hi < F.col("b.hi")))
+        cut = written(cut.select(g, "__n", narrows.alias("narrows"), F.when(narrows, F.struct(
+            F.col("b.q").alias("q"), new_lo.alias("lo"), new_hi.alias("hi"))).otherwise(F.col("b")).alias("b")), "cuts")
+        if cut.filter("narrows").limit(1).isEmpty():
+            return brackets
+        brackets = written(cut.groupBy(g, "__n").agg(F.collect_list("b").alias("__b")), "brackets")
+
+
 def describe(df: DataFrame, value: str, group: str | None = None) -> DataFrame:
     """``describe()``: count, mean, sample std, min, 25/50/75 % (exact), max."""
     d, g = _group(df, group)

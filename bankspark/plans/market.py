@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from bankspark.operators.joins import attach_small
 from bankspark.functions.scalars import (lenient_number, magnitude_number, map_codes,
                                          month_date, parse_date)
 
@@ -90,15 +91,20 @@ def attach_macro_and_rate(daily: DataFrame, macro: DataFrame, rates: DataFrame,
                           date_col: str = "Date") -> DataFrame:
     """Daily rows + macro by year (C7) + the month's rate (C8), both left joins.
 
-    Both lookup sides hold one row per year / month of the calendar, a bound
-    that does not grow with the daily data, so they are broadcast.
+    Both lookups are counted before they are broadcast; a year or month given twice raises, as it would double rows.
     """
     d = daily.withColumn("Year", F.year(date_col)).withColumn("__m", F.trunc(date_col, "MM"))
-    out = d.join(F.broadcast(macro), "Year", "left")
-    out = out.join(F.broadcast(rates.withColumnRenamed("month_start", "__m")), "__m", "left")
+    out = attach_small(d, _one_row_each(macro, "Year"), "Year", "left")
+    out = attach_small(out, _one_row_each(rates.withColumnRenamed("month_start", "__m"), "__m"), "__m", "left")
     return out.drop("__m")
 
 
+def _one_row_each(lookup: DataFrame, key: str) -> DataFrame:
+    twice = F.raise_error(F.concat(F.lit(f"{key} given twice: "), F.first(key).cast("string")))
+    return lookup.groupBy(key).agg(*[F.when(F.count(F.lit(1)) > 1, twice.cast(lookup.schema[c].dataType)).otherwise(F.first(c)).alias(c)
+                                     for c in lookup.columns if c != key])
+
+
 def yearly_last(df: DataFrame, value: str, date_col: str, tiebreak: str,
                 by: list[str] | None = None) -> DataFrame:
     """``groupby(Year).last()[value]``: the last non-null value of each year."""

@@ -35,16 +35,21 @@ KPIS = (("loan_to_new", "ltn_avg", "rank_ltn_avg"), ("psdn", "psdn_avg", "rank_p
         ("app_rate", "approval_rate_avg", "rank_approval_rate_avg"))
 
 
-def _kpi_ranks(per_person: DataFrame) -> DataFrame:
+def _kpi_ranks(per_person: DataFrame, area: DataFrame) -> DataFrame:
     """The three KPI averages ranked DESC NULLS FIRST over all persons, in one ranking pass, and brought back to
     (email, area) in one aggregate; persons that share email and area give every combination of their values,
-    as the original's joins do."""
+    as the original's joins do.
+
+    Only persons that those joins can match, with an email and an area of the dimension, are gathered: without an
+    email or area name nothing matches, and all such persons would meet in one group."""
     stacked = per_person.select(
         "email", "area_name",
         F.explode(F.array(*[F.struct(F.lit(avg).alias("metric"), F.col(avg).alias("v"))
                             for _, avg, _ in KPIS])).alias("m")
     ).select("email", "area_name", "m.metric", "m.v")
     ranked = global_rank(stacked, "v", "r", ascending=False, nulls_first=True, by=["metric"])
+    ranked = (ranked.filter(F.col("email").isNotNull() & F.col("area_name").isNotNull())
+              .join(F.broadcast(area.select("area_name").distinct()), "area_name", "left_semi"))
     out = ranked.groupBy("email", "area_name").agg(*[
         F.collect_list(F.when(F.col("metric") == avg, F.struct("v", "r"))).alias(avg) for _, avg, _ in KPIS])
     for _, avg, rk in KPIS:
@@ -112,7 +117,7 @@ def scorecard(people: DataFrame, area: DataFrame, npl: DataFrame, measure: DataF
         *[ratio(F.col(f"{avg}__s"), F.col(f"{avg}__n")).alias(avg) for _, avg, _ in KPIS])
     keys = ["email", "area_name"]
     # npl and the ratio lines hold one row per area: broadcast sides of a proven bound
-    joined = (persons.join(_kpi_ranks(per_person), keys)
+    joined = (persons.join(_kpi_ranks(per_person, area), keys)
               .join(F.broadcast(npl.select("area_code", F.col("rate").alias("npl_truoc_wo_luy_ke"))),
                     "area_code"))
     joined = joined.join(F.broadcast(_area_ratio_ranks(measure)), "area_name", "left")

@@ -175,7 +175,6 @@ def q_features_joined(spark, sf_dir):
 
 MACRO_VARS = ["Rate", "Inflation", "GDP", "Unemployment_rate"]
 FEATURE_LAG = 360
-OUT_DIGITS = {f"GDP_lag_{FEATURE_LAG}": 0}
 
 
 def _daily_indexed(spark, sf_dir):
@@ -199,8 +198,7 @@ def q_macro_lag_features(spark, sf_dir):
     df = S.lags(_daily_indexed(spark, sf_dir), "series", MACRO_VARS, [FEATURE_LAG])
     cols = [f"{v}_lag_{FEATURE_LAG}" for v in MACRO_VARS]
     df = regression_impute(df, cols, "Close")
-    # GDP is a sum of whole currency units: report its imputed lags in whole units
-    return df.select("row_id", "Close", *[F.round(c, OUT_DIGITS.get(c, 6)).alias(c) for c in cols])
+    return df.select("row_id", "Close", *[F.format_string("%.11e", c).cast("double").alias(c) for c in cols])  # 12 digits
 
 
 # ---------------------------------------------------------------- oracle text
@@ -351,8 +349,7 @@ def _macro_lag_features_sql() -> str:
     lags = ", ".join(f"lag({v}, {FEATURE_LAG}) over w as {v}_lag_{FEATURE_LAG}" for v in MACRO_VARS)
     fits = ", ".join(f"regr_slope({v}_lag_{FEATURE_LAG}, Close) as b_{v}, regr_intercept({v}_lag_{FEATURE_LAG}, Close) as a_{v}"
                      for v in MACRO_VARS)
-    outs = ", ".join(f"round(coalesce({v}_lag_{FEATURE_LAG}, a_{v} + b_{v} * Close), "
-                     f"{OUT_DIGITS.get(f'{v}_lag_{FEATURE_LAG}', 6)}) as {v}_lag_{FEATURE_LAG}"
+    outs = ", ".join(f"cast(printf('%.11e', coalesce({v}_lag_{FEATURE_LAG}, a_{v} + b_{v} * Close)) as double) as {v}_lag_{FEATURE_LAG}"
                      for v in MACRO_VARS)
     return with_views(["v_price_text", "v_macro_long"], f"""
 with d as ({_DAILY}),

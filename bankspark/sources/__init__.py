@@ -1 +1 @@
-from bankspark.sources.tables import TABLES, load_table, load_tables  # noqa: F401
+from bankspark.sources.tables import TABLES, load_table  # noqa: F401

@@ -13,9 +13,12 @@ from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from bankspark.functions.funding_ids import deposit_funding_id, loan_funding_id
 from bankspark.functions.scalars import day_key
+from bankspark.sources import schemas
+from bankspark.sources.contract import conform
 from bankspark.sources.tables import load_table
 
 # fixed values: the seven report areas (code, name)
@@ -208,14 +211,38 @@ class Roles:
     def t(self, name: str) -> DataFrame:
         return load_table(self.spark, self.sf_dir, name)
 
-    def deposit(self): return deposit(self.t("orders"), self.t("customer"))
-    def loan(self): return loan(self.t("lineitem"))
-    def area(self): return area(self.spark)
-    def city(self): return city(self.t("nation"))
-    def loan_kpi(self): return loan_kpi(self.t("orders"), self.t("customer"))
-    def gl(self): return gl(self.t("lineitem"))
-    def sales_kpi(self): return sales_kpi(self.t("orders"), self.t("customer"))
-    def tick(self): return tick(self.t("events"))
-    def bar(self): return bar(self.t("events"))
-    def price_text(self): return price_text(self.t("orders"))
-    def macro_long(self): return macro_long(self.t("orders"), self.t("lineitem"))
+    def _view(self, df: DataFrame, name: str, declared: StructType, optional: tuple[str, ...] = ()) -> DataFrame:
+        return conform(df, declared, optional, name)
+
+    def deposit(self):
+        return self._view(deposit(self.t("orders"), self.t("customer")), "deposit", schemas.DEPOSIT, schemas.DEPOSIT_OPTIONAL)
+
+    def loan(self):
+        return self._view(loan(self.t("lineitem")), "loan", schemas.LOAN, schemas.LOAN_OPTIONAL)
+
+    def area(self):
+        return self._view(area(self.spark), "area", schemas.AREA)
+
+    def city(self):
+        return self._view(city(self.t("nation")), "city", schemas.CITY)
+
+    def loan_kpi(self):
+        return self._view(loan_kpi(self.t("orders"), self.t("customer")), "loan_kpi", schemas.LOAN_KPI)
+
+    def gl(self):
+        return self._view(gl(self.t("lineitem")), "gl", schemas.GL)
+
+    def sales_kpi(self):
+        return self._view(sales_kpi(self.t("orders"), self.t("customer")), "sales_kpi", schemas.SALES_KPI)
+
+    def tick(self):
+        return self._view(tick(self.t("events")), "tick", schemas.TICK)
+
+    def bar(self):
+        return bar(self.t("events"))
+
+    def price_text(self):
+        return price_text(self.t("orders"))
+
+    def macro_long(self):
+        return self._view(macro_long(self.t("orders"), self.t("lineitem")), "macro_long", schemas.MACRO_LONG)

@@ -1,8 +1,11 @@
-"""Declared schemas of the reference's tables (A4), as StructType constants."""
+"""Declared schemas of the reference's tables (A4), held against every scan by ``contract``.
+
+Columns that its procedures never read are optional.
+"""
 
 from pyspark.sql import types as T
 
-_D, _I, _S, _L, _SH = T.DateType(), T.IntegerType(), T.StringType(), T.LongType(), T.ShortType()
+_D, _I, _S, _L = T.DateType(), T.IntegerType(), T.StringType(), T.LongType()
 RATE = T.DecimalType(18, 6)
 MONEY = T.DecimalType(18, 2)
 
@@ -13,13 +16,11 @@ def _st(*fields):
 
 DEPOSIT = _st(("process_dt", _D), ("account_id", _L), ("account_type", _S), ("customer_type", _S),
               ("interest_rate", RATE), ("vof_rate", RATE), ("balance", _L), ("open_date", _D),
-              ("maturity_date", _D), ("close_date", _D), ("day_key", _I), ("funding_id", _SH))
+              ("maturity_date", _D), ("close_date", _D), ("day_key", _I), ("funding_id", _I))
 LOAN = _st(("process_dt", _D), ("account_id", _L), ("account_type", _S), ("customer_id", _L),
            ("customer_type", _S), ("interest_rate", RATE), ("cof_rate", RATE), ("balance", _L),
-           ("open_date", _D), ("maturity_date", _D), ("close_date", _D), ("day_key", _I), ("funding_id", _SH))
-FUNDING_SUMMARY = _st(("day_key", _I), ("process_dt", _D), ("funding_id", _I), ("interest_rate", MONEY),
-                      ("vof_rate", MONEY), ("cof_rate", MONEY), ("balance", T.DecimalType(38, 0)),
-                      ("avg_balance_month", MONEY))
+           ("open_date", _D), ("maturity_date", _D), ("close_date", _D), ("day_key", _I), ("funding_id", _I))
+DEPOSIT_OPTIONAL, LOAN_OPTIONAL = ("customer_type", "close_date"), ("customer_id", "close_date")
 LOAN_KPI = _st(("kpi_month", _I), ("pos_city", _S), ("outstanding_principal", MONEY), ("write_off_month", _I),
                ("write_off_balance_principal", MONEY), ("max_bucket", _I))
 CITY = _st(("tinh", _S), ("area_code", _S))
@@ -27,8 +28,5 @@ GL = _st(("account_code", _S), ("amount", MONEY), ("transaction_date", _D), ("an
 AREA = _st(("area_code", _S), ("area_name", _S))
 SALES_KPI = _st(("sale_name", _S), ("email", _S), ("area_name", _S), ("month", _I),
                 ("loan_to_new", MONEY), ("psdn", MONEY), ("app_rate", T.DecimalType(18, 4)))
-MEASURE = _st(("month", _I), ("sort_id", _I), ("area_name", _S), ("value", T.DecimalType(38, 2)))
-REPORT_LINE = _st(("sort_id", _I), ("information", _S))
-PRICE_TEXT = _st(("Date", _S), ("Close", _S), ("Open", _S), ("High", _S), ("Low", _S), ("Volume", _S),
-                 ("Change %", _S))
-RATE_TABLE = _st(("Year", _I), ("Month", _I), ("Rate", T.DoubleType()))
+TICK = _st(("series_id", _S), ("ts", T.TimestampNTZType()), ("event_id", _L), ("close", T.DoubleType()))
+MACRO_LONG = _st(("year", _I), ("series_name", _S), ("value", T.DoubleType()))

@@ -103,3 +103,50 @@ def test_append_and_overwrite(spark, tmp_path):
     assert spark.read.parquet(path).count() == 2
     overwrite(a, path)
     assert spark.read.parquet(path).count() == 1
+
+
+def _facts(spark, tmp_path):
+    from bankspark.sources.roles import Roles
+    from tests.conftest import SF001
+
+    r = Roles(spark, SF001)
+    for name, fact in (("deposit", r.deposit()), ("loan", r.loan())):
+        fact.write.partitionBy("day_key").parquet(str(tmp_path / name))
+    return spark.read.parquet(str(tmp_path / "deposit")), spark.read.parquet(str(tmp_path / "loan"))
+
+
+def _rows(df):
+    return sorted(map(tuple, df.collect()))
+
+
+def test_daily_runs_on_sums_equal_the_month_scan(spark, tmp_path):
+    from bankspark.plans.funding import backfill, run_day, stored_sums, summary_of_sums
+
+    deposit, loan = _facts(spark, tmp_path)
+    sums = str(tmp_path / "sums")
+    for n in (1, 2, 3):
+        part = deposit.filter("account_id % 3 = 0") if n == 2 else deposit
+        out = run_day(part, loan, D(2023, 12, n), sums)
+        if n != 2:
+            continue
+        assert _rows(out) == _rows(funding_summary(deposit.filter("day_key <> 2023336 or account_id % 3 = 0"), loan, D(2023, 12, 2)))
+    assert _rows(run_day(deposit, loan, D(2023, 12, 2), sums)) == _rows(funding_summary(deposit, loan, D(2023, 12, 2)))
+    assert _rows(summary_of_sums(stored_sums(spark, sums), D(2023, 12, 3))) == _rows(funding_summary(deposit, loan, D(2023, 12, 3)))
+    # the rest of the month in one pass; a day without facts has only the totals
+    backfill(deposit, loan, D(2023, 12, 3), D(2023, 12, 18), sums)
+    assert stored_sums(spark, sums).select("day_key").distinct().count() == 18
+    assert _rows(run_day(deposit, loan, D(2023, 12, 19), sums)) == _rows(funding_summary(deposit, loan, D(2023, 12, 19)))
+    assert _rows(run_day(deposit, loan, D(2024, 2, 1), sums)) == _rows(funding_summary(deposit, loan, D(2024, 2, 1)))
+
+
+def test_a_daily_run_reads_one_day_of_facts(spark, tmp_path):
+    from bankspark.plans.funding import daily_sums
+
+    deposit, loan = _facts(spark, tmp_path)
+    plan = daily_sums(deposit, loan, 2023349, 2023349)._jdf.queryExecution().executedPlan().toString()
+    scans = [x for x in plan.splitlines() if "FileScan parquet" in x]
+    assert len(scans) == 2 and all("2023349" in x.split("PartitionFilters: ")[1].split("]")[0] for x in scans)
+    deposit.filter("day_key in (2023348, 2023349)").write.parquet(str(tmp_path / "flat"))  # the key as a column: pushed to the scan
+    flat = spark.read.parquet(str(tmp_path / "flat"))
+    plan = daily_sums(flat, loan, 2023349, 2023349)._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(day_key,2023349)" in plan

@@ -153,6 +153,28 @@ def test_scorecard_edge_rows(spark):
     assert c.rank_cir == 2 and c.rank_margin == 1  # CIR ascending, margin descending over the areas
 
 
+def test_scorecard_gathers_only_persons_that_join(spark):
+    """A thousand persons without an email in one area, and one email with fifty names, against the joins written out."""
+    from bankspark.plans.scorecard import person_kpis, scorecard
+    area = spark.createDataFrame([("B", "AREA_B"), ("C", "AREA_C")], "area_code string, area_name string")
+    rows = [(f"N{i}", None, "AREA_B", 1, Decimal(i), Decimal(i % 7), Decimal("0.5")) for i in range(1000)]
+    rows += [(f"E{i}", "e@x", "AREA_B", 2, Decimal(3 * i), Decimal(i % 5), Decimal("0.25")) for i in range(50)]
+    rows += [("Z", "z@x", "NOWHERE", 1, Decimal(1), Decimal(1), Decimal(1)), ("Y", "y@x", None, 1, Decimal(1), Decimal(1), Decimal(1))]
+    sales = spark.createDataFrame(rows, "sale_name string, email string, area_name string, month int, loan_to_new decimal(18,2), "
+                                        "psdn decimal(18,2), app_rate decimal(18,4)")
+    npl = spark.createDataFrame([("B", 0.2, 1.0), ("C", 0.1, 1.0)], "area_code string, rate double, du_no double")
+    measure = spark.createDataFrame(
+        [(202302, sid, a, Decimal(v)) for sid in (10, 11, 12, 13) for a, v in (("AREA_B", "1.00"), ("AREA_C", "2.00"))],
+        "month int, sort_id int, area_name string, value decimal(38,2)")
+    out = scorecard(person_kpis(sales, 2), area, npl, measure, 2, 202302)
+    got = out.groupBy("email", "ltn_avg", "rank_ltn_avg", "psdn_avg", "rank_psdn_avg").count().collect()
+    assert {r.email for r in got} == {"e@x"} and sum(r["count"] for r in got) == 50 ** 3
+    ltn = sorted((float(r[4]) for r in rows), reverse=True)   # ranked over all persons, those without an email too
+    psdn = sorted((float(r[5]) for r in rows), reverse=True)
+    assert all(r.rank_ltn_avg == ltn.index(r.ltn_avg) + 1 and r.rank_psdn_avg == psdn.index(r.psdn_avg) + 1 for r in got)
+    assert {(r.ltn_avg, r.psdn_avg) for r in got} == {(float(3 * i), float(j)) for i in range(50) for j in range(5)}
+
+
 def test_gl_edge_rows(spark):
     area = Roles(spark, SF01).area()
     gl = _gl(spark, [

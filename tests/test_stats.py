@@ -131,3 +131,31 @@ def test_quantiles_of_large_groups_use_brackets(spark, monkeypatch):
     df = spark.createDataFrame([(v,) for v in vals], "v double")
     for r in ST.exact_quantiles(df, "v", [0.0, 0.1, 0.5, 0.99, 1.0]).collect():
         assert math.isclose(r.quantile, float(np.percentile(vals, r.q * 100)), rel_tol=1e-12, abs_tol=1e-12)
+
+
+def test_brackets_are_split_until_they_fit(spark, monkeypatch):
+    """Few rows a bracket allowed: they are split at their own quantiles, hot values and ends included."""
+    import numpy as np
+    import pandas as pd
+
+    monkeypatch.setattr(ST, "ACCURACY", 100)
+    monkeypatch.setattr(ST, "MAX_INSIDE", 60)
+    monkeypatch.setattr(ST, "CUTS", 8)
+    rng = np.random.default_rng(2)
+    groups = {"even": rng.normal(size=6000), "hot": np.where(rng.random(5000) < 0.7, 3.0, rng.normal(size=5000)),
+              "skew": rng.pareto(0.5, 4000), "few": rng.normal(size=5), "same": np.full(3000, 1.5)}
+    rows = [(g, float(v)) for g, vs in groups.items() for v in vs] + [("few", None)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(5)
+    calls, inner = [], ST._split_brackets
+
+    def split(*args):
+        calls.append(1)
+        return inner(*args)
+
+    monkeypatch.setattr(ST, "_split_brackets", split)
+    qs = [0.0, 0.001, 0.25, 0.5, 0.75, 0.9999, 1.0]
+    got = {(r.g, r.q): r.quantile for r in ST.exact_quantiles(df, "v", qs, "g").collect()}
+    assert calls and len(got) == len(groups) * len(qs)
+    for g, vs in groups.items():
+        for q in qs:
+            assert np.isclose(got[g, q], pd.Series(vs).quantile(q), rtol=1e-12), (g, q)
