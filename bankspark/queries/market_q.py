@@ -198,7 +198,7 @@ def q_macro_lag_features(spark, sf_dir):
     df = S.lags(_daily_indexed(spark, sf_dir), "series", MACRO_VARS, [FEATURE_LAG])
     cols = [f"{v}_lag_{FEATURE_LAG}" for v in MACRO_VARS]
     df = regression_impute(df, cols, "Close")
-    return df.select("row_id", "Close", *[F.format_string("%.11e", c).cast("double").alias(c) for c in cols])  # 12 digits
+    return df.select("row_id", "Close", *[F.format_string("%.8e", c).cast("double").alias(c) for c in cols])  # 9 digits
 
 
 # ---------------------------------------------------------------- oracle text
@@ -349,7 +349,7 @@ def _macro_lag_features_sql() -> str:
     lags = ", ".join(f"lag({v}, {FEATURE_LAG}) over w as {v}_lag_{FEATURE_LAG}" for v in MACRO_VARS)
     fits = ", ".join(f"regr_slope({v}_lag_{FEATURE_LAG}, Close) as b_{v}, regr_intercept({v}_lag_{FEATURE_LAG}, Close) as a_{v}"
                      for v in MACRO_VARS)
-    outs = ", ".join(f"cast(printf('%.11e', coalesce({v}_lag_{FEATURE_LAG}, a_{v} + b_{v} * Close)) as double) as {v}_lag_{FEATURE_LAG}"
+    outs = ", ".join(f"cast(printf('%.8e', coalesce({v}_lag_{FEATURE_LAG}, a_{v} + b_{v} * Close)) as double) as {v}_lag_{FEATURE_LAG}"
                      for v in MACRO_VARS)
     return with_views(["v_price_text", "v_macro_long"], f"""
 with d as ({_DAILY}),
