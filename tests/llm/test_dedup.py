@@ -120,14 +120,14 @@ def _template_group(size):
     """Rows of the group of a word that ``size`` lines of ten words share, which differ in one word: all pairs pass."""
     rng = np.random.default_rng(3)
     one = np.ones(size, np.int64)
-    return [one, rng.permutation(size), np.zeros(size, np.int32), np.left_shift(1, rng.integers(0, 62, size)),
-            10 * one, one]
+    return [one, rng.permutation(size), np.zeros(size, np.int32), np.arange(size), np.left_shift(1, rng.integers(0, 62, size)),
+            10 * one, one, one.astype(bool)]
 
 
 def test_line_group_of_one_template_is_walked_in_slices(monkeypatch):
     monkeypatch.setattr(line_dedup, "PAIRS", 10_000, raising=False)
-    word, doc, line, b, n, place = table = _template_group(2000)
-    sizes = [len(i) for i, _ in line_dedup.candidate_pairs(word, b.view(np.uint64), n, place, 80)]
+    word, doc, line, _, b, n, place, own = table = _template_group(2000)
+    sizes = [len(i) for i, _ in line_dedup.candidate_pairs(word, b.view(np.uint64), n, place, own, 80)]
     assert sum(sizes) == 2000 * 1999 // 2 and max(sizes) < 12_000
     got = pa.Table.from_batches(line_dedup.group_candidates(table, 80)).to_pylist()
     assert {(r["doc_id"], r["doc_2"], r["first"], r["more"]) for r in got} == \
@@ -139,6 +139,45 @@ def test_line_group_of_one_template_is_walked_in_slices(monkeypatch):
     assert {r["doc_2"] for b in open_lines for r in b.to_pylist() if r["doc_id"] == 1500} == set(range(1500))
 
 
+def test_line_bands_hold_similar_sizes():
+    for percent in (50, 80, 95):
+        tops = line_dedup.size_bands(percent)
+        sizes = np.arange(1, min(4000, int(tops[-1])))
+        low, high = np.searchsorted(tops, sizes), np.searchsorted(tops, sizes * 100 // percent)
+        assert (high - low <= 1).all()
+
+
+def test_line_group_has_each_set_once():
+    """Copies of a set in many tasks meet in its groups as one row, by the earliest line."""
+    table = [np.array(x) for x in ([5] * 4 + [6], [3, 1, 2, 9, 1], [0, 4, 0, 0, 4], [7, 7, 7, 8, 7], [1, 1, 1, 1, 1], [6] * 5, [0] * 5, [True] * 5)]
+    got = line_dedup.earliest(table)
+    assert list(zip(*[x.tolist() for x in got])) == [(5, 1, 4, 7, 1, 6, 0, True), (5, 9, 0, 8, 1, 6, 0, True), (6, 1, 4, 7, 1, 6, 0, True)]
+
+
+def test_line_group_of_twenty_thousand(monkeypatch):
+    table = _template_group(20_000)
+    got = pa.Table.from_batches(line_dedup.group_candidates(table, 80))
+    assert got.num_rows == 3 + 3 * (20_000 - 3) and set(got["doc_2"].to_pylist()) == {0, 1, 2}
+
+
+def test_lines_in_every_partition(spark):
+    docs = [(i, f"a line that every single document of this set has\nand one of its own v{i} w{i} x{i} y{i}\ntiny {i % 3}")
+            for i in range(200)]
+    got = {r.doc_id: (r.n_lines, r.removed) for r in
+           line_dedup.line_duplicates(spark.createDataFrame(docs, "doc_id long, text string").repartition(40)).collect()}
+    assert got == brute.removed_lines(docs)
+
+
+def test_lines_without_ids_are_apart(spark):
+    docs = [(1, "one two three four five six"), (None, "one two three four five six\nseven eight nine ten"),
+            (None, "eleven twelve\nthirteen\nseven eight nine ten"), (None, "eleven twelve\nthirteen\nseven eight nine ten")]
+    rows = line_dedup.line_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    gone = sorted((r.n_lines, tuple(r.removed)) for r in rows if r.doc_id is None)
+    # the shared last line stays in the text whose hash comes first; repeated rows do not remove each other
+    assert gone in ([(2, (0,)), (3, (2,)), (3, (2,))], [(2, (0, 1)), (3, ()), (3, ())])
+    assert [tuple(r.removed) for r in rows if r.doc_id == 1] == [()]
+
+
 def test_lines_of_one_template(spark, monkeypatch):
     monkeypatch.setattr(line_dedup, "PAIRS", 100, raising=False)
     docs = [(i, f"one two three four v{i * 7919} five six seven eight nine\nx{i} y{i} z{i}") for i in range(300)]
