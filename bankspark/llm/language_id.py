@@ -14,7 +14,6 @@ gives an empty result; further columns, and the label itself, never enter a pred
 from __future__ import annotations
 
 import math
-import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -27,7 +26,6 @@ from bankspark.llm.compression import DICT_ROWS, PIECE_CHARS, Coder, dictionarie
 UNKNOWN = "und"
 MIN_MARGIN = 0.01
 SCALE = 8.0  # bytes of difference that make one unit of log odds
-_LETTER = re.compile(r"[^\W\d_]")
 
 
 def train(rows: DataFrame, per_class: int = DICT_ROWS, piece: int = PIECE_CHARS) -> list[tuple[str, bytes]]:
@@ -64,7 +62,7 @@ def identify(docs: DataFrame, model: list[tuple[str, bytes]], keep: dict[str, Co
 
 
 def _judge(text: str | None, coders: list[tuple[str, Coder]], min_margin: float) -> tuple[str, float, float, str]:
-    if not coders or text is None or not _LETTER.search(text):
+    if not coders or text is None or not any(map(str.isalpha, text)):
         return UNKNOWN, 0.0, 0.0, UNKNOWN
     data = text.lower().encode("utf-8", "surrogatepass")
     sizes = [c.size(data) for _, c in coders]

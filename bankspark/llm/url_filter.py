@@ -5,15 +5,14 @@
 3. Host labels such as ``freebets`` are split into words by unigram Viterbi.  The word counts come from a
    whole text column; only words that occur inside some label are kept, found by joining all substrings
    (up to ``HEAD`` letters) of the distinct labels with the counts, longer words by their first ``HEAD`` letters.
-4. Multinomial naive Bayes scores every row's segmented host words and path tokens.  It is trained on all
-   rows, labelled by seed words: a row whose segmented host holds a seed word is an example of block, any
-   other row one of allow, so words that go along with seed words count against a host as well.  Tokens are
-   hashed into ``BUCKETS`` slots: the model that every task holds has a fixed size (one double per slot,
-   512 kB) whatever the vocabulary.
+4. Multinomial naive Bayes scores every row's segmented host words and path tokens.  It is trained on the rows that a
+   rule decides, which are labelled examples of both classes, but for a held-out share by which its accuracy can
+   be told; each seed word counts as ``SEED_WEIGHT`` further occurrences in blocked hosts.  A row without a rule is blocked if its
+   log odds are above 0.  Tokens are hashed into ``BUCKETS`` slots: the model that every task holds has a fixed size
+   (one double per slot, 512 kB) whatever the vocabulary.
 
 Defined cases: a null url, or one without ``://``, has empty host and path, fits no rule and is judged by
-the class prior; ties between equally long rules go to allow; if no row holds a seed word all rows without
-a rule are allowed; repeated rows get equal results; an empty table gives an empty result; a null word
+the class prior; ties between equally long rules go to allow; if no rule decides a row, the seed words alone judge; repeated rows get equal results; an empty table gives an empty result; a null word
 text adds no words; further columns of the input are ignored.
 """
 
@@ -34,8 +33,9 @@ from bankspark.session import written
 HEAD = 20  # letters by which words meet the labels
 BUCKETS = 1 << 16
 SMOOTHING = 1.0
-SEED_COUNT = 1000  # occurrences that a seed word has in the unigram model beside those in the text
-#: Host words that mark an example of block.
+SEED_WEIGHT = 5    # occurrences in blocked hosts that a seed word stands for
+HELD_OUT = 5       # a row is not learnt from if this divides the crc32 of its id
+#: Host words that are known to speak for block.
 SEED_WORDS = ("adult", "ads", "bet", "bets", "casino", "gambling", "malware", "phishing", "pills", "poker", "porn",
               "scam", "sex", "slots", "spam", "track", "tracker", "viagra", "warez", "xxx")
 
@@ -129,17 +129,16 @@ def _slots(words: Column, path: Column) -> Column:
     return F.array_distinct(F.transform(tokens, lambda t: F.pmod(F.xxhash64(t), F.lit(BUCKETS)).cast("int")))
 
 
-def bayes_weights(rows: DataFrame) -> tuple[float, np.ndarray]:
-    """(prior, weight per slot): log odds of block, from rows (slots, block); at most 2 x BUCKETS counts."""
+def bayes_weights(rows: DataFrame, seeds: list[int]) -> tuple[float, np.ndarray]:
+    """(prior, weight per slot): log odds of block, from rows (slots, block) and seed slots; at most 2 x BUCKETS counts."""
     n = {r["block"]: r["count"] for r in rows.groupBy("block").count().collect()}
-    if not n.get(True) or not n.get(False):
-        return (math.inf if n.get(True) else -math.inf), np.zeros(BUCKETS)
     table = np.zeros((2, BUCKETS))
+    np.add.at(table[1], seeds, SEED_WEIGHT)
     for r in rows.select("block", F.explode("slots").alias("slot")).groupBy("block", "slot").count().collect():
-        table[int(r["block"]), r["slot"]] = r["count"]
+        table[int(r["block"]), r["slot"]] += r["count"]
     seen = table.sum(axis=0) > 0
     logs = np.log((table + SMOOTHING) / (table.sum(axis=1, keepdims=True) + SMOOTHING * seen.sum()))
-    return math.log(n[True] / n[False]), np.where(seen, logs[1] - logs[0], 0.0)
+    return math.log((n.get(True, 0) + SMOOTHING) / (n.get(False, 0) + SMOOTHING)), np.where(seen, logs[1] - logs[0], 0.0)
 
 
 def url_filter(pages: DataFrame, rules: list[tuple[str, str]], id_col: str = "page_id", url_col: str = "url",
@@ -153,9 +152,7 @@ def url_filter(pages: DataFrame, rules: list[tuple[str, str]], id_col: str = "pa
     hosts = written(rows.select("host").distinct(), "hosts")
     labels = written(hosts.select(F.explode(host_labels(F.col("host"))).alias("label")).distinct(), "labels")
     spark = pages.sparkSession
-    seeded = word_counts(pages, word_col).unionByName(
-        spark.createDataFrame([(w, SEED_COUNT) for w in seeds], "word string, n long"))
-    counts = written(seeded.groupBy("word").agg(F.sum("n").alias("n")), "words")
+    counts = written(word_counts(pages, word_col), "words")
     words = written(segmented_labels(labels, counts), "segments")
     by_host = written(
         hosts.select("host", F.posexplode_outer(host_labels(F.col("host"))).alias("at", "label"))
@@ -166,8 +163,10 @@ def url_filter(pages: DataFrame, rules: list[tuple[str, str]], id_col: str = "pa
     rows = written(rows.join(by_host, rows["host"] == by_host["of_host"])
                    .select("page_id", "host", "path", "rule", "ruled", "host_words",
                            _slots(F.col("host_words"), F.col("path")).alias("slots")), "scored")
-    bad = F.array(*[F.lit(w) for w in seeds])
-    prior, weights = bayes_weights(rows.select(F.arrays_overlap("host_words", bad).alias("block"), "slots"))
+    seed_slots = spark.createDataFrame([([w], "") for w in seeds], "words array<string>, path string")
+    seed_slots = [r[0][0] for r in seed_slots.select(_slots(F.col("words"), F.col("path"))).collect()]
+    learnt = rows.filter("ruled is not null").filter(F.coalesce(F.crc32(F.col("page_id").cast("string").cast("binary")) % HELD_OUT != 0, F.lit(True)))
+    prior, weights = bayes_weights(learnt.select((F.col("ruled") == "block").alias("block"), "slots"), seed_slots)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

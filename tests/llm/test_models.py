@@ -6,6 +6,8 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+import regex
+import xxhash
 from pyspark.sql import functions as F
 
 from bankspark.llm import decontaminate, language_id, quality, queries, url_filter
@@ -26,6 +28,14 @@ def test_language_query_on_held_out_rows(spark):
     assert np.mean([r.lang_pred == truth[r.doc_id] for r in held]) > 0.95
 
 
+def test_letters_are_letters_by_category(spark):
+    model = [("en", b"the same words in one line of text here " * 20), ("fr", "le la les d\u00e9j\u00e0 ".encode() * 20)]
+    texts = [(1, "\u00bd"), (2, "\u00b2 \u2460"), (3, "12"), (4, "\u65e5"), (5, "12 a"), (6, "_ \u2167")]
+    got = {r.doc_id: r.lang_pred for r in language_id.identify(spark.createDataFrame(texts, "doc_id long, text string"), model,
+                                                               {"doc_id": F.col("doc_id")}).collect()}
+    assert [got[i] == "und" for i in range(1, 7)] == [True, True, True, False, False, True]
+
+
 def test_language_odd_rows(odd, none):
     model = [("en", b"the same words in one line of text here " * 20), ("fr", "le la les d\u00e9j\u00e0 \u00e9t\u00e9 ".encode() * 20)]
     rows = language_id.identify(odd, model, {"doc_id": odd["doc_id"], "n": odd["n"]}).collect()
@@ -180,7 +190,51 @@ def test_url_query_matches_plain_rules(spark):
         best = rule_of(r.host, r.path)
         assert r.rule == (best[0] if best else None) and r.verdict == (best[1] if best else r.verdict)
         if not best:
-            assert r.verdict == ("block" if set(r.host_words) & set(url_filter.SEED_WORDS) else "allow"), r
+            assert r.verdict == ("block" if r.block_score > 0 else "allow"), r
+    # the scores written out, and the accuracy on the rule-decided pages that were not learnt from
+    want = plain_scores([(r.page_id, r.host_words, r.path, (rule_of(r.host, r.path) or [None, None])[1]) for r in rows])
+    assert all(abs(r.block_score - want[r.page_id]) < 1e-6 for r in rows)
+    held = [r for r in rows if r.rule and zlib.crc32(str(r.page_id).encode()) % 5 == 0]
+    assert len(held) > 15 and np.mean([(r.block_score > 0) == (r.verdict == "block") for r in held]) > 0.8
+
+
+def tokens_of(words, path):
+    path = re.sub(r"\d+", "#", path.lower())
+    return [f"h {w}" for w in words] + [f"p {t}" for t in regex.split(r"[^\p{L}#]+", path) if t]
+
+
+def plain_scores(rows):
+    """Naive Bayes by Counter: rows (id, host words, path, rule's verdict or None)."""
+    slot = lambda t: xxhash.xxh64_intdigest(t.encode(), seed=42) % url_filter.BUCKETS  # noqa: E731  two's complement: the size divides 2^64
+    counts, classes = {True: Counter(), False: Counter()}, Counter()
+    for w in url_filter.SEED_WORDS:
+        counts[True][slot(f"h {w}")] += url_filter.SEED_WEIGHT
+    for i, words, path, rule in rows:
+        if rule and zlib.crc32(str(i).encode()) % 5:
+            classes[rule == "block"] += 1
+            counts[rule == "block"].update({slot(t) for t in tokens_of(words, path)})
+    vocabulary = len(set(counts[True]) | set(counts[False]))
+    total = {c: sum(counts[c].values()) + vocabulary for c in counts}
+    out = {}
+    for i, words, path, _ in rows:
+        odds = np.log((classes[True] + 1) / (classes[False] + 1))
+        for s in {slot(t) for t in tokens_of(words, path)}:
+            if counts[True][s] or counts[False][s]:
+                odds += np.log((counts[True][s] + 1) / total[True]) - np.log((counts[False][s] + 1) / total[False])
+        out[i] = odds
+    return out
+
+
+def test_url_verdicts_follow_the_rules_examples(spark):
+    """Words that go along with blocked or allowed pages decide, also against and without seed words."""
+    urls = [f"http://{w}.shop.net/es/{i}" for i, w in enumerate(["zork", "blip"] * 20)] + \
+           [f"http://{w}.shop.com/de/{i}" for i, w in enumerate(["garden", "casino"] * 20)] + \
+           ["http://zork.example.org/x", "http://garden.example.org/x", "http://casino.example.org/x", "http://poker.example.org/x"]
+    pages = spark.createDataFrame([(i, u, "<p>zork blip garden casino poker shop example</p>") for i, u in enumerate(urls)], "page_id long, url string, html string")
+    rows = {r.page_id: r for r in url_filter.url_filter(pages, queries.URL_RULES).collect()}
+    assert all(rows[i].verdict == ("block" if i < 40 else "allow") for i in range(80))
+    # casino: a seed word, but the rules' pages speak for it; zork is none, and they speak against it
+    assert [rows[i].verdict for i in range(80, 84)] == ["block", "allow", "allow", "block"]
 
 
 def test_url_odd_rows(spark):
