@@ -7,12 +7,12 @@ or more; lines are judged on the input, not on what is left.
 1. Each line becomes a set: size, 64-bit sum and 64-bit parity bitmap of its words (together its key).
    Word counts go to ``SLOTS`` hash slots, so the rarity order that all tasks share has a fixed size.
 2. Words of a set are ordered by rarity, then hash.  Two sets of the needed similarity share a word among
-   the first n - ceil(p n) + 1 of each, so only those are dealt out, by word and band of sizes: bands grow by
-   the ratio that the length filter allows, so similar sets are in one band or in neighbours, and a set goes to its own band's
-   group and to the next one's.  Words that one set alone holds are not dealt, nor are sets too small to have
-   a similar one that is not equal.  A group that very many sets may fall in is split: its sets fall in blocks, and each pair of
-   blocks is a group of its own.
-3. Within a group, equal sets are one, by their earliest line, and pairs must pass the length filter, the positional filter (the words from the
+   the first n - ceil(p n) + 1 of each, so only those are dealt out, by word.  Words that one set alone holds are not dealt,
+   nor are sets too small to have a similar one that is not equal.  A word that very many sets may hold is split by bands of
+   sizes: they grow by the ratio that the length filter allows, so similar sets are in one band or in neighbours, and a set
+   goes to its own band's group and to the next one's.  A band that is still too large is split: its sets fall in blocks, and
+   each pair of blocks is a group of its own.
+3. Within a group, equal sets (by size, bitmap and half the sum) are one, by their earliest line, and pairs must pass the length filter, the positional filter (the words from the
    shared one on must suffice) and the bitmap filter (bits that differ are words that differ).  None of
    the filters drops a pair that is similar enough.
 4. The texts of the lines in question are read again and Jaccard similarities verified: first of each line with its
@@ -196,9 +196,9 @@ def line_slots(doc: np.ndarray, line: np.ndarray) -> np.ndarray:
 
 
 def _postings(source: DataFrame, counts: np.ndarray, shares: np.ndarray, percent: int, slots: np.ndarray | None = None) -> DataFrame:
-    """(word, doc_id, line, h, b, n, place, own) of the prefix words of each set, by its earliest line in the task: for its own
-    band of sizes and, not own, for the next; once per pair of blocks in a split group.  Only words whose slots are
-    marked, if given."""
+    """(word, doc_id, line, h, b, n, place, own) of the prefix words of each set, by its earliest line in the task.  A word of over
+    ``SPLIT`` sets is dealt by bands of sizes: its own band and, not own, the next; once per pair of blocks in a group that is
+    still large.  Only words whose slots are marked, if given."""
     rarity = np.minimum(8 * np.log2(counts + 1), 255).astype(np.uint8)
     tops, least = size_bands(percent), percent // (100 - percent)
     # a group's sets are of two bands; their number is an estimate that all tasks share, and only sizes the blocks
@@ -222,13 +222,14 @@ def _postings(source: DataFrame, counts: np.ndarray, shares: np.ndarray, percent
                     hit &= slots[slot]
                 at, owner, slot = at[hit], owner[hit], slot[hit]
                 word, place, band = words[at], at - first[owner], np.searchsorted(tops, n[owner])
-                # the last band, of all larger sizes, has no next
-                up = np.flatnonzero(band < BANDS - 1)
+                # a word of few sets is one group; of the others, the last band, of all larger sizes, has no next
+                split = counts[slot] > SPLIT
+                up = np.flatnonzero(split & (band < BANDS - 1))
                 own = np.repeat([True, False], [len(at), len(up)])
-                word, place, owner, slot, band = (np.concatenate([x, x[up]]) for x in (word, place, owner, slot, band))
+                word, place, owner, slot, band, split = (np.concatenate([x, x[up]]) for x in (word, place, owner, slot, band, split))
                 band = band + ~own
-                k = np.clip(np.ceil(counts[slot] * both[band] / SPLIT), 1, 1 << 15).astype(np.int64)
-                word = mix(word + band.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+                k = np.where(split, np.clip(np.ceil(counts[slot] * both[band] / SPLIT), 1, 1 << 15), 1).astype(np.int64)
+                word = np.where(split, mix(word + (band + 1).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), word)
                 many = np.repeat(np.arange(len(word)), k)
                 other = (np.arange(len(many)) - np.repeat(np.cumsum(k) - k, k)).astype(np.uint64)
                 word, place, owner, own, k = word[many], place[many], owner[many], own[many], k[many].astype(np.uint64)
@@ -237,10 +238,10 @@ def _postings(source: DataFrame, counts: np.ndarray, shares: np.ndarray, percent
                 word = np.where(k > 1, mix(word + mix(low * np.uint64(1 << 32) + high)), word)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(word.view(np.int64)), pa.array(doc[owner]), pa.array(line[owner].astype(np.int32)),
-                     pa.array(h[owner].view(np.int64)), pa.array(b[owner].view(np.int64)), pa.array(n[owner].astype(np.int32)),
+                     pa.array((h[owner] >> np.uint64(32)).astype(np.uint32).view(np.int32)), pa.array(b[owner].view(np.int64)), pa.array(n[owner].astype(np.int32)),
                      pa.array(place.astype(np.int32)), pa.array(own)], _POSTING)
 
-    return source.mapInArrow(run, "word long, doc_id long, line int, h long, b long, n int, place int, own boolean")
+    return source.mapInArrow(run, "word long, doc_id long, line int, h int, b long, n int, place int, own boolean")
 
 
 _POSTING = ["word", "doc_id", "line", "h", "b", "n", "place", "own"]
@@ -316,11 +317,11 @@ class _Nearest:
 
 def earliest(table: list[np.ndarray]) -> list[np.ndarray]:
     """The rows of ``_POSTING`` columns, sorted by (word, n), without those of a set that the group has by an earlier line."""
-    word, doc, line, h, b = table[:5]
-    order = np.lexsort((line, doc, b, h, word))
+    word, doc, line, h, b, n = table[:6]
+    order = np.lexsort((line, doc, n, b, h, word))
     new = np.ones(len(order), bool)
     one, two = order[1:], order[:-1]
-    new[1:] = (word[one] != word[two]) | (h[one] != h[two]) | (b[one] != b[two])
+    new[1:] = (word[one] != word[two]) | (h[one] != h[two]) | (b[one] != b[two]) | (n[one] != n[two])
     keep = np.sort(order[new])
     return [x[keep] for x in table]
 
