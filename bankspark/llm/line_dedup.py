@@ -8,11 +8,8 @@ or more; lines are judged on the input, not on what is left.
    Word counts go to ``SLOTS`` hash slots, so the rarity order that all tasks share has a fixed size.
 2. Words of a set are ordered by rarity, then hash.  Two sets of the needed similarity share a word among
    the first n - ceil(p n) + 1 of each, so only those are dealt out, by word.  Words that one set alone holds are not dealt,
-   nor are sets too small to have a similar one that is not equal.  A word that very many sets may hold is split by bands of
-   sizes: they grow by the ratio that the length filter allows, so similar sets are in one band or in neighbours, and a set
-   goes to its own band's group and to the next one's.  A band that is still too large is split: its sets fall in blocks, and
-   each pair of blocks is a group of its own.
-3. Within a group, equal sets (by size, bitmap and half the sum) are one, by their earliest line, and pairs must pass the length filter, the positional filter (the words from the
+   nor are sets too small to have a similar one that is not equal.  A word that very many sets may hold is split: its sets fall in blocks, and each pair of blocks is a group of its own.
+3. Within a word's group, pairs must pass the length filter, the positional filter (the words from the
    shared one on must suffice) and the bitmap filter (bits that differ are words that differ).  None of
    the filters drops a pair that is similar enough.
 4. The texts of the lines in question are read again and Jaccard similarities verified: first of each line with its
@@ -50,7 +47,6 @@ FILTER = 1 << 20       # slots of the filters that save reading lines again
 NEAREST = 3            # candidates of a line and group that are looked at before all of them
 PAIRS = 1 << 20        # pairs of a word's group that a task holds at once
 _LAST = 1 << 62        # from here on are the places of rows without doc_id in the order of lines
-BANDS = 64             # of set sizes; larger sets share the last
 
 
 def line_words(texts: pa.Array, rarity: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -166,43 +162,16 @@ def _word_counts(sets: DataFrame) -> np.ndarray:
     return counts.reshape(-1)
 
 
-def size_bands(percent: int) -> np.ndarray:
-    """Greatest size of each band but the last: sets of similar size are in one band or in neighbours."""
-    tops = [percent // (100 - percent)]
-    while len(tops) < BANDS - 1:
-        tops.append(min((tops[-1] + 1) * 100 // percent, 1 << 62))  # the largest partner of the band's smallest size
-    return np.array(tops, np.int64)
-
-
-def _band_shares(sets: DataFrame, percent: int) -> np.ndarray:
-    """Share of each band in all sets; BANDS numbers a task."""
-    tops = size_bands(percent)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(BANDS, np.int64)
-        for b in batches:
-            total += np.bincount(np.searchsorted(tops, column(b, "n").flatten().to_numpy()), minlength=BANDS)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(BANDS, dtype=np.int32)), pa.array(total)], ["band", "sets"])
-
-    rows = sets.filter("n is not null").select("n").mapInArrow(run, "band int, sets long").groupBy("band").agg(F.sum("sets").alias("s"))
-    shares = np.zeros(BANDS)
-    for r in rows.collect():
-        shares[r["band"]] = r["s"]
-    return shares / max(1.0, shares.sum())
-
-
 def line_slots(doc: np.ndarray, line: np.ndarray) -> np.ndarray:
     return (mix(mix(doc) + line.astype(np.uint64)) % np.uint64(FILTER)).astype(np.int64)
 
 
-def _postings(source: DataFrame, counts: np.ndarray, shares: np.ndarray, percent: int, slots: np.ndarray | None = None) -> DataFrame:
-    """(word, doc_id, line, h, b, n, place, own) of the prefix words of each set, by its earliest line in the task.  A word of over
-    ``SPLIT`` sets is dealt by bands of sizes: its own band and, not own, the next; once per pair of blocks in a group that is
-    still large.  Only words whose slots are marked, if given."""
+def _postings(source: DataFrame, counts: np.ndarray, percent: int, slots: np.ndarray | None = None) -> DataFrame:
+    """(word, doc_id, line, b, n, place) of the prefix words of each set, by its earliest line in the task; a split word
+    once per pair of its blocks.  Only words whose slots are marked, if given."""
     rarity = np.minimum(8 * np.log2(counts + 1), 255).astype(np.uint8)
-    tops, least = size_bands(percent), percent // (100 - percent)
-    # a group's sets are of two bands; their number is an estimate that all tasks share, and only sizes the blocks
-    both = shares + np.append(0.0, shares[:-1])
+    least = percent // (100 - percent)  # words of the smallest set that is similar to another
+    blocks = np.minimum(np.maximum(1, -(-counts // SPLIT)), 1 << 15).astype(np.uint16)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = _Seen()
@@ -220,31 +189,21 @@ def _postings(source: DataFrame, counts: np.ndarray, shares: np.ndarray, percent
                 hit = counts[slot] > 1  # else no other set holds the word
                 if slots is not None:
                     hit &= slots[slot]
-                at, owner, slot = at[hit], owner[hit], slot[hit]
-                word, place, band = words[at], at - first[owner], np.searchsorted(tops, n[owner])
-                # a word of few sets is one group; of the others, the last band, of all larger sizes, has no next
-                split = counts[slot] > SPLIT
-                up = np.flatnonzero(split & (band < BANDS - 1))
-                own = np.repeat([True, False], [len(at), len(up)])
-                word, place, owner, slot, band, split = (np.concatenate([x, x[up]]) for x in (word, place, owner, slot, band, split))
-                band = band + ~own
-                k = np.where(split, np.clip(np.ceil(counts[slot] * both[band] / SPLIT), 1, 1 << 15), 1).astype(np.int64)
-                word = np.where(split, mix(word + (band + 1).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), word)
-                many = np.repeat(np.arange(len(word)), k)
+                at, owner = at[hit], owner[hit]
+                word, place = words[at], at - first[owner]
+                k = blocks[(word % np.uint64(SLOTS)).astype(np.int64)].astype(np.int64)
+                many = np.repeat(np.arange(len(at)), k)
                 other = (np.arange(len(many)) - np.repeat(np.cumsum(k) - k, k)).astype(np.uint64)
-                word, place, owner, own, k = word[many], place[many], owner[many], own[many], k[many].astype(np.uint64)
+                word, place, owner, k = word[many], place[many], owner[many], k[many].astype(np.uint64)
                 block = h[owner] % k
                 low, high = np.minimum(block, other), np.maximum(block, other)
                 word = np.where(k > 1, mix(word + mix(low * np.uint64(1 << 32) + high)), word)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(word.view(np.int64)), pa.array(doc[owner]), pa.array(line[owner].astype(np.int32)),
-                     pa.array((h[owner] >> np.uint64(32)).astype(np.uint32).view(np.int32)), pa.array(b[owner].view(np.int64)), pa.array(n[owner].astype(np.int32)),
-                     pa.array(place.astype(np.int32)), pa.array(own)], _POSTING)
-
-    return source.mapInArrow(run, "word long, doc_id long, line int, h int, b long, n int, place int, own boolean")
+                     pa.array(b[owner].view(np.int64)), pa.array(n[owner].astype(np.int32)),
+                     pa.array(place.astype(np.int32))], ["word", "doc_id", "line", "b", "n", "place"])
 
-
-_POSTING = ["word", "doc_id", "line", "h", "b", "n", "place", "own"]
+    return source.mapInArrow(run, "word long, doc_id long, line int, b long, n int, place int")
 
 
 def _prefix_slots(source: DataFrame, counts: np.ndarray, percent: int, lines: np.ndarray) -> np.ndarray:
@@ -266,10 +225,10 @@ def _prefix_slots(source: DataFrame, counts: np.ndarray, percent: int, lines: np
     return out
 
 
-def candidate_pairs(word: np.ndarray, b: np.ndarray, n: np.ndarray, place: np.ndarray, own: np.ndarray,
+def candidate_pairs(word: np.ndarray, b: np.ndarray, n: np.ndarray, place: np.ndarray,
                     percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Rows (i, j) of one group that may be similar, from rows sorted by (word, n), the larger of the group's own band; runs
-    of a word are walked by distance.  They come in slices of less than ``PAIRS`` pairs and one for each row."""
+    """Rows (i, j) of one word that may be similar, from rows sorted by (word, n); runs of a word are walked by distance.
+    They come in slices of less than ``PAIRS`` pairs and one for each row."""
     left, right, held = [], [], 0
     distance, i = 1, np.arange(len(word) - 1)
     while len(i):
@@ -280,7 +239,7 @@ def candidate_pairs(word: np.ndarray, b: np.ndarray, n: np.ndarray, place: np.nd
         i, j = i[near], j[near]
         both = n[i] + n[j]
         need = -(-percent * both // (100 + percent))
-        good = own[j] & (np.minimum(n[i] - place[i], n[j] - place[j]) >= need)
+        good = np.minimum(n[i] - place[i], n[j] - place[j]) >= need
         x, y = i[good], j[good]
         good = np.bitwise_count(b[x] ^ b[y]) <= both[good] - 2 * need[good]
         left.append(x[good])
@@ -315,21 +274,10 @@ class _Nearest:
         self.best[rows] = np.sort(np.concatenate([self.best[rows], new], axis=1), axis=1)[:, :NEAREST]
 
 
-def earliest(table: list[np.ndarray]) -> list[np.ndarray]:
-    """The rows of ``_POSTING`` columns, sorted by (word, n), without those of a set that the group has by an earlier line."""
-    word, doc, line, h, b, n = table[:6]
-    order = np.lexsort((line, doc, n, b, h, word))
-    new = np.ones(len(order), bool)
-    one, two = order[1:], order[:-1]
-    new[1:] = (word[one] != word[two]) | (h[one] != h[two]) | (b[one] != b[two]) | (n[one] != n[two])
-    keep = np.sort(order[new])
-    return [x[keep] for x in table]
-
-
 def group_candidates(table: list[np.ndarray], percent: int, lines: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
-    """Batches of ``_pairs`` from whole groups (columns of ``_POSTING``), sorted by (word, n)."""
+    """Batches of ``_pairs`` from whole groups (word, doc_id, line, b, n, place), sorted by (word, n)."""
     names = ["doc_id", "line", "doc_2", "line_2", "first", "more"]
-    word, doc, line, _, b, n, place, own = earliest(table)
+    word, doc, line, b, n, place = table
     order = np.lexsort((line, doc))
     new = np.ones(len(order), bool)
     new[1:] = (doc[order][1:] != doc[order][:-1]) | (line[order][1:] != line[order][:-1])
@@ -337,7 +285,7 @@ def group_candidates(table: list[np.ndarray], percent: int, lines: np.ndarray |
     rank[order] = np.cumsum(new) - 1  # rows of one line share a rank
     row = order[new]                  # a row of each rank
     nearest = _Nearest(len(word))
-    for i, j in candidate_pairs(word, b.view(np.uint64), n.astype(np.int64), place.astype(np.int64), own, percent):
+    for i, j in candidate_pairs(word, b.view(np.uint64), n.astype(np.int64), place.astype(np.int64), percent):
         apart = rank[i] != rank[j]
         i, j = i[apart], j[apart]
         later = rank[i] > rank[j]
@@ -359,10 +307,12 @@ def group_candidates(table: list[np.ndarray], percent: int, lines: np.ndarray |
 def _pairs(postings: DataFrame, percent: int, lines: np.ndarray | None = None) -> DataFrame:
     """Candidate pairs (doc_id, line, doc_2, line_2): a line and an earlier one, up to ``NEAREST`` of a group, the earliest
     of it marked as ``first``; ``more`` if the group has further ones.  With ``lines``, all candidates of the marked lines."""
+    names = ["word", "doc_id", "line", "b", "n", "place"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
         for batch in batches:
-            now = [column(batch, x).to_numpy(zero_copy_only=False) for x in _POSTING]
+            now = [column(batch, x).to_numpy(zero_copy_only=False) for x in names]
             held = now if held is None else [np.concatenate(x) for x in zip(held, now)]
             cut = int(np.searchsorted(held[0], held[0][-1])) if len(held[0]) else 0  # the last word may go on
             if cut:
@@ -443,8 +393,8 @@ def line_duplicates(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_
     unnamed = F.shiftrightunsigned(F.xxhash64(text_col), 2) + F.lit(_LAST)
     source = docs.select(F.coalesce(F.col(id_col).cast("long"), unnamed).alias("doc_id"), F.col(text_col).alias("text"))
     sets = _sets(source)
-    counts, shares = _word_counts(sets), _band_shares(sets, percent)
-    pairs = written(_pairs(_postings(source, counts, shares, percent), percent), "pairs")
+    counts = _word_counts(sets)
+    pairs = written(_pairs(_postings(source, counts, percent), percent), "pairs")
     # the earliest candidate of each group settles most lines, the next few nearly all others; lines that are still open
     # and have further candidates are dealt out again, by themselves, and look at all of them
     ends = ["doc_id", "line", "doc_2", "line_2"]
@@ -455,7 +405,7 @@ def line_duplicates(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_
     if not left.isEmpty():
         lines = _line_marks(left)
         slots = _prefix_slots(source, counts, percent, lines)
-        last = written(_pairs(_postings(source, counts, shares, percent, slots=slots), percent, lines).select(*ends).distinct(), "pairs")
+        last = written(_pairs(_postings(source, counts, percent, slots=slots), percent, lines).select(*ends).distinct(), "pairs")
         near = near.unionByName(_settled(source, last, percent))
 
     lines = (sets.filter("h is not null").select("doc_id", F.posexplode(F.arrays_zip("h", "b", "n")).alias("line", "s"))
