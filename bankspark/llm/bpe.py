@@ -5,7 +5,9 @@ adjacent pair, infinity for a pair without a merge, and each inner node the leas
 root is the leftmost pair of lowest rank.  A merge joins the two symbols, clears the right one and changes
 the leaves of the pairs left and right of it, each with a logarithmic climb to the root.  All words of a
 batch with a tree of the same size take their next merge in the same numpy operations, until no root
-holds a mergeable pair.  Only words that are new to a Python worker are encoded (``words.Words``).
+holds a mergeable pair.  Fewer than ``TOGETHER`` words of a size (so any very long word) take their merges one
+by one on a plain tree whose climbs end where a node keeps its value.  Only words that are new to a Python
+worker are encoded (``words.Words``).
 
 Defined cases: null text counts as empty and has no ids and an empty decoding; special tokens written in
 a text become their ids, as the vocabulary file asks; a word of any length is one row with a tree of its
@@ -17,6 +19,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,6 +33,7 @@ from bankspark.llm.words import MAX_WORDS, Words
 
 _NONE = np.iinfo(np.int64).max
 _BATCH = 1 << 19  # tree leaves at once
+TOGETHER = 16     # words from which merges in common pay
 
 
 def byte_symbols() -> dict[int, str]:
@@ -62,6 +66,7 @@ class Vocabulary:
         order = np.argsort(keys, kind="stable")
         self._keys, self._ranks = keys[order], order
         self._merged = pairs[:, 2]
+        self.by_pair = dict(zip(self._keys.tolist(), self._ranks.tolist()))
 
     def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of each pair; -1 where there is no merge."""
@@ -80,10 +85,65 @@ class Vocabulary:
             step = max(1, _BATCH >> level)
             for i in range(0, len(members), step):
                 part = members[i:i + step]
-                for m, ids in zip(part.tolist(), self._merge([raw[m] for m in part.tolist()], sizes[part], 1 << level)):
+                some = [raw[m] for m in part.tolist()]
+                done = self._merge(some, sizes[part], 1 << level) if len(part) >= TOGETHER else map(self._merge_one, some)
+                for m, ids in zip(part.tolist(), done):
                     out[m] = ids
         return out
 
+    def _merge_one(self, raw: bytes) -> list[int]:
+        """Ids of one word, from arrays of its own size."""
+        size = len(raw)
+        start = self.inner[np.frombuffer(raw, np.uint8)]
+        start[-1] = self.last[raw[-1]]
+        leaves = 1 << max(0, size - 2).bit_length()
+        level = np.full(leaves, _NONE, np.int64)
+        rank = self.ranks(start[:-1], start[1:])
+        level[:size - 1] = np.where(rank >= 0, rank * size + np.arange(size - 1), _NONE)
+        levels = [level]
+        while len(level) > 1:
+            level = np.minimum(level[::2], level[1::2])
+            levels.append(level)
+        tree = array("q", [_NONE])
+        for level in reversed(levels):
+            tree.frombytes(level.tobytes())
+        symbol, follow = array("q", start.tobytes()), array("q", range(1, size + 1))
+        before = array("q", range(-1, size - 1))
+        ranks, merged = self.by_pair, self._merged
+
+        def put(leaf: int, value: int) -> None:
+            node = leaf + leaves
+            tree[node] = value
+            while node > 1:
+                other = tree[node ^ 1]
+                node >>= 1
+                if other < value:
+                    value = other
+                if tree[node] == value:
+                    return
+                tree[node] = value
+
+        while tree[1] != _NONE:
+            rank, i = divmod(tree[1], size)
+            j = follow[i]
+            k = follow[i] = follow[j]
+            symbol[i] = now = int(merged[rank])
+            symbol[j] = -1
+            if j < leaves:
+                put(j, _NONE)
+            value = _NONE
+            if k < size:
+                before[k] = i
+                rank = ranks.get(now << 20 | symbol[k], -1)
+                if rank >= 0:
+                    value = rank * size + i
+            put(i, value)
+            p = before[i]
+            if p >= 0:
+                rank = ranks.get(symbol[p] << 20 | now, -1)
+                put(p, rank * size + p if rank >= 0 else _NONE)
+        return [x for x in symbol if x >= 0]
+
     def _merge(self, raw: list[bytes], sizes: np.ndarray, leaves: int) -> list[list[int]]:
         n, width = len(raw), leaves + 1
         data = np.frombuffer(b"".join(raw), np.uint8)

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import time
 import zlib
 
 import numpy as np
@@ -38,6 +39,26 @@ def test_codec_equals_the_library(library):
         assert decoded.decode() == library.decode(want, skip_special_tokens=False)
 
 
+def test_one_word_of_a_megabyte(library):
+    """Lone words take their merges on a plain tree; the library's time is a matter of a second."""
+    rng = random.Random(8)
+    own = bpe.Codec(queries.vocabulary_path())
+    for text in ("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=1_000_000)), "a" * 70_001, "ab" * 40_000):
+        began = time.monotonic()
+        (words, _, _), = own.encode([text])
+        assert time.monotonic() - began < 60
+        assert [i for w in words for i in w] == ids_of(library, text)
+
+
+def test_words_together_and_alone_agree(monkeypatch):
+    rng = random.Random(9)
+    vocabulary = bpe.Vocabulary(queries.vocabulary_path())
+    words = ["".join(rng.choices("aehinorstl", k=rng.randint(1, 70))) for _ in range(400)]
+    alone = [vocabulary._merge_one(w.encode()) for w in words]
+    monkeypatch.setattr(bpe, "TOGETHER", 1)
+    assert vocabulary.encode_words(words) == alone
+
+
 def test_word_table_may_be_cleared(library, monkeypatch):
     monkeypatch.setattr(bpe, "MAX_WORDS", 3)
     own = bpe.Codec(queries.vocabulary_path())
