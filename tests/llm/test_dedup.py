@@ -46,6 +46,18 @@ def test_exact_odd_rows(odd, none):
     assert exact_dedup.exact_dedup(none).count() == 0 and exact_dedup.keep_one_copy(none).count() == 0
 
 
+def test_exact_doc_id_of_several_texts(spark):
+    docs = [(5, "a"), (5, "b"), (7, "A"), (8, "B"), (9, "c"), (9, "c"), (9, "C"), (9, "d"), (5, "L" * 700), (5, "l" * 700 + "x"),
+            (8, "l" * 700), (5, None), (5, "")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    rows = sorted((r.doc_id, r.keep_id, r.group_size, r.kept) for r in exact_dedup.exact_dedup(frame).collect())
+    assert rows == sorted([(5, 7, 2, False), (5, 8, 2, False), (7, 7, 2, True), (8, 8, 2, True), (9, 9, 3, True), (9, 9, 3, True),
+                           (9, 9, 3, True), (9, 9, 1, True), (5, 8, 2, False), (5, 5, 1, True), (8, 8, 2, True),
+                           (5, 5, 2, True), (5, 5, 2, True)])
+    kept = [(r.doc_id, (r.text or "").lower()[-1:], len(r.text or "")) for r in exact_dedup.keep_one_copy(frame).collect()]
+    assert sorted(kept) == [(5, "", 0), (5, "x", 701), (7, "a", 1), (8, "b", 1), (8, "l", 700), (9, "c", 1), (9, "d", 1)]
+
+
 # near duplicates
 
 def test_minhash_query_matches_brute_force(spark):
