@@ -78,8 +78,11 @@ def duplicate_groups(rows: DataFrame, first: int = FIRST_BYTES, growth: int = GR
                     .select("doc_id", "place", F.encode(ascii_lower(F.col("text")), "UTF-8").alias("body")), "radix")
     while not going.isEmpty():
         open_rows = going.select(F.col("doc_id").alias("row_id"), F.col("place").alias("row_place"), "grp")
-        pieces = (texts.join(open_rows, (texts["doc_id"] == open_rows["row_id"]) & (texts["place"] == open_rows["row_place"]))
-                  .select("doc_id", "place", "grp", F.substring("body", at + 1, width).alias("piece")))
+        # only the next bytes of texts that reach this far are shuffled, so a text moves about once over all rounds
+        ahead = (texts.filter(F.octet_length("body") >= at)
+                 .select("doc_id", "place", F.substring("body", at + 1, width).alias("piece")))
+        pieces = (ahead.join(open_rows, (ahead["doc_id"] == open_rows["row_id"]) & (ahead["place"] == open_rows["row_place"]))
+                  .select("doc_id", "place", "grp", "piece"))
         active = _split(pieces, width)
         ended.append(active.filter("ended"))
         going = active.filter("not ended")
