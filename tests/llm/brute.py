@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import hashlib
 import re
+import struct
 from collections import Counter, defaultdict
 
 import pyarrow.parquet as pq
+import xxhash
+import zstandard
 
 SF = "/root/testdata/sf0.001"
 
@@ -97,3 +100,37 @@ def copies(docs: list[tuple]) -> dict:
     for i, t in docs:
         groups[lower(t)].append(i)
     return {i: (max(g), len(g), hashlib.sha256(t.encode()).hexdigest()) for t, g in groups.items() for i in g}
+
+
+def id_hash(i: int, seed: int) -> int:
+    """Signed 64-bit hash of an id (8 bytes), then of the seed (4 bytes) from there on."""
+    h = xxhash.xxh64_intdigest(struct.pack("<i", seed), xxhash.xxh64_intdigest(struct.pack("<q", i), 42))
+    return h - (1 << 64) if h >> 63 else h
+
+
+def class_samples(rows: list[tuple], per_class: int, seed: int, piece: int, dict_bytes: int) -> list[tuple]:
+    """[(label, piece of text)] of rows (id, label, text): the least hash of each slot of a label, in hash order."""
+    first: dict = {}
+    for i, label, text in rows:
+        h = id_hash(i, seed)
+        slot = label, h % per_class
+        if slot not in first or (h, i) < first[slot][:2]:
+            first[slot] = h, i, label, text or ""
+    count = Counter(label for _, _, label, _ in first.values())
+    out = []
+    for h, _, label, text in sorted(first.values(), key=lambda r: r[:2]):
+        size = max(piece, dict_bytes // count[label])
+        start = h % (max(len(text) - size, 0) + 1)
+        out.append((label, text[start:start + size]))
+    return out
+
+
+def coded_size(data: bytes, dictionary: bytes, block: int) -> int:
+    """Bytes that zstandard makes of data in blocks, each with the raw-content dictionary alone before it."""
+    params = zstandard.ZstdCompressionParameters(
+        strategy=zstandard.STRATEGY_GREEDY, min_match=4, hash_log=16, chain_log=16, search_log=3, window_log=18,
+        target_length=8, write_content_size=False, write_checksum=False, write_dict_id=False)
+    raw = zstandard.ZstdCompressionDict(dictionary, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    raw.precompute_compress(compression_params=params)
+    blocks = [data[k:k + block] for k in range(0, len(data), block)] or [b""]
+    return sum(len(zstandard.ZstdCompressor(dict_data=raw, compression_params=params).compress(b)) for b in blocks)

@@ -10,7 +10,7 @@ import regex
 import xxhash
 from pyspark.sql import functions as F
 
-from bankspark.llm import decontaminate, language_id, quality, queries, url_filter
+from bankspark.llm import compression, decontaminate, language_id, quality, queries, url_filter
 from tests.llm import brute
 from tests.llm.conftest import ODD
 
@@ -28,6 +28,32 @@ def test_language_query_on_held_out_rows(spark):
     assert np.mean([r.lang_pred == truth[r.doc_id] for r in held]) > 0.95
 
 
+def plain_dictionaries(samples):
+    joined = {k: b"".join(t.encode() + b"\n" for x, t in samples if x == k) for k in {k for k, _ in samples}}
+    size = min(compression.DICT_BYTES, max(compression.LEAST_BYTES, min(map(len, joined.values()))))
+    return {k: v[:size] for k, v in joined.items()}
+
+
+def test_language_query_equals_plain_version(spark):
+    docs = brute.rows("documents")
+    known = [(r["doc_id"], r["lang"], r["text"]) for r in docs
+             if zlib.crc32(str(r["doc_id"]).encode()) % 4 != 2 and r["lang"] is not None and r["text"] is not None]
+    samples = brute.class_samples(known, compression.DICT_ROWS, 6, compression.PIECE_CHARS, compression.DICT_BYTES)
+    books = plain_dictionaries([(k, t.lower()) for k, t in samples])
+    count = Counter(k for _, k, _ in known)
+    got = {r.doc_id: r for r in queries.op6_language_id(spark, brute.SF).collect()}
+    assert len(got) == len(docs)
+    for r in docs:
+        data = (r["text"] or "").lower().encode()
+        sizes = {k: brute.coded_size(data, books[k], compression.BLOCK_BYTES) for k in books}
+        best = min(books, key=lambda k: (sizes[k], -count[k], k))
+        if any(c.isalpha() for c in r["text"] or ""):
+            score = 1 / sum(np.exp((sizes[best] - n) / language_id.SCALE) for n in sizes.values())
+            assert got[r["doc_id"]].lang_pred == best and abs(got[r["doc_id"]].score - score) < 1e-9
+        else:
+            assert (got[r["doc_id"]].lang_pred, got[r["doc_id"]].score) == ("und", 0.0)
+
+
 def test_letters_are_letters_by_category(spark):
     model = [("en", b"the same words in one line of text here " * 20), ("fr", "le la les d\u00e9j\u00e0 ".encode() * 20)]
     texts = [(1, "\u00bd"), (2, "\u00b2 \u2460"), (3, "12"), (4, "\u65e5"), (5, "12 a"), (6, "_ \u2167")]
@@ -67,6 +93,35 @@ def test_quality_query_on_held_out_rows(spark):
     assert np.mean([r.predicted == truth[r.doc_id] for r in held]) > 0.9
 
 
+def test_quality_query_equals_plain_version(spark):
+    """Dictionaries, differences and scores anew; the curve's two numbers must be where the weighted log loss has no slope."""
+    docs = {r["doc_id"]: r["text"] for r in brute.rows("documents")}
+    known = [(r["doc_id"], r["quality"], docs.get(r["doc_id"])) for r in brute.rows("labels")
+             if r["doc_id"] in docs and r["quality"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 5 != 0]
+    half = [[r for r in known if brute.id_hash(r[0], 80) % 2 == side] for side in (0, 1)]
+    pieces = brute.class_samples(half[0], compression.DICT_ROWS, 8, compression.PIECE_CHARS, compression.DICT_BYTES)
+    books = plain_dictionaries([(k, quality.marked(t)) for k, t in pieces])
+
+    def value(text):
+        b, g = (brute.coded_size(quality.marked(text or "").encode(), books[k], quality.BLOCK_BYTES) for k in (0, 1))
+        return (b - g) / (b + g)
+
+    model = queries.quality_model(spark.read.parquet(f"{brute.SF}/documents.parquet"),
+                                  spark.read.parquet(f"{brute.SF}/labels.parquet"))
+    assert model.dictionaries == books
+    fit = brute.class_samples(half[1], quality.FIT_ROWS, 81, compression.PIECE_CHARS * 20, compression.DICT_BYTES)
+    y, x = np.array([k for k, _ in fit]), np.array([value(t) for _, t in fit])
+    total = Counter(k for _, k, _ in known)
+    weight = np.where(y == 1, total[1] / (y == 1).sum(), total[0] / (y == 0).sum())
+    weight /= weight.mean()
+    miss = weight * (y - 1 / (1 + np.exp(-(model.slope * x + model.intercept))))
+    scale = x.std()
+    assert abs((miss * x / scale).sum() - 1e-3 * model.slope * scale) < 1e-4 and abs(miss.sum() - 1e-3 * model.intercept) < 1e-4
+    for r in queries.op8_quality(spark, brute.SF).collect():
+        want = 1 / (1 + np.exp(-(model.slope * value(docs[r.doc_id]) + model.intercept)))
+        assert abs(r.score - want) < 1e-9 and r.predicted == int(want >= 0.3)
+
+
 def test_quality_marks():
     assert quality.marked("It It It is OK ok OK") == "It \x011 \x012 is \x02ok ok \x02ok"
     assert quality.marked("") == ""
