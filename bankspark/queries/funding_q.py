@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from bankspark.functions.scalars import default_process_date
 from bankspark.plans.funding import funding_summary, run_day
 from bankspark.queries.common import portable
 from bankspark.queries.oracle_views import round_quot, with_views
@@ -26,6 +27,12 @@ def q_funding_daily(spark, sf_dir):
     return portable(funding_summary(r.deposit(), r.loan(), PROCESS_DT))
 
 
+def q_funding_default_day(spark, sf_dir):
+    """I4: the daily job without a day of its own, run on the morning after ``PROCESS_DT``."""
+    r = Roles(spark, sf_dir)
+    return portable(funding_summary(r.deposit(), r.loan(), default_process_date(PROCESS_DT + _dt.timedelta(days=1))))
+
+
 def q_funding_incremental(spark, sf_dir):
     """The third day of the month by daily runs on stored sums (J4, D2, A6): the second day is run twice, first on a part of
     its facts, as when corrections arrive."""
@@ -83,6 +90,7 @@ from rates join shown using (id)""")
 
 QUERIES = {
     "funding_daily": q_funding_daily,
+    "funding_default_day": q_funding_default_day,
     "funding_incremental": q_funding_incremental,
     "deposit_tenor_mix": q_deposit_tenor_mix,
     "loan_tenor_mix": q_loan_tenor_mix,
@@ -90,6 +98,7 @@ QUERIES = {
 
 ORACLE = {
     "funding_daily": _funding_sql(),
+    "funding_default_day": _funding_sql(),
     "funding_incremental": _funding_sql(THIRD_DAY_KEY, "2023-12-03"),
     "deposit_tenor_mix": with_views(["v_deposit"], """
 select day_key, cast(funding_id as integer) as funding_id, count(*) as n_accounts,

@@ -3,11 +3,13 @@ follow on given labels (K6-K8, K10, K15, K22, K24, B10)."""
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
+from bankspark.functions.scalars import default_month
 from bankspark.operators import forest_grid as FG
 from bankspark.operators import models as MD
 from bankspark.operators import series as S
@@ -73,12 +75,28 @@ def q_sink_days(spark, sf_dir):
     return back.groupBy("day_key").agg(F.count(F.lit(1)).alias("n"), F.sum("amount").alias("amount"))
 
 
-def q_monthly_report(spark, sf_dir):
-    """The whole report job; its detail table, with area columns taken from the area dimension."""
-    r = Roles(spark, sf_dir)
-    tables = rp.monthly_report(spark, r.gl(), r.loan_kpi(), r.city(), r.area(), r.sales_kpi(),
-                               report_q.MONTH, report_q.YEAR)
-    return portable(tables["detail"])
+def _monthly(table, *columns):
+    """A query of one table of the whole report job, with area columns taken from the area dimension; the
+    month is the default of a run in it (I4)."""
+    def query(spark, sf_dir):
+        r = Roles(spark, sf_dir)
+        month = default_month(dt.date(report_q.YEAR, report_q.MONTH, 28))
+        out = rp.monthly_report(spark, r.gl(), r.loan_kpi(), r.city(), r.area(), r.sales_kpi(), month, report_q.YEAR)[table]
+        return portable(out.select(*columns) if columns else out)
+
+    return query
+
+
+#: query: (table of the job, query of the same rows step by step, columns if not all)
+MONTHLY = {
+    "monthly_report": ("detail", "report_detail"),
+    "monthly_npl": ("npl", "npl_by_area", "area_code", "rate", "du_no"),
+    "monthly_debt_groups": ("debt_groups", "debt_groups"),
+    "monthly_head": ("head", "head_values"),
+    "monthly_measures": ("measure", "area_measures"),
+    "monthly_wide": ("report", "report_wide"),
+    "monthly_scorecard": ("scorecard", "scorecard"),
+}
 
 
 def q_npl_with_gaps(spark, sf_dir):
@@ -150,7 +168,7 @@ QUERIES = {
     "price_csv_scan": q_price_csv_scan,
     "macro_sheet_scan": q_macro_sheet_scan,
     "sink_days": q_sink_days,
-    "monthly_report": q_monthly_report,
+    **{name: _monthly(table, *columns) for name, (table, _, *columns) in MONTHLY.items()},
     "npl_with_gaps": q_npl_with_gaps,
     "priority_anova_test": q_priority_anova_test,
     "orders_hash_split": q_orders_hash_split,
@@ -169,7 +187,7 @@ with o as (select cast(2023000 + o_orderkey % 3 as integer) as day_key, o_orderk
                   cast(floor(o_totalprice) as bigint) as amount from orders)
 select day_key, count(*) as n, cast(sum(amount) as bigint) as amount from o
 where day_key = 2023000 or (day_key = 2023001 and o_orderkey % 2 = 0) group by day_key""",
-    "monthly_report": report_q.ORACLE["report_detail"],
+    **{name: report_q.ORACLE[same] for name, (_, same, *_) in MONTHLY.items()},
     "npl_with_gaps": with_views(["v_loan_kpi", "v_city", "v_area"], f"""
 with k as (select c.area_code, kpi_month, write_off_month, max_bucket, write_off_balance_principal as wo,
                   case when write_off_month is null then outstanding_principal end as op

@@ -6,11 +6,13 @@ from tests.conftest import SF001
 
 NAMES = {
     "area_measures", "bar_corr", "bar_poly", "bar_tail", "cumulative_write_offs", "debt_groups",
-    "deposit_tenor_mix", "embedding_clusters", "features_joined", "funding_daily", "funding_incremental",
+    "deposit_tenor_mix", "embedding_clusters", "features_joined", "funding_daily", "funding_default_day",
+    "funding_incremental",
     "gl_cube", "head_values", "headcount", "index_compare", "label_cluster_quality", "lag1_forecast",
     "lag_corr_scan", "lag_forecast", "loan_tenor_mix", "macro_before", "macro_cluster_quality",
     "macro_elbow", "macro_lag_corr", "macro_lag_features", "macro_reshape", "macro_sheet_scan",
-    "macro_stages", "macro_wide", "monthly_report", "npl_by_area", "npl_with_gaps", "orders_describe",
+    "macro_stages", "macro_wide", "monthly_debt_groups", "monthly_head", "monthly_measures", "monthly_npl",
+    "monthly_report", "monthly_scorecard", "monthly_wide", "npl_by_area", "npl_with_gaps", "orders_describe",
     "orders_hash_split", "price_clean", "price_csv_scan", "price_null_counts", "priority_anova",
     "priority_anova_test", "priority_mean_std", "report_by_line", "report_detail", "report_wide", "rf_grid",
     "rf_metrics", "rf_refit_metrics", "rf_smoothed", "scorecard", "sink_days", "sma_metrics", "stage_close",
