@@ -53,6 +53,14 @@ def test_kmeans_canonical_is_deterministic(spark):
     assert MD.silhouette_sq_euclidean(lab) > 0.9
 
 
+def test_kmeans_goes_on_until_the_centres_stand_still(spark):
+    """Evenly spaced points: centres creep, for more than 400 iterations."""
+    df = spark.range(50000).select((F.col("id") * 100.0).alias("a")).coalesce(1)
+    labelled, centres, _ = MD.kmeans_canonical(df, ["a"], 20, 42)
+    means = {r.cluster: r.m for r in labelled.groupBy("cluster").agg(F.avg("a").alias("m")).collect()}
+    assert len(centres) == 20 and all(abs(means[i] - c[0]) < 1e-3 for i, c in enumerate(centres))
+
+
 def _plain_kmeans(points, k):
     """points: (key, coordinates); farthest-first seeds and Lloyd's rounds, point by point."""
     points = [p for _, p in sorted(points)]
