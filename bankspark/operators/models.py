@@ -9,11 +9,9 @@ from __future__ import annotations
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import PolynomialExpansion, VectorAssembler
-from pyspark.ml.regression import RandomForestRegressor
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -180,27 +178,7 @@ def md5_number(key: str) -> Column:
     return F.conv(F.substring(F.md5(F.col(key).cast("string").cast("binary")), 1, 8), 16, 10).cast("bigint")
 
 
-# ---- regression (K3, K17-K19, K22) ----------------------------------------------
-
-
-def forest_pipeline(feature_cols: list[str], label: str, num_trees: int = 150, max_depth: int = 30,
-                    min_leaf: int = 4, seed: int = 42, poly_degree: int = 2) -> Pipeline:
-    """Assemble -> degree-2 polynomial terms -> random forest ("sqrt" features per split).
-
-    ``max_depth`` 30 is Spark's limit and stands in for "no limit".
-    """
-    stages = [VectorAssembler(inputCols=feature_cols, outputCol="__x", handleInvalid="error")]
-    feats = "__x"
-    if poly_degree > 1:
-        stages.append(PolynomialExpansion(degree=poly_degree, inputCol="__x", outputCol="__poly"))
-        feats = "__poly"
-    stages.append(RandomForestRegressor(featuresCol=feats, labelCol=label, predictionCol="prediction",
-                                        numTrees=num_trees, maxDepth=max_depth,
-                                        minInstancesPerNode=min_leaf, featureSubsetStrategy="sqrt",
-                                        seed=seed,
-                                        # speed only: node ids cached between levels, bigger node batches
-                                        cacheNodeIds=True, maxMemoryInMB=2048, checkpointInterval=10))
-    return Pipeline(stages=stages)
+# ---- regression (K19, K22) ----------------------------------------------
 
 
 def regression_scores(pred: DataFrame, label: str, prediction: str = "prediction") -> dict:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from bankspark.operators import forest as FO
 from bankspark.operators import lagged as LG
 from bankspark.operators import models as MD
 from bankspark.operators import series as S
@@ -63,27 +64,34 @@ def index_features(prices: DataFrame, macro: DataFrame, rates: DataFrame,
 
 def forest_vectors(train: DataFrame, features: list[str], label: str, key: str, degree: int = 2) -> DataFrame:
     """(key, label, features): z-scores of the rows given and their polynomial terms (K1, K3) as one vector."""
+    return _polynomial(ST.zscore(train, features), features, degree).select(key, label, "features")
+
+
+def _polynomial(scaled: DataFrame, features: list[str], degree: int = 2) -> DataFrame:
     from pyspark.ml.feature import PolynomialExpansion
 
-    z = ST.zscore(train, features)
-    x = MD.assemble(z, [f"{c}_z" for c in features], "__x")
-    return PolynomialExpansion(degree=degree, inputCol="__x", outputCol="features").transform(x).select(key, label, "features")
+    x = MD.assemble(scaled, [f"{c}_z" for c in features], "__x")
+    return PolynomialExpansion(degree=degree, inputCol="__x", outputCol="features").transform(x).drop("__x")
 
 
 def forest_scores(features: DataFrame, feature_cols: list[str], label: str, key: str,
-                  num_trees: int, max_depth: int, min_leaf: int, seed: int = 42):
-    """Fit on the hash-split train rows, score train and test."""
+                  num_trees: int, max_depth: int, min_leaf: int, seed: int = 42, keep: list[str] | None = None):
+    """Fit on the hash-split train rows, predict and score train and test.
+
+    Returns the test rows (``keep``, key, label, prediction) and one row of scores a part."""
     split = MD.hash_split(features, key)
     # z-scores (K1) with mean and std of the training rows only, so the test rows do not leak in
     split = ST.zscore(split, feature_cols, fit=split.filter("is_train"))
-    zcols = [f"{c}_z" for c in feature_cols]
-    train, test = split.filter("is_train"), split.filter(~F.col("is_train"))
-    model = MD.forest_pipeline(zcols, label, num_trees, max_depth, min_leaf, seed).fit(train)
-    rows = []
+    rows = _polynomial(split, feature_cols).withColumn("__all", F.col("is_train").isNotNull())
+    rows = rows.select(*dict.fromkeys([*(keep or []), key, label]), "is_train", "__all", "features")
+    pred = FO.predictions(rows, "features", label, key, "is_train", "__all", [min_leaf], [num_trees], [max_depth], [2], seed)
+    pred = written(pred.withColumn("prediction", F.col("predictions")[0]).drop("predictions", "min_leaf", "__all"), "forest-predictions")
+    train, test = pred.filter("is_train"), pred.filter(~F.col("is_train"))
+    scores = []
     for name, part in (("train", train), ("test", test)):
-        s = MD.regression_scores(model.transform(part), label)
-        rows.append((name, s["n"], s["mse"], s["rmse"], s["mae"], s["r2"]))
-    return model, test, rows
+        s = MD.regression_scores(part, label)
+        scores.append((name, s["n"], s["mse"], s["rmse"], s["mae"], s["r2"]))
+    return test.drop("is_train"), scores
 
 
 def smooth_predictions(pred: DataFrame, series: str, order: list[str], ts: str,

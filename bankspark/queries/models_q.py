@@ -1,5 +1,5 @@
 """Model queries (K4-K10, K15, K17, K19-K22, K24).  The seeds and rounds of k-means and the normal equations of the lag
-model are written out in SQL; Spark's forests and its k-means on vectors have none and are checked in tests."""
+model are written out in SQL; the forests and Spark's k-means on vectors have none and are checked in tests."""
 
 from __future__ import annotations
 
@@ -89,11 +89,11 @@ def _features(spark, sf_dir):
 
 def _fit(spark, sf_dir, trees, depth, leaf):
     feats, cols = _features(spark, sf_dir)
-    return PM.forest_scores(feats, cols, "close", "event_id", trees, depth, leaf)
+    return PM.forest_scores(feats, cols, "close", "event_id", trees, depth, leaf, keep=["series_id", "ts"])
 
 
 def _forest(spark, sf_dir, trees, depth, leaf):
-    _, _, rows = _fit(spark, sf_dir, trees, depth, leaf)
+    _, rows = _fit(spark, sf_dir, trees, depth, leaf)
     return spark.createDataFrame(rows, "part string, n long, mse double, rmse double, mae double, r2 double")
 
 
@@ -106,8 +106,7 @@ def q_rf_refit_metrics(spark, sf_dir):
 
 
 def q_rf_smoothed(spark, sf_dir):
-    model, test, _ = _fit(spark, sf_dir, 200, 20, 1)
-    pred = model.transform(test).select("series_id", "ts", "event_id", "close", "prediction")
+    pred, _ = _fit(spark, sf_dir, 200, 20, 1)
     out = PM.smooth_predictions(pred, "series_id", ORDER, "ts")
     return portable(out.select("series_id", "event_id", "shown_at", "prediction", "pred_ema_10", "pred_sma_20"))
 
