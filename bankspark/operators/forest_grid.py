@@ -8,12 +8,10 @@ without a lesser depth; the other axes are read off that forest:
 * a tree that does not split nodes of fewer than s rows is the tree cut at such nodes; Spark stores every
   node's row count (of its bootstrap sample).
 
-A walk down a tree therefore meets the leaf of every (depth, split size) on its way, and one pass over the held-out rows
-gives the squared errors of all combinations of the three axes at once.  The reference grid (108 combinations, 5
-folds) takes 15 fits and 15 passes in place of 540 and 540.
-
-The driver holds a fitted forest as Spark ML's does; tasks get it in chunks of at most ``CHUNK_NODES`` nodes, one pass
-a chunk, so what is broadcast has a bound that does not grow with the training rows.
+The reference grid (108 combinations, 5 folds) takes 15 forests in place of 540.  ``grid_scores`` grows them with
+``forest.predictions``, which gives the predictions of every cut.  ``squared_errors`` reads them off a fitted forest of Spark
+ML: a walk down a tree meets the leaf of every (depth, split size) on its way; the driver holds that forest as Spark ML does, and
+tasks get it in chunks of at most ``CHUNK_NODES`` nodes, one pass a chunk.
 """
 
 from __future__ import annotations
@@ -26,11 +24,11 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
+from pyspark.ml.regression import RandomForestRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from bankspark.operators.forest import cut_keys, predictions
 from bankspark.session import ensure_checkpoint_dir, written
 
 # fixed values: the grid of the reference's search; a depth of None is no limit
@@ -156,35 +154,37 @@ def squared_errors(rows: DataFrame, trees: Trees, sizes: list[int], depths: list
 
 
 def grid_scores(train: DataFrame, features: str, label: str, key: str, grid: dict | None = None, folds: int = 5,
-                seed: int = 42, parallelism: int = 4, limit: int = CHUNK_NODES) -> DataFrame:
+                seed: int = 42, parallelism: int = 4) -> DataFrame:
     """Cross-validated scores of the whole grid, one row a combination, best first.
 
     ``features`` is a vector column; folds come from the MD5 of ``key``.  mean_mse is the mean over the folds of the held-out
-    rows' mean squared error, std_mse its population deviation; equal ranks for equal means.
+    rows' mean squared error, std_mse its population deviation; equal ranks for equal means.  The forests of a fold are grown
+    by ``forest.predictions`` together, without collecting a tree.
     """
     from bankspark.operators.models import md5_number
 
     spark = train.sparkSession
     grid = grid or GRID
-    rows = written(train.select(F.col(features).alias("features"), F.col(label).cast("double").alias("y"),
+    rows = written(train.select(F.col(features).alias("features"), F.col(label).cast("double").alias("y"), F.col(key).alias("key"),
                                 (md5_number(key) % folds).cast("int").alias("fold")), "forest-rows")
     depth_of = {d: UNLIMITED if d is None else d for d in grid["max_depth"]}
     depths = sorted(set(depth_of.values()))
-    sizes, splits = sorted(grid["n_estimators"]), sorted(grid["min_samples_split"])
+    sizes, splits, leaves = sorted(grid["n_estimators"]), sorted(grid["min_samples_split"]), sorted(grid["min_samples_leaf"])
+    keys = cut_keys(sizes, depths, splits)
 
-    def one(leaf: int, fold: int) -> dict:
-        fit = RandomForestRegressor(featuresCol="features", labelCol="y", numTrees=max(sizes), maxDepth=max(depths),
-                                    minInstancesPerNode=leaf, featureSubsetStrategy="sqrt", seed=seed, cacheNodeIds=True,
-                                    maxMemoryInMB=2048, checkpointInterval=10).fit(rows.filter(F.col("fold") != fold))
-        held_out = rows.filter(F.col("fold") == fold).select(vector_to_array("features").alias("x"), "y")
-        return squared_errors(held_out, trees_of(forest_nodes(spark, fit)), sizes, depths, splits, limit)
+    def one(fold: int) -> dict:
+        parts = rows.withColumn("trains", F.col("fold") != fold).withColumn("held_out", F.col("fold") == fold)
+        found = predictions(parts, "features", "y", "key", "trains", "held_out", leaves, sizes, depths, splits, seed)
+        means = found.groupBy("min_leaf").agg(*[F.avg((F.col("predictions")[k] - F.col("y")) ** 2).alias(f"e{k}") for k in range(len(keys))])
+        return {(r["min_leaf"], fold): dict(zip(keys, r[1:])) for r in means.collect()}  # one row a leaf size
 
-    jobs = list(product(sorted(grid["min_samples_leaf"]), range(folds)))
+    errors = dict.fromkeys(product(leaves, range(folds)), {})
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        errors = dict(zip(jobs, pool.map(lambda job: one(*job), jobs)))
+        for found in pool.map(one, range(folds)):
+            errors.update(found)
     table = []
     for n, d, s, leaf in product(sizes, grid["max_depth"], splits, sorted(grid["min_samples_leaf"])):
-        by_fold = [errors[leaf, fold][n, depth_of[d], s] for fold in range(folds)]
+        by_fold = [errors[leaf, fold].get((n, depth_of[d], s)) for fold in range(folds)]
         if any(e is None for e in by_fold):
             raise ValueError("a fold has no rows")
         table.append((n, d, s, leaf, float(np.mean(by_fold)), float(np.std(by_fold))))
