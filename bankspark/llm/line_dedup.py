@@ -5,17 +5,17 @@ earlier (smaller doc_id, or same document and smaller line number) has Jaccard s
 or more; lines are judged on the input, not on what is left.
 
 1. Each line becomes a set: size, 64-bit sum and 64-bit parity bitmap of its words (together its key).
-   Word counts go to ``SLOTS`` hash slots, so the rarity order that all tasks share has a fixed size.
-2. Words of a set are ordered by rarity, then hash.  Two sets of the needed similarity share a word among
-   the first n - ceil(p n) + 1 of each, so only those are dealt out, by word.  Words that one set alone holds are not dealt,
-   nor are sets too small to have a similar one that is not equal.  A word that very many sets may hold is split: its sets fall in blocks, and each pair of blocks is a group of its own.
-3. Within a word's group, pairs must pass the length filter, the positional filter (the words from the
-   shared one on must suffice) and the bitmap filter (bits that differ are words that differ).  None of
-   the filters drops a pair that is similar enough.
+2. The words of a set are dealt over parts by their hash, as many as its size band needs.  Similar sets differ in few
+   words, so in few parts: of both, the first parts in a common order have one that is equal (``part_keys``).  Only those
+   are dealt out, by their hash, packed by task; sets too small to have a similar one that is not equal are not.  Whole
+   sets are dealt out too, which finds equal ones.  In a group equal sets are one; a group of very many sets is split:
+   its sets fall in blocks, and each pair of blocks is a group of its own.
+3. Within a group, pairs must pass the length filter and the bitmap filter (bits that differ are words that differ),
+   large sets with wider bitmaps.  None of the filters drops a pair that is similar enough.
 4. The texts of the lines in question are read again and Jaccard similarities verified: first of each line with its
-   earliest candidate in each group, then with the next few, and for lines still open, if there are any, with all
-   their other candidates.  So a group of similar lines gives rows in proportion to its size, not its square; its pairs
-   are all walked, but a task holds about ``PAIRS`` of them at once.
+   earliest candidate in each group, then with the next few.  Groups in which a line has further candidates are kept,
+   and lines still open look at one in ``ONE_IN`` of them there, at last at all.  A group's pairs are all walked, but a
+   task holds about ``PAIRS`` of them at once.
 5. A line goes if it is a later copy of a set, or the first line of a set with an earlier similar line.
 
 Defined cases: a line without words is never removed; null text is one empty line; repeated rows of a
@@ -33,26 +33,38 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bankspark.llm.arrow_text import binary_array, column, list_array, slices, text_bytes
+from bankspark.llm.arrow_text import binary_array, column, slices, text_bytes
 from bankspark.llm.shingles import byte_values, word_spans
 from bankspark.llm.words import mix, span_hashes
 from bankspark.session import written
 
 PERCENT = 80
-SLOTS = 1 << 20        # of word counts
-RANGE = 1 << 14        # slots that travel together
+RANGE = 1 << 14        # bits of a filter that travel together
+CHUNK = 1 << 21        # words that a task collects before it deals them out
+SPARE = 1.5            # parts of a set for each that it must give
 SPLIT = 20_000         # sets that a word's group may hold before it is split
-SEEN = 500_000         # sets that a task remembers, to deal out each once
-FILTER = 1 << 20       # slots of the filters that save reading lines again
+FILTER = 1 << 20       # slots of the filters that save reading lines again, at first
+MOST = 1 << 27         # bits that such a filter may grow to, 8 for each pair
 NEAREST = 3            # candidates of a line and group that are looked at before all of them
 PAIRS = 1 << 20        # pairs of a word's group that a task holds at once
+BODIES = 2_000         # pairs whose lines are compared at once
+ONE_IN = (64, 1)       # of the further candidates of lines still open, one in so many is looked at; at last all
+WIDE = 96              # words of sets that have wider bitmaps
+_PART, _WHOLE, _COPY, _OPEN = range(4)  # kinds of packed rows
+_KEYS = (np.uint32, np.uint64, np.uint8, np.uint32)
+_ENDS = ["doc_id", "line", "doc_2", "line_2"]
+_ENDS_TYPES = "doc_id long, line int, doc_2 long, line_2 int"
+_PACKED = ["part", "kind", "first_doc", "key", "step", "at", "b", "n", "h", "wide"]
+_PACKED_TYPES = "part int, kind int, first_doc long, key binary, step binary, at binary, b binary, n binary, h binary, wide binary"
+_FOUND = dict(zip(_ENDS + ["first", "more"] + _PACKED, 2 * [pa.int64(), pa.int32()] + 2 * [pa.bool_()] + 2 * [pa.int32()]
+                  + [pa.int64()] + 7 * [pa.binary()]))
 _LAST = 1 << 62        # from here on are the places of rows without doc_id in the order of lines
 
 
-def line_words(texts: pa.Array, rarity: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(word hashes, words before each line and in all, lines before each text and in all).
+def line_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(word hashes, bytes of the words, words before each line and in all, lines before each text and in all).
 
-    Each line's words are distinct and in the order of rarity class (if given), then hash.
+    Each line's words are distinct and in the order of their hashes.
     """
     data, offsets = text_bytes(texts)
     data, offsets = data[offsets[0]:offsets[-1]], offsets - offsets[0]
@@ -62,21 +74,20 @@ def line_words(texts: pa.Array, rarity: np.ndarray | None = None) -> tuple[np.nd
     starts, ends, first = word_spans(data, offsets)
     words = mix(span_hashes(byte_values(data), starts, ends))
     line = np.searchsorted(breaks, starts) + np.repeat(np.arange(len(offsets) - 1), np.diff(first))
-    level = np.zeros(len(words), np.uint8) if rarity is None else rarity[(words % np.uint64(SLOTS)).astype(np.int64)]
     order = None
     if len(words) and lines[-1] < 1 << 20:
-        key = line.astype(np.uint64) << np.uint64(44) | level.astype(np.uint64) << np.uint64(36) | words >> np.uint64(28)
+        key = line.astype(np.uint64) << np.uint64(44) | words >> np.uint64(20)
         order = np.argsort(key)
         key, sorted_words = key[order], words[order]
         if ((key[1:] == key[:-1]) & (sorted_words[1:] != sorted_words[:-1])).any():
             order = None  # two words of a line share the key's bits
     if order is None:
-        order = np.lexsort((words, level, line))
-    words, line = words[order], line[order]
+        order = np.lexsort((words, line))
+    words, line, length = words[order], line[order], (ends - starts)[order]
     new = np.ones(len(words), bool)
     new[1:] = (words[1:] != words[:-1]) | (line[1:] != line[:-1])
     words, line = words[new], line[new]
-    return words, np.searchsorted(line, np.arange(lines[-1] + 1)), lines
+    return words, length[new], np.searchsorted(line, np.arange(lines[-1] + 1)), lines
 
 
 def set_keys(words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -92,78 +103,96 @@ def _spread(first: np.ndarray, count: np.ndarray) -> np.ndarray:
     return np.repeat(first - (np.cumsum(count) - count), count) + np.arange(count.sum())
 
 
-class _Seen:
-    """The sets that a task has met, each with its earliest line so far."""
-
-    def __init__(self) -> None:
-        self._known: dict[int, tuple[int, int]] = {}
+def _lines_of(batch: pa.RecordBatch, i: int, j: int):
+    """(words, their bytes, first, doc_id, line) of the texts i to j of a batch."""
+    words, length, first, lines = line_words(column(batch, "text").slice(i, j - i))
+    count = np.diff(lines)
+    doc = np.repeat(column(batch, "doc_id").slice(i, j - i).to_numpy(zero_copy_only=False), count)
+    return words, length, first, doc, np.arange(lines[-1]) - np.repeat(lines[:-1], count)
+
+
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
+    """What ``_lines_of`` gives, for about ``CHUNK`` words at a time."""
+    held, size = [], 0
+    for batch in batches:
+        for i, j in slices(text_bytes(column(batch, "text"))[1]):
+            held.append(_lines_of(batch, i, j))
+            size += len(held[-1][0])
+            if size >= CHUNK:
+                yield _joined(held)
+                held, size = [], 0
+    if held:
+        yield _joined(held)
 
-    def new(self, keys: np.ndarray, size: np.ndarray, doc: np.ndarray, line: np.ndarray) -> np.ndarray:
-        """Places of the sets that are new to the task, or whose line comes before the one known."""
-        known, out = self._known, []
-        if len(known) > SEEN:
-            known.clear()
-        for i, (k, n, at) in enumerate(zip(keys.tolist(), size.tolist(), zip(doc.tolist(), line.tolist()))):
-            if n and (k not in known or at < known[k]):
-                known[k] = at
-                out.append(i)
-        return np.array(out, np.int64)
 
+def _joined(held: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    words, length, first, doc, line = zip(*held)
+    before = np.cumsum([0, *map(len, words)])
+    first = np.concatenate([f[:-1] + at for f, at in zip(first, before)] + [before[-1:]])
+    return np.concatenate(words), np.concatenate(length), first, np.concatenate(doc), np.concatenate(line)
 
-def _lines_of(batch: pa.RecordBatch, i: int, j: int, rarity: np.ndarray | None = None):
-    """(words, first, doc_id, line, lines before each text) of the texts i to j of a batch."""
-    words, first, lines = line_words(column(batch, "text").slice(i, j - i), rarity)
-    count = np.diff(lines)
-    doc = np.repeat(column(batch, "doc_id").slice(i, j - i).to_numpy(zero_copy_only=False), count)
-    return words, first, doc, np.arange(lines[-1]) - np.repeat(lines[:-1], count), lines
 
+def _earliest(h: np.ndarray, b: np.ndarray, doc: np.ndarray, line: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of an earliest line of each set, and of the lines that are later copies of a set."""
+    order = np.lexsort((line, doc, b, h))
+    new = np.ones(len(order), bool)
+    new[1:] = (h[order][1:] != h[order][:-1]) | (b[order][1:] != b[order][:-1])
+    at = order[new]
+    its = at[np.cumsum(new) - 1]
+    late = (doc[order] != doc[its]) | (line[order] != line[its])
+    return at, order[late]
 
-def _sets(source: DataFrame) -> DataFrame:
-    """A row per document (doc_id, h, b, n: arrays over its lines); and, per task, word counts by ranges of slots."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, seen = np.zeros(SLOTS, np.int64), _Seen()
-        names = ["doc_id", "h", "b", "n", "range", "counts"]
-        for batch in batches:
-            for i, j in slices(text_bytes(column(batch, "text"))[1]):
-                words, first, doc, line, lines = _lines_of(batch, i, j)
-                h, b, n = set_keys(words, first)
-                new = seen.new(h ^ b, n, doc, line)
-                if len(new):
-                    slot = (words[_spread(first[new], n[new])] % np.uint64(SLOTS)).astype(np.int64)
-                    np.add.at(counts, slot, 1)
-                yield pa.RecordBatch.from_arrays(
-                    [column(batch, "doc_id").slice(i, j - i)]
-                    + [list_array(pa.array(v.view(np.int64)), lines) for v in (h, b, n.astype(np.int64))]
-                    + [pa.nulls(j - i, pa.int32()), pa.nulls(j - i, pa.binary())], names)
-        blocks = np.minimum(counts, 1 << 31).astype("<u4").reshape(-1, RANGE)
-        rows, none = len(blocks), pa.nulls(len(blocks), pa.list_(pa.int64()))
-        yield pa.RecordBatch.from_arrays([pa.nulls(rows, pa.int64()), none, none, none, pa.array(np.arange(rows, dtype=np.int32)),
-                                          pa.array([x.tobytes() for x in blocks], pa.binary())], names)
 
-    return written(source.mapInArrow(run, "doc_id long, h array<long>, b array<long>, n array<long>, range int, "
-                                          "counts binary"), "line-sets")
+def line_slots(doc: np.ndarray, line: np.ndarray, size: int = FILTER) -> np.ndarray:
+    return (mix(mix(doc) + line.astype(np.uint64)) % np.uint64(size)).astype(np.int64)
 
 
-def _word_counts(sets: DataFrame) -> np.ndarray:
-    """Word count of each slot, over all documents; SLOTS numbers come to the driver."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[int, np.ndarray] = {}
-        for b in batches:
-            for at, data in zip(column(b, "range").to_pylist(), column(b, "counts").to_pylist()):
-                total[at] = total.get(at, 0) + np.frombuffer(data, "<u4").astype(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([x.tobytes() for x in total.values()],
-                                                                                      pa.binary())], ["range", "counts"])
+def most_different(small: np.ndarray, large: np.ndarray, percent: int) -> np.ndarray:
+    """Words that similar sets of these sizes may differ in: those of one alone and those of the other alone."""
+    return (100 - percent) * (small + large) // (100 + percent)
 
-    rows = sets.filter("range is not null").select("range", "counts").repartition("range") \
-        .mapInArrow(run, "range int, counts binary").toArrow()
-    counts = np.zeros((SLOTS // RANGE, RANGE), np.int64)
-    for at, data in zip(rows["range"].to_pylist(), rows["counts"].to_pylist()):
-        counts[at] = np.frombuffer(data, np.int64)
-    return counts.reshape(-1)
 
+def part_keys(words: np.ndarray, length: np.ndarray, first: np.ndarray, sets: np.ndarray,
+              percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """(set, key of a part of its words) such that any two similar sets have a key in common.
 
-def line_slots(doc: np.ndarray, line: np.ndarray) -> np.ndarray:
-    return (mix(mix(doc) + line.astype(np.uint64)) % np.uint64(FILTER)).astype(np.int64)
+    For each size band [2^i, 2^(i+1)) words are dealt over k parts by their hash, and a set gives the parts for its own
+    band and, if a similar set can be that large, for the next.  Similar sets differ in d words at most, so in d parts;
+    of both, the first d + 1 parts in any common order have one that is equal.  Parts with the most bytes come first.
+    """
+    n = np.diff(first)
+    mixed = np.concatenate([[np.uint64(0)], np.cumsum(mix(words ^ np.uint64(0x1234567)))])
+    owners, keys = [], []
+    for step in (0, 1):
+        low = np.left_shift(1, np.floor(np.log2(n[sets])).astype(np.int64) + step)
+        most = 100 * n[sets] // percent  # words of the largest similar set
+        here = sets[most >= low]
+        low, most = low[most >= low], most[most >= low]
+        k = np.ceil(SPARE * (most_different(2 * low - 1, 2 * low - 1, percent) + 1)).astype(np.int64)
+        reach = most_different(n[here], np.minimum(most, 2 * low - 1), percent) + 1
+        at = _spread(first[here], n[here])
+        base = np.cumsum(k) - k
+        part = (words[at] >> np.uint64(32)) * np.repeat(k, n[here]).astype(np.uint64) >> np.uint64(32)
+        part = part.astype(np.int64) + np.repeat(base, n[here])  # ascending, as words of a line are
+        total = int(k.sum())
+        cut = np.searchsorted(part, np.arange(total + 1))
+        ends = np.append(at, 0)
+        some = cut[1:] > cut[:-1]
+        value = np.zeros(total, np.uint64)
+        value[some] = mixed[ends[cut[1:][some] - 1] + 1] - mixed[ends[cut[:-1][some]]]
+        weight = np.bincount(part, length[at], total)
+        owner = np.repeat(np.arange(len(here)), k)
+        number = (np.arange(total) - base[owner]).astype(np.uint64)
+        value = mix(value + mix(number * np.uint64(1 << 32) + np.repeat(low, k).astype(np.uint64)))
+        rank = (owner.astype(np.uint64) << np.uint64(40)) | ((np.uint64(65535) - np.minimum(weight, 65535).astype(np.uint64))
+                                                            << np.uint64(24)) | (value >> np.uint64(40))
+        order = np.argsort(rank)
+        if (rank[order][1:] == rank[order][:-1]).any():  # two parts share the rank's bits: their order must not depend on the set
+            order = np.lexsort((value, rank))
+        hit = order[np.arange(total) - base[owner] < reach[owner]]
+        owners.append(here[owner[hit]])
+        keys.append(value[hit])
+    return np.concatenate(owners), np.concatenate(keys)
 
 
 def _postings(source: DataFrame, counts: np.ndarray, percent: int, slots: np.ndarray | None = None) -> DataFrame:
@@ -225,8 +254,88 @@ def _prefix_slots(source: DataFrame, counts: np.ndarray, percent: int, lines: np
     return out
 
 
+def _narrow(x: np.ndarray) -> np.ndarray:
+    """The values in as few bytes as hold all of them."""
+    for kind in (np.uint8, np.uint16, np.int32):
+        if not len(x) or (x.min() >= np.iinfo(kind).min and x.max() <= np.iinfo(kind).max):
+            return x.astype(kind)
+    return x.astype(np.int64)
+
+
+def _packed(kind: int, part: np.ndarray, key: np.ndarray, doc: np.ndarray, line: np.ndarray, b: np.ndarray,
+            n: np.ndarray, h: np.ndarray, wide: np.ndarray) -> pa.RecordBatch:
+    """A row per part, with its rows' values as bytes; doc as differences, wide bitmaps of large sets only."""
+    order = np.argsort(part, kind="stable")
+    part, doc, large = part[order], doc[order], n[order] >= WIDE
+    cut = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else np.zeros(0, np.int64)
+    step = np.diff(doc, prepend=0)
+    step[cut] = 0
+    ends = np.append(cut, len(part))
+    values = [key[order], _narrow(step), _narrow(line[order]), b[order], _narrow(n[order]), h[order].astype(np.uint32)]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(part[cut].astype(np.int32)), pa.array(np.full(len(cut), kind, np.int32)), pa.array(doc[cut])]
+        + [binary_array(x.view(np.uint8), ends * x.itemsize) for x in values]
+        + [binary_array(wide[order][large].reshape(-1).view(np.uint8), 16 * np.append(0, np.cumsum(large))[ends])], _PACKED)
+
+
+def _unpacked(rows: list[dict]) -> list[np.ndarray]:
+    """(key, doc, line, b, n, h, wide) of packed rows of one part and kind."""
+    kinds = {1: np.uint8, 2: np.uint16, 4: np.int32, 8: np.int64}
+    out: list[list[np.ndarray]] = [[] for _ in range(7)]
+    for r in rows:
+        key = np.frombuffer(r["key"], _KEYS[r["kind"]])
+        step, line, n = (np.frombuffer(r[x], kinds[len(r[x]) // len(key)]).astype(np.int64) for x in ("step", "at", "n"))
+        wide = np.zeros((len(key), 2), np.uint64)
+        wide[n >= WIDE] = np.frombuffer(r["wide"], np.uint64).reshape(-1, 2)
+        for x, y in zip(out, (key, r["first_doc"] + np.cumsum(step), line.astype(np.int32), np.frombuffer(r["b"], np.uint64),
+                              n.astype(np.int32), np.frombuffer(r["h"], np.uint32), wide)):
+            x.append(y)
+    return [np.concatenate(x) for x in out]
+
+
+def wide_bitmaps(words: np.ndarray, first: np.ndarray, sets: np.ndarray) -> np.ndarray:
+    """Two 64-bit parity bitmaps of each set, each of the words of one half of the hashes."""
+    at = _spread(first[sets], np.diff(first)[sets])
+    mixed = mix(words[at] ^ np.uint64(0x7654321))
+    bit, half = np.uint64(1) << (mixed & np.uint64(63)), (mixed >> np.uint64(6)) & np.uint64(1)
+    ends = np.append(0, np.cumsum(np.diff(first)[sets]))
+    out = np.zeros((len(sets), 2), np.uint64)
+    for k in (0, 1):
+        bits = np.append(np.uint64(0), np.bitwise_xor.accumulate(np.where(half == k, bit, np.uint64(0))))
+        out[:, k] = bits[ends[1:]] ^ bits[ends[:-1]]
+    return out
+
+
+def _dealt(source: DataFrame, percent: int, parts: int) -> DataFrame:
+    """Packed rows: keys of the parts of each set, by its earliest line in a chunk; whole sets; later copies in a chunk."""
+    least = percent // (100 - percent)  # words of the smallest set that is similar to another
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for words, length, first, doc, line in _chunks(batches):
+            h, b, n = set_keys(words, first)
+            some = np.flatnonzero(n)
+            one, late = (some[np.sort(x)] for x in _earliest(h[some], b[some], doc[some], line[some]))
+            none = np.zeros(len(n), np.int64)
+            wide = np.zeros((len(n), 2), np.uint64)
+            yield _packed(_WHOLE, h[one] % np.uint64(parts), h[one], doc[one], line[one], b[one], none[one], none[one],
+                          wide[one])
+            at = np.full(len(late), int(mix(doc[late[:1]]).sum() % np.uint64(parts)), np.uint64)
+            yield _packed(_COPY, at, none[late].astype(np.uint8), doc[late], line[late], none[late], none[late], none[late],
+                          wide[late])
+            one = one[n[one] >= least]
+            large = one[n[one] >= WIDE]
+            wide[large] = wide_bitmaps(words, first, large)
+            owner, key = part_keys(words, length, first, one, percent)
+            order = np.argsort(owner, kind="stable")
+            owner, key = owner[order], key[order]
+            yield _packed(_PART, (key >> np.uint64(32)) % np.uint64(parts), key.astype(np.uint32), doc[owner], line[owner],
+                          b[owner], n[owner], h[owner], wide[owner])
+
+    return source.mapInArrow(run, _PACKED_TYPES)
+
+
 def candidate_pairs(word: np.ndarray, b: np.ndarray, n: np.ndarray, place: np.ndarray,
-                    percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+                    percent: int, wide: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Rows (i, j) of one word that may be similar, from rows sorted by (word, n); runs of a word are walked by distance.
     They come in slices of less than ``PAIRS`` pairs and one for each row."""
     left, right, held = [], [], 0
@@ -241,7 +350,11 @@ def candidate_pairs(word: np.ndarray, b: np.ndarray, n: np.ndarray, place: np.nd
         need = -(-percent * both // (100 + percent))
         good = np.minimum(n[i] - place[i], n[j] - place[j]) >= need
         x, y = i[good], j[good]
-        good = np.bitwise_count(b[x] ^ b[y]) <= both[good] - 2 * need[good]
+        most = both[good] - 2 * need[good]
+        good = np.bitwise_count(b[x] ^ b[y]) <= most
+        if wide is not None:
+            some = np.flatnonzero(good & (n[x] >= WIDE) & (n[y] >= WIDE))
+            good[some] = np.bitwise_count(wide[x[some]] ^ wide[y[some]]).sum(axis=1) <= most[some]
         left.append(x[good])
         right.append(y[good])
         held += len(left[-1])
@@ -274,8 +387,9 @@ class _Nearest:
         self.best[rows] = np.sort(np.concatenate([self.best[rows], new], axis=1), axis=1)[:, :NEAREST]
 
 
-def group_candidates(table: list[np.ndarray], percent: int, lines: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
-    """Batches of ``_pairs`` from whole groups (word, doc_id, line, b, n, place), sorted by (word, n)."""
+def group_candidates(table: list[np.ndarray], percent: int, lines: np.ndarray | None = None,
+                     wide: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+    """Batches of ``_found`` from whole groups (word, doc_id, line, b, n, place), sorted by (word, n)."""
     names = ["doc_id", "line", "doc_2", "line_2", "first", "more"]
     word, doc, line, b, n, place = table
     order = np.lexsort((line, doc))
@@ -285,7 +399,8 @@ def group_candidates(table: list[np.ndarray], percent: int, lines: np.ndarray |
     rank[order] = np.cumsum(new) - 1  # rows of one line share a rank
     row = order[new]                  # a row of each rank
     nearest = _Nearest(len(word))
-    for i, j in candidate_pairs(word, b.view(np.uint64), n.astype(np.int64), place.astype(np.int64), percent):
+    for i, j in candidate_pairs(word, b.view(np.uint64), n.astype(np.int64), place.astype(np.int64), percent,
+                                wide):
         apart = rank[i] != rank[j]
         i, j = i[apart], j[apart]
         later = rank[i] > rank[j]
@@ -325,23 +440,164 @@ def _pairs(postings: DataFrame, percent: int, lines: np.ndarray | None = None) -
             .mapInArrow(run, "doc_id long, line int, doc_2 long, line_2 int, first boolean, more boolean"))
 
 
-def _marks(rows: DataFrame, slot) -> np.ndarray:
-    """Filter of FILTER slots in which the rows' slots are set; fixed size, at worst it lets all lines pass."""
-    out = np.zeros(FILTER, bool)
-    out[rows.select(slot.cast("int").alias("s")).distinct().toPandas()["s"].to_numpy(np.int64)] = True
-    return out
+def _split_group(key: np.ndarray, size: np.ndarray, doc: np.ndarray, line: np.ndarray, split: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, key): the sets of a large group fall in blocks, and each pair of blocks is a group of its own."""
+    k = -(-size // split)
+    row = np.repeat(np.arange(len(key)), k)
+    other = np.arange(len(row)) - np.repeat(np.cumsum(k) - k, k)
+    block = (mix(mix(doc) + line.astype(np.uint64)) % k.astype(np.uint64)).astype(np.int64)[row]
+    low, high = np.minimum(block, other), np.maximum(block, other)
+    return row, mix(mix(key[row]) + (low * (1 << 32) + high).astype(np.uint64))
+
+
+def _with_nulls(columns: list[pa.Array], names: list[str]) -> pa.RecordBatch:
+    """Batch of ``_found``: the named columns, null in the others."""
+    have, size = dict(zip(names, columns)), len(columns[0])
+    return pa.RecordBatch.from_arrays([have.get(x, pa.nulls(size, t)) for x, t in _FOUND.items()], list(_FOUND))
+
+
+def _candidates(rows: list[dict], percent: int, parts: int, split: int | None) -> Iterator[pa.RecordBatch]:
+    """Batches of ``_found`` from the packed rows of one part."""
+    for kind in (_COPY, _WHOLE, _PART):
+        own = [r for r in rows if r["kind"] == kind]
+        if not own:
+            continue
+        key, doc, line, b, n, h, wide = _unpacked(own)
+        if kind != _PART:
+            late = _earliest(key, b, doc, line)[1] if kind == _WHOLE else slice(None)
+            yield _with_nulls([pa.array(doc[late]), pa.array(line[late])], ["doc_id", "line"])
+            continue
+        order = np.argsort(key)
+        order = order[_group_sizes(key[order]) > 1]
+        # equal sets are one in a group, by their earliest line
+        order = order[np.lexsort((line[order], doc[order], h[order], b[order], n[order], key[order]))]
+        new = np.ones(len(order), bool)
+        new[1:] = np.any([x[order][1:] != x[order][:-1] for x in (h, b, n, key)], axis=0)
+        order = order[new]
+        size = _group_sizes(key[order])
+        order, size = order[size > 1], size[size > 1]
+        if split is not None and (large := size > split).any():
+            far, far_size = order[large], size[large]
+            order, size = order[~large], size[~large]
+            at, again = _split_group(key[far], far_size, doc[far], line[far], split)
+            at = far[at]
+            out = _packed(_PART, (again >> np.uint64(32)) % np.uint64(parts), again.astype(np.uint32), doc[at], line[at],
+                          b[at], n[at], h[at], wide[at])
+            yield _with_nulls(out.columns, _PACKED)
+        table = [key[order].astype(np.int64), doc[order], line[order], b[order].view(np.int64), n[order],
+                 np.zeros(len(order), np.int64)]
+        more = []
+        for out in group_candidates(table, percent, wide=wide[order]):
+            yield _with_nulls(out.columns, out.schema.names)
+            has = column(out, "more").to_numpy(zero_copy_only=False)
+            more.append(np.unique(line_slots(column(out, "doc_id").to_numpy()[has], column(out, "line").to_numpy()[has])))
+        far = order[_of_marked(key[order], np.isin(line_slots(doc[order], line[order]), np.concatenate([*more, []])))]
+        if len(far):
+            out = _packed(_OPEN, np.zeros(len(far), np.uint64), key[far], doc[far], line[far], b[far], n[far], h[far],
+                          wide[far])
+            yield _with_nulls(out.columns, _PACKED)
+
+
+def _group_sizes(key: np.ndarray) -> np.ndarray:
+    """Rows of each row's group (run of a key)."""
+    count = np.diff(np.append(np.flatnonzero(np.append(True, key[1:] != key[:-1])[:len(key)]), len(key)))
+    return np.repeat(count, count)
+
+
+def _of_marked(key: np.ndarray, marked: np.ndarray) -> np.ndarray:
+    """Whether each row is of a group (run of a key) with a marked row."""
+    if not len(key):
+        return np.zeros(0, bool)
+    group = np.cumsum(np.append(False, key[1:] != key[:-1]))
+    return (np.bincount(group, marked) > 0)[group]
+
+
+def _found(dealt: DataFrame, percent: int, parts: int, split: int | None) -> DataFrame:
+    """Candidate pairs (doc_id, line, doc_2, line_2): a line and an earlier one, up to ``NEAREST`` of a group, the earliest
+    of it marked as ``first``; ``more`` if the group has further ones.  Also later copies of sets, without doc_2; the
+    groups that have further ones, packed; and, if ``split`` is given, groups of more sets, split and packed."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[dict] = []
+        for batch in batches:
+            for row in batch.to_pylist():
+                if held and held[0]["part"] != row["part"]:
+                    yield from _candidates(held, percent, parts, split)
+                    held = []
+                held.append(row)
+        if held:
+            yield from _candidates(held, percent, parts, split)
+
+    return (dealt.repartition("part").sortWithinPartitions("part")
+            .mapInArrow(run, f"{_ENDS_TYPES}, first boolean, more boolean, {_PACKED_TYPES}"))
+
+
+def _pairs(source: DataFrame, percent: int) -> DataFrame:
+    """All rows of ``_found`` but the split groups, written."""
+    parts = 4 * int(source.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = written(_found(_dealt(source, percent, parts), percent, parts, SPLIT), "pairs")
+    large = rows.filter(F.col("kind") == _PART).select(*_PACKED)
+    if large.isEmpty():
+        return rows
+    return rows.filter(F.coalesce("kind", F.lit(_OPEN)) == _OPEN).unionByName(
+        written(_found(large, percent, parts, None), "pairs"))
+
+
+def _all_pairs(groups: DataFrame, percent: int, lines: np.ndarray, one_in: int) -> DataFrame:
+    """(doc_id, line, doc_2, line_2): candidates of the marked lines in packed groups: all, or one in so many."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                key, doc, line, b, n, _, wide = _unpacked([row])
+                marked = lines[line_slots(doc, line)]
+                hit = np.flatnonzero(_of_marked(key, marked))
+                hit = hit[marked[hit] | (mix(line_slots(doc[hit], line[hit])) % np.uint64(one_in) == 0)]
+                table = [key.astype(np.int64), doc, line, b.view(np.int64), n, np.zeros(len(key), np.int64)]
+                for out in group_candidates([x[hit] for x in table], percent, lines, wide[hit]):
+                    some = mix(line_slots(column(out, "doc_2").to_numpy(), column(out, "line_2").to_numpy()))
+                    yield out.filter(pa.array(some % np.uint64(one_in) == 0)).select(_ENDS)
+
+    return groups.mapInArrow(run, _ENDS_TYPES)
+
+
+def _marks(lines: DataFrame, size: int) -> np.ndarray:
+    """Filter of ``size`` bits, packed, in which the slots of the lines (doc_id, line) are set; it comes in ranges."""
+    def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            doc, line = (column(b, n).to_numpy(zero_copy_only=False) for n in ("doc_id", "line"))
+            slot = np.unique(line_slots(doc, line, size))
+            yield pa.RecordBatch.from_arrays([pa.array((slot // RANGE).astype(np.int32)),
+                                              pa.array((slot % RANGE).astype(np.int32))], ["range", "bit"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits: dict[int, np.ndarray] = {}
+        for b in batches:
+            at, bit = (column(b, n).to_numpy() for n in ("range", "bit"))
+            order = np.argsort(at, kind="stable")
+            for k, own in zip(*_groups(at[order], bit[order])):
+                bits.setdefault(k, np.zeros(RANGE, bool))[own] = True
+        yield pa.RecordBatch.from_arrays([pa.array(list(bits), pa.int32()),
+                                          pa.array([np.packbits(x).tobytes() for x in bits.values()], pa.binary())], ["range", "bits"])
 
+    out = np.zeros((size // RANGE, RANGE // 8), np.uint8)
+    rows = lines.mapInArrow(slots, "range int, bit int").repartition("range").mapInArrow(run, "range int, bits binary").toArrow()
+    for at, data in zip(rows["range"].to_pylist(), rows["bits"].to_pylist()):
+        out[at] = np.frombuffer(data, np.uint8)
+    return out.reshape(-1)
 
-def _line_texts(source: DataFrame, wanted: DataFrame) -> DataFrame:
+
+def _groups(key: np.ndarray, value: np.ndarray) -> tuple[list[int], list[np.ndarray]]:
+    """Keys and the values of each, from rows sorted by key."""
+    cut = np.flatnonzero(key[1:] != key[:-1]) + 1
+    return (key[np.append(0, cut)].tolist(), np.split(value, cut)) if len(key) else ([], [])
+
+
+def _line_texts(source: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     """(of_doc, of_line, body): the bytes of at least the wanted lines (doc_id, line)."""
-    of_doc = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER))
-    docs = _marks(wanted, of_doc)
-    lines = _marks(wanted, F.pmod(of_doc * 31 + F.col("line") * 7919, F.lit(FILTER)))
+    marks = _marks(wanted, size)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            batch = batch.filter(pa.array(docs[column(batch, "slot").to_numpy()]))
-            slots, names = column(batch, "slot").to_numpy(), column(batch, "doc_id").to_numpy()
+            names = column(batch, "doc_id").to_numpy()
             data, offsets = text_bytes(column(batch, "text"))
             for i, j in slices(offsets):
                 part, cuts = data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]
@@ -353,15 +609,25 @@ def _line_texts(source: DataFrame, wanted: DataFrame) -> DataFrame:
                 stop = np.append(start[1:], len(part))
                 last = np.append(text[1:] != text[:-1], True)
                 stop = np.where(last, cuts[text + 1], stop - 1)
-                hit = np.flatnonzero(lines[(slots[i:j][text] * 31 + line * 7919) % FILTER])
-                size = stop[hit] - start[hit]
+                slot = line_slots(names[i:j][text], line, size)
+                hit = np.flatnonzero(marks[slot >> 3] << (slot & 7).astype(np.uint8) & 128)
+                length = stop[hit] - start[hit]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(names[i:j][text[hit]]), pa.array(line[hit].astype(np.int32)),
-                     binary_array(part[_spread(start[hit], size)], np.concatenate([[0], np.cumsum(size)]))],
+                     binary_array(part[_spread(start[hit], length)], np.concatenate([[0], np.cumsum(length)]))],
                     ["of_doc", "of_line", "body"])
 
-    return (source.select("doc_id", "text", of_doc.alias("slot"))
-            .mapInArrow(run, "of_doc long, of_line int, body binary").dropDuplicates(["of_doc", "of_line"]))
+    return source.mapInArrow(run, "of_doc long, of_line int, body binary").dropDuplicates(["of_doc", "of_line"])
+
+
+def common_words(one: tuple[np.ndarray, np.ndarray], two: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Words that the k-th sets (words, words before each and in all) have in common."""
+    size = len(one[1]) - 1
+    pair = np.concatenate([np.repeat(np.arange(size), np.diff(x)) for _, x in (one, two)])
+    words = np.concatenate([one[0], two[0]])
+    order = np.lexsort((words, pair))
+    pair, words = pair[order], words[order]
+    return np.bincount(pair[1:][(words[1:] == words[:-1]) & (pair[1:] == pair[:-1])], minlength=size)
 
 
 def _similar(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
@@ -371,18 +637,13 @@ def _similar(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     rows = pairs.join(one, ["doc_id", "line"]).join(two, ["doc_2", "line_2"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            keep = np.zeros(b.num_rows, bool)
+        for b in (batch.slice(i, BODIES) for batch in batches for i in range(0, batch.num_rows, BODIES)):
             sides = []
             for name in ("body_1", "body_2"):
-                words, first, _ = line_words(column(b, name))
-                sides.append((words, first.tolist()))
-            (w, x), (v, y) = sides
-            for k in range(b.num_rows):
-                p, q = w[x[k]:x[k + 1]], v[y[k]:y[k + 1]]
-                both = len(np.intersect1d(p, q, assume_unique=True))
-                keep[k] = 100 * both >= percent * (len(p) + len(q) - both)
-            mask = pa.array(keep)
+                words, _, first, _ = line_words(column(b, name))
+                sides.append((words, first))
+            both, n = common_words(*sides), sum(np.diff(first) for _, first in sides)
+            mask = pa.array(100 * both >= percent * (n - both))
             yield pa.RecordBatch.from_arrays([column(b, n).filter(mask) for n in ("doc_id", "line")], ["doc_id", "line"])
 
     return rows.select("doc_id", "line", "body_1", "body_2").mapInArrow(run, "doc_id long, line int")
@@ -392,32 +653,31 @@ def line_duplicates(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_
     """One row per document: doc_id, n_lines, removed (line numbers from 0, ascending)."""
     unnamed = F.shiftrightunsigned(F.xxhash64(text_col), 2) + F.lit(_LAST)
     source = docs.select(F.coalesce(F.col(id_col).cast("long"), unnamed).alias("doc_id"), F.col(text_col).alias("text"))
-    sets = _sets(source)
-    counts = _word_counts(sets)
-    pairs = written(_pairs(_postings(source, counts, percent), percent), "pairs")
+    rows = _pairs(source, percent)
+    copies = rows.filter("doc_id is not null and doc_2 is null").select("doc_id", "line")
+    pairs = written(_open(rows.filter("doc_2 is not null"), copies).groupBy(*_ENDS)
+                    .agg(F.max("first").alias("first"), F.max("more").alias("more")), "pairs")
     # the earliest candidate of each group settles most lines, the next few nearly all others; lines that are still open
     # and have further candidates are dealt out again, by themselves, and look at all of them
-    ends = ["doc_id", "line", "doc_2", "line_2"]
-    near = _settled(source, written(pairs.filter("first").select(*ends).distinct(), "pairs"), percent)
-    rest = written(_open(pairs.filter("not first").select(*ends), near).distinct(), "pairs")
-    near = near.unionByName(_settled(source, rest, percent))
+    texts = _wanted_texts(source, pairs)
+    near = written(_similar(pairs.filter("first"), texts, percent).distinct(), "settled")
+    rest = _open(pairs.filter("not first"), near)
+    near = near.unionByName(written(_similar(rest, texts, percent).distinct(), "settled"))
     left = written(_open(pairs.filter("more").select("doc_id", "line").distinct(), near), "open")
-    if not left.isEmpty():
-        lines = _line_marks(left)
-        slots = _prefix_slots(source, counts, percent, lines)
-        last = written(_pairs(_postings(source, counts, percent, slots=slots), percent, lines).select(*ends).distinct(), "pairs")
-        near = near.unionByName(_settled(source, last, percent))
-
-    lines = (sets.filter("h is not null").select("doc_id", F.posexplode(F.arrays_zip("h", "b", "n")).alias("line", "s"))
-             .filter("s.n > 0").select("doc_id", "line", "s.h", "s.b"))
-    firsts = written(lines.groupBy("h", "b").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count(F.lit(1)).alias("m"))
-                     .filter("m > 1").select(F.col("h").alias("x"), F.col("b").alias("y"), "first"), "firsts")
-    lines = lines.withColumn("line", F.col("line").cast("int"))
-    copies = (lines.join(firsts, (lines["h"] == firsts["x"]) & (lines["b"] == firsts["y"]))
-              .filter(F.struct("doc_id", "line") > F.col("first")).select("doc_id", "line"))
-    late = (copies.unionByName(near).distinct()
-            .groupBy("doc_id").agg(F.sort_array(F.collect_list(F.col("line").cast("bigint"))).alias("removed")))
-    out = sets.filter("h is not null").select("doc_id", F.size("h").cast("long").alias("n_lines")).join(late, "doc_id", "left")
+    groups = rows.filter(F.col("kind") == _OPEN).select(*_PACKED)
+    for one_in in ONE_IN:
+        if left.isEmpty():
+            break
+        # the marks may be of other lines too
+        last = written(_open(_all_pairs(groups, percent, _line_marks(left), one_in), near).distinct(), "pairs")
+        near = near.unionByName(written(_similar(last, _wanted_texts(source, last), percent).distinct(), "settled"))
+        left = written(_open(left, near), "open")
+
+    late = (copies.unionByName(near).groupBy("doc_id")
+            .agg(F.sort_array(F.collect_set(F.col("line").cast("bigint"))).alias("removed")))
+    text = F.coalesce("text", F.lit(""))
+    n_lines = F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit(""))) + 1
+    out = source.select("doc_id", n_lines.cast("long").alias("n_lines")).join(late, "doc_id", "left")
     return out.select(F.when(F.col("doc_id") < _LAST, F.col("doc_id")).alias("doc_id"), "n_lines",
                       F.coalesce("removed", F.array().cast("array<bigint>")).alias("removed"))
 
@@ -440,11 +700,15 @@ def _line_marks(lines: DataFrame) -> np.ndarray:
     return out
 
 
-def _settled(source: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """(doc_id, line) of the later lines of similar pairs."""
+def _wanted_texts(source: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(of_doc, of_line, body) of at least the lines of the pairs, written."""
     wanted = pairs.select("doc_id", "line").unionByName(
-        pairs.select(F.col("doc_2").alias("doc_id"), F.col("line_2").alias("line"))).distinct()
-    return written(_similar(pairs, _line_texts(source, written(wanted, "wanted")), percent).distinct(), "settled")
+        pairs.select(F.col("doc_2").alias("doc_id"), F.col("line_2").alias("line")))
+    size = FILTER
+    count = pairs.count()
+    while size < MOST and size < 8 * count:
+        size *= 2
+    return written(_line_texts(source, wanted, size), "texts")
 
 
 def drop_lines(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -183,6 +183,47 @@ def test_lines_of_one_template(spark, monkeypatch):
     assert got == brute.removed_lines(docs)
 
 
+def test_parts_of_similar_sets_have_a_common_key():
+    rng = np.random.default_rng(8)
+    seen = 0
+    for _ in range(400):
+        n = int(rng.integers(4, 140))
+        one = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+        two = np.concatenate([one[rng.integers(0, n // 7 + 1):], rng.integers(0, 1 << 63, rng.integers(0, n // 7 + 1), dtype=np.uint64)])
+        one, two = np.unique(one), np.unique(two)
+        both = len(np.intersect1d(one, two))
+        if 100 * both < 80 * (len(one) + len(two) - both):
+            continue
+        seen += 1
+        words, first = np.concatenate([one, two]), np.array([0, len(one), len(one) + len(two)])
+        length = (words % np.uint64(9)).astype(np.int64) + 1
+        owner, key = line_dedup.part_keys(words, length, first, np.array([0, 1]), 80)
+        assert set(key[owner == 0].tolist()) & set(key[owner == 1].tolist())
+    assert seen > 50
+
+
+def test_long_lines_with_few_changes(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "ONE_IN", (3, 1), raising=False)
+    rng = random.Random(9)
+    bases = [[f"w{rng.randrange(400)}" for _ in range(rng.randint(8, 200))] for _ in range(6)]
+    def changed(words):
+        return " ".join(f"x{rng.randrange(10**6)}" if rng.random() < rng.choice([0.03, 0.08, 0.11]) else w for w in words)
+    docs = [(i, "\n".join(changed(rng.choice(bases)) for _ in range(3))) for i in range(150)]
+    got = {r.doc_id: (r.n_lines, r.removed) for r in
+           line_dedup.line_duplicates(spark.createDataFrame(docs, "doc_id long, text string").repartition(3)).collect()}
+    assert got == brute.removed_lines(docs)
+
+
+def test_equal_sets_are_one_in_a_group():
+    """A line that every task sends is dealt out once: no pairs between its copies."""
+    size = 50
+    doc, line, one = np.arange(size), np.zeros(size, np.int64), np.ones(size, np.uint64)
+    rows = [r for k in range(size) for r in line_dedup._packed(
+        line_dedup._PART, one[:1], one[:1].astype(np.uint32), doc[k:k + 1], line[:1], one[:1], np.array([9]), one[:1],
+        np.zeros((1, 2), np.uint64)).to_pylist()]
+    assert sum(b.num_rows for b in line_dedup._candidates(rows, 80, 4, None)) == 0
+
+
 def test_lines_odd_rows(odd, none):
     rows = line_dedup.line_duplicates(odd).collect()
     assert len(rows) == len(ODD)
