@@ -11,11 +11,12 @@ or more; lines are judged on the input, not on what is left.
    sets are dealt out too, which finds equal ones.  In a group equal sets are one; a group of very many sets is split:
    its sets fall in blocks, and each pair of blocks is a group of its own.
 3. Within a group, pairs must pass the length filter and the bitmap filter (bits that differ are words that differ),
-   large sets with wider bitmaps.  None of the filters drops a pair that is similar enough.
+   its bits more for larger sets.  None of the filters drops a pair that is similar enough.
 4. The texts of the lines in question are read again and Jaccard similarities verified: first of each line with its
-   earliest candidate in each group, then with the next few.  Groups in which a line has further candidates are kept,
-   and lines still open look at one in ``ONE_IN`` of them there, at last at all.  A group's pairs are all walked, but a
-   task holds about ``PAIRS`` of them at once.
+   earliest candidate in each group, then with the next few.  Groups in which a line has further candidates are kept.
+   There, lines that are still open are held against all earlier ones, group by group: the lines' texts are dealt out by
+   group, a row for each line, and no pairs are listed; groups of more than ``GROUP`` words in blocks.  A group's pairs are
+   all walked, but a task holds about ``PAIRS`` of them at once.
 5. A line goes if it is a later copy of a set, or the first line of a set with an earlier similar line.
 
 Defined cases: a line without words is never removed; null text is one empty line; repeated rows of a
@@ -48,16 +49,18 @@ MOST = 1 << 27         # bits that such a filter may grow to, 8 for each pair
 NEAREST = 3            # candidates of a line and group that are looked at before all of them
 PAIRS = 1 << 20        # pairs of a word's group that a task holds at once
 BODIES = 2_000         # pairs whose lines are compared at once
-ONE_IN = (64, 1)       # of the further candidates of lines still open, one in so many is looked at; at last all
-WIDE = 96              # words of sets that have wider bitmaps
+GROUP = 1 << 21        # words of the lines that are held against each other at once
+NARROW = 32            # words from which on sets have bitmaps of 64 bits; smaller ones have them folded to 32
+WIDE = 96              # words of sets that have bitmaps of 128 bits
 _PART, _WHOLE, _COPY, _OPEN = range(4)  # kinds of packed rows
-_KEYS = (np.uint32, np.uint64, np.uint8, np.uint32)
+_KEYS = (3, 8, 1, 3)   # bytes of their keys
+_CODEC = pa.Codec("zstd", compression_level=1)
 _ENDS = ["doc_id", "line", "doc_2", "line_2"]
 _ENDS_TYPES = "doc_id long, line int, doc_2 long, line_2 int"
-_PACKED = ["part", "kind", "first_doc", "key", "step", "at", "b", "n", "h", "wide"]
-_PACKED_TYPES = "part int, kind int, first_doc long, key binary, step binary, at binary, b binary, n binary, h binary, wide binary"
+_PACKED = ["part", "kind", "first_doc", "key", "step", "at", "n", "h", "narrow", "b", "wide"]
+_PACKED_TYPES = "part int, kind int, first_doc long, " + ", ".join(f"{x} binary" for x in _PACKED[3:])
 _FOUND = dict(zip(_ENDS + ["first", "more"] + _PACKED, 2 * [pa.int64(), pa.int32()] + 2 * [pa.bool_()] + 2 * [pa.int32()]
-                  + [pa.int64()] + 7 * [pa.binary()]))
+                  + [pa.int64()] + 8 * [pa.binary()]))
 _LAST = 1 << 62        # from here on are the places of rows without doc_id in the order of lines
 
 
@@ -262,41 +265,71 @@ def _narrow(x: np.ndarray) -> np.ndarray:
     return x.astype(np.int64)
 
 
+def _squeezed(x: np.ndarray) -> bytes:
+    """The values in few bytes: their size, then first bytes, second bytes and so on, compressed if that makes them fewer."""
+    x = _narrow(x)
+    data = x.view(np.uint8).reshape(-1, x.itemsize).T.tobytes()
+    small = _CODEC.compress(data, asbytes=True)
+    return bytes([x.itemsize + 16]) + small if len(small) < len(data) else bytes([x.itemsize]) + data
+
+
+def _unsqueezed(data: bytes, count: int) -> np.ndarray:
+    size, data = data[0] & 15, data[1:] if data[0] < 16 else _CODEC.decompress(data[1:], count * (data[0] & 15))
+    planes = np.frombuffer(data, np.uint8).reshape(size, count)
+    return np.ascontiguousarray(planes.T).reshape(-1).view({1: np.uint8, 2: np.uint16, 4: np.int32, 8: np.int64}[size])
+
+
+def _folded(b: np.ndarray) -> np.ndarray:
+    """64-bit parity bitmaps folded to 32 bits; those that are folded stay as they are."""
+    return (b ^ (b >> np.uint64(32))) & np.uint64(0xFFFFFFFF)
+
+
 def _packed(kind: int, part: np.ndarray, key: np.ndarray, doc: np.ndarray, line: np.ndarray, b: np.ndarray,
             n: np.ndarray, h: np.ndarray, wide: np.ndarray) -> pa.RecordBatch:
-    """A row per part, with its rows' values as bytes; doc as differences, wide bitmaps of large sets only."""
+    """A row per part, with its rows' values as bytes; doc as differences, each set's bitmap in the bits for its size."""
     order = np.argsort(part, kind="stable")
-    part, doc, large = part[order], doc[order], n[order] >= WIDE
+    part, doc, line, n, b = part[order], doc[order], line[order], n[order], b[order].astype(np.uint64)
     cut = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else np.zeros(0, np.int64)
     step = np.diff(doc, prepend=0)
     step[cut] = 0
     ends = np.append(cut, len(part))
-    values = [key[order], _narrow(step), _narrow(line[order]), b[order], _narrow(n[order]), h[order].astype(np.uint32)]
+    small = [pa.array([_squeezed(x[i:j]) for i, j in zip(ends[:-1], ends[1:])], pa.binary()) for x in (step, line, n)]
+    keys = key[order].astype(np.uint64).view(np.uint8).reshape(-1, 8)[:, :_KEYS[kind]]
+    bits = []
+    for some, x in ((n < NARROW, _folded(b).astype(np.uint32)), ((n >= NARROW) & (n < WIDE), b), (n >= WIDE, wide[order])):
+        x = x[some].reshape(-1).view(np.uint8)
+        before = np.append(0, np.cumsum(some))[ends]
+        bits.append(binary_array(x, before * (len(x) // max(int(before[-1]), 1))))
     return pa.RecordBatch.from_arrays(
-        [pa.array(part[cut].astype(np.int32)), pa.array(np.full(len(cut), kind, np.int32)), pa.array(doc[cut])]
-        + [binary_array(x.view(np.uint8), ends * x.itemsize) for x in values]
-        + [binary_array(wide[order][large].reshape(-1).view(np.uint8), 16 * np.append(0, np.cumsum(large))[ends])], _PACKED)
+        [pa.array(part[cut].astype(np.int32)), pa.array(np.full(len(cut), kind, np.int32)), pa.array(doc[cut]),
+         binary_array(keys.reshape(-1), ends * _KEYS[kind]), *small,
+         binary_array(h[order].astype(np.uint32).view(np.uint8), ends * 4), *bits], _PACKED)
 
 
 def _unpacked(rows: list[dict]) -> list[np.ndarray]:
     """(key, doc, line, b, n, h, wide) of packed rows of one part and kind."""
-    kinds = {1: np.uint8, 2: np.uint16, 4: np.int32, 8: np.int64}
     out: list[list[np.ndarray]] = [[] for _ in range(7)]
     for r in rows:
-        key = np.frombuffer(r["key"], _KEYS[r["kind"]])
-        step, line, n = (np.frombuffer(r[x], kinds[len(r[x]) // len(key)]).astype(np.int64) for x in ("step", "at", "n"))
-        wide = np.zeros((len(key), 2), np.uint64)
+        size = _KEYS[r["kind"]]
+        count = len(r["key"]) // size
+        key = np.zeros((count, 8), np.uint8)
+        key[:, :size] = np.frombuffer(r["key"], np.uint8).reshape(count, size)
+        step, line, n = (_unsqueezed(r[x], count).astype(np.int64) for x in ("step", "at", "n"))
+        wide = np.zeros((count, 2), np.uint64)
         wide[n >= WIDE] = np.frombuffer(r["wide"], np.uint64).reshape(-1, 2)
-        for x, y in zip(out, (key, r["first_doc"] + np.cumsum(step), line.astype(np.int32), np.frombuffer(r["b"], np.uint64),
+        b = wide[:, 0] ^ wide[:, 1]
+        b[n < NARROW] = np.frombuffer(r["narrow"], np.uint32)
+        b[(n >= NARROW) & (n < WIDE)] = np.frombuffer(r["b"], np.uint64)
+        for x, y in zip(out, (key.reshape(-1).view(np.uint64), r["first_doc"] + np.cumsum(step), line.astype(np.int32), b,
                               n.astype(np.int32), np.frombuffer(r["h"], np.uint32), wide)):
             x.append(y)
     return [np.concatenate(x) for x in out]
 
 
 def wide_bitmaps(words: np.ndarray, first: np.ndarray, sets: np.ndarray) -> np.ndarray:
-    """Two 64-bit parity bitmaps of each set, each of the words of one half of the hashes."""
+    """Two 64-bit parity bitmaps of each set, each of the words of one half of the hashes: ``set_keys`` has their sum."""
     at = _spread(first[sets], np.diff(first)[sets])
-    mixed = mix(words[at] ^ np.uint64(0x7654321))
+    mixed = mix(words[at])
     bit, half = np.uint64(1) << (mixed & np.uint64(63)), (mixed >> np.uint64(6)) & np.uint64(1)
     ends = np.append(0, np.cumsum(np.diff(first)[sets]))
     out = np.zeros((len(sets), 2), np.uint64)
@@ -351,7 +384,11 @@ def candidate_pairs(word: np.ndarray, b: np.ndarray, n: np.ndarray, place: np.nd
         good = np.minimum(n[i] - place[i], n[j] - place[j]) >= need
         x, y = i[good], j[good]
         most = both[good] - 2 * need[good]
-        good = np.bitwise_count(b[x] ^ b[y]) <= most
+        bits = b[x] ^ b[y]
+        odd = (n[x] < NARROW) & (n[y] >= NARROW)
+        if odd.any():
+            bits[odd] = _folded(bits[odd])
+        good = np.bitwise_count(bits) <= most
         if wide is not None:
             some = np.flatnonzero(good & (n[x] >= WIDE) & (n[y] >= WIDE))
             good[some] = np.bitwise_count(wide[x[some]] ^ wide[y[some]]).sum(axis=1) <= most[some]
@@ -387,17 +424,22 @@ class _Nearest:
         self.best[rows] = np.sort(np.concatenate([self.best[rows], new], axis=1), axis=1)[:, :NEAREST]
 
 
+def _ranks(doc: np.ndarray, line: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Place of each row's line in the order of lines, rows of one line sharing it, and a row of each place."""
+    order = np.lexsort((line, doc))
+    new = np.ones(len(order), bool)
+    new[1:] = (doc[order][1:] != doc[order][:-1]) | (line[order][1:] != line[order][:-1])
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.cumsum(new) - 1
+    return rank, order[new]
+
+
 def group_candidates(table: list[np.ndarray], percent: int, lines: np.ndarray | None = None,
                      wide: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
     """Batches of ``_found`` from whole groups (word, doc_id, line, b, n, place), sorted by (word, n)."""
     names = ["doc_id", "line", "doc_2", "line_2", "first", "more"]
     word, doc, line, b, n, place = table
-    order = np.lexsort((line, doc))
-    new = np.ones(len(order), bool)
-    new[1:] = (doc[order][1:] != doc[order][:-1]) | (line[order][1:] != line[order][:-1])
-    rank = np.empty(len(order), np.int64)
-    rank[order] = np.cumsum(new) - 1  # rows of one line share a rank
-    row = order[new]                  # a row of each rank
+    rank, row = _ranks(doc, line)
     nearest = _Nearest(len(word))
     for i, j in candidate_pairs(word, b.view(np.uint64), n.astype(np.int64), place.astype(np.int64), percent,
                                 wide):
@@ -493,7 +535,7 @@ def _candidates(rows: list[dict], percent: int, parts: int, split: int | None) -
             more.append(np.unique(line_slots(column(out, "doc_id").to_numpy()[has], column(out, "line").to_numpy()[has])))
         far = order[_of_marked(key[order], np.isin(line_slots(doc[order], line[order]), np.concatenate([*more, []])))]
         if len(far):
-            out = _packed(_OPEN, np.zeros(len(far), np.uint64), key[far], doc[far], line[far], b[far], n[far], h[far],
+            out = _packed(_OPEN, np.full(len(far), own[0]["part"]), key[far], doc[far], line[far], b[far], n[far], h[far],
                           wide[far])
             yield _with_nulls(out.columns, _PACKED)
 
@@ -542,21 +584,104 @@ def _pairs(source: DataFrame, percent: int) -> DataFrame:
         written(_found(large, percent, parts, None), "pairs"))
 
 
-def _all_pairs(groups: DataFrame, percent: int, lines: np.ndarray, one_in: int) -> DataFrame:
-    """(doc_id, line, doc_2, line_2): candidates of the marked lines in packed groups: all, or one in so many."""
+def in_blocks(rank: np.ndarray, n: np.ndarray, marked: np.ndarray, most: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(number, rows, open) of a group of sets of ``n`` words: blocks of its rows, in the order of ``rank``, and, for each, its
+    marked rows with those of each block before it; a block has about half of ``most`` words."""
+    order = np.argsort(rank, kind="stable")
+    block = np.cumsum(n[order], dtype=np.int64) * 2 // most if n.sum() > most else np.zeros(len(order), np.int64)
+    rows = np.split(order, np.flatnonzero(np.diff(block)) + 1)
+    for high, own in enumerate(rows):
+        late = own[marked[own]]
+        if len(late):
+            yield (high << 32) + high, own, marked[own]
+            for low, early in enumerate(rows[:high]):
+                yield (high << 32) + low, np.concatenate([early, late]), np.arange(len(early) + len(late)) >= len(early)
+
+
+def _members(groups: DataFrame, percent: int, lines: np.ndarray, most: int) -> DataFrame:
+    """(group, doc_id, line, open): the marked lines of packed groups and their candidates; groups of more than ``most``
+    words in blocks, each pair of which is a group."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 key, doc, line, b, n, _, wide = _unpacked([row])
                 marked = lines[line_slots(doc, line)]
                 hit = np.flatnonzero(_of_marked(key, marked))
-                hit = hit[marked[hit] | (mix(line_slots(doc[hit], line[hit])) % np.uint64(one_in) == 0)]
-                table = [key.astype(np.int64), doc, line, b.view(np.int64), n, np.zeros(len(key), np.int64)]
-                for out in group_candidates([x[hit] for x in table], percent, lines, wide[hit]):
-                    some = mix(line_slots(column(out, "doc_2").to_numpy(), column(out, "line_2").to_numpy()))
-                    yield out.filter(pa.array(some % np.uint64(one_in) == 0)).select(_ENDS)
+                key, doc, line, b, n, wide, marked = (x[hit] for x in (key, doc, line, b, n, wide, marked))
+                rank = _ranks(doc, line)[0]
+                some, none = np.zeros(len(key), bool), np.zeros(len(key), np.int64)
+                for i, j in candidate_pairs(key, b, n.astype(np.int64), none, percent, wide):
+                    own = (rank[i] != rank[j]) & marked[np.where(rank[i] > rank[j], i, j)]
+                    some[i[own]] = some[j[own]] = True
+                at = np.flatnonzero(some)
+                out = [(np.zeros(0, np.int64),) * 2 + (np.zeros(0, bool),)]
+                for own in np.split(at, np.flatnonzero(np.diff(key[at])) + 1) if len(at) else []:
+                    name = (row["part"] << 32) + int(key[own[0]])
+                    for number, rows, late in in_blocks(rank[own], n[own], marked[own], most):
+                        group = mix(mix(np.array([name])) + np.uint64(number)).view(np.int64)
+                        out.append((np.repeat(group, len(rows)), own[rows], late))
+                group, at, late = (np.concatenate(x) for x in zip(*out))
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (group, doc[at], line[at], late)],
+                                                 ["group", "doc_id", "line", "open"])
+
+    return groups.mapInArrow(run, "group long, doc_id long, line int, open boolean")
+
+
+def similar_before(words: np.ndarray, first: np.ndarray, percent: int, wanted: np.ndarray) -> np.ndarray:
+    """The wanted sets of which an earlier one is similar."""
+    h, b, n = set_keys(words, first)
+    large = np.flatnonzero(n >= WIDE)
+    wide = np.zeros((len(n), 2), np.uint64)
+    wide[large] = wide_bitmaps(words, first, large)
+    names, number = np.unique(words, return_inverse=True)
+    own = np.zeros(len(names), bool)
+    found = []
+    for i in wanted[n[wanted] > 0]:
+        both = n[:i] + n[i]
+        most = both - 2 * -(-percent * both // (100 + percent))
+        near = np.flatnonzero((100 * np.minimum(n[:i], n[i]) >= percent * np.maximum(n[:i], n[i]))
+                              & (np.bitwise_count(b[:i] ^ b[i]) <= most))
+        if n[i] >= WIDE:
+            near = near[(n[near] < WIDE) | (np.bitwise_count(wide[near] ^ wide[i]).sum(axis=1) <= most[near])]
+        own[number[first[i]:first[i + 1]]] = True
+        step = 16
+        while len(near):  # the earliest first
+            some, near, step = near[:step], near[step:], 2 * step
+            common = np.add.reduceat(own[number[_spread(first[some], n[some])]], np.cumsum(n[some]) - n[some], dtype=np.int64)
+            if (100 * common >= percent * (n[some] + n[i] - common)).any():
+                found.append(i)
+                break
+        own[number[first[i]:first[i + 1]]] = False
+    return np.array(found, np.int64)
+
+
+def _similar_in_groups(members: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """(doc_id, line) of the open lines that are similar to an earlier one of their group; no pairs are listed."""
+    def of(rows: pa.Table) -> pa.RecordBatch:
+        doc, line = (column(rows, x).to_numpy() for x in ("doc_id", "line"))
+        rows = rows.filter(pa.array(np.append(True, (doc[1:] != doc[:-1]) | (line[1:] != line[:-1]))))  # a line once
+        words, _, first, _ = line_words(column(rows, "body"))
+        late = similar_before(words, first, percent, np.flatnonzero(column(rows, "open").to_numpy()))
+        return pa.RecordBatch.from_arrays([column(rows, x).combine_chunks().take(pa.array(late)) for x in ("doc_id", "line")],
+                                          ["doc_id", "line"])
 
-    return groups.mapInArrow(run, _ENDS_TYPES)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            group = column(batch, "group").to_numpy()
+            cut = np.append(0, np.flatnonzero(np.diff(group)) + 1)[:len(group)]
+            for i, j in zip(cut, np.append(cut[1:], len(group))):
+                if held and column(held[0], "group")[0].as_py() != group[i]:
+                    yield of(pa.Table.from_batches(held))
+                    held = []
+                held.append(batch.slice(i, j - i))
+        if held:
+            yield of(pa.Table.from_batches(held))
+
+    bodies = _once(texts).select(F.col("of_doc").alias("doc_id"), F.col("of_line").alias("line"), "body")
+    return (members.join(bodies, ["doc_id", "line"]).repartition("group")
+            .sortWithinPartitions("group", "doc_id", "line", F.desc("open"))
+            .mapInArrow(run, "doc_id long, line int"))
 
 
 def _marks(lines: DataFrame, size: int) -> np.ndarray:
@@ -617,7 +742,19 @@ def _line_texts(source: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
                      binary_array(part[_spread(start[hit], length)], np.concatenate([[0], np.cumsum(length)]))],
                     ["of_doc", "of_line", "body"])
 
-    return source.mapInArrow(run, "of_doc long, of_line int, body binary").dropDuplicates(["of_doc", "of_line"])
+    return source.mapInArrow(run, "of_doc long, of_line int, body binary")
+
+
+def _texts_of(texts: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
+    """At least the texts of the wanted lines (doc_id, line)."""
+    marks = _marks(wanted, size)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            slot = line_slots(column(b, "of_doc").to_numpy(), column(b, "of_line").to_numpy(), size)
+            yield b.filter(pa.array((marks[slot >> 3] << (slot & 7).astype(np.uint8) & 128) > 0))
+
+    return texts.mapInArrow(run, texts.schema)
 
 
 def common_words(one: tuple[np.ndarray, np.ndarray], two: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
@@ -630,8 +767,14 @@ def common_words(one: tuple[np.ndarray, np.ndarray], two: tuple[np.ndarray, np.n
     return np.bincount(pair[1:][(words[1:] == words[:-1]) & (pair[1:] == pair[:-1])], minlength=size)
 
 
+def _once(texts: DataFrame) -> DataFrame:
+    """Each line's text once: repeated rows of a document have the same lines."""
+    return texts.dropDuplicates(["of_doc", "of_line"])
+
+
 def _similar(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """(doc_id, line) of the pairs' later lines whose words are similar enough to the earlier line's."""
+    texts = _once(texts)
     one = texts.select(F.col("of_doc").alias("doc_id"), F.col("of_line").alias("line"), F.col("body").alias("body_1"))
     two = texts.select(F.col("of_doc").alias("doc_2"), F.col("of_line").alias("line_2"), F.col("body").alias("body_2"))
     rows = pairs.join(one, ["doc_id", "line"]).join(two, ["doc_2", "line_2"])
@@ -659,19 +802,17 @@ def line_duplicates(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_
                     .agg(F.max("first").alias("first"), F.max("more").alias("more")), "pairs")
     # the earliest candidate of each group settles most lines, the next few nearly all others; lines that are still open
     # and have further candidates are dealt out again, by themselves, and look at all of them
-    texts = _wanted_texts(source, pairs)
+    texts = written(_line_texts(source, *_wanted(pairs)), "texts")
     near = written(_similar(pairs.filter("first"), texts, percent).distinct(), "settled")
-    rest = _open(pairs.filter("not first"), near)
-    near = near.unionByName(written(_similar(rest, texts, percent).distinct(), "settled"))
+    rest = written(_open(pairs.filter("not first"), near).select(*_ENDS), "pairs")
+    near = near.unionByName(written(_similar(rest, _texts_of(texts, *_wanted(rest)), percent).distinct(), "settled"))
     left = written(_open(pairs.filter("more").select("doc_id", "line").distinct(), near), "open")
-    groups = rows.filter(F.col("kind") == _OPEN).select(*_PACKED)
-    for one_in in ONE_IN:
-        if left.isEmpty():
-            break
+    if not left.isEmpty():
         # the marks may be of other lines too
-        last = written(_open(_all_pairs(groups, percent, _line_marks(left), one_in), near).distinct(), "pairs")
-        near = near.unionByName(written(_similar(last, _wanted_texts(source, last), percent).distinct(), "settled"))
-        left = written(_open(left, near), "open")
+        groups = rows.filter(F.col("kind") == _OPEN).select(*_PACKED)
+        members = written(_members(groups, percent, _line_marks(left), GROUP), "members")
+        texts = written(_line_texts(source, members, _slots(members.count())), "texts")
+        near = near.unionByName(written(_similar_in_groups(members, texts, percent).distinct(), "settled"))
 
     late = (copies.unionByName(near).groupBy("doc_id")
             .agg(F.sort_array(F.collect_set(F.col("line").cast("bigint"))).alias("removed")))
@@ -700,15 +841,17 @@ def _line_marks(lines: DataFrame) -> np.ndarray:
     return out
 
 
-def _wanted_texts(source: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(of_doc, of_line, body) of at least the lines of the pairs, written."""
-    wanted = pairs.select("doc_id", "line").unionByName(
-        pairs.select(F.col("doc_2").alias("doc_id"), F.col("line_2").alias("line")))
+def _wanted(pairs: DataFrame) -> tuple[DataFrame, int]:
+    """(doc_id, line) of the lines of the pairs, and the slots of a filter for them."""
+    return pairs.select("doc_id", "line").unionByName(
+        pairs.select(F.col("doc_2").alias("doc_id"), F.col("line_2").alias("line"))), _slots(pairs.count())
+
+
+def _slots(count: int) -> int:
     size = FILTER
-    count = pairs.count()
     while size < MOST and size < 8 * count:
         size *= 2
-    return written(_line_texts(source, wanted, size), "texts")
+    return size
 
 
 def drop_lines(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

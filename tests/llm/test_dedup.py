@@ -224,6 +224,101 @@ def test_equal_sets_are_one_in_a_group():
     assert sum(b.num_rows for b in line_dedup._candidates(rows, 80, 4, None)) == 0
 
 
+def _near_misses(size):
+    """Lines of one template that differ in so many words that few are similar, though the bitmaps let many pairs pass."""
+    rng = random.Random(12)
+    base = [f"w{k}" for k in range(60)]
+    docs = []
+    for i in range(size):
+        words = list(base)
+        for k in rng.sample(range(60), rng.choice([4, 5])):
+            words[k] = f"x{i}y{k}"
+        docs.append((i, " ".join(words)))
+    return docs
+
+
+def test_lines_of_near_copies_list_no_pairs(spark, monkeypatch):
+    counts, write = [], line_dedup.written
+
+    def counted(frame, *rest):
+        out = write(frame, *rest)
+        counts.append(out.count())
+        return out
+
+    monkeypatch.setattr(line_dedup, "written", counted)
+    docs = _near_misses(1200)
+    got = {r.doc_id: (r.n_lines, r.removed) for r in
+           line_dedup.line_duplicates(spark.createDataFrame(docs, "doc_id long, text string").repartition(3)).collect()}
+    assert got == brute.removed_lines(docs)
+    assert 100 < sum(1 for _, gone in got.values() if not gone)
+    assert max(counts) < 80 * len(docs)  # three candidates in each of some 20 groups; with pairs listed it was 163 times
+
+
+def test_large_groups_of_open_lines_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "GROUP", 600, raising=False)
+    docs = _near_misses(150)
+    got = {r.doc_id: (r.n_lines, r.removed) for r in
+           line_dedup.line_duplicates(spark.createDataFrame(docs, "doc_id long, text string").repartition(3)).collect()}
+    assert got == brute.removed_lines(docs)
+    rng = np.random.default_rng(5)
+    rank, n, marked = rng.permutation(90), rng.integers(4, 60, 90), rng.random(90) < 0.3
+    seen = set()
+    for _, rows, late in line_dedup.in_blocks(rank, n, marked, 400):
+        assert n[rows].sum() < 600
+        seen |= {(rank[i], rank[j]) for i in rows[late] for j in rows if rank[j] < rank[i]}
+    assert seen >= {(i, j) for i in rank[marked].tolist() for j in range(i)}
+
+
+def test_packed_sets_are_small_and_come_back():
+    rng = np.random.default_rng(7)
+    size = 3000
+    n = rng.integers(4, 160, size)
+    first = np.append(0, np.cumsum(n))
+    words = rng.integers(0, 1 << 63, first[-1], dtype=np.uint64)
+    h, b, n = line_dedup.set_keys(words, first)
+    wide = np.zeros((size, 2), np.uint64)
+    large = np.flatnonzero(n >= line_dedup.WIDE)
+    wide[large] = line_dedup.wide_bitmaps(words, first, large)
+    doc, line = np.sort(rng.integers(0, 40_000, size)), rng.integers(0, 12, size)
+    part, key = np.sort(rng.integers(0, 2, size)), rng.integers(0, 1 << 24, size, dtype=np.uint64)
+    batch = line_dedup._packed(line_dedup._PART, part, key, doc, line, b, n, h, wide)
+    again = line_dedup._unpacked(batch.to_pylist())
+    for x, y in zip(again, (key, doc, line, None, n, h.astype(np.uint32), wide)):
+        assert y is None or np.array_equal(x, y)
+    mid = (n >= 32) & (n < 96)
+    assert np.array_equal(again[3][n >= 32], b[n >= 32]) and mid.any()
+    assert np.array_equal(again[3][n < 32], (b ^ b >> np.uint64(32))[n < 32] & np.uint64(0xFFFFFFFF))
+    held = sum(len(v) for r in batch.to_pylist() for v in r.values() if isinstance(v, bytes))
+    assert held < 22 * size  # before: 27
+
+
+def test_sets_of_any_size_pass_their_bitmaps():
+    """No similar pair is dropped where bitmaps of 32, 64 and 128 bits meet."""
+    rng = np.random.default_rng(11)
+    for size in (28, 31, 32, 36, 80, 95, 96, 110):
+        sets = [rng.integers(0, 1 << 63, size, dtype=np.uint64)]
+        for _ in range(40):
+            gone, more = rng.integers(0, size // 10 + 1, 2)
+            sets.append(np.concatenate([sets[0][gone:], rng.integers(0, 1 << 63, more, dtype=np.uint64)]))
+        sets = sorted(sets, key=len)
+        words, first = np.concatenate(sets), np.append(0, np.cumsum([len(x) for x in sets]))
+        h, b, n = line_dedup.set_keys(words, first)
+        wide = np.zeros((len(n), 2), np.uint64)
+        large = np.flatnonzero(n >= line_dedup.WIDE)
+        wide[large] = line_dedup.wide_bitmaps(words, first, large)
+        one = np.zeros(len(n), np.int64)
+        rows = line_dedup._packed(line_dedup._PART, one, one, np.arange(len(n)), one, b, n, h, wide).to_pylist()
+        _, _, _, b, n, _, wide = line_dedup._unpacked(rows)
+        got = {(i, j) for x, y in line_dedup.candidate_pairs(one, b, n.astype(np.int64), one, 80, wide) for i, j in zip(x, y)}
+        want = set()
+        for i in range(len(n)):
+            for j in range(i + 1, len(n)):
+                both = len(np.intersect1d(sets[i], sets[j]))
+                if 100 * both >= 80 * (n[i] + n[j] - both):
+                    want.add((i, j))
+        assert want and want <= got
+
+
 def test_lines_odd_rows(odd, none):
     rows = line_dedup.line_duplicates(odd).collect()
     assert len(rows) == len(ODD)
