@@ -34,10 +34,11 @@ from bankspark.llm.components import connected_components
 from bankspark.llm.narrow import of_documents
 from bankspark.llm.shingles import shingle_sets
 from bankspark.llm.words import mix
-from bankspark.session import written
+from bankspark.session import bounded_batches, written
 
 BANDS, ROWS = 32, 4
 BLOCK, BLOCK_ROWS = 1 << 17, 1024  # shingles and members of a block
+SLICE = 1 << 18  # bytes of texts whose words are hashed at once
 _CHUNK = 4096
 
 
@@ -65,23 +66,29 @@ def band_keys(low: np.ndarray, bands: int) -> np.ndarray:
     return key
 
 
+def sets_of(texts: pa.Array, words: int) -> Iterator[np.ndarray]:
+    """The shingle set of each text, a slice of the texts at a time."""
+    for i, j in slices(text_bytes(texts)[1], SLICE):
+        yield from shingle_sets(texts.slice(i, j - i), words)
+
+
 def signatures(docs: DataFrame, words: int, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(doc_id, n_shingles, set_a, set_b, bands) from docs (doc_id, text); empty sets have no bands."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         family = hash_family(bands * rows)
         for b in batches:
-            texts = column(b, "text")
-            for i, j in slices(text_bytes(texts)[1]):
-                sets = shingle_sets(texts.slice(i, j - i), words)
-                keys = [band_keys(minima(s, family), bands) if len(s) else np.zeros(0, np.uint64) for s in sets]
-                offsets = np.cumsum([0] + [len(k) for k in keys])
-                flat = np.concatenate(keys).view(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [column(b, "doc_id").slice(i, j - i), pa.array([len(s) for s in sets], pa.int64()),
-                     pa.array(np.array([s.sum() for s in sets], np.uint64).view(np.int64)),
-                     pa.array(np.array([mix(s ^ np.uint64(0x5555)).sum() for s in sets], np.uint64).view(np.int64)),
-                     list_array(pa.array(flat), offsets)],
-                    ["doc_id", "n_shingles", "set_a", "set_b", "bands"])
+            size, set_a, set_b, keys = [], [], [], [np.zeros(0, np.uint64)]
+            for s in sets_of(column(b, "text"), words):
+                size.append(len(s))
+                set_a.append(s.sum())
+                set_b.append(mix(s ^ np.uint64(0x5555)).sum())
+                keys.append(band_keys(minima(s, family), bands) if len(s) else keys[0])
+            offsets = np.cumsum([len(k) for k in keys])
+            yield pa.RecordBatch.from_arrays(
+                [column(b, "doc_id"), pa.array(size, pa.int64()), pa.array(np.array(set_a, np.uint64).view(np.int64)),
+                 pa.array(np.array(set_b, np.uint64).view(np.int64)),
+                 list_array(pa.array(np.concatenate(keys).view(np.int64)), offsets)],
+                ["doc_id", "n_shingles", "set_a", "set_b", "bands"])
 
     return docs.mapInArrow(run, "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>")
 
@@ -97,11 +104,10 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Da
             texts_b, texts_a = column(batch, "text_b"), column(batch, "text_a")
             ids = column(batch, "a").to_pylist()
             keep = np.zeros(batch.num_rows, bool)
-            for i, j in slices(text_bytes(texts_b)[1]):
-                for k, one in zip(range(i, j), shingle_sets(texts_b.slice(i, j - i), words)):
-                    if ids[k] != last:
-                        last, centre = ids[k], shingle_sets(texts_a.slice(k, 1), words)[0]
-                    keep[k] = similar(centre, one, percent)
+            for k, one in enumerate(sets_of(texts_b, words)):
+                if ids[k] != last:
+                    last, centre = ids[k], shingle_sets(texts_a.slice(k, 1), words)[0]
+                keep[k] = similar(centre, one, percent)
             yield pa.RecordBatch.from_arrays([column(batch, n).filter(pa.array(keep)) for n in ("a", "b")], ["a", "b"])
 
     return rows.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
@@ -115,6 +121,7 @@ def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept."""
+    bounded_batches(docs.sparkSession)
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     marked = written(signatures(source, words, bands, rows), "signatures")
     usable = marked.filter("n_shingles > 0 and doc_id is not null")
@@ -174,7 +181,7 @@ def _rest(hits: DataFrame, found: DataFrame, texts: DataFrame, words: int, perce
         if len(np.unique(part)) > 1:
             i, j = key[1].as_py(), key[2].as_py()
             left, right = np.flatnonzero(blk == i), np.flatnonzero(blk == j)
-            sets = shingle_sets(column(rows, "text").combine_chunks(), words)
+            sets = list(sets_of(column(rows, "text").combine_chunks(), words))
             both = intersections([sets[x] for x in left], [sets[y] for y in right])
             size = np.array([len(x) for x in sets])
             union = size[left][:, None] + size[right][None, :] - both

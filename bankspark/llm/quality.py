@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from bankspark.llm.arrow_text import column
 from bankspark.llm.compression import DICT_ROWS, PIECE_CHARS, Coder, dictionaries, sampled_ids, sampled_texts
+from bankspark.session import bounded_batches
 
 BLOCK_BYTES = 256
 FIT_ROWS = 1500  # sampled per label for the calibration
@@ -104,6 +105,7 @@ def train(labels: DataFrame, texts: DataFrame, per_class: int = DICT_ROWS, fit_r
 def score(docs: DataFrame, model: Model, keep: dict[str, Column], text_col: str = "text",
           threshold: float = THRESHOLD, text_name: str | None = None) -> DataFrame:
     """``keep`` columns, score, predicted (1 if score >= threshold); ``text_name`` names the kept column that is the text."""
+    bounded_batches(docs.sparkSession)
     names = list(keep)
     extra = [F.col(text_col).alias("__text")] if text_name is None else []
     rows = docs.select(*[c.alias(n) for n, c in keep.items()], *extra)

@@ -15,6 +15,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _CKPT_KEY = "spark.checkpoint.dir"
+_BATCH_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 4 << 20
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -57,6 +59,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Arrow batches of a few MB for the Python workers, unless the session has a limit of its own: a batch stands
+    in the executor and in the worker at once, so whole texts in Spark's batches (64 MB) take hundreds of MB."""
+    if _BATCH_KEY not in spark.conf.getAll:
+        spark.conf.set(_BATCH_KEY, str(BATCH_BYTES))
+
+
 def written(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     """Write ``df`` as Parquet below the shared folder and read it back: cuts the lineage, survives
     lost executors, and keeps column pruning and filter pushdown for the readers."""

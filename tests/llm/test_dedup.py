@@ -1,11 +1,13 @@
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from bankspark.llm import exact_dedup, line_dedup, minhash, queries, suffix_dedup
+from bankspark.llm import exact_dedup, line_dedup, minhash, quality, queries, suffix_dedup
 from bankspark.llm.components import connected_components
+from bankspark.llm.shingles import shingle_sets
 from tests.llm import brute
 from tests.llm.conftest import ODD
 
@@ -84,6 +86,47 @@ def test_minhash_chains_and_blocks(spark, monkeypatch):
     assert got == brute.near(docs, 3, 85)
 
 
+def test_minhash_in_arrow_batches_of_few_rows(spark):
+    """A limit that the session has set holds, and batches may end anywhere."""
+    session = spark.newSession()
+    session.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "2000")
+    rng = random.Random(6)
+    docs = []
+    for i in range(60):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(60)] if i % 10 == 0 else list(words)
+        words[rng.randrange(60)] = f"w{rng.randrange(10**6)}"
+        docs.append((i, " ".join(words)))
+    frame = session.createDataFrame(docs, "doc_id long, text string").repartition(2)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_duplicates(frame, 3, 85).collect()}
+    assert got == brute.near(docs, 3, 85)
+    assert session.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == "2000"
+
+
+def test_whole_texts_reach_the_workers_in_small_batches(spark):
+    """Near duplicates and the quality score, whatever rows stand in a partition."""
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"size": [b.nbytes]})
+
+    for run in (minhash.near_duplicates, lambda d: quality.score(d, quality.Model({}, 0.0, 0.0), {"doc_id": F.col("doc_id")})):
+        session = spark.newSession()
+        docs = session.range(6000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("word "), 800).alias("text")).coalesce(1)
+        assert run(docs.limit(3)).count() == 3
+        found = [r["size"] for r in docs.mapInArrow(sizes, "size long").collect()]
+        assert sum(found) > 24_000_000 and max(found) < 5_000_000
+
+
+def test_texts_are_hashed_a_slice_at_a_time():
+    texts = pa.array([None, ""] + [" ".join(f"w{i * k}" for k in range(400)) for i in range(3000)])
+    assert texts.nbytes > 6_000_000
+    whole = [int(s.sum()) for s in shingle_sets(texts, 5)]
+    tracemalloc.start()
+    got = [int(s.sum()) for s in minhash.sets_of(texts, 5)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got == whole and peak < 40_000_000
+
+
 def test_minhash_odd_rows(odd, none):
     rows = minhash.near_duplicates(odd, 3, 85).collect()
     assert len(rows) == len(ODD)
