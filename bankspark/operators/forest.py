@@ -33,12 +33,17 @@ from pyspark.sql import types as T
 from bankspark.session import written
 
 BINS = 32
-GROUP_ROWS = 100_000    # rows of a branch that one group grows: about 10 MB
-DEAL_ROWS = 6_000_000   # row copies dealt at a time: about 350 MB of shuffle
+GROUP_ROWS = 400_000    # rows of a branch that one group grows: about 100 MB
+DEAL_ROWS = 60_000_000  # row copies dealt at a time: about 2.5 GB of shuffle
 OPEN_NODES = 2_000      # histograms in a task at a time: about 10 MB
-CELLS = 1 << 18         # histogram cells at a time in a group
+LINES = 512             # nodes at a time in a group: their histograms of a feature stay in the cache
+ROWS = 8192             # rows at a time in a group, likewise
+FEW = (4, 8, 16)        # nodes of up to so many rows are split without histograms
 BLOCK = 16              # bits of a row's place in its block
 _POISSON = np.cumsum([math.exp(-1) / math.factorial(i) for i in range(20)])
+# the draw by the first 16 bits of a hash, 255 where the others decide
+_DRAWN = np.searchsorted(_POISSON, np.arange(1 << 16) * 2.0 ** -16, side="right").astype(np.uint8)
+_DRAWN[(_POISSON[_POISSON < 1] * 2 ** 16).astype(np.int64)] = 255
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -55,15 +60,23 @@ def _root(seed: int, tree: int) -> np.ndarray:
 
 def draws(row: np.ndarray, seed: int, tree: int) -> np.ndarray:
     """How often each row occurs in the tree's bootstrap sample."""
-    u = (_mix(row.view(np.uint64) ^ _root(seed, tree)) >> np.uint64(11)) * 2.0 ** -53
-    return np.searchsorted(_POISSON, u, side="right")
+    bits = _mix(row.view(np.uint64) ^ _root(seed, tree))
+    out = _DRAWN[bits >> np.uint64(48)]
+    odd = np.flatnonzero(out == 255)
+    out[odd] = np.searchsorted(_POISSON, (bits[odd] >> np.uint64(11)) * 2.0 ** -53, side="right")
+    return out
 
 
 def _features(path: np.ndarray, width: int) -> np.ndarray:
     """The features that each node may split by, ascending."""
-    take = math.ceil(math.sqrt(width))
-    bits = _mix(path[:, None] ^ _mix(np.arange(1, width + 1))[None, :])
-    return np.sort(np.argpartition(bits, take - 1, axis=1)[:, :take], axis=1)
+    take, keys, low = math.ceil(math.sqrt(width)), _mix(np.arange(1, width + 1)), np.uint64((1 << width.bit_length()) - 1)
+    out, own = np.empty((len(path), take), np.int64), np.arange(width, dtype=np.uint64)
+    for a in range(0, len(path), LINES):
+        bits = _mix(path[a:a + LINES, None] ^ keys) & ~low | own
+        bits.partition(take - 1, axis=1)
+        out[a:a + LINES] = bits[:, :take] & low
+    out.sort(axis=1)
+    return out
 
 
 def _children(path: np.ndarray) -> np.ndarray:
@@ -71,24 +84,141 @@ def _children(path: np.ndarray) -> np.ndarray:
     return np.stack([_mix(path ^ np.uint64(1)), _mix(path ^ np.uint64(2))], axis=1)
 
 
-def _histogram(node: np.ndarray, nodes: int, features: np.ndarray, bins: np.ndarray, *weights: np.ndarray) -> list[np.ndarray]:
-    """Sums of each weight by node, feature and bin."""
-    take = features.shape[1]
-    of = bins[np.arange(len(node))[:, None], features[node]]
-    code = ((node[:, None] * take + np.arange(take)) * BINS + of).ravel()
-    return [np.bincount(code, np.repeat(w, take), nodes * take * BINS).reshape(nodes, take, BINS) for w in weights]
+def _network(n: int) -> list[tuple[int, int]]:
+    """Batcher's sorting network for n = 2, 4, 8, ... values: pairs to put in order."""
+    pairs, p = [], 1
+    while p < n:
+        k = p
+        while k:
+            pairs += [(i + j, i + j + k) for j in range(k % p, n - k, 2 * k) for i in range(min(k, n - j - k))
+                      if (i + j) // (2 * p) == (i + j + k) // (2 * p)]
+            k //= 2
+        p *= 2
+    return pairs
 
 
-def _best(count: np.ndarray, total: np.ndarray, min_leaf: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(place among the node's features, bin, whether it lowers the variance) of each node's best split."""
-    left, s = np.cumsum(count, axis=2)[..., :-1], np.cumsum(total, axis=2)[..., :-1]
-    n, t = count[:, :1].sum(axis=2, keepdims=True), total[:, :1].sum(axis=2, keepdims=True)
-    right = n - left
-    gain = np.where((left >= min_leaf) & (right >= min_leaf), s * s / np.maximum(left, 1) + (t - s) ** 2 / np.maximum(right, 1), -1.0)
-    flat = gain.reshape(len(gain), -1)
-    best = flat.argmax(axis=1)
-    base = (t * t / np.maximum(n, 1)).ravel()
-    return best // (BINS - 1), best % (BINS - 1), flat[np.arange(len(flat)), best] > base * (1 + 1e-12)
+_NETWORKS = {n: _network(n) for n in FEW}
+
+
+def _codes(flat: np.ndarray, at: np.ndarray, node: np.ndarray, size: np.ndarray, choice: np.ndarray) -> np.ndarray:
+    """bin * nodes + node of each row under each of its node's features: features by rows.
+
+    ``at``: where a row's bins begin in ``flat``; ``size``: rows of each node, where the rows are in the order of the nodes, else None.
+    """
+    codes = np.stack([c[node] if size is None else np.repeat(c, size) for c in choice.T])
+    for a in range(0, len(at), ROWS):  # a block's bins stay in the cache for all features
+        of, first = node[a:a + ROWS], at[a:a + ROWS]
+        for code in codes[:, a:a + ROWS]:
+            code += first
+            code[:] = flat[code]
+            code *= len(choice)
+            code += of
+    return codes
+
+
+def _gains(left: np.ndarray, s: np.ndarray, n, t, min_leaf: int) -> np.ndarray:
+    """What splits leave of the sum of squares, by rows and sum of the left sides; -1 where a side is too small."""
+    right, gain, rest = n - left, s * s, t - s
+    gain /= np.maximum(left, 1)
+    rest *= rest
+    rest /= np.maximum(right, 1)
+    gain += rest
+    gain[(left < min_leaf) | (right < min_leaf)] = -1.0
+    return gain
+
+
+def _lowers(gain: np.ndarray, n: np.ndarray, t: np.ndarray) -> np.ndarray:
+    """Whether a split lowers the variance."""
+    return gain > t * t / np.maximum(n, 1) * (1 + 1e-12)
+
+
+def _many(flat: np.ndarray, at: np.ndarray, size: np.ndarray, choice: np.ndarray, w: np.ndarray, wy: np.ndarray, min_leaf: int) -> tuple[np.ndarray, ...]:
+    """(place among the node's features, bin, whether it lowers the variance) of each node's best split, by histograms."""
+    m = len(size)
+    best, place, cut = np.full(m, -2.0), np.zeros(m, np.int64), np.zeros(m, np.int64)
+    for k, code in enumerate(_codes(flat, at, np.repeat(np.arange(m), size), size, choice)):
+        left, s = (np.bincount(code, x, BINS * m).reshape(BINS, m) for x in (w, wy))
+        if not k:
+            n, t = left.sum(axis=0), np.ascontiguousarray(s.T).sum(axis=1)
+        for b in range(1, BINS - 1):
+            left[b] += left[b - 1]
+            s[b] += s[b - 1]
+        gain = np.ascontiguousarray(_gains(left[:-1], s[:-1], n, t, min_leaf).T)
+        b = gain.argmax(axis=1)
+        gain = gain[np.arange(m), b]
+        better = gain > best
+        best, place, cut = np.where(better, gain, best), np.where(better, k, place), np.where(better, b, cut)
+    return place, cut, _lowers(best, n, t)
+
+
+def _few(flat: np.ndarray, at: np.ndarray, start: np.ndarray, size: np.ndarray, choice: np.ndarray, w: np.ndarray, wy: np.ndarray,
+         min_leaf: int, most: int) -> tuple[np.ndarray, ...]:
+    """As ``_many``, for nodes of at most ``most`` rows that begin at ``start``: their rows are put in the order of their bins.
+
+    Sums are added in the order of the histograms (rows in a bin, then bins), so both find the same among splits that are equally good.
+    """
+    m, take = choice.shape
+    bits = most.bit_length() - 1
+    of = np.arange(most)[:, None]
+    real = of < size
+    of = np.minimum(start + of, len(at) - 1)
+    # places without a row weigh nothing and come last
+    w, wy = np.where(real, w[of], 0.0), np.where(real, wy[of], 0.0)
+    bins = np.where(real[:, None], flat[at[of][:, None] + choice.T], np.uint8(BINS - 1))
+    n = w.sum(axis=0)
+    t = np.bincount((bins[:, 0] + np.arange(m) * BINS).ravel(), wy.ravel(), m * BINS).reshape(m, BINS).sum(axis=1)
+    kind = np.uint8 if bits < 4 else np.uint16
+    key = (bins.astype(kind) << kind(bits)) | np.arange(most, dtype=kind)[:, None, None]
+    for a, b in _NETWORKS[most]:
+        low = np.minimum(key[a], key[b])
+        np.maximum(key[a], key[b], out=key[b])
+        key[a] = low
+    of = (key & kind(most - 1)) * np.int64(m) + np.arange(m)
+    bins = key >> kind(bits)
+    w, wy = w.ravel()[of], wy.ravel()[of]
+    best, cut = np.full((take, m), -1.0), np.zeros((take, m), bins.dtype)
+    left, own, before = np.zeros((take, m)), np.zeros((take, m)), np.zeros((take, m))
+    for i in range(most - 1):
+        left += w[i]
+        own += wy[i]
+        s = before + own
+        ends = bins[i] != bins[i + 1]
+        gain = _gains(left, s, n, t, min_leaf)
+        better = ends & (gain > best)
+        np.copyto(best, gain, where=better)
+        np.copyto(cut, bins[i], where=better)
+        np.copyto(before, s, where=ends)
+        own[ends] = 0.0
+    place = best.argmax(axis=0)
+    each = np.arange(m)
+    return place, cut[place, each], _lowers(best[place, each], n, t)
+
+
+def _splits(flat: np.ndarray, at: np.ndarray, size: np.ndarray, choice: np.ndarray, w: np.ndarray, wy: np.ndarray, min_leaf: int) -> tuple[np.ndarray, ...]:
+    """(feature, bin, whether it lowers the variance) of each node's best split; the rows are in the order of the nodes."""
+    m = len(size)
+    start = np.cumsum(size) - size
+    place, cut, found = np.empty(m, np.int64), np.empty(m, np.int64), np.empty(m, bool)
+    least = 0
+    for most in FEW:
+        of = np.flatnonzero((size > least) & (size <= most))
+        step = 16 * LINES // most
+        for a in range(0, len(of), step):
+            i = of[a:a + step]
+            place[i], cut[i], found[i] = _few(flat, at, start[i], size[i], choice[i], w, wy, min_leaf, most)
+        least = most
+    of = np.flatnonzero(size > least)
+    upto, a = np.cumsum(size[of]), 0
+    while a < len(of):
+        b = min(a + LINES, max(a + 1, int(np.searchsorted(upto, (upto[a - 1] if a else 0) + 4 * ROWS, side="right"))))
+        i, a = of[a:b], b
+        if i[-1] - i[0] == len(i) - 1:
+            rows = slice(start[i[0]], start[i[-1]] + size[i[-1]])
+        else:
+            rows = np.repeat(start[i] - (np.cumsum(size[i]) - size[i]), size[i])
+            rows += np.arange(len(rows))
+        place[i], cut[i], found[i] = _many(flat, at[rows], size[i], choice[i], w[rows], wy[rows], min_leaf)
+    return choice[np.arange(m), place], cut, found
 
 
 def grow(bins: np.ndarray, y: np.ndarray, w: np.ndarray, wanted: np.ndarray, above: list[tuple[float, float]], path: np.ndarray,
@@ -97,51 +227,76 @@ def grow(bins: np.ndarray, y: np.ndarray, w: np.ndarray, wanted: np.ndarray, abo
 
     ``above``: (bootstrap rows, mean) of the nodes that lead to the branch, from the root on; a ``closed`` one is the last of these.
     """
-    out = np.zeros((len(y), len(depths), len(splits)))
-    alive, least = np.ones(len(splits), bool), np.array(splits)
+    width, last = bins.shape[1], depths[-1]
+    flat, least, alive = np.ascontiguousarray(bins).ravel(), np.array(splits), np.ones((1, len(splits)), bool)
+    value = np.zeros((1, len(depths), len(splits)))
     for depth, (count, mean) in enumerate(above):
-        out[:, np.searchsorted(depths, depth):, alive] = mean
+        value[0, np.searchsorted(depths, depth):, alive[0]] = mean
         alive = alive & (count >= least)
     if closed:
-        return out
-    order, node, depth, alive = np.arange(len(y)), np.zeros(len(y), dtype=np.int64), len(above), alive[None, :]
+        return np.repeat(value, len(y), axis=0)
+    leaf, every = np.zeros(len(y), np.int64), flat
+    # the rows drawn, in the order of their nodes; at: where a row's bins begin in flat
+    rows = np.flatnonzero(w > 0)
+    at, weight, sums, label = rows * width, w[rows], w[rows] * y[rows], y[rows]
+    size, depth, first, levels, values = np.array([len(rows)]), len(above), 0, [], []
     while True:
-        m, weight, value = len(path), w[order], y[order]
-        count, total = np.bincount(node, weight, m), np.bincount(node, weight * value, m)
+        m, of = len(path), np.repeat(np.arange(len(path)), size)
+        count, total = np.bincount(of, weight, m), np.bincount(of, sums, m)
         mean = total / np.maximum(count, 1)
         for j in range(len(splits)):
-            rows = wanted[order] & alive[node, j]
-            out[order[rows], np.searchsorted(depths, depth):, j] = mean[node[rows]][:, None]
-        if depth == depths[-1]:
-            return out
-        low, high = np.full(m, np.inf), np.full(m, -np.inf)
-        drawn = weight > 0
-        np.minimum.at(low, node[drawn], value[drawn])
-        np.maximum.at(high, node[drawn], value[drawn])
-        alive = alive & (count[:, None] >= least)
-        open_ = (count >= 2 * min_leaf) & (low < high) & alive.any(axis=1)
-        order, node, path, alive = order[open_[node]], (np.cumsum(open_) - 1)[node[open_[node]]], path[open_], alive[open_]
-        if not len(path):
-            return out
-        # nodes ascend along the rows: a stretch of nodes is a stretch of rows
-        m, step = len(path), max(1, CELLS // (BINS * math.ceil(math.sqrt(bins.shape[1]))))
-        feature, at, found = np.empty(m, np.int64), np.empty(m, np.int64), np.empty(m, bool)
-        for a in range(0, m, step):
-            b = min(a + step, m)
-            i, j = np.searchsorted(node, (a, b))
-            rows = order[i:j]
-            drawn = w[rows] > 0
-            rows, of = rows[drawn], node[i:j][drawn] - a
-            choice = _features(path[a:b], bins.shape[1])
-            place, at[a:b], found[a:b] = _best(*_histogram(of, b - a, choice, bins[rows], w[rows], w[rows] * y[rows]), min_leaf)
-            feature[a:b] = choice[np.arange(b - a), place]
-        order, node = order[found[node]], node[found[node]]
-        if not len(order):
-            return out
-        new = 2 * (np.cumsum(found) - 1)[node] + (bins[order, feature[node]] > at[node])
-        by = np.argsort(new, kind="stable")
-        order, node, depth = order[by], new[by], depth + 1
-        path, alive = _children(path[found]).ravel(), np.repeat(alive[found], 2, axis=0)
+            value[alive[:, j], np.searchsorted(depths, depth):, j] = mean[alive[:, j], None]
+        values.append(value)
+        found = np.zeros(m, bool)
+        if depth < last and len(rows):
+            start = np.cumsum(size) - size
+            alive = alive & (count[:, None] >= least)
+            found = (count >= 2 * min_leaf) & (np.minimum.reduceat(label, start) < np.maximum.reduceat(label, start)) & alive.any(axis=1)
+        feature, cut, child = np.zeros(m, np.uint16), np.zeros(m, np.uint8), np.full(m, -1, np.int32)
+        for settled in (False, True):
+            if settled and len(split):
+                feature[split], cut[split], found[split] = _splits(flat, at, size, _features(path[split], width), weight, sums, min_leaf)
+            # rows of nodes that stay whole are done
+            inner = np.repeat(found if not settled else found[split], size)
+            if not inner.all():
+                out = np.flatnonzero(~inner)
+                leaf[rows[out]] = first + of[out]
+                keep = np.flatnonzero(inner)
+                rows, at, weight, sums, label, of = (x[keep] for x in (rows, at, weight, sums, label, of))
+            size = size[found] if not settled else size[found[split]]
+            split = np.flatnonzero(found)
+        child[split] = np.arange(len(split), dtype=np.int32)
+        levels.append((first, child, len(split), feature, cut))
+        if not len(split):
+            break
+        # left children first, then the right ones: rows of a node stay together and in order
+        right = flat[at + np.repeat(feature[split], size)] > np.repeat(cut[split], size)
+        order = np.concatenate([np.flatnonzero(~right), np.flatnonzero(right)])
+        rights = np.add.reduceat(right, np.cumsum(size) - size, dtype=np.int64)
+        size = np.concatenate([size - rights, rights])
+        rows, at, weight, sums, label = (x[order] for x in (rows, at, weight, sums, label))
+        path = _children(path[split]).T.ravel()
+        value, alive = np.concatenate([value[split]] * 2), np.concatenate([alive[split]] * 2)
+        first, depth = first + m, depth + 1
+        if len(levels) % 4 == 0:  # bins in the order of the rows again
+            flat, at = flat.reshape(-1, width)[at // width].ravel(), np.arange(len(at)) * width
+    # the others only walk
+    rows = np.flatnonzero(wanted & (w == 0))
+    node, at = np.zeros(len(rows), np.int32), rows * width
+    for first, child, lefts, feature, cut in levels:
+        to = child[node]
+        if (to < 0).any():
+            out, keep = np.flatnonzero(to < 0), np.flatnonzero(to >= 0)
+            leaf[rows[out]] = first + node[out]
+            rows, at, node, to = (x[keep] for x in (rows, at, node, to))
+        if not len(rows):
+            break
+        node = to + lefts * (every[at + feature[node]] > cut[node]).astype(np.int32)
+    values = np.concatenate(values)
+    out = np.zeros((len(y), len(depths), len(splits)))
+    chosen = np.flatnonzero(wanted)
+    out[chosen] = values[leaf[chosen]]
+    return out
 
 
 class Top:
@@ -168,13 +323,15 @@ class Top:
                               (self.right, -1), (self.feature, 0), (self.bin, 0), (self.count, 0.0), (self.mean, 0.0), (self.closed, False)):
                 column.append(v)
 
-    def walk(self, bins: np.ndarray) -> np.ndarray:
-        at = np.zeros(len(bins), dtype=np.int64)
-        left, right, feature, split = map(np.array, (self.left, self.right, self.feature, self.bin))
-        every = np.arange(len(bins))
-        while (inner := left[at] >= 0).any():
-            at = np.where(inner, np.where(bins[every, feature[at]] > split[at], right[at], left[at]), at)
-        return at
+    def walk(self, flat: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """The node of each row; ``at``: where its bins begin in ``flat``."""
+        node, left, feature = np.zeros(len(at), dtype=np.int64), np.array(self.left), np.array(self.feature)
+        inner = left >= 0
+        # rows stay in a node that is not split; the right child follows the left one
+        left, cut = np.where(inner, left, np.arange(len(left))), np.where(inner, self.bin, 255).astype(np.uint8)
+        for _ in range(max(self.depth)):
+            node = left[node] + (flat[at + feature[node]] > cut[node])
+        return node
 
     def above(self, i: int) -> list[tuple[float, float]]:
         chain = [] if not self.closed[i] else [(self.count[i], self.mean[i])]
@@ -204,15 +361,20 @@ def _tops(table: DataFrame, width: int, trees: list[tuple[int, int]], rows: int,
                 sums, first = {}, None
                 for batch in batches:
                     ids, draw, y, trains, wanted, bins = _arrays(batch, width)
-                    first = ids[0] if first is None and len(ids) else first
+                    first, flat = ids[0] if first is None and len(ids) else first, bins.ravel()
                     for t, (top, nodes) in held.value.items():
                         w = draws(draw, seed, trees[t][1]) * trains
+                        use = np.flatnonzero((w > 0) | wanted)
                         place = np.full(len(top.path), -1)
                         place[nodes] = np.arange(len(nodes))
-                        at = place[top.walk(bins)]
-                        use = (at >= 0) & ((w > 0) | wanted)
+                        node = place[top.walk(flat, use * width)]
+                        use, node = use[node >= 0], node[node >= 0]
                         choice = _features(np.array([top.path[i] for i in nodes], dtype=np.uint64), width)
-                        found = np.stack(_histogram(at[use], len(nodes), choice, bins[use], w[use], w[use] * y[use], np.ones(use.sum())), axis=1)
+                        drawn, own = np.flatnonzero(w[use]), w[use].astype(np.float64)
+                        own, of = own[drawn], own[drawn] * y[use[drawn]]
+                        found = [(np.bincount(code[drawn], own, BINS * len(nodes)), np.bincount(code[drawn], of, BINS * len(nodes)),
+                                  np.bincount(code, None, BINS * len(nodes))) for code in _codes(flat, use * width, node, None, choice)]
+                        found = np.array(found, dtype=np.float64).reshape(-1, 3, BINS, len(nodes)).transpose(3, 1, 0, 2)
                         sums[t] = sums.get(t, 0) + found
                 for t, found in sums.items():
                     nodes = held.value[t][1]
@@ -222,11 +384,14 @@ def _tops(table: DataFrame, width: int, trees: list[tuple[int, int]], rows: int,
             def split(records: pa.Table) -> pa.Table:
                 t, node = records["tree"][0].as_py(), records["node"][0].as_py()
                 top, records = held.value[t][0], records.sort_by("first")
-                count, total, every = sum(np.frombuffer(x).reshape(3, 1, -1, BINS) for x in records["sums"].to_pylist())
-                (place,), (b,), (found,) = _best(count, total, trees[t][0])
+                count, total, every = sum(np.frombuffer(x).reshape(3, -1, BINS) for x in records["sums"].to_pylist())
+                n, whole = count[0].sum(), total[0].sum()
+                gain = _gains(count.cumsum(axis=1)[:, :-1], total.cumsum(axis=1)[:, :-1], n, whole, trees[t][0])
+                place, b = np.unravel_index(gain.argmax(), gain.shape)
+                found = _lowers(gain[place, b], n, whole)
                 feature = _features(np.array([top.path[node]], dtype=np.uint64), width)[0, place]
-                values = {"tree": t, "node": node, "feature": int(feature) if found else -1, "bin": int(b), "count": float(count[0, 0].sum()),
-                          "total": float(total[0, 0].sum()), "rows": int(every[0, 0].sum()), "rows_left": int(every[0, place, :b + 1].sum())}
+                values = {"tree": t, "node": node, "feature": int(feature) if found else -1, "bin": int(b), "count": float(n),
+                          "total": float(whole), "rows": int(every[0].sum()), "rows_left": int(every[place, :b + 1].sum())}
                 return pa.table({k: [v] for k, v in values.items()}).cast(pa.schema([
                     ("tree", pa.int32()), ("node", pa.int32()), ("feature", pa.int32()), ("bin", pa.int32()), ("count", pa.float64()),
                     ("total", pa.float64()), ("rows", pa.int64()), ("rows_left", pa.int64())]))
@@ -249,6 +414,12 @@ def _packed(forest: int, part: int, tree: int, ids: np.ndarray, value: np.ndarra
         yield forest, part, tree, int(i[0] >> BLOCK), (i & ((1 << BLOCK) - 1)).astype(np.uint16).tobytes(), np.ascontiguousarray(v).tobytes()
 
 
+def _binary(cuts: np.ndarray, values: np.ndarray) -> pa.Array:
+    """The values between one cut and the next as bytes."""
+    one = values.itemsize * (values.shape[1] if values.ndim > 1 else 1)
+    return pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer((cuts * one).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(values))])
+
+
 def _table(records: list[tuple]) -> pa.Table:
     kinds = [pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
     names = ["forest", "part", "tree", "block", "place", "value"]
@@ -266,34 +437,46 @@ def _grown(table: DataFrame, width: int, tops: dict[int, Top], trees: list[tuple
             if not batch.num_rows:
                 continue
             ids, draw, y, trains, wanted, bins = _arrays(batch, width)
+            flat, block = bins.ravel(), ids >> BLOCK
+            of = np.cumsum(np.diff(block, prepend=block[0]) != 0)  # stretches of rows of one block
             for t, top in held.value.items():
                 w = draws(draw, seed, trees[t][1]) * trains
                 use = np.flatnonzero((w > 0) | wanted)
-                at = top.walk(bins[use])
-                records = []
-                for node in np.unique(at):
-                    rows = use[at == node]
-                    # rows of a closed node only get its mean: they stay in as many groups as batches
-                    records.append((t, node, 1 + ids[0] if top.closed[node] else 0, ids[rows].tobytes(), y[rows].tobytes(),
-                                    (w[rows] + 128 * wanted[rows]).astype(np.uint8).tobytes(), bins[rows].tobytes()))
-                if records:
-                    yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in records], k) for i, k in enumerate(
-                        (pa.int32(), pa.int32(), pa.int64(), *[pa.binary()] * 4))], ["tree", "node", "apart", "id", "y", "w", "bins"])
+                if not len(use):
+                    continue
+                node = top.walk(flat, use * width)
+                code = node * (of[-1] + 1) + of[use]
+                order = np.argsort(code.astype(np.uint16) if code.max() < 1 << 16 else code, kind="stable")
+                use, code = use[order], code[order]
+                cuts = np.append(np.append(0, np.flatnonzero(np.diff(code)) + 1), len(code))
+                start, drawn = cuts[:-1], w[use] > 0
+                node = node[order[start]]
+                # rows of a closed node only get its mean: they stay in as many groups as records
+                apart = np.where(np.array(top.closed)[node], 1 + ids[use[start]], 0)
+                packed = [_binary(cuts, (ids[use] & ((1 << BLOCK) - 1)).astype(np.uint16)), _binary(np.append(0, np.cumsum(drawn))[cuts], y[use[drawn]]),
+                          _binary(cuts, w[use] + 128 * wanted[use].astype(np.uint8)), _binary(cuts, bins[use])]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(node), t), pa.int32()), pa.array(node, pa.int32()), pa.array(apart), pa.array(block[use[start]]),
+                                                  *packed], ["tree", "node", "apart", "block", "place", "y", "w", "bins"])
 
     def branch(records: pa.Table) -> pa.Table:
         t, node = records["tree"][0].as_py(), records["node"][0].as_py()
-        top = held.value[t]
-        ids, y, w, bins = (np.frombuffer(b"".join(records[c].to_pylist()), dtype=kind)
-                           for c, kind in (("id", np.int64), ("y", np.float64), ("w", np.uint8), ("bins", np.uint8)))
-        by = np.argsort(ids)
-        ids, y, w, bins = ids[by], y[by], w[by], bins.reshape(-1, width)[by]
-        wanted = w >= 128
-        value = grow(bins, y, (w & 127).astype(np.float64), wanted, top.above(node), np.array([top.path[node]], dtype=np.uint64),
+        top, places = held.value[t], records["place"].to_pylist()
+        by = np.argsort(records["block"].to_numpy() << BLOCK | np.array([int.from_bytes(p[:2], "little") for p in places]))
+        block, length = records["block"].to_numpy()[by], np.array([len(p) // 2 for p in places])[by]
+        place, y, w, bins = (np.frombuffer(b"".join([column[i] for i in by]), dtype=kind) for column, kind in (
+            (places, np.uint16), *((records[c].to_pylist(), kind) for c, kind in (("y", np.float64), ("w", np.uint8), ("bins", np.uint8)))))
+        ids, wanted, w, bins = np.repeat(block << BLOCK, length) | place, w >= 128, w & 127, bins.reshape(-1, width)
+        label = np.zeros(len(ids))
+        label[w > 0] = y
+        if (np.diff(ids) < 0).any():
+            by = np.argsort(ids)
+            ids, wanted, w, bins, label = ids[by], wanted[by], w[by], bins[by], label[by]
+        value = grow(bins, label, w.astype(np.float64), wanted, top.above(node), np.array([top.path[node]], dtype=np.uint64),
                      top.closed[node], trees[t][0], depths, splits)
         return _table(list(_packed(forest_of[t], part_of[t], t, ids[wanted], value[wanted])) if wanted.any() else [])
 
     groups = sum(sum(1 for i in top.left if i < 0) for top in tops.values())
-    dealt = table.mapInArrow(deal, "tree int, node int, apart long, id binary, y binary, w binary, bins binary")
+    dealt = table.mapInArrow(deal, "tree int, node int, apart long, block long, place binary, y binary, w binary, bins binary")
     grown = (dealt.repartition(min(groups, 4 * spark.sparkContext.defaultParallelism + groups // 16), "tree", "node", "apart")
              .groupBy("tree", "node", "apart").applyInArrow(branch, _SUMS))
     cuts = len(depths) * len(splits)
@@ -362,8 +545,12 @@ def predictions(rows: DataFrame, features: str, label: str, key: str, trains: st
     part_of = [sum(number >= s for s in sizes) for _, number in trees]
     tops = _tops(plain, width, trees, count, depths[-1], seed, group_rows)
     step = max(1, DEAL_ROWS // (count * max(1, len(depths) * len(splits) // 4)))
-    sums = [written(_grown(plain, width, {t: tops[t] for t in range(a, min(a + step, len(trees)))}, trees, forest_of, part_of, depths, splits, seed,
-                           group_rows), "forest-sums") for a in range(0, len(trees), step)]
+    sums = []
+    for a in range(0, len(trees), step):
+        if sums:  # else the shuffle files of all rounds stay until the driver happens to collect its garbage
+            spark.sparkContext._jvm.System.gc()
+        dealt = {t: tops[t] for t in range(a, min(a + step, len(trees)))}
+        sums.append(written(_grown(plain, width, dealt, trees, forest_of, part_of, depths, splits, seed, group_rows), "forest-sums"))
     whole = sums[0]
     for more in sums[1:]:
         whole = whole.unionAll(more)
