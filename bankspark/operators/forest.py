@@ -3,10 +3,10 @@
 Spark's own forest collects every node on the driver and holds histograms of up to ``maxMemoryInMB`` in a task, so deep trees
 over many rows fit neither.  Here trees are grown in two steps and never collected:
 
-* a node of more than ``GROUP_ROWS`` rows is split by one aggregate: tasks count their rows in histograms, the sums of a node meet
-  in one group, and the driver gets the split found there;
-* the rows of each smaller node are dealt to a group, which grows the rest of that branch level by level and predicts its rows
-  on the way, so no tree is stored: what leaves the group are the predictions, summed over the trees by row.
+* a node of more than ``GROUP_ROWS`` rows is split by one aggregate: tasks count the drawn rows in histograms, the sums of a node meet
+  in one group, and the driver gets the split found there; all rows of its children are counted by the next aggregate;
+* the rows of each smaller node are dealt to a group, which grows the rest of that branch level by level from the drawn rows, lets
+  the others walk down and predicts, so no tree is stored: what leaves the group are the predictions, summed over the trees by row.
 
 The rules are those of Spark's forest: Poisson(1) bootstrap, thresholds from 32 quantile bins, a new draw of ceil(sqrt(features))
 features a node, the largest reduction of the variance, at least ``min_leaf`` bootstrap rows a side.  Every draw is a hash of the seed, the tree and the
@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from itertools import product
+from itertools import chain, product
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +36,7 @@ BINS = 32
 GROUP_ROWS = 400_000    # rows of a branch that one group grows: about 100 MB
 DEAL_ROWS = 60_000_000  # row copies dealt at a time: about 2.5 GB of shuffle
 OPEN_NODES = 2_000      # histograms in a task at a time: about 10 MB
+BATCH = 1 << 16         # rows at a time in a task, but for an Arrow batch: about 3 MB
 LINES = 512             # nodes at a time in a group: their histograms of a feature stay in the cache
 ROWS = 8192             # rows at a time in a group, likewise
 FEW = (4, 8, 16)        # nodes of up to so many rows are split without histograms
@@ -103,9 +104,9 @@ _NETWORKS = {n: _network(n) for n in FEW}
 def _codes(flat: np.ndarray, at: np.ndarray, node: np.ndarray, size: np.ndarray, choice: np.ndarray) -> np.ndarray:
     """bin * nodes + node of each row under each of its node's features: features by rows.
 
-    ``at``: where a row's bins begin in ``flat``; ``size``: rows of each node, where the rows are in the order of the nodes, else None.
+    The rows are in the order of the nodes; ``size``: rows of each node; ``at``: where a row's bins begin in ``flat``.
     """
-    codes = np.stack([c[node] if size is None else np.repeat(c, size) for c in choice.T])
+    codes = np.stack([np.repeat(c, size) for c in choice.T])
     for a in range(0, len(at), ROWS):  # a block's bins stay in the cache for all features
         of, first = node[a:a + ROWS], at[a:a + ROWS]
         for code in codes[:, a:a + ROWS]:
@@ -304,34 +305,44 @@ class Top:
 
     def __init__(self, path: np.ndarray, rows: int):
         self.path, self.rows, self.depth, self.parent = [path[0]], [rows], [0], [-1]
-        self.left, self.right, self.feature, self.bin, self.count, self.mean = [-1], [-1], [0], [0], [0.0], [0.0]
-        self.closed = [False]
-
-    def open(self, limit: int, max_depth: int) -> list[int]:
-        return [i for i, rows in enumerate(self.rows) if rows > limit and self.left[i] < 0 and not self.closed[i] and self.depth[i] < max_depth]
-
-    def settle(self, i: int, r) -> None:
-        """Takes over the split of a node, or closes it where there is none."""
+        self.left, self.feature, self.bin, self.count, self.mean = [-1], [0], [0], [0.0], [0.0]
+        self.closed, self.counted = [False], [True]  # the rows of a node not yet counted are a guess
+
+    def open(self, limit: int, max_depth: int) -> tuple[list[int], list[int]]:
+        """(nodes to split, nodes whose rows are to be counted); the first are counted as well."""
+        new = [i for i in range(len(self.rows)) if self.left[i] < 0 and not self.closed[i]]
+        split = [i for i in new if self.depth[i] < max_depth and self.rows[i] > limit * (1 if self.counted[i] else 0.9)]
+        return split, [i for i in new if not self.counted[i] and i not in set(split)]
+
+    def settle(self, i: int, r, limit: int) -> None:
+        """Takes over the rows of a node and, if they are too many, its split, or closes it where there is none."""
+        self.rows[i], self.counted[i] = r["rows"], True
+        if r["feature"] is None or r["rows"] <= limit:
+            return
         self.count[i], self.mean[i] = r["count"], r["total"] / max(r["count"], 1)
         if r["feature"] < 0:
             self.closed[i] = True
             return
-        self.feature[i], self.bin[i], self.left[i], self.right[i] = r["feature"], r["bin"], len(self.path), len(self.path) + 1
-        paths = _children(np.array([self.path[i]], dtype=np.uint64))[0]
-        for path, rows in zip(paths, (r["rows_left"], r["rows"] - r["rows_left"])):
-            for column, v in ((self.path, path), (self.rows, rows), (self.depth, self.depth[i] + 1), (self.parent, i), (self.left, -1),
-                              (self.right, -1), (self.feature, 0), (self.bin, 0), (self.count, 0.0), (self.mean, 0.0), (self.closed, False)):
+        self.feature[i], self.bin[i], self.left[i] = r["feature"], r["bin"], len(self.path)
+        share = r["count_left"] / r["count"]
+        for path, part in zip(_children(np.array([self.path[i]], dtype=np.uint64))[0], (share, 1 - share)):
+            for column, v in ((self.path, path), (self.rows, r["rows"] * part), (self.depth, self.depth[i] + 1), (self.parent, i), (self.left, -1),
+                              (self.feature, 0), (self.bin, 0), (self.count, 0.0), (self.mean, 0.0), (self.closed, False), (self.counted, False)):
                 column.append(v)
 
-    def walk(self, flat: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """The node of each row; ``at``: where its bins begin in ``flat``."""
-        node, left, feature = np.zeros(len(at), dtype=np.int64), np.array(self.left), np.array(self.feature)
+    def tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+        """For ``_walk``: left child, feature and bin of each node, and the steps; rows stay in a node that is not split."""
+        left = np.array(self.left)
         inner = left >= 0
-        # rows stay in a node that is not split; the right child follows the left one
-        left, cut = np.where(inner, left, np.arange(len(left))), np.where(inner, self.bin, 255).astype(np.uint8)
-        for _ in range(max(self.depth)):
-            node = left[node] + (flat[at + feature[node]] > cut[node])
-        return node
+        return np.where(inner, left, np.arange(len(left))), np.array(self.feature), np.where(inner, self.bin, 255).astype(np.uint8), max(self.depth)
+
+    def leads(self, nodes: list[int]) -> np.ndarray:
+        """Whether each node is one of these or above one."""
+        out = np.zeros(len(self.left), bool)
+        for i in nodes:
+            while i >= 0 and not out[i]:
+                out[i], i = True, self.parent[i]
+        return out
 
     def above(self, i: int) -> list[tuple[float, float]]:
         chain = [] if not self.closed[i] else [(self.count[i], self.mean[i])]
@@ -340,66 +351,103 @@ class Top:
         return chain[::-1]
 
 
-def _arrays(batch: pa.RecordBatch, width: int) -> tuple[np.ndarray, ...]:
-    """id, draw, y, whether the row trains, whether it is wanted, bins by rows."""
-    bins = np.frombuffer(b"".join(batch["bins"].to_pylist()), dtype=np.uint8).reshape(-1, width)
-    return (*(batch[c].to_numpy(zero_copy_only=False) for c in ("id", "draw", "y", "trains", "wanted")), bins)
+def _walk(tables: tuple, flat: np.ndarray, at: np.ndarray, leads: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(rows, the node of each); ``at``: where a row's bins begin in ``flat``.  With ``leads``, rows of other nodes may be left out."""
+    left, feature, cut, steps = tables
+    rows, node = np.arange(len(at)), np.zeros(len(at), dtype=np.int64)
+    for _ in range(steps):
+        # the right child follows the left one
+        node = left[node] + (flat[at + feature[node]] > cut[node])
+        if leads is not None:
+            on = leads[node]
+            if 4 * np.count_nonzero(on) < 3 * len(on):
+                on = np.flatnonzero(on)
+                rows, at, node = rows[on], at[on], node[on]
+    return rows, node
+
+
+def _sorted(code: np.ndarray) -> np.ndarray:
+    """The order of the codes, equal ones as they come; small codes take a sixth of the time."""
+    return np.argsort(code.astype(np.uint16) if len(code) and code.max() < 1 << 16 else code, kind="stable")
+
+
+def _arrays(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """id, draw, y, whether the row trains, whether it is wanted, bins by rows; some batches at a time."""
+    part, rows = [], 0
+    for batch in chain(batches, [None]):
+        if batch is not None:
+            part, rows = [*part, batch], rows + batch.num_rows
+        if rows >= BATCH or rows and batch is None:
+            table = pa.Table.from_batches(part)
+            bins = np.frombuffer(b"".join(table["bins"].to_pylist()), dtype=np.uint8).reshape(-1, width)
+            yield (*(table[c].to_numpy() for c in ("id", "draw", "y", "trains", "wanted")), bins)
+            part, rows = [], 0
+
+
+FOUND = pa.schema([("tree", pa.int32()), ("node", pa.int32()), ("rows", pa.int64()), ("feature", pa.int32()), ("bin", pa.int32()),
+                   ("count", pa.float64()), ("total", pa.float64()), ("count_left", pa.float64())])
 
 
 def _tops(table: DataFrame, width: int, trees: list[tuple[int, int]], rows: int, max_depth: int, seed: int, limit: int) -> list[Top]:
     """The top of every tree, given as (min_leaf, number): one aggregate a level, for up to ``OPEN_NODES`` nodes."""
     spark = table.sparkSession
     tops = [Top(_root(seed, number), rows) for _, number in trees]
-    while todo := [(t, nodes) for t, top in enumerate(tops) if (nodes := top.open(limit, max_depth))]:
+    while todo := [(t, split, only) for t, top in enumerate(tops) for split, only in [top.open(limit, max_depth)] if split or only]:
         while todo:
             part = [todo.pop()]
-            while todo and sum(len(nodes) for _, nodes in part) + len(todo[-1][1]) <= OPEN_NODES:
+            while todo and sum(len(split) for _, split, _ in part) + len(todo[-1][1]) <= OPEN_NODES:
                 part.append(todo.pop())
-            held = spark.sparkContext.broadcast({t: (tops[t], nodes) for t, nodes in part})
+            held = spark.sparkContext.broadcast({t: (tops[t], split, only) for t, split, only in part})
 
             def count(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-                sums, first = {}, None
-                for batch in batches:
-                    ids, draw, y, trains, wanted, bins = _arrays(batch, width)
-                    first, flat = ids[0] if first is None and len(ids) else first, bins.ravel()
-                    for t, (top, nodes) in held.value.items():
-                        w = draws(draw, seed, trees[t][1]) * trains
-                        use = np.flatnonzero((w > 0) | wanted)
-                        place = np.full(len(top.path), -1)
-                        place[nodes] = np.arange(len(nodes))
-                        node = place[top.walk(flat, use * width)]
-                        use, node = use[node >= 0], node[node >= 0]
-                        choice = _features(np.array([top.path[i] for i in nodes], dtype=np.uint64), width)
-                        drawn, own = np.flatnonzero(w[use]), w[use].astype(np.float64)
-                        own, of = own[drawn], own[drawn] * y[use[drawn]]
-                        found = [(np.bincount(code[drawn], own, BINS * len(nodes)), np.bincount(code[drawn], of, BINS * len(nodes)),
-                                  np.bincount(code, None, BINS * len(nodes))) for code in _codes(flat, use * width, node, None, choice)]
-                        found = np.array(found, dtype=np.float64).reshape(-1, 3, BINS, len(nodes)).transpose(3, 1, 0, 2)
-                        sums[t] = sums.get(t, 0) + found
-                for t, found in sums.items():
-                    nodes = held.value[t][1]
+                sums, counts, first, plans = {}, {}, None, {}
+                for t, (top, split, only) in held.value.items():
+                    place = np.full(len(top.path), -1)
+                    place[split + only] = np.arange(len(split) + len(only))
+                    choice = _features(np.array([top.path[i] for i in split], dtype=np.uint64), width)
+                    plans[t] = top.tables(), top.leads(split + only), place, choice
+                    sums[t], counts[t] = np.zeros((choice.shape[1], 2, BINS * len(split))), np.zeros(len(split) + len(only), np.int64)
+                for ids, draw, y, trains, wanted, bins in _arrays(batches, width):
+                    first, flat, at = ids[0] if first is None else first, bins.ravel(), np.arange(len(ids)) * width
+                    for t, (tables, leads, place, choice) in plans.items():
+                        rows, node = _walk(tables, flat, at, leads)
+                        node, w = place[node], draws(draw[rows], seed, trees[t][1]) * trains[rows]
+                        use = (node >= 0) & ((w > 0) | wanted[rows])
+                        counts[t] += np.bincount(node[use], minlength=len(counts[t]))
+                        of = np.flatnonzero((node >= 0) & (node < len(choice)) & (w > 0))
+                        if not len(of):
+                            continue
+                        of = of[_sorted(node[of])]
+                        row, own = rows[of], w[of].astype(np.float64)
+                        own_y = own * y[row]
+                        for total, code in zip(sums[t], _codes(flat, row * width, node[of], np.bincount(node[of], minlength=len(choice)), choice)):
+                            total[0] += np.bincount(code, own, sums[t].shape[2])
+                            total[1] += np.bincount(code, own_y, sums[t].shape[2])
+                for t, found in sums.items() if first is not None else ():
+                    nodes, m = [*held.value[t][1], *held.value[t][2]], len(held.value[t][1])
+                    found = [x.tobytes() for x in found.reshape(len(found), 2, BINS, m).transpose(3, 1, 0, 2)]
                     yield pa.RecordBatch.from_pydict({"tree": pa.array([t] * len(nodes), pa.int32()), "node": pa.array(nodes, pa.int32()),
-                                                      "first": pa.array([first] * len(nodes), pa.int64()), "sums": [x.tobytes() for x in found]})
+                                                      "first": pa.array([first] * len(nodes), pa.int64()), "rows": pa.array(counts[t]),
+                                                      "sums": pa.array(found + [None] * (len(nodes) - m), pa.binary())})
 
             def split(records: pa.Table) -> pa.Table:
                 t, node = records["tree"][0].as_py(), records["node"][0].as_py()
                 top, records = held.value[t][0], records.sort_by("first")
-                count, total, every = sum(np.frombuffer(x).reshape(3, -1, BINS) for x in records["sums"].to_pylist())
-                n, whole = count[0].sum(), total[0].sum()
-                gain = _gains(count.cumsum(axis=1)[:, :-1], total.cumsum(axis=1)[:, :-1], n, whole, trees[t][0])
-                place, b = np.unravel_index(gain.argmax(), gain.shape)
-                found = _lowers(gain[place, b], n, whole)
-                feature = _features(np.array([top.path[node]], dtype=np.uint64), width)[0, place]
-                values = {"tree": t, "node": node, "feature": int(feature) if found else -1, "bin": int(b), "count": float(n),
-                          "total": float(whole), "rows": int(every[0].sum()), "rows_left": int(every[place, :b + 1].sum())}
-                return pa.table({k: [v] for k, v in values.items()}).cast(pa.schema([
-                    ("tree", pa.int32()), ("node", pa.int32()), ("feature", pa.int32()), ("bin", pa.int32()), ("count", pa.float64()),
-                    ("total", pa.float64()), ("rows", pa.int64()), ("rows_left", pa.int64())]))
-
-            counted = table.mapInArrow(count, "tree int, node int, first long, sums binary")
+                values = dict.fromkeys(FOUND.names) | {"tree": t, "node": node, "rows": pc.sum(records["rows"]).as_py()}
+                if not records["sums"].null_count:
+                    count, total = sum(np.frombuffer(x).reshape(2, -1, BINS) for x in records["sums"].to_pylist())
+                    n, whole = count[0].sum(), total[0].sum()
+                    gain = _gains(count.cumsum(axis=1)[:, :-1], total.cumsum(axis=1)[:, :-1], n, whole, trees[t][0])
+                    place, b = np.unravel_index(gain.argmax(), gain.shape)
+                    feature = _features(np.array([top.path[node]], dtype=np.uint64), width)[0, place]
+                    values |= {"feature": int(feature) if _lowers(gain[place, b], n, whole) else -1, "bin": int(b), "count": float(n),
+                               "total": float(whole), "count_left": float(count[place, :b + 1].sum())}
+                return pa.table({k: [v] for k, v in values.items()}).cast(FOUND)
+
+            counted = table.mapInArrow(count, "tree int, node int, first long, rows long, sums binary")
             for r in counted.groupBy("tree", "node").applyInArrow(
-                    split, "tree int, node int, feature int, bin int, count double, total double, rows long, rows_left long").collect():
-                tops[r["tree"]].settle(r["node"], r)  # one row a node
+                    split, "tree int, node int, rows long, feature int, bin int, count double, total double, count_left double").collect():
+                tops[r["tree"]].settle(r["node"], r, limit)  # one row a node
     return tops
 
 
@@ -433,26 +481,24 @@ def _grown(table: DataFrame, width: int, tops: dict[int, Top], trees: list[tuple
     held = spark.sparkContext.broadcast(tops)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            ids, draw, y, trains, wanted, bins = _arrays(batch, width)
+        plans = {t: (top.tables(), np.array(top.closed)) for t, top in held.value.items()}
+        for ids, draw, y, trains, wanted, bins in _arrays(batches, width):
             flat, block = bins.ravel(), ids >> BLOCK
             of = np.cumsum(np.diff(block, prepend=block[0]) != 0)  # stretches of rows of one block
-            for t, top in held.value.items():
+            for t, (tables, closed) in plans.items():
                 w = draws(draw, seed, trees[t][1]) * trains
                 use = np.flatnonzero((w > 0) | wanted)
                 if not len(use):
                     continue
-                node = top.walk(flat, use * width)
+                _, node = _walk(tables, flat, use * width)
                 code = node * (of[-1] + 1) + of[use]
-                order = np.argsort(code.astype(np.uint16) if code.max() < 1 << 16 else code, kind="stable")
+                order = _sorted(code)
                 use, code = use[order], code[order]
                 cuts = np.append(np.append(0, np.flatnonzero(np.diff(code)) + 1), len(code))
                 start, drawn = cuts[:-1], w[use] > 0
                 node = node[order[start]]
                 # rows of a closed node only get its mean: they stay in as many groups as records
-                apart = np.where(np.array(top.closed)[node], 1 + ids[use[start]], 0)
+                apart = np.where(closed[node], 1 + ids[use[start]], 0)
                 packed = [_binary(cuts, (ids[use] & ((1 << BLOCK) - 1)).astype(np.uint16)), _binary(np.append(0, np.cumsum(drawn))[cuts], y[use[drawn]]),
                           _binary(cuts, w[use] + 128 * wanted[use].astype(np.uint8)), _binary(cuts, bins[use])]
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(node), t), pa.int32()), pa.array(node, pa.int32()), pa.array(apart), pa.array(block[use[start]]),

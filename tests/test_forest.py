@@ -106,3 +106,40 @@ def test_nothing_of_a_forest_is_collected(rows, monkeypatch):
     _by_id(rows, [1], [2], [30], [2], group_rows=150)
     assert all(max(r for r, left in zip(t.rows, t.left) if left < 0) <= 150 for t in seen[0])
     assert all(len(t.rows) < 80 for t in seen[0])
+
+
+def test_few_rows_split_as_by_histograms(monkeypatch):
+    """Nodes of few rows find the split that histograms find, to the last bit, also among equally good ones; larger ones alone have histograms."""
+    rng = np.random.default_rng(3)
+    for least, values in ((1, 3), (2, 30), (4, 1000)):
+        size = rng.integers(2, 17, 900)
+        bins = rng.integers(0, rng.choice([2, 5, 32], size.sum())[:, None], (size.sum(), 9)).astype(np.uint8)
+        y, w = rng.integers(0, values, size.sum()) / 7, rng.integers(1, 4, size.sum()).astype(float)
+        choice, at, start = FO._features(np.arange(len(size), dtype=np.uint64), 9), np.arange(len(bins)) * 9, np.cumsum(size) - size
+        want = FO._many(bins.ravel(), at, size, choice, w, w * y, least)
+        found = FO._few(bins.ravel(), at, start, size, choice, w, w * y, least, 16)
+        assert 100 < want[2].sum() and all((a == b)[want[2]].all() for a, b in zip(want, found)) and (want[2] == found[2]).all()
+    seen, real = [], FO._many
+    monkeypatch.setattr(FO, "_many", lambda flat, at, size, *a: seen.append(size.min()) or real(flat, at, size, *a))
+    bins, y = rng.integers(0, 32, (4000, 9)).astype(np.uint8), rng.normal(size=4000)
+    args = (bins, y, FO.draws(np.arange(4000), 7, 0).astype(float), np.ones(4000, bool), [], FO._root(7, 0), False, 1, [20], [2])
+    few = FO.grow(*args)
+    assert seen and min(seen) > 16
+    monkeypatch.setattr(FO, "FEW", ())
+    assert (FO.grow(*args) == few).all()
+
+
+def test_draws_are_poisson_quantiles():
+    row = np.random.default_rng(4).integers(-2 ** 63, 2 ** 63 - 1, 300_000)
+    u = (FO._mix(row.view(np.uint64) ^ FO._root(7, 3)) >> np.uint64(11)) * 2.0 ** -53
+    assert (FO.draws(row, 7, 3) == np.searchsorted(FO._POISSON, u, side="right")).all()
+
+
+def test_rows_of_branches_are_counted(spark):
+    """Also where the drawn rows are a bad guess: those that do not train lie in one corner."""
+    table = spark.createDataFrame([(i, i * 7919, float(i % 50), i < 300, True, bytes([i % 30 if i < 300 else 31, i % 7])) for i in range(900)],
+                                              "id long, draw long, y double, trains boolean, wanted boolean, bins binary")
+    for top in FO._tops(table, 2, [(1, 0), (1, 1)], 900, 30, 42, 100):
+        leaves = [i for i, left in enumerate(top.left) if left < 0]
+        assert sum(top.rows[i] for i in leaves) == 900 and all(top.counted[i] for i in leaves)
+        assert all(top.rows[i] <= 100 or top.closed[i] for i in leaves)
